@@ -64,8 +64,14 @@ def ntz_from_millis(ms) -> Column:
 
 
 def millis_from_ntz(ts) -> Column:
-    """Wall-clock UTC TIMESTAMP_NTZ -> epoch milliseconds (zone-free)."""
-    return F.expr(f"timestampdiff(MILLISECOND, {_EPOCH_NTZ}, {_sql(ts)})")
+    """Wall-clock UTC TIMESTAMP_NTZ -> epoch milliseconds (zone-free: built
+    from date parts, since a timestamp difference would go through the
+    session zone and shift across daylight-saving changes)."""
+    t = _sql(ts)
+    return F.expr(
+        f"unix_date(CAST({t} AS DATE)) * 86400000L + hour({t}) * 3600000L + minute({t}) * 60000L"
+        f" + CAST(floor(date_part('SECOND', {t}) * 1000) AS BIGINT)"
+    )
 
 
 def local_time(ts_ntz, tz: str = "UTC") -> Column:

@@ -69,4 +69,4 @@ def area_product_rank(actions: DataFrame, cities: DataFrame, products: DataFrame
 
     counts = area_product_count(actions, cities, products)
     w = Window.partitionBy("area").orderBy(F.col("product_count").desc())
-    return counts.withColumn("rk", F.rank().over(w))
+    return counts.withColumn("rk", F.rank().over(w).cast("bigint"))

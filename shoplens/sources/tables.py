@@ -140,11 +140,12 @@ def ads_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ads_lines(ads: DataFrame) -> DataFrame:
-    """Wire form of ad clicks: one ``value`` line per click."""
+def ads_lines(ads: DataFrame, keep=("event_id",)) -> DataFrame:
+    """Wire form of ad clicks: one ``value`` line per click (plus ``keep``
+    columns when present)."""
     return ads.select(
         F.concat_ws(" ", F.col("timestamp").cast("string"), "area", "city", "userid", "adid").alias(
             "value"
         ),
-        *[c for c in ("event_id",) if c in ads.columns],
+        *[c for c in keep if c in ads.columns],
     )
