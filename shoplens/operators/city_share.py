@@ -9,7 +9,8 @@ Plan shape (no group is ever materialised whole):
   1. ``groupBy(group, city).count()``             partial + final hash agg
   2. totals per group from (1)                    same exchange is reused
   3. top-2 cities per group from (1)              row_number <= 2 ->
-                                                  partial WindowGroupLimit
+                                                  partial WindowGroupLimit;
+                                                  (2) and (3) share (1)'s shuffle
   4. join (2) x (3) on the group keys             co-partitioned, no shuffle
 A NULL city counts toward the total but is never named.
 """
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from shoplens.functions import constants as K
 from shoplens.functions.columns import percent_of, round_half_up
+from shoplens.operators.joins import null_safe_join
 from shoplens.operators.topk import top_k_per_group
 
 
@@ -58,18 +60,23 @@ def city_share(
     g = list(group_cols)
     counts = df.groupBy(*g, F.col(city_col).alias("city")).agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy(*g).agg(F.sum("n").alias(count_col))
+    # NULL city sorts last and is dropped from the names below; filtering it
+    # out here instead would be pushed under the shared aggregate and stop
+    # Spark from reusing its shuffle for both branches.
     leaders = top_k_per_group(
-        counts.filter(F.col("city").isNotNull()),
+        counts,
         g,
-        [F.col("n").desc(), F.col("city").asc()],
+        [F.col("city").isNull().asc(), F.col("n").desc(), F.col("city").asc()],
         top,
         rank_col="rn",
     )
     named = leaders.groupBy(*g).agg(
-        F.array_sort(F.collect_list(F.struct("rn", "city", "n"))).alias("lead")
+        F.filter(
+            F.array_sort(F.collect_list(F.struct("rn", "city", "n"))), lambda x: x["city"].isNotNull()
+        ).alias("lead")
     )
     return (
-        totals.join(named, g, "left")
+        null_safe_join(totals, named, g, "left")
         .select(
             *g,
             F.col(count_col),

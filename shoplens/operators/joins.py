@@ -40,3 +40,19 @@ def join_dimension(
     row-count check, otherwise Catalyst/AQE pick the strategy."""
     side = bounded_broadcast(dim, max_broadcast_rows) if max_broadcast_rows else dim
     return fact.join(side, on, how)
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` with ``<=>`` (NULL matches NULL), keeping one
+    copy of the key columns.
+
+    Used where both sides derive from the same input (a table joined with an
+    aggregate of itself): a plain ``=`` join makes Catalyst infer
+    ``IS NOT NULL`` on one side and push it under the shared aggregate, so
+    the two sides stop sharing one scan and shuffle; ``<=>`` infers nothing
+    and also keeps NULL-key groups."""
+    keys = list(keys)
+    lt, rt = left.alias("__l"), right.alias("__r")
+    cond = [F.col(f"__l.{k}").eqNullSafe(F.col(f"__r.{k}")) for k in keys]
+    right_rest = [F.col(f"__r.{c}") for c in right.columns if c not in keys]
+    return lt.join(rt, cond, how).select(*[F.col(f"__l.{c}") for c in left.columns], *right_rest)

@@ -5,11 +5,14 @@ form, but it sorts each whole group in one task; a session holding a third of
 all rows would become one task.  Here the group is split into time buckets:
 
   * pairs inside a bucket come from ``lead`` over ``(group, bucket)``;
-  * the pair that crosses from one non-empty bucket to the next is built
-    from per-bucket first/last rows (a partial aggregate) and ``lead`` over
-    the bucket summaries of the group (one row per bucket, not per action).
+  * the pair that crosses from one non-empty bucket to the next comes from a
+    second ``lead`` over only the first and last row of every bucket of the
+    group (two rows per bucket, not one per action).
 
-The union is exactly the set of consecutive pairs of the whole group.
+``transitions`` keeps one row per action: ``(frm, nxt)`` with ``nxt`` NULL
+for the group's last action, so counting it by ``frm`` gives per-value visit
+counts and counting non-NULL ``nxt`` gives the pairs -- both from a single
+scan of the input.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def consecutive_pairs(
+def transitions(
     df: DataFrame,
     group_col: str,
     order_cols: Sequence[str],
@@ -29,32 +32,54 @@ def consecutive_pairs(
     from_col: str = "frm",
     to_col: str = "nxt",
 ) -> DataFrame:
-    """``(group_col, from_col, to_col)`` for each pair of rows adjacent in the
-    order ``order_cols`` (which must be unique within a group, and ``bucket``
-    must be non-decreasing in that order)."""
-    keyed = df.select(
-        group_col, bucket.alias("__b"), *order_cols, F.col(value_col).alias("__v")
-    )
+    """One row per input row: ``(group_col, from_col, to_col)`` where
+    ``to_col`` is the value of the next row of the group in the order
+    ``order_cols`` (unique within a group), NULL for the last row.
+    ``bucket`` must be non-decreasing in that order."""
+    keyed = df.select(group_col, bucket.alias("__b"), *order_cols, F.col(value_col).alias("__v"))
     w_in = Window.partitionBy(group_col, "__b").orderBy(*order_cols)
-    inner = (
-        keyed.select(group_col, F.col("__v").alias(from_col), F.lead("__v").over(w_in).alias(to_col))
-        .filter(F.col(to_col).isNotNull())
+    rows = keyed.select(
+        group_col,
+        "__b",
+        *order_cols,
+        "__v",
+        F.lead("__v").over(w_in).alias("__nv"),
+        F.lead(F.lit(True)).over(w_in).isNotNull().alias("__has_next"),
+        (F.row_number().over(w_in) == 1).alias("__first"),
     )
-    order_key = F.struct(*order_cols)
-    ends = keyed.groupBy(group_col, "__b").agg(
-        F.min_by("__v", order_key).alias("__first"),
-        F.max_by("__v", order_key).alias("__last"),
+    inside = rows.filter("__has_next").select(
+        group_col, F.col("__v").alias(from_col), F.col("__nv").alias(to_col)
     )
-    w_b = Window.partitionBy(group_col).orderBy("__b")
-    bridge = (
+    # bucket ends: first and last row of each bucket, ordered across buckets;
+    # the row after a bucket's last row is the next bucket's first row.
+    ends = rows.filter(F.col("__first") | ~F.col("__has_next"))
+    w_ends = Window.partitionBy(group_col).orderBy("__b", *order_cols)
+    across = (
         ends.select(
             group_col,
-            F.col("__last").alias(from_col),
-            F.lead("__first").over(w_b).alias(to_col),
+            "__v",
+            "__has_next",
+            F.lead("__v").over(w_ends).alias("__bv"),
         )
-        .filter(F.col(to_col).isNotNull())
+        .filter(~F.col("__has_next"))
+        .select(group_col, F.col("__v").alias(from_col), F.col("__bv").alias(to_col))
     )
-    return inner.unionByName(bridge)
+    return inside.unionByName(across)
+
+
+def consecutive_pairs(
+    df: DataFrame,
+    group_col: str,
+    order_cols: Sequence[str],
+    value_col: str,
+    bucket: Column,
+    from_col: str = "frm",
+    to_col: str = "nxt",
+) -> DataFrame:
+    """Only the pairs: ``(group_col, from_col, to_col)`` for adjacent rows.
+    (Assumes non-NULL values; a NULL value would read as "no next row".)"""
+    t = transitions(df, group_col, order_cols, value_col, bucket, from_col, to_col)
+    return t.filter(F.col(to_col).isNotNull())
 
 
 def flow_pairs(flow: Sequence) -> list[tuple[str, str]]:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from shoplens.functions import columns as C
 from shoplens.functions import constants as K
+from shoplens.operators.joins import null_safe_join
 from shoplens.operators.topk import top_k_per_group
 
 
@@ -90,11 +91,12 @@ def ads_after_ban(ads: DataFrame, threshold: int = K.BAN_THRESHOLD, tz: str = "U
 
     The ban table has one row per banned user; Catalyst/AQE broadcast it when
     it is small and otherwise shuffle-join (with skew splitting of a hot
-    user's partition)."""
+    user's partition).  The null-safe join lets the clicks and the ban
+    table come from one scan of the input."""
     dated = with_date(ads, tz)
     bans = ban_list(dated, threshold, tz)
     return (
-        dated.join(bans, "userid", "left")
+        null_safe_join(dated, bans, ["userid"], "left")
         .filter(F.col("ban_date").isNull() | (F.col("date") <= F.col("ban_date")))
         .drop("ban_date")
     )

@@ -7,6 +7,7 @@ row per task in the shuffle), followed by a global top-k."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,27 +43,58 @@ def category_counts(actions: DataFrame) -> DataFrame:
 def category_top10(actions: DataFrame, n: int = K.TOP_CATEGORIES, task_id: str | None = None) -> DataFrame:
     """O1: pay desc, order desc, click desc; category id ascending breaks the
     remaining ties (K3)."""
-    top = top_k(
-        category_counts(actions),
-        [
-            F.col("pay_count").desc(),
-            F.col("order_count").desc(),
-            F.col("click_count").desc(),
-            F.col("category_id").asc(),
-        ],
-        n,
-    )
+    top = top_k(category_counts(actions), _top_order(), n)
     cols = ["category_id", "click_count", "order_count", "pay_count"]
     if task_id is not None:
         return top.select(F.lit(task_id).alias("task_id"), *cols)
     return top.select(*cols)
 
 
-def category_session_counts(actions: DataFrame, top_categories: DataFrame) -> DataFrame:
+def category_session_kind_counts(actions: DataFrame) -> DataFrame:
+    """Per (category, session) the click, order and pay counts, from one scan.
+
+    Both Q1 (summed over sessions) and Q2 (clicks of the top categories)
+    can be answered from this, so the actions are read and joined once."""
+    touched = actions.select(
+        "session_id", action_kind().alias("kind"), F.explode(action_categories()).alias("category_id")
+    )
+    return touched.groupBy("category_id", "session_id").agg(
+        F.count_if(F.col("kind") == "click").alias("click_count"),
+        F.count_if(F.col("kind") == "order").alias("order_count"),
+        F.count_if(F.col("kind") == "pay").alias("pay_count"),
+    )
+
+
+def _top_order():
+    return [
+        F.col("pay_count").desc(),
+        F.col("order_count").desc(),
+        F.col("click_count").desc(),
+        F.col("category_id").asc(),
+    ]
+
+
+def top_categories_from(session_counts: DataFrame, n: int = K.TOP_CATEGORIES) -> DataFrame:
+    per_category = session_counts.groupBy("category_id").agg(
+        F.sum("click_count").alias("click_count"),
+        F.sum("order_count").alias("order_count"),
+        F.sum("pay_count").alias("pay_count"),
+    )
+    return top_k(per_category, _top_order(), n).select(
+        "category_id", "click_count", "order_count", "pay_count"
+    )
+
+
+def category_session_counts(
+    actions: DataFrame, top_categories: DataFrame | None = None, n_categories: int = K.TOP_CATEGORIES
+) -> DataFrame:
     """A3 + J4: clicks per (category, session) for the top categories.
 
-    ``top_categories`` is a ``limit(n)`` result; its plan statistics carry
-    the n-row bound, so Spark's size check broadcasts it for the semi-join."""
+    ``top_categories`` defaults to ``category_top10(actions)``.  It is a
+    ``limit(n)`` result: its plan statistics carry the n-row bound, so
+    Spark's size check broadcasts it for the semi-join."""
+    if top_categories is None:
+        top_categories = category_top10(actions, n_categories)
     clicks = actions.filter(is_click()).select(
         F.col("click_category_id").cast("string").alias("category_id"), "session_id"
     )
@@ -72,14 +104,19 @@ def category_session_counts(actions: DataFrame, top_categories: DataFrame) -> Da
 
 def category_session_top10(
     actions: DataFrame,
-    top_categories: DataFrame,
+    top_categories: DataFrame | None = None,
     n: int = K.TOP_SESSIONS,
     task_id: str | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """The n sessions with most clicks per top category (session id
     ascending breaks ties).  A top category without clicks has no rows (K2)."""
+    if counts is None:
+        counts = category_session_counts(actions, top_categories)
+    else:
+        counts = counts.join(top_categories.select("category_id"), "category_id", "left_semi")
     top = top_k_per_group(
-        category_session_counts(actions, top_categories),
+        counts,
         ["category_id"],
         [F.col("click_count").desc(), F.col("session_id").asc()],
         n,
@@ -91,10 +128,17 @@ def category_session_top10(
 
 
 def run_category_jobs(actions: DataFrame, users: DataFrame, cond: Conditions, task_id: str | None = None):
-    """Q1 + Q2 over one filtered action set, persisted once so the scan and
-    join are not repeated for Q2 (the reference's cache came too late)."""
-    filtered = filter_actions(actions, users, cond).persist()
-    top = category_top10(filtered, task_id=None).persist()
+    """Q1 + Q2 with one scan and join of the filtered actions.
+
+    Both results derive from the per-(category, session) counts, which are
+    persisted (memory, spilling to disk; recomputed from lineage if an
+    executor is lost) so the two results do not each re-read the actions.
+    Returns ``(q1, q2, release)``; call ``release()`` after writing both."""
+    counts = category_session_kind_counts(filter_actions(actions, users, cond)).persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
+    top = top_categories_from(counts)
+    clicks = counts.filter(F.col("click_count") > 0).select("category_id", "session_id", "click_count")
+    q2 = category_session_top10(None, top, task_id=task_id, counts=clicks)
     q1 = top if task_id is None else top.select(F.lit(task_id).alias("task_id"), *top.columns)
-    q2 = category_session_top10(filtered, top, task_id=task_id)
-    return q1, q2, [filtered, top]
+    return q1, q2, counts.unpersist

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.operators.sequence import consecutive_pairs, flow_pairs
+from shoplens.operators.sequence import consecutive_pairs, flow_pairs, transitions
 
 # Sessions are split into hour buckets before the pair window (see
 # operators/sequence.py), so no session is ever sorted whole in one task.
@@ -39,18 +39,30 @@ def page_visit_count(actions: DataFrame, pages: Sequence) -> DataFrame:
     )
 
 
-def page_jump_count(actions: DataFrame, flow: Sequence, bucket_unit: str = DEFAULT_BUCKET) -> DataFrame:
-    """A5 + P8: (jump, frm, c) for jumps that are steps of the flow."""
+def page_transition_counts(actions: DataFrame, bucket_unit: str = DEFAULT_BUCKET) -> DataFrame:
+    """(frm, nxt, c): how often page ``nxt`` directly follows page ``frm``
+    in a session; ``nxt`` NULL counts session-last visits.  A pages x pages
+    table, whatever the number of actions; the jump numerators and the visit
+    denominators both come from it, so the actions are scanned once."""
+    bucket = F.date_trunc(bucket_unit, F.to_timestamp("action_time"))
+    t = transitions(actions, "session_id", ["action_time", "event_id"], "page_id", bucket)
+    return t.groupBy("frm", "nxt").agg(F.count(F.lit(1)).alias("c"))
+
+
+def _jumps(counts: DataFrame, flow: Sequence) -> DataFrame:
     targets = [f"{a}-{b}" for a, b in flow_pairs(flow)]
-    pairs = session_page_pairs(actions, bucket_unit)
     return (
-        pairs.select(F.concat_ws("-", "frm", "nxt").alias("jump"), "frm")
+        counts.filter(F.col("nxt").isNotNull())
+        .select(F.concat_ws("-", "frm", "nxt").alias("jump"), "frm", "c")
         .filter(F.col("jump").isin(targets))
-        .groupBy("jump", "frm")
-        .agg(F.count(F.lit(1)).alias("c"))
     )
 
 
+def page_jump_count(actions: DataFrame, flow: Sequence, bucket_unit: str = DEFAULT_BUCKET) -> DataFrame:
+    """A5 + P8: (jump, frm, c) for jumps that are steps of the flow."""
+    return _jumps(page_transition_counts(actions, bucket_unit), flow)
+
+
 def page_jump_ratio(
     actions: DataFrame,
     flow: Sequence,
@@ -58,8 +70,14 @@ def page_jump_ratio(
     bucket_unit: str = DEFAULT_BUCKET,
 ) -> DataFrame:
     """(jump, ratio); a from-page never visited divides by 1."""
-    jumps = page_jump_count(actions, flow, bucket_unit)
-    visits = page_visit_count(actions, [a for a, _ in flow_pairs(flow)])
+    counts = page_transition_counts(actions, bucket_unit)
+    from_pages = [a for a, _ in flow_pairs(flow)]
+    visits = (
+        counts.filter(F.col("frm").cast("string").isin(from_pages))
+        .groupBy(F.col("frm").alias("page_id"))
+        .agg(F.sum("c").alias("n"))
+    )
+    jumps = _jumps(counts, flow)
     out = jumps.join(visits, jumps.frm == visits.page_id, "left").select(
         "jump", (F.col("c").cast("double") / F.coalesce(F.col("n"), F.lit(1))).alias("ratio")
     )

@@ -86,12 +86,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "range_filter_actions": _filtered,
     "category_counts": lambda s, d: Q12.category_counts(_filtered(s, d)),
     "category_top10": lambda s, d: Q12.category_top10(_filtered(s, d)),
-    "category_session_count": lambda s, d: Q12.category_session_counts(
-        _filtered(s, d), Q12.category_top10(_filtered(s, d))
-    ),
-    "category_session_top10": lambda s, d: Q12.category_session_top10(
-        _filtered(s, d), Q12.category_top10(_filtered(s, d))
-    ),
+    "category_session_count": lambda s, d: Q12.category_session_counts(_filtered(s, d)),
+    "category_session_top10": lambda s, d: Q12.category_session_top10(_filtered(s, d)),
     # Q3
     "page_visit_count": lambda s, d: Q3.page_visit_count(_uva(s, d), FLOW[:-1]),
     "session_page_pairs": lambda s, d: Q3.session_page_pairs(_uva(s, d))

@@ -1,0 +1 @@
+"""Result sinks: catalog tables, JDBC, versioned keyed snapshots, topics."""

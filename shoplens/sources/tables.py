@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.functions import columns as C
-from shoplens.sources import schemas
+from shoplens.functions import constants as K
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -80,48 +80,39 @@ def _events(spark: SparkSession, sf_dir: str, start_date=None, end_date=None) ->
     if end_date:
         end = _dt.datetime.fromisoformat(end_date) + _dt.timedelta(days=1)
         ev = ev.filter(F.col("ts") < F.lit(end).cast("timestamp_ntz"))
-    return ev.select(
-        "event_id",
-        "ts",
-        "user_id",
-        "event_type",
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+    return ev.selectExpr(
+        "event_id", "ts", "user_id", "event_type", "CAST(get_json_object(props, '$.k') AS BIGINT) AS k"
     )
 
 
+# The action view as SQL expressions over (event_id, ts, user_id, event_type,
+# k): a single projection, typed as the reference's schema.
+_UVA_EXPRS = [
+    f"date_format(ts, '{K.DATE_FORMAT}') AS date",
+    "user_id",
+    "concat(user_id, '_', CAST(floor((day(ts) - 1) / 10.0) AS INT)) AS session_id",
+    "k % 10 + 1 AS page_id",
+    f"date_format(ts, '{K.DATETIME_FORMAT}') AS action_time",
+    "CASE WHEN event_type = 'view' THEN concat('kw_', k % 6) END AS search_keyword",
+    "CASE WHEN event_type = 'click' THEN k % 20 + 1 ELSE -1 END AS click_category_id",
+    "CASE WHEN event_type = 'click' THEN (event_id * 7) % 200 ELSE -1 END AS click_product_id",
+    "CASE WHEN event_type = 'signup' THEN concat(k % 20 + 1, ',', (k + 7) % 20 + 1) END AS order_category_ids",
+    "CASE WHEN event_type = 'signup' THEN concat(k % 20 + 1, ',', (k + 7) % 20 + 1) END AS order_product_ids",
+    "CASE WHEN event_type = 'purchase' THEN concat((k + 3) % 20 + 1, ',', (k + 9) % 20 + 1, ',', (k + 11) % 20 + 1)"
+    " END AS pay_category_ids",
+    "CASE WHEN event_type = 'purchase' THEN concat((k + 3) % 20 + 1, ',', (k + 9) % 20 + 1) END AS pay_product_ids",
+    "user_id % 25 AS city_id",
+    "event_id",
+]
+
+
 def user_visit_action(
     spark: SparkSession, sf_dir: str, start_date: str | None = None, end_date: str | None = None
 ) -> DataFrame:
     """One row per action; 13 reference columns plus ``event_id`` (the
     tie-break for equal action times).  ``start_date``/``end_date`` only add
     a scan-level pre-filter; callers still apply the exact date filter."""
-    ev = _events(spark, sf_dir, start_date, end_date)
-    k = F.col("k")
-    et = F.col("event_type")
-    kind = lambda name: et == name
-    pair = lambda a, b: F.concat((k + a) % 20 + 1, F.lit(","), (k + b) % 20 + 1)
-    uva = ev.select(
-        "event_id",
-        C.date_label("ts").alias("date"),
-        "user_id",
-        F.concat(
-            F.col("user_id"), F.lit("_"), F.floor((F.dayofmonth("ts") - 1) / 10.0).cast("int")
-        ).alias("session_id"),
-        (k % 10 + 1).alias("page_id"),
-        C.datetime_label("ts").alias("action_time"),
-        F.when(kind("view"), F.concat(F.lit("kw_"), k % 6)).alias("search_keyword"),
-        F.when(kind("click"), k % 20 + 1).otherwise(-1).alias("click_category_id"),
-        F.when(kind("click"), (F.col("event_id") * 7) % 200).otherwise(-1).alias("click_product_id"),
-        F.when(kind("signup"), pair(0, 7)).alias("order_category_ids"),
-        F.when(kind("signup"), pair(0, 7)).alias("order_product_ids"),
-        F.when(
-            kind("purchase"),
-            F.concat(pair(3, 9), F.lit(","), (k + 11) % 20 + 1),
-        ).alias("pay_category_ids"),
-        F.when(kind("purchase"), pair(3, 9)).alias("pay_product_ids"),
-        (F.col("user_id") % 25).alias("city_id"),
-    )
-    return schemas.enforce(uva, schemas.USER_VISIT_ACTION)
+    return _events(spark, sf_dir, start_date, end_date).selectExpr(*_UVA_EXPRS)
 
 
 def ads_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,14 +120,14 @@ def ads_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     city, userid, adid, plus ``event_id`` as a stable row id."""
     ev = _events(spark, sf_dir)
     cities = city_info(spark, sf_dir)
-    return ev.join(cities, F.col("user_id") % 25 == F.col("city_id")).select(
+    return ev.join(cities, F.expr("user_id % 25") == F.col("city_id")).select(
         "event_id",
         C.millis_from_ntz("ts").alias("timestamp"),
         "ts",
         "area",
         F.col("city_name").alias("city"),
-        F.col("user_id").cast("string").alias("userid"),
-        (F.col("k") % 6 + 1).cast("string").alias("adid"),
+        F.expr("CAST(user_id AS STRING)").alias("userid"),
+        F.expr("CAST(k % 6 + 1 AS STRING)").alias("adid"),
     )
 
 
