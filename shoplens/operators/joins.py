@@ -17,10 +17,18 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 100_000
 
 
+_CHECKED: dict = {}
+
+
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.  Reads at most
-    ``max_rows + 1`` rows (the limit stops the scan early)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    ``max_rows + 1`` rows (the limit stops the scan early).  The answer is
+    remembered per plan and input file set, so a changed input is checked
+    again."""
+    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _CHECKED[key]
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

@@ -22,9 +22,25 @@ TABLES = (
 ).split()
 
 
+_SCANS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Catalog-style scan of one base table."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Catalog-style scan of one base table.
+
+    The scan DataFrame (file listing and footer schema) is kept per session
+    and path, like a catalog table's cached listing; inputs are taken as
+    immutable while a job runs.  ``refresh()`` forgets the listings."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _SCANS[key] = spark.read.parquet(path)
+    return df
+
+
+def refresh() -> None:
+    _SCANS.clear()
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> None:
