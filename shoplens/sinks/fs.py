@@ -33,3 +33,8 @@ def delete(spark: SparkSession, path: str) -> bool:
 def touch(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.create(p, True).close()
+
+
+def mkdirs(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
