@@ -31,7 +31,7 @@ def filter_actions(actions: DataFrame, users: DataFrame, cond: Conditions) -> Da
     return a.join(u.select("user_id"), "user_id", "inner").select(*actions.columns)
 
 
-def action_kind(df: DataFrame | None = None) -> Column:
+def action_kind() -> Column:
     """First match wins: click if the click id is set, else order if order
     ids are present, else pay if pay ids are present, else NULL (P6, K1)."""
     return (

@@ -49,14 +49,22 @@ def _rows(cols, rows):
     return sorted(out, key=repr)
 
 
+_DUCK_TYPE = {
+    "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+}
+
+
 def compare(spark, con, sf_dir: str, key: str, query, sql: str) -> dict:
     t0 = time.time()
     sdf = query(spark, sf_dir)
     s_cols = sdf.columns
+    s_types = {c: _DUCK_TYPE.get(t, t) for c, t in sdf.dtypes}
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
     rel = con.sql(sql)
     d_cols = rel.columns
+    d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
     d_rows = rel.fetchall()
     t2 = time.time()
     res = {
@@ -67,10 +75,11 @@ def compare(spark, con, sf_dir: str, key: str, query, sql: str) -> dict:
         "spark_sec": round(t1 - t0, 2),
         "oracle_sec": round(t2 - t1, 2),
     }
+    res["types_match"] = s_types == d_types
     res["values_match"] = res["columns_match"] and _rows(s_cols, s_rows) == _rows(d_cols, d_rows)
-    res["ok"] = res["values_match"] and len(s_rows) == len(d_rows)
+    res["ok"] = res["values_match"] and res["types_match"] and len(s_rows) == len(d_rows)
     if not res["ok"]:
-        res["spark_cols"], res["oracle_cols"] = s_cols, d_cols
+        res["spark_types"], res["oracle_types"] = s_types, d_types
         a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
         res["spark_only"] = [r for r in a if r not in set(b)][:3]
         res["oracle_only"] = [r for r in b if r not in set(a)][:3]
