@@ -8,7 +8,9 @@ queries around one filtered table (T8 fan-out):
      city, ad) in complete mode (the whole state each batch, T2) ->
      ``foreachBatch`` publishes Q6 and, from the same state, Q7's top ads
      per (date, area) (T9: a second streaming aggregation is not allowed, so
-     the roll-up runs on the batch frame).
+     the roll-up runs on the batch frame).  With ``watermark=`` the state of
+     old days is evicted instead (update mode, merged into the previous
+     snapshot; T13).
   3. ``start_window_clicks`` kept clicks -> per (ad, minute) counts with an
      event-time watermark (state for minutes that left the window is
      dropped) in update mode -> ``foreachBatch`` merges the changed minutes
@@ -87,9 +89,28 @@ def read_filtered(spark: SparkSession, filtered_dir: str, max_files_per_trigger:
 
 # --- 2. running counts + top ads ----------------------------------------------------
 
-def publish_area_counts(snapshot_root: str, top_n: int = K.TOP_ADS):
+COUNTS_SCHEMA = "date STRING, area STRING, city STRING, adid STRING, cnt BIGINT"
+
+
+def publish_area_counts(snapshot_root: str, top_n: int = K.TOP_ADS, merge: bool = False):
+    """Publish Q6 and Q7 from the running counts of one micro-batch.
+
+    ``merge=False``: the batch holds the whole state (complete mode).
+    ``merge=True``: it holds only the keys that changed (update mode); they
+    replace their rows in the previous count snapshot, which therefore
+    still lists every key ever counted."""
+    rows_root = f"{snapshot_root}/counts"
+
     def publish(counts: DataFrame, batch_id: int) -> None:
+        spark = counts.sparkSession
+        counts = counts.select("date", "area", "city", "adid", F.col("cnt").cast("bigint").alias("cnt"))
+        if merge:
+            keys = ["date", "area", "city", "adid"]
+            prev = snapshot.read_latest(spark, rows_root, before=batch_id, schema=COUNTS_SCHEMA)
+            counts = prev.join(counts.select(*keys), keys, "left_anti").unionByName(counts)
         counts = counts.persist()
+        if merge:
+            snapshot.write_version(counts, rows_root, batch_id)
         snapshot.write_version(
             A.date_area_city_ad_kv(counts), f"{snapshot_root}/date_area_city_ad", batch_id
         )
@@ -108,12 +129,30 @@ def start_area_counts(
     checkpoint: str | None = None,
     trigger: dict | None = None,
     name: str = "ads_area_counts",
+    watermark: str | None = None,
 ) -> StreamingQuery:
+    """Q6 + Q7.  Default: complete mode, state never evicted (as the
+    reference).  ``watermark`` (e.g. ``"2 days"``): update mode with an
+    event-time watermark on the click's day, so the state of days older than
+    the watermark is dropped (clicks arriving later than that for such a day
+    are then ignored: a documented difference)."""
     spark = filtered.sparkSession
-    counts = A.date_area_city_ad_count(BF.kept_clicks(filtered))
+    kept = BF.kept_clicks(filtered)
+    if watermark:
+        day = F.date_trunc("day", F.timestamp_millis("timestamp"))
+        counts = (
+            kept.withColumn("day", day)
+            .withWatermark("day", watermark)
+            .groupBy("day", "date", "area", "city", "adid")
+            .agg(F.count(F.lit(1)).alias("cnt"))
+        )
+        mode = "update"
+    else:
+        counts = A.date_area_city_ad_count(kept)
+        mode = "complete"
     writer = (
-        counts.writeStream.outputMode("complete")
-        .foreachBatch(publish_area_counts(snapshot_root, top_n))
+        counts.writeStream.outputMode(mode)
+        .foreachBatch(publish_area_counts(snapshot_root, top_n, merge=bool(watermark)))
         .option("checkpointLocation", _ck(spark, name, checkpoint))
         .queryName(name)
     )
