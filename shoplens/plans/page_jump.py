@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.operators.sequence import consecutive_pairs, flow_pairs, transitions
@@ -69,17 +69,24 @@ def page_jump_ratio(
     task_id: str | None = None,
     bucket_unit: str = DEFAULT_BUCKET,
 ) -> DataFrame:
-    """(jump, ratio); a from-page never visited divides by 1."""
+    """(jump, ratio).  Every jump found has at least one visit of its
+    from-page, so the reference's divide-by-1 default (J5) never applies.
+
+    Numerator and denominator come from the one transition-count table:
+    ``sum(c) over (partition by frm)`` is the from-page's visit count (each
+    group holds at most one row per distinct next page)."""
     counts = page_transition_counts(actions, bucket_unit)
-    from_pages = [a for a, _ in flow_pairs(flow)]
-    visits = (
+    targets = [f"{a}-{b}" for a, b in flow_pairs(flow)]
+    from_pages = sorted({a for a, _ in flow_pairs(flow)})
+    out = (
         counts.filter(F.col("frm").cast("string").isin(from_pages))
-        .groupBy(F.col("frm").alias("page_id"))
-        .agg(F.sum("c").alias("n"))
-    )
-    jumps = _jumps(counts, flow)
-    out = jumps.join(visits, jumps.frm == visits.page_id, "left").select(
-        "jump", (F.col("c").cast("double") / F.coalesce(F.col("n"), F.lit(1))).alias("ratio")
+        .withColumn("n", F.sum("c").over(Window.partitionBy("frm")))
+        .filter(F.col("nxt").isNotNull())
+        .select(
+            F.concat_ws("-", "frm", "nxt").alias("jump"),
+            (F.col("c").cast("double") / F.col("n")).alias("ratio"),
+        )
+        .filter(F.col("jump").isin(targets))
     )
     if task_id is not None:
         return out.select(F.lit(task_id).alias("task_id"), "jump", "ratio")
