@@ -8,6 +8,8 @@ Input: a DataFrame of clicks with ``timestamp`` (epoch ms) and/or ``ts``
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -132,16 +134,23 @@ def date_area_top_ads(counts: DataFrame, n: int = K.TOP_ADS, as_object: bool = F
 def _window_minutes(ads: DataFrame, window_minutes: int, end_time=None) -> DataFrame:
     """Clicks whose minute lies in the trailing window ending at the minute
     of ``end_time`` (default: the latest click).  Whole minutes: minute > end
-    minute - window (SURVEY 7.4)."""
+    minute - window (SURVEY 7.4).
+
+    The latest click time is computed first (a max over one column, one
+    value back), so the window becomes a literal range on the click time
+    that the Parquet reader can use to skip row groups outside it."""
     t = click_time(ads)
-    minute = F.date_trunc("minute", t)
     if end_time is None:
-        end_minute = ads.select(F.date_trunc("minute", F.max(t))).scalar()
-    else:
-        end_minute = F.date_trunc("minute", F.lit(end_time).cast("timestamp_ntz"))
-    cutoff = end_minute - F.expr(f"INTERVAL {int(window_minutes)} MINUTES")
-    return ads.select("adid", minute.alias("minute"), C.minute_label(t).alias("hhmm")).filter(
-        F.col("minute") > cutoff
+        end_time = ads.select(F.max(t)).first()[0]
+    if end_time is None:  # no clicks at all
+        return ads.select("adid", F.lit(None).cast("timestamp_ntz").alias("minute"),
+                          F.lit(None).cast("string").alias("hhmm")).limit(0)
+    end = _dt.datetime.fromisoformat(str(end_time)).replace(second=0, microsecond=0, tzinfo=None)
+    first_minute = end - _dt.timedelta(minutes=int(window_minutes) - 1)
+    minute = F.date_trunc("minute", t)
+    rows = ads.filter(t >= F.lit(first_minute).cast("timestamp_ntz")) if "ts" in ads.columns else ads
+    return rows.select("adid", minute.alias("minute"), C.minute_label(t).alias("hhmm")).filter(
+        F.col("minute") >= F.lit(first_minute).cast("timestamp_ntz")
     )
 
 
