@@ -24,11 +24,35 @@ BASE_CONF = {
 }
 
 
+# Settings for a large cluster (100 TB inputs); merged in with cluster=True.
+#  * many initial shuffle partitions, coalesced by AQE to ~128 MB each, so
+#    no reducer holds more than it can sort in memory;
+#  * 256 MB scan splits;
+#  * skew splitting from 256 MB / 5x the median partition;
+#  * a 64 MB broadcast ceiling (Spark's size check; AQE also converts joins
+#    whose runtime side is small);
+#  * RocksDB state store with changelog checkpoints for the streaming state
+#    (ban state per user, running counts): off-heap, incremental.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "shoplens",
     shuffle_partitions: int | None = None,
     extra: dict | None = None,
+    cluster: bool = False,
 ) -> SparkSession:
     """Build (or reuse) a session with the settings above.
 
@@ -43,6 +67,8 @@ def get_session(
     ):
         builder = builder.master(f"local[{os.environ.get('BENCH_CPUS', '*')}]")
     conf = dict(BASE_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
