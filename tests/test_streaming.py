@@ -185,3 +185,19 @@ def test_batch_end_offsets(spark):
     df = spark.createDataFrame([("t", 0, 5), ("t", 0, 9), ("t", 1, 3)], "topic string, partition int, offset long")
     got = {(r.topic, r.partition): r.until_offset for r in sources.batch_end_offsets(df).collect()}
     assert got == {("t", 0): 10, ("t", 1): 4}
+
+
+def test_offsets_published_with_results(spark, scratch):
+    from shoplens.streaming import offsets
+
+    root = f"{scratch}/offsets"
+    assert offsets.starting_offsets(spark, root) == "earliest"
+    publish = offsets.publish_with_offsets(root, lambda b: A.running_word_count(b))
+    b0 = spark.createDataFrame([("a b", "t", 0, 10), ("a", "t", 1, 3)], "value string, topic string, partition int, offset long")
+    b1 = spark.createDataFrame([("b", "t", 0, 11)], "value string, topic string, partition int, offset long")
+    publish(b0, 0)
+    publish(b1, 1)
+    publish(b1, 1)  # a replayed batch rewrites the same version
+    assert offsets.starting_offsets(spark, root) == '{"t": {"0": 12, "1": 4}}'
+    got = {r.word: r.n for r in snapshot.read_latest(spark, f"{root}/results").collect()}
+    assert got == {"b": 1}
