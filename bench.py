@@ -6,7 +6,7 @@ Runs each job on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with
 
 Each job is executed to completion into Spark's ``noop`` sink (all rows
 computed, none collected); one warm-up run, then the median of
-``$BENCH_RUNS`` (default 3) timed runs.
+``$BENCH_RUNS`` (default 5) timed runs.
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = get_session(
         master=f"local[{cpus}]",
         app_name="shoplens-bench",
