@@ -74,6 +74,13 @@ def millis_from_ntz(ts) -> Column:
     )
 
 
+def ntz_literal(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a ``datetime`` or ISO text, zone-free
+    (a Python datetime literal would go through the session zone)."""
+    text = value.isoformat(sep=" ") if hasattr(value, "isoformat") else str(value)
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def local_time(ts_ntz, tz: str = "UTC") -> Column:
     """Shift a UTC wall-clock NTZ value to the wall clock of ``tz``."""
     c = _c(ts_ntz)

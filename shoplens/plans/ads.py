@@ -148,9 +148,9 @@ def _window_minutes(ads: DataFrame, window_minutes: int, end_time=None) -> DataF
     end = _dt.datetime.fromisoformat(str(end_time)).replace(second=0, microsecond=0, tzinfo=None)
     first_minute = end - _dt.timedelta(minutes=int(window_minutes) - 1)
     minute = F.date_trunc("minute", t)
-    rows = ads.filter(t >= F.lit(first_minute).cast("timestamp_ntz")) if "ts" in ads.columns else ads
+    rows = ads.filter(t >= C.ntz_literal(first_minute)) if "ts" in ads.columns else ads
     return rows.select("adid", minute.alias("minute"), C.minute_label(t).alias("hhmm")).filter(
-        F.col("minute") >= F.lit(first_minute).cast("timestamp_ntz")
+        F.col("minute") >= C.ntz_literal(first_minute)
     )
 
 

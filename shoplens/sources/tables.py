@@ -93,10 +93,10 @@ def _events(spark: SparkSession, sf_dir: str, start_date=None, end_date=None) ->
     # Date-range pushdown: the string filter on `date` cannot reach the parquet
     # reader, an equivalent half-open range on the raw `ts` column can.
     if start_date:
-        ev = ev.filter(F.col("ts") >= F.lit(_dt.datetime.fromisoformat(start_date)).cast("timestamp_ntz"))
+        ev = ev.filter(F.col("ts") >= C.ntz_literal(_dt.datetime.fromisoformat(start_date)))
     if end_date:
         end = _dt.datetime.fromisoformat(end_date) + _dt.timedelta(days=1)
-        ev = ev.filter(F.col("ts") < F.lit(end).cast("timestamp_ntz"))
+        ev = ev.filter(F.col("ts") < C.ntz_literal(end))
     return ev.selectExpr(
         "event_id", "ts", "user_id", "event_type", "CAST(get_json_object(props, '$.k') AS BIGINT) AS k"
     )

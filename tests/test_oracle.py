@@ -42,3 +42,20 @@ def test_results_do_not_depend_on_partitioning(spark):
             assert sorted(map(tuple, q[k](spark, SF).collect())) == first[k], k
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_results_do_not_depend_on_session_settings(spark, con):
+    """The driver's session may use another time zone or no AQE."""
+    keys = ["range_filter_actions", "category_top10", "last_window_ad_clicks", "ads_line_parse",
+            "daily_user_ad_count", "session_page_pairs"]
+    old_tz = spark.conf.get("spark.sql.session.timeZone")
+    old_aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for k in keys:
+            r = compare(spark, con, SF, k, E.queries()[k], E.oracle_sql()[k])
+            assert r["ok"], r
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old_tz)
+        spark.conf.set("spark.sql.adaptive.enabled", old_aqe)
