@@ -88,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "category_top10": lambda s, d: Q12.category_top10(_filtered(s, d)),
     "category_session_count": lambda s, d: Q12.category_session_counts(_filtered(s, d)),
     "category_session_top10": lambda s, d: Q12.category_session_top10(_filtered(s, d)),
+    "category_session_kind_counts": lambda s, d: Q12.category_session_kind_counts(_filtered(s, d)),
     # Q3
     "page_visit_count": lambda s, d: Q3.page_visit_count(_uva(s, d), FLOW[:-1]),
     "session_page_pairs": lambda s, d: Q3.session_page_pairs(_uva(s, d))
@@ -95,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     .agg(F.count(F.lit(1)).alias("c")),
     "page_jump_count": lambda s, d: Q3.page_jump_count(_uva(s, d), FLOW).select("jump", "c"),
     "page_jump_ratio": lambda s, d: Q3.page_jump_ratio(_uva(s, d), FLOW),
+    "page_transition_counts": lambda s, d: Q3.page_transition_counts(_uva(s, d)),
     # Q4
     "area_product_count": lambda s, d: Q4.area_product_count(*_q4_inputs(s, d)),
     "city_share": lambda s, d: Q4.area_product_share(*_q4_inputs(s, d)),
@@ -117,6 +119,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "running_word_count": lambda s, d: A.running_word_count(T.ads_lines(_ads(s, d))),
     "ad_count_kv": lambda s, d: A.date_area_city_ad_kv(A.date_area_city_ad_count(_ads(s, d))),
     "top_ads_kv": lambda s, d: A.top_ads_kv(A.date_area_top_ads(A.date_area_city_ad_count(_ads(s, d)))),
+    "date_user_ad_kv": lambda s, d: A.date_user_ad_kv(A.daily_user_ad_count(_ads(s, d))),
+    "blacklist_kv": lambda s, d: A.blacklist_kv(A.ban_list(_ads(s, d), TEST_BAN_THRESHOLD)),
 }
 
 
@@ -164,6 +168,12 @@ cc AS (
          count(*) FILTER (WHERE t = 'o') AS order_count, count(*) FILTER (WHERE t = 'p') AS pay_count
   FROM u GROUP BY c),
 top AS (SELECT * FROM cc ORDER BY pay_count DESC, order_count DESC, click_count DESC, category_id LIMIT 10),
+us AS (
+  SELECT CAST(click_category_id AS VARCHAR) c, session_id, 'c' t FROM f WHERE click_category_id <> -1
+  UNION ALL SELECT unnest(string_split(order_category_ids, ',')), session_id, 'o' FROM f
+    WHERE click_category_id = -1 AND order_category_ids IS NOT NULL
+  UNION ALL SELECT unnest(string_split(pay_category_ids, ',')), session_id, 'p' FROM f
+    WHERE click_category_id = -1 AND order_category_ids IS NULL AND pay_category_ids IS NOT NULL),
 csc AS (
   SELECT CAST(click_category_id AS VARCHAR) AS category_id, session_id, count(*) AS click_count FROM f
   WHERE CAST(click_category_id AS VARCHAR) IN (SELECT category_id FROM top) GROUP BY 1, 2),
@@ -230,6 +240,10 @@ _FINAL = {
     "page_visit_count": "SELECT * FROM visits",
     "session_page_pairs": "SELECT frm, nxt, count(*) AS c FROM pairs WHERE nxt IS NOT NULL GROUP BY 1, 2",
     "page_jump_count": "SELECT jump, c FROM jumps",
+    "page_transition_counts": "SELECT frm, nxt, count(*) AS c FROM pairs GROUP BY 1, 2",
+    "category_session_kind_counts": """SELECT c AS category_id, session_id,
+  count(*) FILTER (WHERE t = 'c') AS click_count, count(*) FILTER (WHERE t = 'o') AS order_count,
+  count(*) FILTER (WHERE t = 'p') AS pay_count FROM us GROUP BY 1, 2""",
     "page_jump_ratio": """SELECT jump, CAST(j.c AS DOUBLE) / coalesce(d.n, 1) AS ratio
   FROM jumps j LEFT JOIN visits d ON d.page_id = j.frm""",
     "area_product_count": "SELECT area, product_name, count(*) AS product_count FROM apc GROUP BY 1, 2",
@@ -256,6 +270,9 @@ _FINAL = {
     "ad_count_kv": """SELECT concat('date_area_city_ad_', date) AS key, concat_ws(':', area, city, adid) AS field,
   CAST(cnt AS VARCHAR) AS value FROM dac""",
     "top_ads_kv": "SELECT concat('top3_ads_per_day:', date) AS key, area AS field, top3 AS value FROM top3",
+    "date_user_ad_kv": """SELECT concat('date_user_ad_', date) AS key, concat_ws(':', userid, adid) AS field,
+  CAST(cnt AS VARCHAR) AS value FROM run""",
+    "blacklist_kv": "SELECT 'BlackList' AS key, userid AS field, userid AS value FROM ban",
 }
 
 
