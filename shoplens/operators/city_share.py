@@ -11,7 +11,9 @@ Plan shape (no group is ever materialised whole):
   3. top-2 cities per group from (1)              row_number <= 2 ->
                                                   partial WindowGroupLimit;
                                                   (2) and (3) share (1)'s shuffle
-  4. join (2) x (3) on the group keys             co-partitioned, no shuffle
+  4. join (2) x (3) on the group keys             null-safe, so (1) stays
+                                                  shared; it shuffles one row
+                                                  per group, not per click
 A NULL city counts toward the total but is never named.
 """
 
