@@ -23,7 +23,7 @@ DEFAULT_BUCKET = "hour"
 
 def session_page_pairs(actions: DataFrame, bucket_unit: str = DEFAULT_BUCKET) -> DataFrame:
     """(session_id, frm, nxt) for adjacent actions of each session."""
-    bucket = F.date_trunc(bucket_unit, F.to_timestamp("action_time"))
+    bucket = F.date_trunc(bucket_unit, F.to_timestamp_ntz(F.col("action_time")))
     return consecutive_pairs(
         actions, "session_id", ["action_time", "event_id"], "page_id", bucket
     )
@@ -44,7 +44,7 @@ def page_transition_counts(actions: DataFrame, bucket_unit: str = DEFAULT_BUCKET
     in a session; ``nxt`` NULL counts session-last visits.  A pages x pages
     table, whatever the number of actions; the jump numerators and the visit
     denominators both come from it, so the actions are scanned once."""
-    bucket = F.date_trunc(bucket_unit, F.to_timestamp("action_time"))
+    bucket = F.date_trunc(bucket_unit, F.to_timestamp_ntz(F.col("action_time")))
     t = transitions(actions, "session_id", ["action_time", "event_id"], "page_id", bucket)
     return t.groupBy("frm", "nxt").agg(F.count(F.lit(1)).alias("c"))
 
