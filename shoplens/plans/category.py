@@ -20,8 +20,11 @@ __all__ = [
     "filter_actions",
     "category_counts",
     "category_top10",
+    "category_session_kind_counts",
+    "top_categories_from",
     "category_session_counts",
     "category_session_top10",
+    "run_category_jobs",
 ]
 
 
