@@ -4,6 +4,7 @@ continues after the last committed batch, state included)."""
 
 from __future__ import annotations
 
+import signal
 import time
 
 from pyspark.sql import SparkSession
@@ -39,3 +40,19 @@ def run_until_marker(
             return "marker"
         if timeout is not None and time.time() - start > timeout:
             return "timeout"
+
+
+def stop_on_signal(queries, signals=(signal.SIGTERM, signal.SIGINT)):
+    """Stop the given queries gracefully when the driver gets one of
+    ``signals`` (the counterpart of stopping gracefully on shutdown).
+    Returns the handler, which can also be called directly.  Install from
+    the driver's main thread."""
+
+    def handler(signum=None, frame=None):
+        for q in list(queries):
+            if q.isActive:
+                stop_gracefully(q)
+
+    for s in signals:
+        signal.signal(s, handler)
+    return handler

@@ -201,3 +201,26 @@ def test_offsets_published_with_results(spark, scratch):
     assert offsets.starting_offsets(spark, root) == '{"t": {"0": 12, "1": 4}}'
     got = {r.word: r.n for r in snapshot.read_latest(spark, f"{root}/results").collect()}
     assert got == {"b": 1}
+
+
+def test_stop_on_signal(spark, scratch):
+    import signal as _signal
+
+    root = f"{scratch}/sig"
+    os.makedirs(f"{root}/in")
+    with open(f"{root}/in/a.txt", "w") as f:
+        f.write("x y\n")
+    lines = sources.text_file_stream(spark, f"{root}/in")
+    q = word_count.start_word_count(lines, f"{root}/snap", checkpoint=f"{root}/ck",
+                                    trigger={"processingTime": "200 milliseconds"})
+    old = {s: _signal.getsignal(s) for s in (_signal.SIGTERM, _signal.SIGINT)}
+    try:
+        handler = control.stop_on_signal([q])
+        q.processAllAvailable()
+        handler(_signal.SIGTERM, None)
+        assert not q.isActive
+    finally:
+        for s, h in old.items():
+            _signal.signal(s, h)
+    got = {r.word: r.n for r in snapshot.read_latest(spark, f"{root}/snap").collect()}
+    assert got == {"x": 1, "y": 1}
