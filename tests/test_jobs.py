@@ -131,3 +131,40 @@ def test_schema_enforcement(spark):
     df = df.withColumn("professional", F.lit("p"))
     out = schemas.enforce(df, schemas.USER_INFO)
     assert out.dtypes[:4] == [("user_id", "bigint"), ("username", "string"), ("name", "string"), ("age", "int")]
+
+
+def test_window_labels_merge_days(spark):
+    # A window longer than a day merges equal HH:mm labels of different days
+    day = 86_400_000
+    t = 1704067200000 + 12 * 3_600_000  # 2024-01-01 12:00 UTC
+    rows = [(t, "A", "c", "u", "1"), (t + day, "A", "c", "u", "1"), (t + day + 60_000, "A", "c", "u", "1")]
+    ads = spark.createDataFrame(rows, schemas.ADS_LOG)
+    got = {(r.adid, r.hhmm): r.cnt for r in A.last_window_ad_clicks(ads, window_minutes=2 * 24 * 60).collect()}
+    assert got == {("1", "12:00"): 2, ("1", "12:01"): 1}
+    got = {(r.adid, r.hhmm): r.cnt for r in A.last_window_ad_clicks(ads, window_minutes=60).collect()}
+    assert got == {("1", "12:00"): 1, ("1", "12:01"): 1}
+    j = A.last_window_ad_clicks_json(ads, window_minutes=60).first()
+    assert (j.adid, j.minutes) == ("1", '[{"12:00":1},{"12:01":1}]')
+
+
+def test_top_category_without_clicks_has_no_sessions(spark):
+    # K2: category 9 is top by orders but never clicked
+    rows = [_action(0, "s1", 1, "t", orders="9"), _action(1, "s1", 1, "t", click=3)]
+    acts = spark.createDataFrame(rows, UVA_DDL)
+    assert {r.category_id for r in Q12.category_top10(acts).collect()} == {"9", "3"}
+    assert {(r.category_id, r.session_id) for r in Q12.category_session_top10(acts).collect()} == {("3", "s1")}
+
+
+def test_strict_parse_fails_on_malformed_lines(spark):
+    # A short line or a bad timestamp fails the job in strict mode
+    import pytest
+
+    bad = spark.createDataFrame([("notanumber A c u 1",)], "value string")
+    with pytest.raises(Exception):
+        A.parse_ads_lines(bad).collect()
+
+
+def test_top_ads_as_object(spark):
+    counts = spark.createDataFrame([("d", "A", "c", "2", 1200), ("d", "A", "c", "9", 1100)],
+                                   "date string, area string, city string, adid string, cnt long")
+    assert A.date_area_top_ads(counts, as_object=True).first().top3 == '{"2":1200,"9":1100}'
