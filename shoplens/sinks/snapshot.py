@@ -55,3 +55,32 @@ def read_latest(spark: SparkSession, root: str, before: int | None = None, schem
         return spark.createDataFrame([], schema) if schema is not None else None
     return spark.read.parquet(_version_dir(root, v))
 
+
+
+# --- keyed partitions: one versioned snapshot per key value -----------------
+# ``<root>/<col>=<value>/v=<n>``: a job that only touches some keys (say
+# today's date) rewrites only those keys' snapshots.
+
+
+def partition_path(root: str, col: str, value) -> str:
+    return f"{root.rstrip('/')}/{col}={value}"
+
+
+def latest_partition_paths(spark: SparkSession, root: str, col: str) -> list[str]:
+    """Path of the newest committed version of every ``col=value`` snapshot."""
+    out = []
+    for name in sorted(fs.list_dirs(spark, root)):
+        if name.startswith(f"{col}="):
+            v = latest_version(spark, f"{root.rstrip('/')}/{name}")
+            if v is not None:
+                out.append(_version_dir(f"{root.rstrip('/')}/{name}", v))
+    return out
+
+
+def read_partitions(spark: SparkSession, root: str, col: str, schema=None) -> DataFrame | None:
+    """All keys' newest snapshots as one DataFrame (one read job)."""
+    paths = latest_partition_paths(spark, root, col)
+    if not paths:
+        return spark.createDataFrame([], schema) if schema is not None else None
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(*paths)

@@ -5,12 +5,11 @@ queries around one filtered table (T8 fan-out):
      file sink (exactly-once through the sink's commit log).  Holds the kept
      clicks and the ban events.
   2. ``start_area_counts`` kept clicks -> running count per (date, area,
-     city, ad) in complete mode (the whole state each batch, T2) ->
-     ``foreachBatch`` publishes Q6 and, from the same state, Q7's top ads
-     per (date, area) (T9: a second streaming aggregation is not allowed, so
-     the roll-up runs on the batch frame).  With ``watermark=`` the state of
-     old days is evicted instead (update mode, merged into the previous
-     snapshot; T13).
+     city, ad) (T2), update mode -> ``foreachBatch`` merges the changed keys
+     into each touched date's snapshot and publishes Q6 and, from the same
+     counts, Q7's top ads per (date, area) (T9: a second streaming
+     aggregation is not allowed, so the roll-up runs on the batch frame).
+     With ``watermark=`` the state of old days is evicted (T13).
   3. ``start_window_clicks`` kept clicks -> per (ad, minute) counts with an
      event-time watermark (state for minutes that left the window is
      dropped) in update mode -> ``foreachBatch`` merges the changed minutes
@@ -90,34 +89,44 @@ def read_filtered(spark: SparkSession, filtered_dir: str, max_files_per_trigger:
 # --- 2. running counts + top ads ----------------------------------------------------
 
 COUNTS_SCHEMA = "date STRING, area STRING, city STRING, adid STRING, cnt BIGINT"
+KV_SCHEMA = "key STRING, field STRING, value STRING"
 
 
-def publish_area_counts(snapshot_root: str, top_n: int = K.TOP_ADS, merge: bool = False):
-    """Publish Q6 and Q7 from the running counts of one micro-batch.
-
-    ``merge=False``: the batch holds the whole state (complete mode).
-    ``merge=True``: it holds only the keys that changed (update mode); they
-    replace their rows in the previous count snapshot, which therefore
-    still lists every key ever counted."""
-    rows_root = f"{snapshot_root}/counts"
-
-    def publish(counts: DataFrame, batch_id: int) -> None:
-        spark = counts.sparkSession
-        counts = counts.select("date", "area", "city", "adid", F.col("cnt").cast("bigint").alias("cnt"))
-        if merge:
-            keys = ["date", "area", "city", "adid"]
-            prev = snapshot.read_latest(spark, rows_root, before=batch_id, schema=COUNTS_SCHEMA)
-            counts = prev.join(counts.select(*keys), keys, "left_anti").unionByName(counts)
-        counts = counts.persist()
-        if merge:
-            snapshot.write_version(counts, rows_root, batch_id)
-        snapshot.write_version(
-            A.date_area_city_ad_kv(counts), f"{snapshot_root}/date_area_city_ad", batch_id
-        )
-        snapshot.write_version(
-            A.top_ads_kv(A.date_area_top_ads(counts, top_n)), f"{snapshot_root}/top3_ads_per_day", batch_id
-        )
-        counts.unpersist()
+def publish_area_counts(snapshot_root: str, top_n: int = K.TOP_ADS):
+    """Publish Q6 and Q7 per date from the keys a micro-batch changed.
+
+    The batch holds the new running count of every (date, area, city, ad)
+    it touched (update mode).  For each date touched -- normally just today,
+    a few with late clicks -- the changed keys replace their rows in that
+    date's previous count snapshot, and the date's Q6 key/value rows and Q7
+    top ads are derived from the result.  The cost per batch is the keys of
+    the dates touched, not every key ever counted; the layout mirrors the
+    reference's one hash per date (``date_area_city_ad_<date>``)."""
+    keys = ["date", "area", "city", "adid"]
+
+    def publish(changed: DataFrame, batch_id: int) -> None:
+        spark = changed.sparkSession
+        changed = changed.select(*keys, F.col("cnt").cast("bigint").alias("cnt")).persist()
+        # the dates this micro-batch touched: a handful of values
+        dates = sorted(r.date for r in changed.select("date").distinct().collect())
+        for d in dates:
+            counts_root = snapshot.partition_path(f"{snapshot_root}/counts", "date", d)
+            prev = snapshot.read_latest(spark, counts_root, before=batch_id, schema=COUNTS_SCHEMA)
+            mine = changed.filter(F.col("date") == d)
+            merged = prev.join(mine.select(*keys), keys, "left_anti").unionByName(mine).persist()
+            snapshot.write_version(merged, counts_root, batch_id)
+            snapshot.write_version(
+                A.date_area_city_ad_kv(merged),
+                snapshot.partition_path(f"{snapshot_root}/date_area_city_ad", "date", d),
+                batch_id,
+            )
+            snapshot.write_version(
+                A.top_ads_kv(A.date_area_top_ads(merged, top_n)),
+                snapshot.partition_path(f"{snapshot_root}/top3_ads_per_day", "date", d),
+                batch_id,
+            )
+            merged.unpersist()
+        changed.unpersist()
 
     return publish
 
@@ -131,11 +140,13 @@ def start_area_counts(
     name: str = "ads_area_counts",
     watermark: str | None = None,
 ) -> StreamingQuery:
-    """Q6 + Q7.  Default: complete mode, state never evicted (as the
-    reference).  ``watermark`` (e.g. ``"2 days"``): update mode with an
+    """Q6 + Q7: running counts in update mode, published per date.
+
+    Default: state is never evicted (as the reference; late clicks count
+    under their own date).  ``watermark`` (e.g. ``"2 days"``) adds an
     event-time watermark on the click's day, so the state of days older than
     the watermark is dropped (clicks arriving later than that for such a day
-    are then ignored: a documented difference)."""
+    are then ignored: a documented difference); published snapshots stay."""
     spark = filtered.sparkSession
     kept = BF.kept_clicks(filtered)
     if watermark:
@@ -146,19 +157,25 @@ def start_area_counts(
             .groupBy("day", "date", "area", "city", "adid")
             .agg(F.count(F.lit(1)).alias("cnt"))
         )
-        mode = "update"
     else:
         counts = A.date_area_city_ad_count(kept)
-        mode = "complete"
     writer = (
-        counts.writeStream.outputMode(mode)
-        .foreachBatch(publish_area_counts(snapshot_root, top_n, merge=bool(watermark)))
+        counts.writeStream.outputMode("update")
+        .foreachBatch(publish_area_counts(snapshot_root, top_n))
         .option("checkpointLocation", _ck(spark, name, checkpoint))
         .queryName(name)
     )
     return _trigger(writer, trigger).start()
 
 
+def read_area_counts(spark: SparkSession, snapshot_root: str):
+    """Latest published Q6 key/value rows and Q7 top ads, all dates."""
+    return (
+        snapshot.read_partitions(spark, f"{snapshot_root}/date_area_city_ad", "date", KV_SCHEMA),
+        snapshot.read_partitions(spark, f"{snapshot_root}/top3_ads_per_day", "date", KV_SCHEMA),
+    )
+
+
 # --- 3. trailing window of per-minute counts -------------------------------------------
 
 def minute_counts(kept: DataFrame, window_minutes: int) -> DataFrame:

@@ -4,7 +4,6 @@ import os
 
 from shoplens import apps, params
 from shoplens.plans import area_product as Q4
-from shoplens.sinks import snapshot
 from shoplens.sources import tables as T
 from shoplens.streaming import ads_app, sources
 
@@ -44,7 +43,7 @@ def test_realtime_app(spark, scratch):
                                     trigger={"availableNow": True}, name="ads_window_clicks"),
     ):
         q.awaitTermination()
-    counts = snapshot.read_latest(spark, f"{root}/snapshots/date_area_city_ad")
+    counts, top = ads_app.read_area_counts(spark, f"{root}/snapshots")
     assert sum(int(r.value) for r in counts.collect()) == 12
-    top = snapshot.read_latest(spark, f"{root}/snapshots/top3_ads_per_day").first()
+    top = top.first()
     assert top.key == "top3_ads_per_day:2024-01-01" and top.value == '[{"0":4},{"1":4},{"2":4}]'
