@@ -38,3 +38,8 @@ def touch(spark: SparkSession, path: str) -> None:
 def mkdirs(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.mkdirs(p)
+
+
+def rename(spark: SparkSession, src: str, dst: str) -> bool:
+    fs, p = _fs(spark, src)
+    return bool(fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)))

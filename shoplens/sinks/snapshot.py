@@ -11,6 +11,7 @@ with the same content, so replays are idempotent.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shoplens.sinks import fs
 
@@ -47,6 +48,12 @@ def latest_version(spark: SparkSession, root: str, before: int | None = None) ->
     return vs[-1] if vs else None
 
 
+def latest_path(spark: SparkSession, root: str, before: int | None = None) -> str | None:
+    """Folder of the newest committed version (older than ``before``)."""
+    v = latest_version(spark, root, before)
+    return None if v is None else _version_dir(root, v)
+
+
 def read_latest(spark: SparkSession, root: str, before: int | None = None, schema=None) -> DataFrame | None:
     """The newest committed version (strictly older than ``before`` if
     given); ``None`` (or an empty frame when ``schema`` is given) if none."""
@@ -84,3 +91,42 @@ def read_partitions(spark: SparkSession, root: str, col: str, schema=None) -> Da
         return spark.createDataFrame([], schema) if schema is not None else None
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(*paths)
+
+
+def write_partition_versions(
+    df: DataFrame, root: str, col: str, version: int, keep: int = 3, keep_column: bool = True
+) -> list[str]:
+    """Publish ``df`` as version ``version`` of every ``col=value`` snapshot
+    it has rows for, in ONE write job whatever the number of values.
+
+    The job writes ``partitionBy(col)`` into a staging folder; each value's
+    folder is then moved (a metadata rename) to ``<root>/<col>=<value>/v=<n>``
+    and marked committed.  Values without rows keep their older versions.
+    ``keep_column`` keeps ``col`` inside the data files too."""
+    spark = df.sparkSession
+    root = root.rstrip("/")
+    staging = f"{root}/_staging/{_PREFIX}{int(version):012d}"
+    if keep_column:
+        df.withColumn("__part", F.col(col)).write.mode("overwrite").partitionBy("__part").parquet(staging)
+        prefix = "__part="
+    else:
+        df.write.mode("overwrite").partitionBy(col).parquet(staging)
+        prefix = f"{col}="
+    published = []
+    for name in fs.list_dirs(spark, staging):  # one folder per value written
+        if not name.startswith(prefix):
+            continue
+        key_dir = f"{root}/{col}={name[len(prefix):]}"
+        target = _version_dir(key_dir, version)
+        if fs.exists(spark, target):  # a replayed batch: replace its version
+            fs.delete(spark, target)
+        fs.mkdirs(spark, key_dir)
+        fs.rename(spark, f"{staging}/{name}", target)
+        fs.touch(spark, f"{target}/_SUCCESS")
+        if keep:
+            for old in versions(spark, key_dir)[:-keep]:
+                if old != version:
+                    fs.delete(spark, _version_dir(key_dir, old))
+        published.append(target)
+    fs.delete(spark, staging)
+    return published

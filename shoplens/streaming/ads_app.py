@@ -100,32 +100,41 @@ def publish_area_counts(snapshot_root: str, top_n: int = K.TOP_ADS):
     a few with late clicks -- the changed keys replace their rows in that
     date's previous count snapshot, and the date's Q6 key/value rows and Q7
     top ads are derived from the result.  The cost per batch is the keys of
-    the dates touched, not every key ever counted; the layout mirrors the
-    reference's one hash per date (``date_area_city_ad_<date>``)."""
+    the dates touched, not every key ever counted, and the number of Spark
+    jobs is the same however many dates a batch touches (one partitioned
+    write per output); the layout mirrors the reference's one hash per date
+    (``date_area_city_ad_<date>``)."""
     keys = ["date", "area", "city", "adid"]
 
     def publish(changed: DataFrame, batch_id: int) -> None:
         spark = changed.sparkSession
         changed = changed.select(*keys, F.col("cnt").cast("bigint").alias("cnt")).persist()
-        # the dates this micro-batch touched: a handful of values
-        dates = sorted(r.date for r in changed.select("date").distinct().collect())
-        for d in dates:
-            counts_root = snapshot.partition_path(f"{snapshot_root}/counts", "date", d)
-            prev = snapshot.read_latest(spark, counts_root, before=batch_id, schema=COUNTS_SCHEMA)
-            mine = changed.filter(F.col("date") == d)
-            merged = prev.join(mine.select(*keys), keys, "left_anti").unionByName(mine).persist()
-            snapshot.write_version(merged, counts_root, batch_id)
-            snapshot.write_version(
-                A.date_area_city_ad_kv(merged),
-                snapshot.partition_path(f"{snapshot_root}/date_area_city_ad", "date", d),
-                batch_id,
-            )
-            snapshot.write_version(
-                A.top_ads_kv(A.date_area_top_ads(merged, top_n)),
-                snapshot.partition_path(f"{snapshot_root}/top3_ads_per_day", "date", d),
-                batch_id,
-            )
-            merged.unpersist()
+        counts_root = f"{snapshot_root}/counts"
+        # previous snapshots of the dates this micro-batch touched (a handful
+        # of values; their data is read by one job)
+        dates = [r.date for r in changed.select("date").distinct().collect()]
+        paths = [
+            p
+            for d in dates
+            if (p := snapshot.latest_path(spark, snapshot.partition_path(counts_root, "date", d), before=batch_id))
+        ]
+        prev = (
+            spark.read.schema(COUNTS_SCHEMA).parquet(*paths)
+            if paths else spark.createDataFrame([], COUNTS_SCHEMA)
+        )
+        merged = prev.join(changed.select(*keys), keys, "left_anti").unionByName(changed).persist()
+        snapshot.write_partition_versions(merged, counts_root, "date", batch_id)
+        snapshot.write_partition_versions(
+            A.date_area_city_ad_kv(merged).withColumn("date", F.substring_index("key", "_", -1)),
+            f"{snapshot_root}/date_area_city_ad", "date", batch_id, keep_column=False,
+        )
+        snapshot.write_partition_versions(
+            A.top_ads_kv(A.date_area_top_ads(merged, top_n)).withColumn(
+                "date", F.substring_index("key", ":", -1)
+            ),
+            f"{snapshot_root}/top3_ads_per_day", "date", batch_id, keep_column=False,
+        )
+        merged.unpersist()
         changed.unpersist()
 
     return publish
