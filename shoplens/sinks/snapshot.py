@@ -106,11 +106,14 @@ def write_partition_versions(
     spark = df.sparkSession
     root = root.rstrip("/")
     staging = f"{root}/_staging/{_PREFIX}{int(version):012d}"
+    # rebalance by the key: AQE packs small keys into one file and splits a
+    # large key over several tasks, instead of one file per (task, key)
     if keep_column:
-        df.withColumn("__part", F.col(col)).write.mode("overwrite").partitionBy("__part").parquet(staging)
+        out = df.withColumn("__part", F.col(col)).hint("rebalance", "__part")
+        out.write.mode("overwrite").partitionBy("__part").parquet(staging)
         prefix = "__part="
     else:
-        df.write.mode("overwrite").partitionBy(col).parquet(staging)
+        df.hint("rebalance", col).write.mode("overwrite").partitionBy(col).parquet(staging)
         prefix = f"{col}="
     published = []
     for name in fs.list_dirs(spark, staging):  # one folder per value written
@@ -118,15 +121,14 @@ def write_partition_versions(
             continue
         key_dir = f"{root}/{col}={name[len(prefix):]}"
         target = _version_dir(key_dir, version)
-        if fs.exists(spark, target):  # a replayed batch: replace its version
-            fs.delete(spark, target)
+        fs.delete(spark, target)  # a replayed batch replaces its own version
         fs.mkdirs(spark, key_dir)
         fs.rename(spark, f"{staging}/{name}", target)
         fs.touch(spark, f"{target}/_SUCCESS")
         if keep:
-            for old in versions(spark, key_dir)[:-keep]:
-                if old != version:
-                    fs.delete(spark, _version_dir(key_dir, old))
+            names = sorted(n for n in fs.list_dirs(spark, key_dir) if n.startswith(_PREFIX))
+            for old in names[:-keep]:
+                fs.delete(spark, f"{key_dir}/{old}")
         published.append(target)
     fs.delete(spark, staging)
     return published
