@@ -3,6 +3,7 @@ pipeline (Q5-Q8), wired from the library's jobs, sources and sinks."""
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable
 
@@ -12,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shoplens import params
 from shoplens.functions import constants as K
 from shoplens.plans import area_product, category, page_jump
+from shoplens.session import checkpoint_root
 from shoplens.sinks import catalog, fs, jdbc
 from shoplens.sources import tables
 from shoplens.streaming import ads_app
@@ -62,6 +64,37 @@ def run_offline(
     return task_id
 
 
+def pipeline_checkpoints(spark: SparkSession, root: str) -> str:
+    """Checkpoint folder of the pipeline writing to ``root``: under the
+    session's ``spark.checkpoint.dir``, one per pipeline, so two pipelines
+    never resume each other's state."""
+    digest = hashlib.sha1(root.rstrip("/").encode()).hexdigest()[:12]
+    return f"{checkpoint_root(spark)}/realtime-{digest}"
+
+
+def start_realtime_publishers(
+    spark: SparkSession,
+    root: str,
+    window_minutes: int = K.AD_WINDOW_MINUTES,
+    top_n: int = K.TOP_ADS,
+    trigger: dict | None = None,
+) -> list[StreamingQuery]:
+    """The two queries that read the ban filter's output table: running
+    counts + top ads (Q6, Q7) and the trailing window (Q8)."""
+    filtered_dir = f"{root}/filtered"
+    fs.mkdirs(spark, filtered_dir)
+    ck = pipeline_checkpoints(spark, root)
+    q_counts = ads_app.start_area_counts(
+        ads_app.read_filtered(spark, filtered_dir), f"{root}/snapshots", top_n,
+        checkpoint=f"{ck}/area_counts", trigger=trigger,
+    )
+    q_window = ads_app.start_window_clicks(
+        ads_app.read_filtered(spark, filtered_dir), f"{root}/snapshots", window_minutes,
+        checkpoint=f"{ck}/window_clicks", trigger=trigger,
+    )
+    return [q_counts, q_window]
+
+
 def start_realtime(
     lines: DataFrame,
     root: str,
@@ -78,11 +111,7 @@ def start_realtime(
     spark = lines.sparkSession
     filtered_dir = f"{root}/filtered"
     fs.mkdirs(spark, filtered_dir)
-    q_ban = ads_app.start_ban_filter(lines, filtered_dir, threshold, trigger=trigger)
-    q_counts = ads_app.start_area_counts(
-        ads_app.read_filtered(spark, filtered_dir), f"{root}/snapshots", top_n, trigger=trigger
-    )
-    q_window = ads_app.start_window_clicks(
-        ads_app.read_filtered(spark, filtered_dir), f"{root}/snapshots", window_minutes, trigger=trigger
+    q_ban = ads_app.start_ban_filter(
+        lines, filtered_dir, threshold, checkpoint=f"{pipeline_checkpoints(spark, root)}/ban_filter", trigger=trigger
     )
-    return [q_ban, q_counts, q_window]
+    return [q_ban] + start_realtime_publishers(spark, root, window_minutes, top_n, trigger)

@@ -36,12 +36,7 @@ def test_realtime_app(spark, scratch):
     # the publishers may have started before the first file landed: run again
     for q in qs[1:]:
         q.awaitTermination()
-    for q in (
-        ads_app.start_area_counts(ads_app.read_filtered(spark, f"{root}/filtered"), f"{root}/snapshots",
-                                  trigger={"availableNow": True}, name="ads_area_counts"),
-        ads_app.start_window_clicks(ads_app.read_filtered(spark, f"{root}/filtered"), f"{root}/snapshots",
-                                    trigger={"availableNow": True}, name="ads_window_clicks"),
-    ):
+    for q in apps.start_realtime_publishers(spark, root, trigger={"availableNow": True}):
         q.awaitTermination()
     counts, top = ads_app.read_area_counts(spark, f"{root}/snapshots")
     assert sum(int(r.value) for r in counts.collect()) == 12
