@@ -7,8 +7,6 @@ cluster.  Only tests (where it is unset) pass a fallback.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 # Settings every job relies on.  AQE re-plans joins/partition counts from
@@ -57,16 +55,12 @@ def get_session(
 ) -> SparkSession:
     """Build (or reuse) a session with the settings above.
 
-    ``master`` defaults to ``local[$BENCH_CPUS or *]`` only when no master
-    is configured already (spark-submit on a cluster sets it).
+    ``master`` is only set when given; otherwise spark-submit / the
+    environment decides (``local[*]`` when nothing is configured).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    elif not os.environ.get("SPARK_MASTER") and "spark.master" not in os.environ.get(
-        "PYSPARK_SUBMIT_ARGS", ""
-    ):
-        builder = builder.master(f"local[{os.environ.get('BENCH_CPUS', '*')}]")
     conf = dict(BASE_CONF)
     if cluster:
         conf.update(CLUSTER_CONF)
