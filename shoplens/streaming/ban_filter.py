@@ -20,6 +20,7 @@ huge share of one micro-batch is streamed through, not held whole.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -52,15 +53,15 @@ def _step(threshold: int):
         for pdf in batches:
             if pdf.empty:
                 continue
-            sizes = pdf.groupby(["date", "adid"], sort=True).size()
-            for (date, adid), n in sizes.items():
+            # most users have a handful of clicks per batch: a Counter over
+            # the (date, ad) pairs is far cheaper than a pandas groupby
+            for (date, adid), n in Counter(zip(pdf["date"].tolist(), pdf["adid"].tolist())).items():
                 k = f"{date}|{adid}"
-                running[k] = running.get(k, 0) + int(n)
+                running[k] = running.get(k, 0) + n
                 if running[k] >= threshold and (ban_date is None or date < ban_date):
                     ban_date = date
-            out = pdf[CLICK_COLS].copy()
-            out.insert(0, "kind", "click")
-            yield out
+            pdf.insert(0, "kind", "click")
+            yield pdf
         if ban_date is not None:
             yield pd.DataFrame(
                 [["ban", None, None, None, key[0], None, ban_date]],
