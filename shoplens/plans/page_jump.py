@@ -15,18 +15,39 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.operators.sequence import consecutive_pairs, flow_pairs, transitions
+from shoplens.session import checkpoint_root
 
 # Sessions are split into hour buckets before the pair window (see
 # operators/sequence.py), so no session is ever sorted whole in one task.
+#
+# bucket_unit="rows" splits by row count instead, for sessions whose rows
+# pile into one hour: a range repartition on the session order balances
+# partitions whatever the key skew, and the partition number becomes the
+# bucket.  That number must be the same in every branch of the plan, so the
+# bucketed rows are checkpointed (to spark.checkpoint.dir) before use: one
+# extra shuffle and one extra write of the actions.
 DEFAULT_BUCKET = "hour"
+ORDER = ["action_time", "event_id"]
+
+
+def _bucketed(actions: DataFrame, bucket_unit: str):
+    if bucket_unit == "rows":
+        spark = actions.sparkSession
+        checkpoint_root(spark)  # the shared folder must be configured
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        ranged = (
+            actions.repartitionByRange(n, "session_id", *ORDER)
+            .withColumn("__rb", F.spark_partition_id())
+            .checkpoint(eager=True)
+        )
+        return ranged, F.col("__rb")
+    return actions, F.date_trunc(bucket_unit, F.to_timestamp_ntz(F.col("action_time")))
 
 
 def session_page_pairs(actions: DataFrame, bucket_unit: str = DEFAULT_BUCKET) -> DataFrame:
     """(session_id, frm, nxt) for adjacent actions of each session."""
-    bucket = F.date_trunc(bucket_unit, F.to_timestamp_ntz(F.col("action_time")))
-    return consecutive_pairs(
-        actions, "session_id", ["action_time", "event_id"], "page_id", bucket
-    )
+    rows, bucket = _bucketed(actions, bucket_unit)
+    return consecutive_pairs(rows, "session_id", ORDER, "page_id", bucket)
 
 
 def page_visit_count(actions: DataFrame, pages: Sequence) -> DataFrame:
@@ -44,8 +65,8 @@ def page_transition_counts(actions: DataFrame, bucket_unit: str = DEFAULT_BUCKET
     in a session; ``nxt`` NULL counts session-last visits.  A pages x pages
     table, whatever the number of actions; the jump numerators and the visit
     denominators both come from it, so the actions are scanned once."""
-    bucket = F.date_trunc(bucket_unit, F.to_timestamp_ntz(F.col("action_time")))
-    t = transitions(actions, "session_id", ["action_time", "event_id"], "page_id", bucket)
+    rows, bucket = _bucketed(actions, bucket_unit)
+    t = transitions(rows, "session_id", ORDER, "page_id", bucket)
     return t.groupBy("frm", "nxt").agg(F.count(F.lit(1)).alias("c"))
 
 

@@ -42,6 +42,9 @@ def test_transitions_with_a_hot_session(spark):
             want[(a, b)] += 1
     got = Q3.page_transition_counts(df).collect()
     assert {(r.frm, r.nxt): r.c for r in got} == dict(want)
+    # split by rows: the hot session is spread over range partitions
+    got = Q3.page_transition_counts(df, bucket_unit="rows").collect()
+    assert {(r.frm, r.nxt): r.c for r in got} == dict(want)
     # same with a tiny bucket: many more bucket bridges inside the hot session
     b = F.date_trunc("minute", F.to_timestamp("action_time"))
     t = transitions(df, "session_id", ["action_time", "event_id"], "page_id", b)
@@ -121,3 +124,36 @@ def test_ban_list_with_a_hot_user(spark):
     want = sum(1 for ms, _, _, u, _ in rows if u not in ban_day or (ms - t0) // 86400000 <= ban_day[u])
     assert kept.count() == want
     assert "hot" in ban_day
+
+
+def test_hot_session_within_one_second(spark):
+    """All of the hot session's rows share one timestamp: only the row split
+    divides it, and the result stays exact (order by event id)."""
+    rnd = random.Random(2)
+    rows = [("hot", "2024-01-01 00:00:00", i, rnd.randrange(1, 6)) for i in range(3000)]
+    rows += [(f"s{i % 50}", f"2024-01-01 00:{i % 60:02d}:00", 10_000 + i, rnd.randrange(1, 6)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "session_id string, action_time string, event_id long, page_id long")
+    by_session = collections.defaultdict(list)
+    for s, t, e, p in rows:
+        by_session[s].append((t, e, p))
+    want = collections.Counter()
+    for items in by_session.values():
+        items.sort()
+        pages = [p for _, _, p in items]
+        for a, b in zip(pages, pages[1:] + [None]):
+            want[(a, b)] += 1
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        ranged = df.repartitionByRange(16, "session_id", "action_time", "event_id")
+        parts = {r.p for r in ranged.filter("session_id = 'hot'").select(F.spark_partition_id().alias("p")).collect()}
+        assert len(parts) > 1  # the hot session is split over several tasks
+        got = Q3.page_transition_counts(df, bucket_unit="rows").collect()
+        assert {(r.frm, r.nxt): r.c for r in got} == dict(want)
+        # exact even when Spark does not share the range shuffle between branches
+        spark.conf.set("spark.sql.exchange.reuse", "false")
+        got = Q3.page_transition_counts(df, bucket_unit="rows").collect()
+        assert {(r.frm, r.nxt): r.c for r in got} == dict(want)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.exchange.reuse", "true")
