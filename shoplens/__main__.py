@@ -1,6 +1,7 @@
 """Command line for the applications.
 
   python -m shoplens offline  --tables DIR [--conditions FILE] [--table-prefix P | --jdbc-url URL ...]
+  python -m shoplens stage    --tables DIR --prefix P --buckets N   (then --tables catalog:P)
   python -m shoplens realtime --root DIR (--input DIR | --kafka HOST:PORT --topic T) [--threshold N]
   python -m shoplens wordcount --snapshot DIR (--input DIR | --socket HOST:PORT) [--stop-marker PATH]
 
@@ -16,6 +17,7 @@ import sys
 from shoplens import apps, params
 from shoplens.functions import constants as K
 from shoplens.session import get_session
+from shoplens.sources import tables
 from shoplens.streaming import control, sources, word_count
 
 
@@ -33,6 +35,11 @@ def _parser() -> argparse.ArgumentParser:
     off.add_argument("--jdbc-password")
     off.add_argument("--jdbc-driver")
 
+    st = sub.add_parser("stage", help="copy the input tables into the catalog, user-keyed ones bucketed")
+    st.add_argument("--tables", required=True)
+    st.add_argument("--prefix", required=True)
+    st.add_argument("--buckets", type=int, required=True)
+
     rt = sub.add_parser("realtime", help="Q5-Q8 streaming pipeline")
     rt.add_argument("--root", required=True, help="shared folder for the filtered clicks and snapshots")
     rt.add_argument("--input", help="folder of text files with ad-click lines")
@@ -88,6 +95,9 @@ def main(argv=None, spark=None) -> int:
         task = apps.run_offline(spark, args.tables, write, cond, args.task_id)
         print(task)
         return 0
+    if args.cmd == "stage":
+        print(tables.stage_tables(spark, args.tables, args.prefix, args.buckets))
+        return 0
     if args.cmd == "realtime":
         if args.kafka:
             lines = sources.kafka_stream(spark, bootstrap_servers=args.kafka, topics=args.topic)

@@ -47,3 +47,30 @@ def test_topic_records(spark):
     r = topic.as_records(df, "line", "k").first()
     assert (r.key, r.value) == ("7", "1577000000000 华北 北京 3 2")
     assert topic.topic_options("h:9092", "ads_log") == {"kafka.bootstrap.servers": "h:9092", "topic": "ads_log"}
+
+
+def test_staged_bucketed_tables_join_without_shuffle(spark):
+    import re
+
+    from shoplens import registry as R
+    from shoplens.operators.filters import filter_actions
+    from shoplens.sources import tables as T
+
+    sf = "/root/testdata/sf0.001"
+    loc = T.stage_tables(spark, sf, "bk_", 4, names=["events", "customer"])
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for k in old:
+        spark.conf.set(k, "-1")
+    try:
+        staged = filter_actions(T.user_visit_action(spark, loc, R.COND.start_date, R.COND.end_date),
+                                T.user_info(spark, loc), R.COND)
+        rows = sorted(map(tuple, staged.collect()))
+        plan = staged._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" in plan and not re.search(r"Exchange hashpartitioning", plan)
+    plain = filter_actions(T.user_visit_action(spark, sf, R.COND.start_date, R.COND.end_date),
+                           T.user_info(spark, sf), R.COND)
+    assert rows == sorted(map(tuple, plain.collect()))
