@@ -69,7 +69,7 @@ def test_staged_bucketed_tables_join_without_shuffle(spark):
         plan = staged._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
     finally:
         for k, v in old.items():
-            spark.conf.set(k, v)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "SortMergeJoin" in plan and not re.search(r"Exchange hashpartitioning", plan)
     plain = filter_actions(T.user_visit_action(spark, sf, R.COND.start_date, R.COND.end_date),
                            T.user_info(spark, sf), R.COND)
