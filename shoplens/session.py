@@ -15,6 +15,9 @@ from pyspark.sql import SparkSession
 BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # size post-shuffle partitions by bytes (the advisory size), not by the
+    # number of cores: no swarm of tiny tasks on small stages
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
