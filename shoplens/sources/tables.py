@@ -89,31 +89,25 @@ def city_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     ad-click wire line keeps exactly five space-separated fields."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.col("n_nationkey").cast("bigint").alias("city_id"),
-        F.col("n_name").alias("city_name"),
-        F.regexp_replace("r_name", " ", "_").alias("area"),
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
+        "CAST(n_nationkey AS BIGINT) AS city_id", "n_name AS city_name", "replace(r_name, ' ', '_') AS area"
     )
 
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
-    return c.select(
-        F.col("c_custkey").alias("user_id"),
-        F.col("c_name").alias("username"),
-        F.col("c_name").alias("name"),
-        (F.lit(10) + F.col("c_custkey") % 50).cast("int").alias("age"),
-        F.col("c_mktsegment").alias("professional"),
-        F.when(F.col("c_custkey") % 5 < 3, "M").otherwise("F").alias("gender"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS user_id",
+        "c_name AS username",
+        "c_name AS name",
+        "CAST(10 + c_custkey % 50 AS INT) AS age",
+        "c_mktsegment AS professional",
+        "CASE WHEN c_custkey % 5 < 3 THEN 'M' ELSE 'F' END AS gender",
     )
 
 
 def product_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part")
-    return p.select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("extend_info"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS product_id", "p_name AS product_name", "p_type AS extend_info"
     )
 
 
