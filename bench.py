@@ -57,26 +57,31 @@ def main() -> None:
     jobs["app_offline_q1_q4"] = lambda: apps.run_offline(
         spark, sf_dir, lambda _name, df: run(df), registry.COND, task_id="bench"
     )
-    times = {}
+    times, errors = {}, {}
     for name, job in jobs.items():
-        job()  # warm-up (JIT, file listing caches)
-        samples = []
-        for _ in range(runs):
-            t0 = time.perf_counter()
-            job()
-            samples.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(samples), 4)
+        try:
+            job()  # warm-up (JIT, file listing caches)
+            samples = []
+            for _ in range(runs):
+                t0 = time.perf_counter()
+                job()
+                samples.append(time.perf_counter() - t0)
+            times[name] = round(statistics.median(samples), 4)
+        except Exception as ex:  # report the failure, keep measuring the rest
+            times[name] = None
+            errors[name] = f"{type(ex).__name__}: {str(ex)[:300]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(
         json.dumps(
             {
                 "metric": "total_median_sec",
-                "value": round(sum(v for k, v in times.items() if k in HEADLINE), 4),
+                "value": round(sum(v for k, v in times.items() if k in HEADLINE and v is not None), 4),
                 "unit": "sec",
                 "queries": times,
                 "sf": float(m.group(1)) if m else sf_dir,
                 "cpus": cpus,
                 "runs": runs,
+                **({"errors": errors} if errors else {}),
             }
         )
     )
