@@ -17,7 +17,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from shoplens.session import get_session  # noqa: E402
 from shoplens.sources import tables as T  # noqa: E402
