@@ -4,8 +4,7 @@ import json
 import os
 
 from shoplens.__main__ import main
-from shoplens.sinks import snapshot
-from shoplens.streaming import ads_app
+from shoplens.streaming import ads_app, word_count
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,7 +27,7 @@ def test_cli_wordcount_and_realtime(spark, scratch):
         f.write("a b a\n")
     assert main(["wordcount", "--snapshot", f"{root}/wc", "--input", f"{root}/words", "--available-now"],
                 spark=spark) == 0
-    assert {r.word: r.n for r in snapshot.read_latest(spark, f"{root}/wc").collect()} == {"a": 2, "b": 1}
+    assert {r.word: r.n for r in word_count.read_word_counts(spark, f"{root}/wc").collect()} == {"a": 2, "b": 1}
 
     os.makedirs(f"{root}/ads")
     t0 = 1704067200000

@@ -153,14 +153,14 @@ def test_word_count_restart_and_marker_stop(spark, scratch):
     lines = sources.text_file_stream(spark, f"{root}/in", max_files_per_trigger=1)
     q = word_count.start_word_count(lines, f"{root}/snap", checkpoint=f"{root}/ck", trigger=AVAILABLE_NOW)
     q.awaitTermination()
-    got = {r.word: r.n for r in snapshot.read_latest(spark, f"{root}/snap").collect()}
+    got = {r.word: r.n for r in word_count.read_word_counts(spark, f"{root}/snap").collect()}
     assert got == {"a": 2, "b": 1}
     # restart from the checkpoint: state is restored, only the new file is read
     add("2.txt", "a\n", 2000)
     lines = sources.text_file_stream(spark, f"{root}/in", max_files_per_trigger=1)
     q = word_count.start_word_count(lines, f"{root}/snap", checkpoint=f"{root}/ck", trigger=AVAILABLE_NOW)
     q.awaitTermination()
-    got = {r.word: r.n for r in snapshot.read_latest(spark, f"{root}/snap").collect()}
+    got = {r.word: r.n for r in word_count.read_word_counts(spark, f"{root}/snap").collect()}
     assert got == {"a": 3, "b": 1}
     # a continuously running query stops when the marker file appears
     lines = sources.text_file_stream(spark, f"{root}/in", max_files_per_trigger=1)
@@ -221,7 +221,7 @@ def test_stop_on_signal(spark, scratch):
     finally:
         for s, h in old.items():
             _signal.signal(s, h)
-    got = {r.word: r.n for r in snapshot.read_latest(spark, f"{root}/snap").collect()}
+    got = {r.word: r.n for r in word_count.read_word_counts(spark, f"{root}/snap").collect()}
     assert got == {"x": 1, "y": 1}
 
 
