@@ -69,9 +69,10 @@ def start_ban_filter(
     checkpoint: str | None = None,
     trigger: dict | None = None,
     name: str = "ads_ban_filter",
+    count_days: int | None = None,
 ) -> StreamingQuery:
     spark = lines.sparkSession
-    filtered = BF.ban_filter(A.parse_ads_lines(lines), threshold)
+    filtered = BF.ban_filter(A.parse_ads_lines(lines), threshold, count_days=count_days)
     writer = (
         filtered.writeStream.format("parquet")
         .option("path", filtered_dir)

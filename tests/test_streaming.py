@@ -257,3 +257,28 @@ def test_pipeline_restart_matches_closed_form(spark, scratch):
     assert _set(ban_filter.bans(out)) == _set(A.ban_list(T.ads_log(spark, SF), THRESHOLD))
     kv, _ = ads_app.read_area_counts(spark, f"{root}/snap")
     assert _set(kv) == _set(A.date_area_city_ad_kv(A.date_area_city_ad_count(want)))
+
+
+def test_ban_counters_can_forget_old_days(spark, scratch):
+    """count_days=1: a day's counter is dropped once the user has clicks two
+    days later; same-day clicks still ban."""
+    root = f"{scratch}/ban_days"
+    os.makedirs(f"{root}/in")
+    day = 86_400_000
+    t0 = 1704067200000
+    batches = [[f"{t0} A c u a", f"{t0 + 1} A c u a"],          # day 1: 2 clicks on a
+               [f"{t0 + 2 * day} A c u b"],                      # day 3: day 1 counter dropped
+               [f"{t0 + 5} A c u a"],                            # late day-1 click: counter restarts at 1
+               [f"{t0 + 2 * day + i} A c u b" for i in range(1, 3)]]  # day 3: b reaches 3 -> ban
+    for i, lines in enumerate(batches):
+        p = f"{root}/in/b{i}.txt"
+        with open(p, "w") as f:
+            f.write("\n".join(lines) + "\n")
+        os.utime(p, (1000 + i, 1000 + i))
+    lines = sources.text_file_stream(spark, f"{root}/in", max_files_per_trigger=1)
+    q = ads_app.start_ban_filter(lines, f"{root}/out", 3, checkpoint=f"{root}/ck", trigger=AVAILABLE_NOW,
+                                 count_days=1)
+    q.awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    assert [r.ban_date for r in ban_filter.bans(out).collect()] == ["2024-01-03"]
+    assert ban_filter.kept_clicks(out).count() == 6
