@@ -48,6 +48,8 @@ def _parser() -> argparse.ArgumentParser:
     rt.add_argument("--threshold", type=int, default=K.BAN_THRESHOLD)
     rt.add_argument("--window-minutes", type=int, default=K.AD_WINDOW_MINUTES)
     rt.add_argument("--trigger-seconds", type=float, default=3.0)
+    rt.add_argument("--state-watermark", help='evict running-count state of older days, e.g. "2 days"')
+    rt.add_argument("--count-days", type=int, help="keep daily ban counters for this many days")
     rt.add_argument("--stop-marker", help="stop gracefully when this path appears")
     rt.add_argument("--available-now", action="store_true", help="process what is there, then stop")
 
@@ -106,7 +108,8 @@ def main(argv=None, spark=None) -> int:
         else:
             raise SystemExit("give --input or --kafka")
         queries = apps.start_realtime(
-            lines, args.root, args.threshold, args.window_minutes, trigger=_trigger(args)
+            lines, args.root, args.threshold, args.window_minutes, trigger=_trigger(args),
+            state_watermark=args.state_watermark, count_days=args.count_days,
         )
         if args.available_now:
             # the publishers read the ban filter's output: run them again once it is complete
@@ -114,7 +117,8 @@ def main(argv=None, spark=None) -> int:
             for q in queries[1:]:
                 q.awaitTermination()
             queries = apps.start_realtime_publishers(
-                spark, args.root, args.window_minutes, trigger=_trigger(args)
+                spark, args.root, args.window_minutes, trigger=_trigger(args),
+                state_watermark=args.state_watermark,
             )
         _wait(spark, queries, args)
         return 0

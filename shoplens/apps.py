@@ -78,6 +78,7 @@ def start_realtime_publishers(
     window_minutes: int = K.AD_WINDOW_MINUTES,
     top_n: int = K.TOP_ADS,
     trigger: dict | None = None,
+    state_watermark: str | None = None,
 ) -> list[StreamingQuery]:
     """The two queries that read the ban filter's output table: running
     counts + top ads (Q6, Q7) and the trailing window (Q8)."""
@@ -86,7 +87,7 @@ def start_realtime_publishers(
     ck = pipeline_checkpoints(spark, root)
     q_counts = ads_app.start_area_counts(
         ads_app.read_filtered(spark, filtered_dir), f"{root}/snapshots", top_n,
-        checkpoint=f"{ck}/area_counts", trigger=trigger,
+        checkpoint=f"{ck}/area_counts", trigger=trigger, watermark=state_watermark,
     )
     q_window = ads_app.start_window_clicks(
         ads_app.read_filtered(spark, filtered_dir), f"{root}/snapshots", window_minutes,
@@ -102,6 +103,8 @@ def start_realtime(
     window_minutes: int = K.AD_WINDOW_MINUTES,
     top_n: int = K.TOP_ADS,
     trigger: dict | None = None,
+    state_watermark: str | None = None,
+    count_days: int | None = None,
 ) -> list[StreamingQuery]:
     """Start the ban filter and the two publishers over its output table.
 
@@ -112,6 +115,7 @@ def start_realtime(
     filtered_dir = f"{root}/filtered"
     fs.mkdirs(spark, filtered_dir)
     q_ban = ads_app.start_ban_filter(
-        lines, filtered_dir, threshold, checkpoint=f"{pipeline_checkpoints(spark, root)}/ban_filter", trigger=trigger
+        lines, filtered_dir, threshold, checkpoint=f"{pipeline_checkpoints(spark, root)}/ban_filter",
+        trigger=trigger, count_days=count_days,
     )
-    return [q_ban] + start_realtime_publishers(spark, root, window_minutes, top_n, trigger)
+    return [q_ban] + start_realtime_publishers(spark, root, window_minutes, top_n, trigger, state_watermark)
