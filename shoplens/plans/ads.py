@@ -41,9 +41,15 @@ def parse_ads_lines(lines: DataFrame, value_col: str = "value", lenient: bool =
             "valid",
             F.col("timestamp").isNotNull() & F.col("adid").isNotNull(),
         )
+    # explicit check, so a bad line fails the job whatever the ANSI setting
+    ts = F.expr(f"try_cast(try_element_at(split(CAST(`{value_col}` AS STRING), ' '), 1) AS BIGINT)")
+    bad = (F.size(parts) < 5) | ts.isNull()
+    checked_ts = F.when(
+        bad, F.raise_error(F.concat(F.lit("malformed ad-click line: "), F.col(value_col).cast("string")))
+    ).otherwise(ts)
     return lines.select(
         *keep,
-        F.element_at(parts, 1).cast("bigint").alias("timestamp"),
+        checked_ts.cast("bigint").alias("timestamp"),
         F.element_at(parts, 2).alias("area"),
         F.element_at(parts, 3).alias("city"),
         F.element_at(parts, 4).alias("userid"),

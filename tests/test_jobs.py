@@ -159,9 +159,16 @@ def test_strict_parse_fails_on_malformed_lines(spark):
     # A short line or a bad timestamp fails the job in strict mode
     import pytest
 
-    bad = spark.createDataFrame([("notanumber A c u 1",)], "value string")
-    with pytest.raises(Exception):
-        A.parse_ads_lines(bad).collect()
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            for line in ("notanumber A c u 1", "1577000000000 A c"):
+                bad = spark.createDataFrame([(line,)], "value string")
+                with pytest.raises(Exception, match="malformed ad-click line"):
+                    A.parse_ads_lines(bad).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
 
 
 def test_top_ads_as_object(spark):
