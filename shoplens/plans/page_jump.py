@@ -27,21 +27,25 @@ from shoplens.session import checkpoint_root
 # bucketed rows are checkpointed (to spark.checkpoint.dir) before use: one
 # extra shuffle and one extra write of the actions.
 DEFAULT_BUCKET = "hour"
-ORDER = ["action_time", "event_id"]
+# Session order: action time, then event id.  The 'yyyy-MM-dd HH:mm:ss' text
+# is parsed to an 8-byte timestamp with the same order, so the shuffle that
+# groups sessions carries a long instead of a 19-character string.
+ORDER = ["__t", "event_id"]
 
 
 def _bucketed(actions: DataFrame, bucket_unit: str):
+    timed = actions.select("session_id", "event_id", "page_id", F.to_timestamp_ntz("action_time").alias("__t"))
     if bucket_unit == "rows":
         spark = actions.sparkSession
         checkpoint_root(spark)  # the shared folder must be configured
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         ranged = (
-            actions.repartitionByRange(n, "session_id", *ORDER)
+            timed.repartitionByRange(n, "session_id", *ORDER)
             .withColumn("__rb", F.spark_partition_id())
             .checkpoint(eager=True)
         )
         return ranged, F.col("__rb")
-    return actions, F.date_trunc(bucket_unit, F.to_timestamp_ntz(F.col("action_time")))
+    return timed, F.date_trunc(bucket_unit, F.col("__t"))
 
 
 def session_page_pairs(actions: DataFrame, bucket_unit: str = DEFAULT_BUCKET) -> DataFrame:
