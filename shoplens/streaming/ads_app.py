@@ -201,7 +201,7 @@ def minute_counts(kept: DataFrame, window_minutes: int) -> DataFrame:
     )
 
 
-def window_view(rows: DataFrame) -> DataFrame:
+def window_view(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Window rows (adid, minute_ms, cnt) -> Q8 (adid, hhmm, cnt) and the
     per-ad JSON form."""
     t = C.ntz_from_millis("minute_ms")

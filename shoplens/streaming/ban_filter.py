@@ -72,7 +72,6 @@ def _step(threshold: int, count_days: int | None = None):
                 [["ban", None, None, None, key[0], None, ban_date]],
                 columns=["kind"] + CLICK_COLS,
             ).astype({"timestamp": "Int64"})
-        if ban_date is not None:
             state.update((True, [], []))  # counts are no longer needed once banned
         else:
             if count_days is not None and running:
