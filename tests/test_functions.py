@@ -108,3 +108,31 @@ def test_conditions_parse():
 
 def test_flow_pairs():
     assert flow_pairs("1,2,3".split(",")) == [("1", "2"), ("2", "3")]
+
+
+def _java_split(s: str, sep: str) -> list[str]:
+    """Java String.split(sep) for a literal one-character separator."""
+    if s == "":
+        return [""]
+    parts = s.split(sep)
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def test_split_matches_java_on_generated_text(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    texts = st.lists(st.text(alphabet=" ,ab1", max_size=12), min_size=1, max_size=200)
+
+    @settings(max_examples=15, deadline=None)
+    @given(texts)
+    def check(values):
+        df = spark.createDataFrame([(v,) for v in values], "s string")
+        got = df.select(C.split_like_java("s", ",").alias("c"), C.words("s").alias("w")).collect()
+        for v, r in zip(values, got):
+            assert r.c == _java_split(v, ","), v
+            assert r.w == _java_split(v, " "), v
+
+    check()
