@@ -111,6 +111,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_user_ad_count": lambda s, d: A.daily_user_ad_count(_ads(s, d)),
     "ban_list": lambda s, d: A.ban_list(_ads(s, d), TEST_BAN_THRESHOLD),
     "ads_after_ban": lambda s, d: _kept(s, d).select("event_id"),
+    "ads_after_ban_hourly": lambda s, d: A.ads_after_ban_by_batch(
+        _ads(s, d).withColumn("b", F.date_trunc("hour", "ts")), "b", TEST_BAN_THRESHOLD
+    ).select("event_id"),
     "date_area_city_ad_count": lambda s, d: A.date_area_city_ad_count(_ads(s, d)),
     "filtered_date_area_city_ad_count": lambda s, d: A.date_area_city_ad_count(_kept(s, d)),
     "date_area_top_ads": lambda s, d: A.date_area_top_ads(A.date_area_city_ad_count(_ads(s, d))),
@@ -188,6 +191,12 @@ b AS (SELECT *, strftime(ts, '%Y-%m-%d') AS date FROM ads_log),
 run AS (SELECT date, userid, adid, count(*) AS cnt FROM b GROUP BY ALL),
 ban AS (SELECT userid, min(date) AS ban_date FROM run WHERE cnt >= 3 GROUP BY userid),
 kept AS (SELECT b.* FROM b LEFT JOIN ban ON b.userid = ban.userid WHERE ban_date IS NULL OR b.date <= ban_date),
+hb AS (SELECT *, date_trunc('hour', ts) AS hour_batch FROM b),
+hrun AS (
+  SELECT userid, hour_batch, sum(cnt) OVER (PARTITION BY date, userid, adid ORDER BY hour_batch
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total
+  FROM (SELECT date, userid, adid, hour_batch, count(*) AS cnt FROM hb GROUP BY ALL) x),
+hban AS (SELECT userid, min(hour_batch) AS ban_batch FROM hrun WHERE total >= 3 GROUP BY userid),
 dac AS (SELECT date, area, city, adid, count(*) AS cnt FROM b GROUP BY ALL),
 top3 AS (
   SELECT date, area, concat('[', string_agg(concat('{"', adid, '":', cnt, '}'), ',' ORDER BY rn), ']') AS top3
@@ -258,6 +267,8 @@ _FINAL = {
     "daily_user_ad_count": "SELECT * FROM run",
     "ban_list": "SELECT userid, ban_date FROM ban",
     "ads_after_ban": "SELECT event_id FROM kept",
+    "ads_after_ban_hourly": """SELECT hb.event_id FROM hb LEFT JOIN hban ON hb.userid = hban.userid
+  WHERE ban_batch IS NULL OR hb.hour_batch <= ban_batch""",
     "date_area_city_ad_count": "SELECT * FROM dac",
     "filtered_date_area_city_ad_count": "SELECT date, area, city, adid, count(*) AS cnt FROM kept GROUP BY ALL",
     "date_area_top_ads": "SELECT * FROM top3",

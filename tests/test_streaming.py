@@ -282,3 +282,40 @@ def test_ban_counters_can_forget_old_days(spark, scratch):
     out = spark.read.parquet(f"{root}/out")
     assert [r.ban_date for r in ban_filter.bans(out).collect()] == ["2024-01-03"]
     assert ban_filter.kept_clicks(out).count() == 6
+
+
+def test_batch_replay_equals_day_closed_form(spark):
+    ads = A.with_date(T.ads_log(spark, SF))
+    by_day = A.ads_after_ban_by_batch(ads.withColumn("b", F.col("date")), "b", THRESHOLD)
+    assert _set(by_day.select("event_id")) == _set(A.ads_after_ban(ads, THRESHOLD).select("event_id"))
+    bans = A.ban_list_by_batch(ads.withColumn("b", F.col("date")), "b", THRESHOLD).select("userid", "ban_date")
+    assert _set(bans) == _set(A.ban_list(ads, THRESHOLD))
+
+
+def test_stream_with_batches_spanning_days(spark, scratch):
+    """Files of 1,500 clicks in time order: micro-batches cut through days.
+    The stream keeps exactly what the batch replay says."""
+    root = f"{scratch}/span"
+    os.makedirs(f"{root}/in")
+    ads = T.ads_log(spark, SF)
+    rows = T.ads_lines(ads, keep=("event_id", "timestamp")).orderBy("timestamp", "event_id").collect()
+    size = 1500
+    batch_of = {}
+    for i in range(0, len(rows), size):
+        chunk = rows[i:i + size]
+        p = f"{root}/in/{i // size:04d}.txt"
+        with open(p, "w") as f:
+            f.write("\n".join(r.value for r in chunk) + "\n")
+        os.utime(p, (1000 + i // size, 1000 + i // size))
+        batch_of.update({r.event_id: i // size for r in chunk})
+    lines = sources.text_file_stream(spark, f"{root}/in", max_files_per_trigger=1)
+    q = ads_app.start_ban_filter(lines, f"{root}/out", THRESHOLD, checkpoint=f"{root}/ck", trigger=AVAILABLE_NOW)
+    q.awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    batches = spark.createDataFrame(list(batch_of.items()), "event_id long, b long")
+    want = A.ads_after_ban_by_batch(ads.join(batches, "event_id"), "b", THRESHOLD)
+    cols = ["timestamp", "userid", "adid"]
+    assert _set(ban_filter.kept_clicks(out).select(cols)) == _set(want.select(cols))
+    assert _set(ban_filter.bans(out)) == _set(
+        A.ban_list_by_batch(ads.join(batches, "event_id"), "b", THRESHOLD).select("userid", "ban_date")
+    )
