@@ -74,3 +74,13 @@ def test_staged_bucketed_tables_join_without_shuffle(spark):
     plain = filter_actions(T.user_visit_action(spark, sf, R.COND.start_date, R.COND.end_date),
                            T.user_info(spark, sf), R.COND)
     assert rows == sorted(map(tuple, plain.collect()))
+
+
+def test_jdbc_failures_propagate(spark):
+    """A failing write raises (no database is contacted: no driver
+    exists for this URL, so the writer fails before connecting)."""
+    import pytest
+
+    df = spark.createDataFrame([("aaa--1", "3", 1, 2, 3)], schemas.CATEGORY_TOP10)
+    with pytest.raises(Exception):
+        jdbc.append(df, url="jdbc:nosuchdb://nowhere/report", table="category_top10")
