@@ -73,6 +73,27 @@ def _city_ratio_sql(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _area_product_top3_sql(spark: SparkSession, d: str) -> DataFrame:
+    """Q4 as SQL over a chain of temp views (S2), for SQL users: clicks ->
+    per-city counts -> per-product count and share text -> rank <= 3."""
+    fn = register_city_ratio_function(spark)
+    Q4.area_product_clicks(*_q4_inputs(spark, d)).createOrReplaceTempView("area_product_clicks")
+    spark.sql(
+        """SELECT area, product_name, city_name, count(*) AS n
+           FROM area_product_clicks GROUP BY area, product_name, city_name"""
+    ).createOrReplaceTempView("area_product_city_count")
+    spark.sql(
+        f"""SELECT area, product_name, sum(n) AS product_count,
+                   {fn}(collect_list(named_struct('city', city_name, 'n', n))) AS city_click_ratio
+            FROM area_product_city_count GROUP BY area, product_name"""
+    ).createOrReplaceTempView("area_product_count")
+    return spark.sql(
+        """SELECT area, product_name, product_count, city_click_ratio FROM (
+             SELECT *, rank() OVER (PARTITION BY area ORDER BY product_count DESC) AS rk
+             FROM area_product_count) WHERE rk <= 3"""
+    )
+
+
 def _ads(spark, d):
     return T.ads_log(spark, d)
 
@@ -103,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "city_ratio_sql": _city_ratio_sql,
     "area_product_rank": lambda s, d: Q4.area_product_rank(*_q4_inputs(s, d)),
     "area_product_top3": lambda s, d: Q4.area_product_top3(*_q4_inputs(s, d)),
+    "area_product_top3_sql": _area_product_top3_sql,
     "area_product_top3_lineitem": lambda s, d: Q4.area_product_top3(
         lineitem_clicks(s, d), T.city_info(s, d), T.product_info(s, d)
     ),
@@ -262,6 +284,7 @@ _FINAL = {
   rank() OVER (PARTITION BY area ORDER BY product_count DESC) AS rk FROM (
   SELECT area, product_name, count(*) AS product_count FROM apc GROUP BY 1, 2) x""",
     "area_product_top3": _TOP3_OF.format(src="share"),
+    "area_product_top3_sql": _TOP3_OF.format(src="share"),
     "area_product_top3_lineitem": _TOP3_OF.format(src="lshare"),
     "ads_line_parse": "SELECT event_id, timestamp, area, city, userid, adid FROM ads_log",
     "daily_user_ad_count": "SELECT * FROM run",
