@@ -42,3 +42,25 @@ def test_realtime_app(spark, scratch):
     assert sum(int(r.value) for r in counts.collect()) == 12
     top = top.first()
     assert top.key == "top3_ads_per_day:2024-01-01" and top.value == '[{"0":4},{"1":4},{"2":4}]'
+
+
+def test_outputs_match_declared_schemas(spark):
+    """The result tables keep the declared column names and types (the
+    contract of the relational tables they are appended to)."""
+    from pyspark.sql.types import StructType
+
+    from shoplens.sources import schemas
+
+    apps.run_offline(spark, SF, apps.table_writer("s_"), params.TEST, task_id="aaa--2")
+    for table, ddl in [
+        ("s_category_top10", schemas.CATEGORY_TOP10),
+        ("s_category_session_top10", schemas.CATEGORY_SESSION_TOP10),
+        ("s_jump_page_ratio", schemas.JUMP_PAGE_RATIO),
+        ("s_area_count_info", schemas.AREA_COUNT_INFO),
+    ]:
+        got = [(f.name, f.dataType.simpleString()) for f in spark.table(table).schema.fields]
+        want = [(f.name, f.dataType.simpleString()) for f in StructType.fromDDL(ddl).fields]
+        assert got == want, table
+    uva = T.user_visit_action(spark, SF)
+    declared = [(f.name, f.dataType.simpleString()) for f in schemas.USER_VISIT_ACTION.fields]
+    assert [(f.name, f.dataType.simpleString()) for f in uva.schema.fields][:13] == declared
