@@ -27,8 +27,13 @@ def spark(scratch):
         extra={
             "spark.checkpoint.dir": f"{scratch}/checkpoints",
             "spark.sql.warehouse.dir": f"{scratch}/warehouse",
-            "spark.sql.streaming.stateStore.providerClass":
-                "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
+            # SHOPLENS_TEST_STATE_STORE=rocksdb runs the streaming tests on the
+            # state store the cluster settings use
+            "spark.sql.streaming.stateStore.providerClass": (
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+                if os.environ.get("SHOPLENS_TEST_STATE_STORE") == "rocksdb"
+                else "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+            ),
         },
     )
     yield s
