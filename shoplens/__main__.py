@@ -98,6 +98,11 @@ def main(argv=None, spark=None) -> int:
         print(task)
         return 0
     if args.cmd == "stage":
+        if spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "in-memory":
+            raise SystemExit(
+                "stage needs a persistent catalog (a Hive metastore or the cluster's catalog): "
+                "tables staged in the in-memory catalog vanish with this session"
+            )
         print(tables.stage_tables(spark, args.tables, args.prefix, args.buckets))
         return 0
     if args.cmd == "realtime":
