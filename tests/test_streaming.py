@@ -319,3 +319,15 @@ def test_stream_with_batches_spanning_days(spark, scratch):
     assert _set(ban_filter.bans(out)) == _set(
         A.ban_list_by_batch(ads.join(batches, "event_id"), "b", THRESHOLD).select("userid", "ban_date")
     )
+
+
+def test_stream_readers_without_a_broker_or_port(spark):
+    """Defining the socket stream opens no connection (that happens when a
+    query starts, which this test never does); the Kafka reader needs the
+    connector jar, which plain PySpark lacks, and says so."""
+    import pytest
+
+    lines = sources.socket_stream(spark, "localhost", 9)
+    assert lines.isStreaming and lines.columns == ["value"]
+    with pytest.raises(Exception, match="(?i)kafka"):
+        sources.kafka_stream(spark, bootstrap_servers="localhost:9092", topics="ads_log")
