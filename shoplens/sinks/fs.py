@@ -1,5 +1,10 @@
 """Small filesystem helpers over Hadoop's FileSystem (works for local, HDFS,
-S3 ... whatever the cluster's paths are), reached through the session."""
+S3 ... whatever the cluster's paths are), reached through the session.
+
+PySpark has no file-system API of its own, so these go through the JVM
+gateway to Hadoop's public ``FileSystem`` class with the session's Hadoop
+configuration; only metadata calls (list, exists, rename, delete, mkdirs)
+are made, never data reads."""
 
 from __future__ import annotations
 
