@@ -84,3 +84,16 @@ def test_jdbc_failures_propagate(spark):
     df = spark.createDataFrame([("aaa--1", "3", 1, 2, 3)], schemas.CATEGORY_TOP10)
     with pytest.raises(Exception):
         jdbc.append(df, url="jdbc:nosuchdb://nowhere/report", table="category_top10")
+
+
+def test_app_jdbc_writer_wiring(spark):
+    """The offline app's JDBC writer passes its options through to the
+    writer (and a failure surfaces)."""
+    import pytest
+
+    from shoplens import apps
+
+    write = apps.jdbc_writer(url="jdbc:nosuchdb://nowhere/report", user="u", password="p", driver=None)
+    df = spark.createDataFrame([("aaa--1", "3", 1, 2, 3)], schemas.CATEGORY_TOP10)
+    with pytest.raises(Exception):
+        write("category_top10", df)
