@@ -33,8 +33,24 @@ DEFAULT_BUCKET = "hour"
 ORDER = ["__t", "event_id"]
 
 
-def _bucketed(actions: DataFrame, bucket_unit: str):
+# bucket_unit="auto": only sessions with more than HOT_ROWS actions are split
+# into hour buckets; every other session is a single bucket, so its bridge
+# step carries two rows instead of two per hour.  Costs a per-session count.
+HOT_ROWS = 1_000_000
+
+
+def _bucketed(actions: DataFrame, bucket_unit: str, hot_rows: int = HOT_ROWS):
     timed = actions.select("session_id", "event_id", "page_id", F.to_timestamp_ntz("action_time").alias("__t"))
+    if bucket_unit == "auto":
+        hot = (
+            timed.groupBy("session_id")
+            .agg(F.count(F.lit(1)).alias("__n"))
+            .filter(F.col("__n") > hot_rows)  # at most (all actions / hot_rows) sessions
+            .select("session_id", F.lit(True).alias("__hot"))
+        )
+        tagged = timed.join(hot, "session_id", "left")
+        bucket = F.when(F.col("__hot"), F.date_trunc("hour", F.col("__t")))
+        return tagged, bucket
     if bucket_unit == "rows":
         spark = actions.sparkSession
         checkpoint_root(spark)  # the shared folder must be configured
@@ -64,12 +80,14 @@ def page_visit_count(actions: DataFrame, pages: Sequence) -> DataFrame:
     )
 
 
-def page_transition_counts(actions: DataFrame, bucket_unit: str = DEFAULT_BUCKET) -> DataFrame:
+def page_transition_counts(
+    actions: DataFrame, bucket_unit: str = DEFAULT_BUCKET, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """(frm, nxt, c): how often page ``nxt`` directly follows page ``frm``
     in a session; ``nxt`` NULL counts session-last visits.  A pages x pages
     table, whatever the number of actions; the jump numerators and the visit
     denominators both come from it, so the actions are scanned once."""
-    rows, bucket = _bucketed(actions, bucket_unit)
+    rows, bucket = _bucketed(actions, bucket_unit, hot_rows)
     t = transitions(rows, "session_id", ORDER, "page_id", bucket)
     return t.groupBy("frm", "nxt").agg(F.count(F.lit(1)).alias("c"))
 
@@ -93,6 +111,7 @@ def page_jump_ratio(
     flow: Sequence,
     task_id: str | None = None,
     bucket_unit: str = DEFAULT_BUCKET,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """(jump, ratio).  Every jump found has at least one visit of its
     from-page, so the reference's divide-by-1 default (J5) never applies.
@@ -100,7 +119,7 @@ def page_jump_ratio(
     Numerator and denominator come from the one transition-count table:
     ``sum(c) over (partition by frm)`` is the from-page's visit count (each
     group holds at most one row per distinct next page)."""
-    counts = page_transition_counts(actions, bucket_unit)
+    counts = page_transition_counts(actions, bucket_unit, hot_rows)
     targets = [f"{a}-{b}" for a, b in flow_pairs(flow)]
     from_pages = sorted({a for a, _ in flow_pairs(flow)})
     out = (

@@ -42,6 +42,9 @@ def test_transitions_with_a_hot_session(spark):
             want[(a, b)] += 1
     got = Q3.page_transition_counts(df).collect()
     assert {(r.frm, r.nxt): r.c for r in got} == dict(want)
+    # auto: only the hot session (2,000 actions > 100) is split by hour
+    got = Q3.page_transition_counts(df, bucket_unit="auto", hot_rows=100).collect()
+    assert {(r.frm, r.nxt): r.c for r in got} == dict(want)
     # split by rows: the hot session is spread over range partitions
     got = Q3.page_transition_counts(df, bucket_unit="rows").collect()
     assert {(r.frm, r.nxt): r.c for r in got} == dict(want)
