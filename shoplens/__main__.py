@@ -29,6 +29,8 @@ def _parser() -> argparse.ArgumentParser:
     off.add_argument("--tables", required=True, help="folder with the input Parquet tables")
     off.add_argument("--conditions", help="conditions file (JSON, keys may be unquoted)")
     off.add_argument("--task-id")
+    off.add_argument("--session-buckets", choices=["hour", "auto", "rows"], default="hour",
+                     help="how the page-jump job splits sessions (see README)")
     off.add_argument("--table-prefix", default="", help="write results as catalog tables")
     off.add_argument("--jdbc-url", help="append results over JDBC instead")
     off.add_argument("--jdbc-user")
@@ -94,7 +96,7 @@ def main(argv=None, spark=None) -> int:
             )
         else:
             write = apps.table_writer(args.table_prefix)
-        task = apps.run_offline(spark, args.tables, write, cond, args.task_id)
+        task = apps.run_offline(spark, args.tables, write, cond, args.task_id, args.session_buckets)
         print(task)
         return 0
     if args.cmd == "stage":

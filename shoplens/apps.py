@@ -42,8 +42,10 @@ def run_offline(
     write: Writer,
     cond: params.Conditions = params.DEFAULT,
     task_id: str | None = None,
+    session_buckets: str = page_jump.DEFAULT_BUCKET,
 ) -> str:
-    """Compute Q1-Q4 and hand each result to ``write(table_name, df)``."""
+    """Compute Q1-Q4 and hand each result to ``write(table_name, df)``.
+    ``session_buckets``: how Q3 splits sessions ("hour", "auto", "rows")."""
     task_id = task_id or new_task_id()
     actions_in_range = tables.user_visit_action(spark, sf_dir, cond.start_date, cond.end_date)
     users = tables.user_info(spark, sf_dir)
@@ -54,7 +56,10 @@ def run_offline(
     finally:
         release()
     actions = tables.user_visit_action(spark, sf_dir)
-    write("jump_page_ratio", page_jump.page_jump_ratio(actions, cond.page_flow, task_id=task_id))
+    write(
+        "jump_page_ratio",
+        page_jump.page_jump_ratio(actions, cond.page_flow, task_id=task_id, bucket_unit=session_buckets),
+    )
     write(
         "area_count_info",
         area_product.area_product_top3(
