@@ -18,6 +18,10 @@ def test_cli_offline(spark, scratch):
                  "--task-id", "aaa--7"], spark=spark) == 0
     assert spark.table("cli_category_top10").count() == 10
     assert {r.task_id for r in spark.table("cli_jump_page_ratio").collect()} == {"aaa--7"}
+    # the adaptive session split gives the same page-jump table
+    assert main(["offline", "--tables", SF, "--conditions", cond, "--table-prefix", "cli_auto_",
+                 "--task-id", "aaa--7", "--session-buckets", "auto"], spark=spark) == 0
+    assert sorted(spark.table("cli_auto_jump_page_ratio").collect()) == sorted(spark.table("cli_jump_page_ratio").collect())
 
 
 def test_cli_wordcount_and_realtime(spark, scratch):
