@@ -59,3 +59,20 @@ def test_results_do_not_depend_on_session_settings(spark, con):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old_tz)
         spark.conf.set("spark.sql.adaptive.enabled", old_aqe)
+
+
+def test_results_under_cluster_settings(spark, con):
+    """session.CLUSTER_CONF (8000 initial shuffle partitions coalesced by AQE,
+    skew thresholds, RocksDB) changes plans, not results."""
+    from shoplens.session import CLUSTER_CONF
+
+    old = {k: spark.conf.get(k, None) for k in CLUSTER_CONF}
+    try:
+        for k, v in CLUSTER_CONF.items():
+            spark.conf.set(k, v)
+        for k in ["category_session_top10", "area_product_top3", "page_jump_ratio"]:
+            r = compare(spark, con, SF, k, E.queries()[k], E.oracle_sql()[k])
+            assert r["ok"], r
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
