@@ -12,13 +12,13 @@ the full shingle sets, and links become connected components.
 Work per group: equal shingle sets are collapsed first (one class per set,
 combined before the shuffle).  A bucket's members are not paired with each
 other: they are tested against one centre, then (where not yet connected)
-against a centre drawn anew for each bucket, and only members of different
-components that still share a bucket are paired, in a join that AQE can split
-and that drops pairs by set size and by one-bit sketches on the way.
+against a few members drawn anew for each bucket, for some turns, and only
+members of different components that still share a bucket are paired, in a join that AQE can split
+and that drops pairs by set size and by four bits of each minimum on the way.
 
 Chance of missing a pair of similarity exactly 0.75 with 40 bands of 4 bins:
-(1 - 0.75^4)^40 = 2.5e-7, less above; the one-bit sketch drops a pair at 0.75
-with a chance below 1e-9 (seven deviations).
+(1 - 0.75^4)^40 = 2.5e-7, less above; four bits of each minimum drop a pair at 0.75
+with a chance below 1e-7.
 """
 
 from __future__ import annotations
@@ -39,9 +39,14 @@ BINS = BANDS * ROWS
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 np.seterr(over="ignore")  # 64-bit hashes wrap around
-#: One-bit sketches agree in 1/2 + s/2 of the bins for similarity s; at 0.75
-#: fewer than this many of 160 agree with a chance below 1e-9.
-LEAST_EQUAL_BITS = 110
+BITS = 4  # kept of each minimum, to compare two documents' sketches
+PLANES = [f"b{k}" for k in range(BITS * -(-BINS // 64))]
+#: Four bits agree in s + (1 - s) / 16 of the bins for similarity s; at 0.75
+#: fewer than this many of 160 agree with a chance of 1.2e-7.
+LEAST_EQUAL = 93
+#: Draws of centres, and centres of a draw, before members of one bucket that
+#: are still apart are compared with each other.
+TURNS, CENTRES = 2, 4
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -115,17 +120,23 @@ def band_keys(mins: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return key.view(np.int64)
 
 
-def one_bit(mins: np.ndarray) -> list[int]:
-    """One bit of each bin's minimum, 64 to an integer."""
-    bits = np.zeros(-(-len(mins) // 64) * 64, np.uint8)
-    bits[: len(mins)] = (mix(mins) >> np.uint64(63)).astype(np.uint8)
-    return np.packbits(bits).view(">i8").astype(np.int64).tolist()
+def planes(mins: np.ndarray) -> list[int]:
+    """``BITS`` bits of each bin's minimum as bit planes, 64 bins to an integer."""
+    h = mix(mins)
+    out = []
+    for k in range(BITS):
+        bits = np.zeros(-(-len(mins) // 64) * 64, np.uint8)
+        bits[: len(mins)] = (h >> np.uint64(63 - k)).astype(np.uint8) & 1
+        out += np.packbits(bits).view(">i8").astype(np.int64).tolist()
+    return out
 
 
 _SKETCH = pa.schema(
-    [("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("b0", pa.int64()), ("b1", pa.int64()),
-     ("b2", pa.int64()), ("bands", pa.list_(pa.int64()))]
-)
+    [("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary())]
+    + [(c, pa.int64()) for c in PLANES]
+    + [("bands", pa.list_(pa.int64()))]
+)
+_SKETCH_SQL = f"doc_id bigint, n bigint, digest binary, {', '.join(f'{c} bigint' for c in PLANES)}, bands array<bigint>"
 
 
 def _sketch_rows(width: int):
@@ -138,11 +149,11 @@ def _sketch_rows(width: int):
             out["digest"].append(hashlib.blake2b(values.tobytes(), digest_size=16).digest())
             if len(values):
                 mins = sketch(values)
-                bits, keys = one_bit(mins), band_keys(mins)
+                bits, keys = planes(mins), band_keys(mins)
             else:
-                bits, keys = [0, 0, 0], []
-            for k in range(3):
-                out[f"b{k}"].append(bits[k])
+                bits, keys = [0] * len(PLANES), []
+            for name, x in zip(PLANES, bits, strict=True):
+                out[name].append(x)
             out["bands"].append(keys)
         return out
 
@@ -175,13 +186,18 @@ def _verify(percent: int):
 
 
 def _alike(percent: int):
-    """Pairs whose sizes and one-bit sketches allow the similarity."""
-    equal = F.lit(64 * 3)
-    for k in range(3):
-        equal = equal - F.bit_count(F.col(f"x.b{k}").bitwiseXOR(F.col(f"y.b{k}")))
-    spare = 64 * 3 - BINS  # bits past the sketch are equal in all
+    """Pairs whose sizes and sketches allow the similarity."""
+    words = len(PLANES) // BITS
+    equal = F.lit(0)
+    for i in range(words):
+        differ = F.lit(0).cast("bigint")
+        for k in range(BITS):
+            c = PLANES[k * words + i]
+            differ = differ.bitwiseOR(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}")))
+        equal = equal + 64 - F.bit_count(differ)
+    spare = 64 * words - BINS  # bins past the sketch are equal in all
     small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-    return (small * 100 >= large * percent) & (equal - spare >= LEAST_EQUAL_BITS)
+    return (small * 100 >= large * percent) & (equal - spare >= LEAST_EQUAL)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
@@ -197,7 +213,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
     sketches = stage(
         docs.select("doc_id", "text").mapInArrow(
             over_texts(_sketch_rows(width), _SKETCH),
-            "doc_id bigint, n bigint, digest binary, b0 bigint, b1 bigint, b2 bigint, bands array<bigint>",
+            _SKETCH_SQL,
         ),
         "sketches",
     )
@@ -211,7 +227,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
         "classes",
     )
     # One id with unlike texts: two classes of one name, joined by it.
-    traits = classes.select(F.col("rep").alias("id"), "n", "b0", "b1", "b2")
+    traits = classes.select(F.col("rep").alias("id"), "n", *PLANES)
     banded = classes.select("rep", F.explode("bands").alias("key"))
     shared = stage(
         banded.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("last"))
@@ -251,22 +267,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
         )
         return stage(both.mapInArrow(_verify(percent), "a bigint, b bigint"), "links")
 
-    def named(found: DataFrame) -> DataFrame:
+    def named(rows: DataFrame, found: DataFrame) -> DataFrame:
         """Bucket rows with the component so far."""
         comp = found.withColumnRenamed("node", "rep")
-        return buckets.join(comp, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
+        return rows.select("key", "rep").join(comp, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
 
-    def mixed(rows: DataFrame) -> DataFrame:
-        """Rows of the buckets that hold more than one component."""
+    def mixed(rows: DataFrame, turn: int) -> DataFrame:
+        """Rows of the buckets that hold more than one component, each with
+        ``CENTRES`` members of the bucket, drawn anew every turn."""
+        drawn = [F.min_by(F.struct("rep", "comp"), F.xxhash64("rep", "key", F.lit(turn), F.lit(i))) for i in range(CENTRES)]
         open_keys = stage(
             rows.groupBy("key")
-            .agg(
-                F.min("comp").alias("lo"),
-                F.max("comp").alias("hi"),
-                F.min_by(F.struct("rep", "comp"), F.xxhash64("rep", "key")).alias("c"),
-            )
+            .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), *[c.alias(f"c{i}") for i, c in enumerate(drawn)])
             .filter("lo < hi")
-            .select("key", F.col("c.rep").alias("centre"), F.col("c.comp").alias("centre_comp")),
+            .select("key", F.array_distinct(F.array(*[f"c{i}" for i in range(CENTRES)])).alias("centres")),
             "open",
         )
         return stage(rows.join(open_keys, "key"), "mixed")
@@ -276,21 +290,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
 
     links = verified(buckets.filter("rep <> centre").select(*pair("rep", "centre")))
     found = components(links)
-    rest = mixed(named(found))
-    if not rest.isEmpty():
-        more = verified(rest.filter("comp <> centre_comp").select(*pair("rep", "centre")))
-        links = links.union(more)
+    rest = buckets
+    for turn in range(TURNS):
+        rest = mixed(named(rest, found), turn)
+        if rest.isEmpty():
+            break
+        drawn = rest.select("rep", "comp", F.explode("centres").alias("c")).filter("comp <> c.comp")
+        links = links.union(verified(drawn.select(*pair(F.col("rep"), F.col("c.rep")))))
+        found = components(links)
+    else:  # what still shares a bucket without being connected, pair by pair
+        rest = mixed(named(rest, found), TURNS)
+        full = stage(rest.select("key", "rep", "comp").join(traits, F.col("rep") == F.col("id")), "rest")
+        x, y = full.alias("x"), full.alias("y")
+        crossing = x.join(
+            y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp")) & _alike(percent)
+        ).select(*pair(F.col("x.rep"), F.col("y.rep")))
+        links = links.union(verified(crossing))
         found = components(links)
-        rest = mixed(rest.select("key", "rep").distinct().join(found.withColumnRenamed("node", "rep"), "rep", "left")
-                     .select("key", "rep", F.coalesce("component", "rep").alias("comp")))
-        if not rest.isEmpty():
-            full = stage(rest.select("key", "rep", "comp").join(traits, F.col("rep") == F.col("id")), "rest")
-            x, y = full.alias("x"), full.alias("y")
-            crossing = x.join(
-                y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp")) & _alike(percent)
-            ).select(*pair(F.col("x.rep"), F.col("y.rep")))
-            links = links.union(verified(crossing))
-            found = components(links)
 
     named_class = member.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         F.col("digest").alias("of"), F.coalesce("component", "rep").alias("component_id")
