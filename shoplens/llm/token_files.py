@@ -154,7 +154,7 @@ def _writer(folder: str, tokenizer: str, end_id: int, file_ids: int):
 
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for begin, end in slices(batch, texts, 2_000_000):
+            for begin, end in slices(batch, texts, 4_000_000):
                 ids, at = enc.encode(texts[begin:end])
                 n = np.diff(at) + 1
                 out = np.full(len(ids) + len(n), end_id, np.uint32)

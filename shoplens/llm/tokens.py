@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import cached_property, lru_cache
 
 import numpy as np
@@ -39,30 +40,31 @@ def byte_letters() -> dict[str, int]:
 class Encoder:
     """Encodes lists of texts; one per Python worker and file."""
 
-    def __init__(self, path: str, cache_words: int = 700_000, longest_cached: int = 48):
+    def __init__(self, path: str, cache_words: int = 900_000, longest_cached: int = 32):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.cache: dict[str, bytes] = {}
+        #: Ids of words after a space, and of words that begin a text.
+        self.inner: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}
         self.cache_words, self.longest = cache_words, longest_cached
 
     def plain(self, texts: list[str]) -> list[list[int]]:
         """Ids as the library itself gives them."""
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        cache = self.cache
-        found = [cache.get(w) for w in words]
+    def _words(self, words: list[str], cache: dict[str, bytes], space: str) -> list[bytes]:
+        found = list(map(cache.get, words))
         missing = [i for i, ids in enumerate(found) if ids is None]
         if len(cache) + len(missing) > self.cache_words:
             cache.clear()
         for begin in range(0, len(missing), 20_000):
             part = missing[begin : begin + 20_000]
-            for i, ids in zip(part, self.plain([words[i] for i in part]), strict=True):
-                found[i] = data = np.array(ids, np.uint32).tobytes()
+            for i, ids in zip(part, self.plain([space + words[i] for i in part]), strict=True):
+                found[i] = data = array("I", ids).tobytes()
                 if len(words[i]) <= self.longest:
                     cache[words[i]] = data
         return found
@@ -83,11 +85,11 @@ class Encoder:
         words = flat.dictionary_encode()
         at = np.asarray(words.indices).astype(np.int64)
         # The first part of a text has no space before it.
-        inner = [" " + w for w in words.dictionary.to_pylist()]
+        inner = words.dictionary.to_pylist()
         firsts = flat.take(pa.array(bounds[:-1])).dictionary_encode()
         at[bounds[:-1]] = np.asarray(firsts.indices).astype(np.int64) + len(inner)
-        known = self._words(inner + firsts.dictionary.to_pylist())
-        size = np.fromiter((len(x) // 4 for x in known), np.int64, len(known))
+        known = self._words(inner, self.inner, " ") + self._words(firsts.dictionary.to_pylist(), self.first, "")
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
         ids = np.frombuffer(b"".join(known), np.uint32)
         begin = np.cumsum(size) - size
         n = size[at]
