@@ -23,6 +23,7 @@ from shoplens.streaming import control, sources, word_count
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="shoplens")
+    p.add_argument("--cluster", action="store_true", help="use the settings for a large cluster")
     sub = p.add_subparsers(dest="cmd", required=True)
 
     off = sub.add_parser("offline", help="Q1-Q4 report")
@@ -73,23 +74,17 @@ def _trigger(args) -> dict:
 
 def _wait(spark, queries, args) -> None:
     control.stop_on_signal(queries)
-    if args.stop_marker:
-        control.run_until_marker(spark, queries[0], args.stop_marker)
-        for q in queries[1:]:
-            control.stop_gracefully(q)
-    else:
-        for q in queries:
-            q.awaitTermination()
+    control.run_all(spark, queries, args.stop_marker)
 
 
 def main(argv=None, spark=None) -> int:
     args = _parser().parse_args(argv)
-    spark = spark or get_session(app_name=f"shoplens-{args.cmd}")
+    spark = spark or get_session(app_name=f"shoplens-{args.cmd}", cluster=args.cluster)
     if args.cmd == "offline":
         cond = params.DEFAULT
         if args.conditions:
-            with open(args.conditions, encoding="utf-8") as f:
-                cond = params.Conditions.from_json(f.read())
+            text = spark.read.text(args.conditions, wholetext=True).first()[0]  # any path Spark reads
+            cond = params.Conditions.from_json(text)
         if args.jdbc_url:
             write = apps.jdbc_writer(
                 url=args.jdbc_url, user=args.jdbc_user, password=args.jdbc_password, driver=args.jdbc_driver

@@ -1,5 +1,6 @@
-"""Column-expression helpers.  All are built-in Spark expressions, so they
-stay inside whole-stage codegen; none is a Python UDF."""
+"""Column-expression helpers: built-in Spark expressions, none a Python UDF.
+Those with a lambda (``filter``, ``transform``) are evaluated in the JVM
+outside generated code."""
 
 from __future__ import annotations
 

@@ -2,7 +2,7 @@
 
 For each group: the click count and a text naming the two leading cities with
 their share of the group's clicks, rounded half-up to 0.1%, plus the rest:
-``南京:16.4%,杭州:15.0%,其它：68.6%``.  The rest is 100 minus the two
+``甲市:50.0%,乙市:30.0%,其它：20.0%``.  The rest is 100 minus the two
 *rounded* shares, rounded again; it is always present (``其它：0.0%``).
 
 Plan shape (no group is ever materialised whole):

@@ -3,7 +3,7 @@
 Spark already broadcasts a side whose *estimated* size is under
 ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-plans from runtime
 sizes.  ``bounded_broadcast`` is for the cases where we want the decision
-made from a *proven* bound (a row count), and otherwise leave the join to
+made from a *proven* bound (the plan's size in bytes), and otherwise leave the join to
 Catalyst (sort-merge, with AQE skew splitting).
 """
 
@@ -12,29 +12,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension with at most this many rows is always safe to ship to every
-# executor (a few MB at most for the narrow projections we join on).
-DEFAULT_MAX_BROADCAST_ROWS = 100_000
+# A side whose plan proves at most this many bytes is safe to ship to every
+# executor.
+DEFAULT_MAX_BROADCAST_BYTES = 16 << 20
 
 
-_CHECKED: dict = {}
+def is_bounded(df: DataFrame, max_bytes: int) -> bool:
+    """True when the optimizer's size of ``df`` (from the files or the table's
+    statistics; an upper bound after filters and projections) is at most
+    ``max_bytes``.  Looks at the plan alone: no job runs, nothing is kept, so
+    a changed input is seen by the next call."""
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    return int(str(stats.sizeInBytes())) <= max_bytes
 
 
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  Reads at most
-    ``max_rows + 1`` rows (the limit stops the scan early).  The answer is
-    remembered per plan and input file set, so a changed input is checked
-    again."""
-    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    if key not in _CHECKED:
-        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _CHECKED[key]
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if its row count is proven <= ``max_rows``; else
-    ``df`` unchanged, so the join falls back to a shuffle join."""
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
+def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` if its size is proven <= ``max_bytes``; else ``df``
+    unchanged, so the join falls back to a shuffle join."""
+    return F.broadcast(df) if is_bounded(df, max_bytes) else df
 
 
 def join_dimension(
@@ -42,11 +37,11 @@ def join_dimension(
     dim: DataFrame,
     on,
     how: str = "inner",
-    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int | None = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Fact x dimension join; the dimension is broadcast only behind the
-    row-count check, otherwise Catalyst/AQE pick the strategy."""
-    side = bounded_broadcast(dim, max_broadcast_rows) if max_broadcast_rows else dim
+    size check, otherwise Catalyst/AQE pick the strategy."""
+    side = bounded_broadcast(dim, max_broadcast_bytes) if max_broadcast_bytes else dim
     return fact.join(side, on, how)
 
 

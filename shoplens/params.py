@@ -9,7 +9,8 @@ import re
 
 from shoplens.functions import constants as K
 
-_UNQUOTED_KEY = re.compile(r'([{,]\s*)([A-Za-z_][A-Za-z0-9_]*)\s*:')
+# A quoted string (kept as it is), or a bare key before its colon.
+_STRING_OR_KEY = re.compile(r'("(?:[^"\\]|\\.)*")|([A-Za-z_][A-Za-z0-9_]*)(?=\s*:)')
 
 
 def parse_lenient_json(text: str) -> dict:
@@ -18,7 +19,7 @@ def parse_lenient_json(text: str) -> dict:
     text = re.sub(r"\\\s*\n", " ", text.strip())
     if "=" in text.split("{", 1)[0]:
         text = text.split("=", 1)[1]
-    return json.loads(_UNQUOTED_KEY.sub(r'\1"\2":', text))
+    return json.loads(_STRING_OR_KEY.sub(lambda m: m.group(1) or f'"{m.group(2)}"', text))
 
 
 def _blank(v):

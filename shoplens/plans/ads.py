@@ -21,6 +21,11 @@ from shoplens.operators.topk import top_k_per_group
 
 # --- P1 / P2: the wire format -------------------------------------------------
 
+# Columns of a source by these names (a Kafka row has a ``timestamp``) give way
+# to the parsed fields.
+_PARSED = ("timestamp", "area", "city", "userid", "adid", "valid")
+
+
 def parse_ads_lines(lines: DataFrame, value_col: str = "value", lenient: bool = False) -> DataFrame:
     """``timestamp area city userid adid`` text -> typed click rows.
 
@@ -28,7 +33,7 @@ def parse_ads_lines(lines: DataFrame, value_col: str = "value", lenient: bool =
     as in the reference.  ``lenient=True`` yields NULLs instead and adds a
     ``valid`` flag so callers can route rejects elsewhere."""
     parts = F.split(F.col(value_col).cast("string"), K.ADS_LINE_SEPARATOR)
-    keep = [c for c in lines.columns if c != value_col]
+    keep = [c for c in lines.columns if c != value_col and c not in _PARSED]
     if lenient:
         ts = F.expr(f"try_cast(try_element_at(split(CAST(`{value_col}` AS STRING), ' '), 1) AS BIGINT)")
         fields = [F.try_element_at(parts, F.lit(i)) for i in range(2, 6)]

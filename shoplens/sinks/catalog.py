@@ -4,6 +4,7 @@ aggregate on the same key (the join then needs no shuffle on that side)."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +23,10 @@ def replace_table(
     sort_by: Sequence[str] | None = None,
     fmt: str = "parquet",
 ) -> None:
-    """Drop ``name`` if it exists and write ``df`` as the new table."""
+    """Write ``df`` as a new table and then put it in ``name``'s place, so
+    a failed job leaves the old table and ``df`` may read it."""
     spark = df.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    draft = f"{name}_{uuid.uuid4().hex[:12]}"
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -33,7 +35,9 @@ def replace_table(
         w = w.bucketBy(int(n), *cols)
         if sort_by:
             w = w.sortBy(*sort_by)
-    w.saveAsTable(name)
+    w.saveAsTable(draft)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {draft} RENAME TO {name}")
 
 
 def read_table(spark: SparkSession, name: str, schema=None) -> DataFrame:

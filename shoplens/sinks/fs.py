@@ -45,6 +45,9 @@ def mkdirs(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
-def rename(spark: SparkSession, src: str, dst: str) -> bool:
+def rename(spark: SparkSession, src: str, dst: str) -> None:
+    """Move ``src`` to ``dst``; raises if the file system refuses."""
     fs, p = _fs(spark, src)
-    return bool(fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)))
+    to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)
+    if not fs.rename(p, to) or not fs.exists(to):
+        raise OSError(f"could not move {src} to {dst}")

@@ -2,7 +2,7 @@
 
 Writes go from the executors, one connection and one transaction per
 partition, in batches of ``batchsize`` rows.  ``max_connections`` bounds the
-database's load by coalescing (no shuffle) to that many partitions.  Unlike
+database's load by dealing the rows out to that many partitions.  Unlike
 the reference's statement runner, failures are not swallowed: a failed task
 fails the job (K17).  The JDBC driver jar must be on the cluster classpath.
 """
@@ -42,8 +42,8 @@ def jdbc_options(
 
 def append(df: DataFrame, max_connections: int | None = 10, **options) -> None:
     """Append ``df`` to the table (columns matched by name)."""
-    if max_connections:  # coalesce never adds partitions, so this only caps them
-        df = df.coalesce(int(max_connections))
+    if max_connections:  # a shuffle, so that the stage before keeps its own parallelism
+        df = df.repartition(int(max_connections))
     df.write.format("jdbc").options(**jdbc_options(**options)).mode("append").save()
 
 

@@ -70,7 +70,15 @@ def read_latest(spark: SparkSession, root: str, before: int | None = None, schem
 
 
 def partition_path(root: str, col: str, value) -> str:
-    return f"{root.rstrip('/')}/{col}={value}"
+    return f"{root.rstrip('/')}/{col}={_escape(value)}"
+
+
+def _escape(value) -> str:
+    """A key value as Spark's partitioned writer spells it in a folder name."""
+    if value is None or value == "":
+        return "__HIVE_DEFAULT_PARTITION__"
+    special = set("\"#%'*/:=?\\{[]^") | {chr(c) for c in [*range(1, 32), 127]}
+    return "".join(f"%{ord(c):02X}" if c in special else c for c in str(value))
 
 
 def latest_partition_paths(spark: SparkSession, root: str, col: str) -> list[str]:

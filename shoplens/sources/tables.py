@@ -23,24 +23,14 @@ TABLES = (
 ).split()
 
 
-_SCANS: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Catalog-style scan of one base table.
 
-    The scan DataFrame (file listing and footer schema) is kept per session
-    and path, like a catalog table's cached listing; inputs are taken as
-    immutable while a job runs.  ``refresh()`` forgets the listings.  A
-    ``catalog:<prefix>`` location reads staged catalog tables instead."""
+    The files are listed anew by every call, so files added since are read.
+    A ``catalog:<prefix>`` location reads staged catalog tables instead."""
     if sf_dir.startswith(CATALOG):  # tables staged in the catalog (stage_tables)
         return spark.table(f"{sf_dir[len(CATALOG):]}{name}")
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _SCANS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _SCANS[key] = spark.read.parquet(path)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # ``catalog:<prefix>`` as the table location reads catalog tables
@@ -69,10 +59,6 @@ def stage_tables(spark: SparkSession, sf_dir: str, prefix: str, buckets: int, na
     return f"{CATALOG}{prefix}"
 
 
-def refresh() -> None:
-    _SCANS.clear()
-
-
 def register_views(spark: SparkSession, sf_dir: str) -> None:
     """Register every base table and adapter view as a temp view."""
     for name in TABLES:

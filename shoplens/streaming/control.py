@@ -13,10 +13,11 @@ from pyspark.sql.streaming import StreamingQuery
 from shoplens.sinks import fs
 
 
-def stop_gracefully(query: StreamingQuery, poll_seconds: float = 0.2, max_wait: float = 600.0) -> None:
-    """Let the in-flight micro-batch finish, then stop between batches."""
-    deadline = time.time() + max_wait
-    while query.isActive and query.status.get("isTriggerActive") and time.time() < deadline:
+def stop_gracefully(query: StreamingQuery, poll_seconds: float = 0.2, max_wait: float | None = None) -> None:
+    """Let the in-flight micro-batch finish, then stop between batches.  With
+    ``max_wait`` seconds given, a longer batch is interrupted."""
+    deadline = None if max_wait is None else time.time() + max_wait
+    while query.isActive and query.status.get("isTriggerActive") and (deadline is None or time.time() < deadline):
         time.sleep(poll_seconds)
     query.stop()
 
@@ -42,6 +43,30 @@ def run_until_marker(
             return "timeout"
 
 
+def run_all(spark: SparkSession, queries, marker_path: str | None = None, poll_seconds: float = 5.0) -> str:
+    """Wait until ``marker_path`` appears or every query has ended; returns
+    ``"marker"`` or ``"terminated"``.  A query that fails stops the others and
+    raises, so no app goes on half dead."""
+    queries = list(queries)
+    while True:
+        failed = next((q for q in queries if not q.isActive and q.exception() is not None), None)
+        marked = marker_path is not None and fs.exists(spark, marker_path)
+        if failed is not None or marked:
+            for q in queries:
+                if q.isActive:
+                    stop_gracefully(q)
+            if failed is not None:
+                raise failed.exception()
+            return "marker"
+        active = [q for q in queries if q.isActive]
+        if not active:
+            return "terminated"
+        try:
+            active[0].awaitTermination(poll_seconds)
+        except Exception:  # raised above, after the others are stopped
+            continue
+
+
 def stop_on_signal(queries, signals=(signal.SIGTERM, signal.SIGINT)):
     """Stop the given queries gracefully when the driver gets one of
     ``signals`` (the counterpart of stopping gracefully on shutdown).
