@@ -156,7 +156,7 @@ def wand(terms: set[int], index: Index, low: int, high: int, threshold: float) -
         bound, pivot = 0.0, None
         for c in cursors:
             bound += c[2]
-            if bound >= threshold:
+            if bound >= threshold - 1e-9:
                 pivot = c[0][c[1]][0]
                 break
         if pivot is None:
