@@ -11,10 +11,17 @@ the full shingle sets, and links become connected components.
 
 Work per group: equal shingle sets are collapsed first (one class per set,
 combined before the shuffle).  A bucket's members are not paired with each
-other: they are tested against one centre, then (where not yet connected)
-against a few members drawn anew for each bucket, for some turns, and only
-members of different components that still share a bucket are paired, in a join that AQE can split
-and that drops pairs by set size and by four bits of each minimum on the way.
+other: they are tested against the member that shares most buckets (the
+centre), then, where not yet connected, against a few members drawn anew for
+each bucket while that finds links.  For members of different components that
+still share a bucket, a rule about the centre c replaces the pairing: with
+a = percent / (100 + percent), x and y are alike if they share a * (|x| + |y|)
+shingles, and at most min(|x & c|, |y & c|) of them are in c.  Where that is
+too few, x and y share shingles *outside* c, so a prefix and position join on
+those finds the pair; alterations of one text share few of them.  It can be
+enough only if a member is smaller than c; those that may be part of such a
+pair are tested in the same way against their smallest member, for which the
+rule leaves out no pair but those of two documents that are alike to it.
 
 Chance of missing a pair of similarity exactly 0.75 with 40 bands of 4 bins:
 (1 - 0.75^4)^40 = 2.5e-7, less above; four bits of each minimum drop a pair at 0.75
@@ -44,8 +51,8 @@ PLANES = [f"b{k}" for k in range(BITS * -(-BINS // 64))]
 #: Four bits agree in s + (1 - s) / 16 of the bins for similarity s; at 0.75
 #: fewer than this many of 160 agree with a chance of 1.2e-7.
 LEAST_EQUAL = 93
-#: Draws of centres, and centres of a draw, before members of one bucket that
-#: are still apart are compared with each other.
+#: Most draws of centres, and centres of a draw, before members of one bucket
+#: that are still apart are joined on the shingles outside their centre.
 TURNS, CENTRES = 2, 4
 
 
@@ -185,6 +192,40 @@ def _verify(percent: int):
     return run
 
 
+_OUTSIDE_SQL = "grp bigint, rep bigint, comp bigint, least bigint, cover bigint, than bigint, n bigint, nc bigint, k bigint, linked boolean, size bigint, tokens array<bigint>"
+
+
+def _outside(percent: int):
+    """Of (grp, rep, comp, least, cover, than, set, centre's set): sizes n and nc, the k shared
+    shingles, whether the two are alike, and of the ``size`` shingles outside the
+    centre, in order of their hashes, those that a partner of at least ``least``
+    shingles must share one of."""
+
+    def run(batches):
+        for batch in batches:
+            n, nc, common, linked, size, tokens = ([] for _ in range(6))
+            for least, x, c in zip(*(batch.column(i) for i in (3, 6, 7)), strict=True):
+                x, c = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, c))
+                out = np.setdiff1d(x, c, assume_unique=True)
+                k = len(x) - len(out)
+                partner = max(least.as_py(), -(-len(x) * percent // 100))
+                must = max(1, -(-percent * (len(x) + partner) // (100 + percent)) - k)
+                n.append(len(x))
+                nc.append(len(c))
+                common.append(k)
+                linked.append(100 * k >= percent * (len(x) + len(c) - k))
+                size.append(len(out))
+                tokens.append(np.sort(out)[: max(0, len(out) - must + 1)].view(np.int64))
+            columns = [pa.array(v, pa.int64()) for v in (n, nc, common)]
+            columns += [pa.array(linked, pa.bool_()), pa.array(size, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:6], *columns],
+                ["grp", "rep", "comp", "least", "cover", "than", "n", "nc", "k", "linked", "size", "tokens"],
+            )
+
+    return run
+
+
 def _alike(percent: int):
     """Pairs whose sizes and sketches allow the similarity."""
     words = len(PLANES) // BITS
@@ -230,11 +271,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
     traits = classes.select(F.col("rep").alias("id"), "n", *PLANES)
     banded = classes.select("rep", F.explode("bands").alias("key"))
     shared = stage(
-        banded.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("last"))
-        .filter("centre < last").select("key", "centre"),
+        banded.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count("*").alias("size"))
+        .filter("lo < hi"),
         "shared",
     )
-    buckets = stage(banded.join(shared, "key").select("key", "rep", "centre"), "buckets")
+    members = stage(banded.join(shared.select("key", "size"), "key"), "members")
+    met = members.groupBy("rep").agg(F.sum("size").alias("met"))
+    heads = stage(
+        members.join(met, "rep").groupBy("key").agg(F.max_by("rep", F.struct("met", -F.col("rep"))).alias("centre")),
+        "heads",
+    )
+    buckets = stage(members.select("key", "rep").join(heads, "key"), "buckets")
 
     involved = buckets.select("rep").distinct()
     sets = stage(
@@ -288,25 +335,77 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
     def pair(a, b):
         return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
+    def against(groups: DataFrame, name: str) -> DataFrame:
+        """The members of groups (grp, rep, comp, least, centre, cover, than)
+        against their group's centre.  Wanted are pairs with a member of
+        fewer than ``than`` shingles that ``cover`` allows."""
+        own = sets.select(F.col("id").alias("rep"), F.col("set").alias("sx"))
+        centres = sets.select(F.col("id").alias("centre"), F.col("set").alias("sc"))
+        both = groups.join(own, "rep").join(centres, "centre").select("grp", "rep", "comp", "least", "cover", "than", "sx", "sc")
+        return stage(both.mapInArrow(_outside(percent), _OUTSIDE_SQL), name)
+
+    def outside_pairs(rows: DataFrame) -> DataFrame:
+        """Pairs of a group's components that share enough outside its centre."""
+        each = rows.select(
+            "grp", "rep", "comp", "cover", "than", "n", "k", "linked", "size", F.posexplode("tokens").alias("pos", "token")
+        )
+        x, y = each.filter("n < than").alias("x"), each.alias("y")
+        shared_most = F.least(F.col("x.size") - F.col("x.pos"), F.col("y.size") - F.col("y.pos")) + F.least("x.k", "y.k")
+        fits = (
+            (F.col("x.grp") == F.col("y.grp"))
+            & (F.col("x.token") == F.col("y.token"))
+            & ((F.col("x.rep") < F.col("y.rep")) | (F.col("y.n") >= F.col("y.than")))
+            & (F.col("x.comp") != F.col("y.comp"))
+            & ~(F.col("x.linked") & F.col("y.linked"))
+            & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
+            & (F.least("x.cover", "y.cover") * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent)
+            & (shared_most * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent)
+        )
+        return x.join(y, fits).select(*pair("x.rep", "y.rep"))
+
+    def apart(rows: DataFrame, centre, least) -> DataFrame:
+        """Groups of more than one component, with a centre and a least size."""
+        return (
+            rows.groupBy("grp")
+            .agg(centre.alias("head"), least.alias("least"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+            .filter("lo < hi")
+            .select("grp", F.col("head.rep").alias("centre"), F.col("head.comp").alias("home"), "least")
+        )
+
     links = verified(buckets.filter("rep <> centre").select(*pair("rep", "centre")))
     found = components(links)
-    rest = buckets
-    for turn in range(TURNS):
-        rest = mixed(named(rest, found), turn)
+    rest = mixed(named(buckets, found), 0)
+    for turn in range(1, TURNS + 1):
         if rest.isEmpty():
             break
         drawn = rest.select("rep", "comp", F.explode("centres").alias("c")).filter("comp <> c.comp")
-        links = links.union(verified(drawn.select(*pair(F.col("rep"), F.col("c.rep")))))
-        found = components(links)
-    else:  # what still shares a bucket without being connected, pair by pair
-        rest = mixed(named(rest, found), TURNS)
-        full = stage(rest.select("key", "rep", "comp").join(traits, F.col("rep") == F.col("id")), "rest")
-        x, y = full.alias("x"), full.alias("y")
-        crossing = x.join(
-            y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp")) & _alike(percent)
-        ).select(*pair(F.col("x.rep"), F.col("y.rep")))
-        links = links.union(verified(crossing))
+        new = verified(drawn.select(*pair(F.col("rep"), F.col("c.rep"))))
+        if new.isEmpty():
+            break
+        links = links.union(new)
         found = components(links)
+        rest = mixed(named(rest, found), turn)
+    if not rest.isEmpty():
+        sizes = traits.groupBy("id").agg(F.min("n").alias("n"))
+        rows = rest.join(heads, "key").select(F.col("centre").alias("grp"), "rep", "comp").distinct()
+        rows = stage(rows.join(sizes, F.col("rep") == F.col("id")).select("grp", "rep", "comp", "n"), "rest")
+        first = stage(apart(rows, F.max_by(F.struct("rep", "comp"), F.col("rep") == F.col("grp")), F.min("n")), "groups")
+        every = F.lit(1 << 40)
+        each = rows.select("grp", "rep", "comp", every.alias("cover"), every.alias("than"))
+        near = against(each.join(first, "grp"), "outside")
+        # Pairs that the rule may leave out hold a member smaller than the centre.
+        partner = F.greatest(F.ceil(F.col("n") * percent / 100), F.col("least"))
+        left = near.filter((F.col("least") < F.col("nc")) & (F.col("k") * (100 + percent) >= (F.col("n") + partner) * percent))
+        small = stage(apart(left, F.min_by(F.struct("rep", "comp"), F.struct("n", "rep")), F.min("n")), "groups")
+        each = left.select("grp", "rep", "comp", F.col("k").alias("cover"), F.col("nc").alias("than"))
+        second = against(each.join(small, "grp"), "outside")
+        new = verified(outside_pairs(near).union(outside_pairs(second)))
+        for checked, centres in ((near, first), (second, small)):
+            at_centre = checked.filter("linked").join(centres.drop("least"), "grp").filter("comp <> home")
+            new = new.union(at_centre.select(*pair("rep", "centre")))
+        if not new.isEmpty():
+            links = links.union(new)
+            found = components(links)
 
     named_class = member.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         F.col("digest").alias("of"), F.coalesce("component", "rep").alias("component_id")

@@ -74,6 +74,38 @@ def test_near_duplicates(docs, texts):
     assert got == {(i, len(sets[i]), name[i], name[i] == i) for i in sets}
 
 
+def test_near_duplicates_of_alike_families(spark):
+    """Families whose members are mostly alike below the threshold, of unlike
+    lengths, with links between members that their centre is not alike to."""
+    rng = random.Random(11)
+    texts = []
+    for _ in range(3):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(110)]
+        for _ in range(45):
+            copy = list(base)
+            for _ in range(rng.randint(3, 9)):
+                copy[rng.randrange(len(copy))] = f"v{rng.randrange(10**6)}"
+            copy = copy[rng.randint(0, 12) : len(copy) - rng.randint(0, 12)]
+            texts.append(" ".join(copy))
+            if rng.random() < 0.3:  # a near copy of this variant
+                copy[rng.randrange(len(copy))] = "z"
+                texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for t in texts]
+    name = list(range(len(sets)))
+    links = [(a, b) for a in name for b in range(a) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    for _ in sets:
+        for a, b in links:
+            name[a] = name[b] = min(name[a], name[b])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    # without draws, so that the join outside the centres has to find the rest
+    for turns in (0, near_dedup.TURNS):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(near_dedup, "TURNS", turns)
+            got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs).collect()}
+        assert got == dict(enumerate(name))
+
+
 def test_sketch_fills_every_bin():
     for n in (1, 2, 7, 500):
         values = near_dedup.mix(np.arange(1, n + 1, dtype=np.uint64))
