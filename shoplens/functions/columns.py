@@ -36,7 +36,7 @@ def split_like_java(col, sep: str) -> Column:
 
 def id_list(col, sep: str = K.ID_LIST_SEPARATOR) -> Column:
     """Comma-joined id text -> array of non-empty id strings (NULL stays NULL)."""
-    return F.filter(split_like_java(col, sep), lambda x: x != "")
+    return F.array_remove(F.split(_c(col), re.escape(sep)), "")
 
 
 def words(col, sep: str = K.WORD_SEPARATOR) -> Column:

@@ -62,6 +62,20 @@ def city_share(
     g = list(group_cols)
     counts = df.groupBy(*g, F.col(city_col).alias("city")).agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy(*g).agg(F.sum("n").alias(count_col))
+    return share_of_counts(counts, totals, g, count_col, text_col, top)
+
+
+def share_of_counts(
+    counts: DataFrame,
+    totals: DataFrame,
+    group_cols: Sequence[str],
+    count_col: str = "product_count",
+    text_col: str = "city_click_ratio",
+    top: int = K.SHARE_TOP_CITIES,
+) -> DataFrame:
+    """``totals`` (``group_cols + [count_col]``) with the share text from
+    ``counts`` (``group_cols + [city, n]``, one row per group and city)."""
+    g = list(group_cols)
     # NULL city sorts last and is dropped from the names below; filtering it
     # out here instead would be pushed under the shared aggregate and stop
     # Spark from reusing its shuffle for both branches.

@@ -114,16 +114,21 @@ def category_session_top10(
 ) -> DataFrame:
     """The n sessions with most clicks per top category (session id
     ascending breaks ties).  A top category without clicks has no rows (K2)."""
-    if counts is None:
+    order = [F.col("click_count").desc(), F.col("session_id").asc()]
+    if counts is None and top_categories is None:
+        # One scan: the categories' ranking and the sessions' come from the same
+        # (category, session) counts.  Both branches need all three counts (the
+        # last two as order columns behind the unique session id, so they decide
+        # nothing) and the join is null-safe, so both read one shuffle.
+        kinds = category_session_kind_counts(actions)
+        best = top_categories_from(kinds).select(F.col("category_id").alias("best"))
+        counts = kinds.filter("click_count > 0").join(best, F.col("category_id").eqNullSafe(F.col("best")), "left_semi")
+        order += [F.col("order_count").desc(), F.col("pay_count").desc()]
+    elif counts is None:
         counts = category_session_counts(actions, top_categories)
     else:
         counts = counts.join(top_categories.select("category_id"), "category_id", "left_semi")
-    top = top_k_per_group(
-        counts,
-        ["category_id"],
-        [F.col("click_count").desc(), F.col("session_id").asc()],
-        n,
-    )
+    top = top_k_per_group(counts, ["category_id"], order, n)
     cols = ["category_id", "session_id", "click_count"]
     if task_id is not None:
         return top.select(F.lit(task_id).alias("task_id"), *cols)

@@ -18,6 +18,7 @@ from shoplens.plans import ads as A
 from shoplens.plans import area_product as Q4
 from shoplens.plans import category as Q12
 from shoplens.plans import page_jump as Q3
+from shoplens.sources import schemas
 from shoplens.sources import tables as T
 
 # Parameters the registered queries run with.
@@ -61,13 +62,12 @@ def lineitem_clicks(spark: SparkSession, d: str) -> DataFrame:
 
 def _city_ratio_sql(spark: SparkSession, d: str) -> DataFrame:
     fn = register_city_ratio_function(spark)
-    Q4.area_product_clicks(*_q4_inputs(spark, d)).createOrReplaceTempView("area_product_clicks")
+    Q4.area_product_city_counts(*_q4_inputs(spark, d)).createOrReplaceTempView("area_product_city_count")
     return spark.sql(
         f"""
         SELECT area, product_name, sum(n) AS product_count,
-               {fn}(collect_list(named_struct('city', city_name, 'n', n))) AS city_click_ratio
-        FROM (SELECT area, product_name, city_name, count(*) AS n
-              FROM area_product_clicks GROUP BY area, product_name, city_name)
+               {fn}(collect_list(named_struct('city', city, 'n', n))) AS city_click_ratio
+        FROM area_product_city_count
         GROUP BY area, product_name
         """
     )
@@ -77,14 +77,10 @@ def _area_product_top3_sql(spark: SparkSession, d: str) -> DataFrame:
     """Q4 as SQL over a chain of temp views (S2), for SQL users: clicks ->
     per-city counts -> per-product count and share text -> rank <= 3."""
     fn = register_city_ratio_function(spark)
-    Q4.area_product_clicks(*_q4_inputs(spark, d)).createOrReplaceTempView("area_product_clicks")
-    spark.sql(
-        """SELECT area, product_name, city_name, count(*) AS n
-           FROM area_product_clicks GROUP BY area, product_name, city_name"""
-    ).createOrReplaceTempView("area_product_city_count")
+    Q4.area_product_city_counts(*_q4_inputs(spark, d)).createOrReplaceTempView("area_product_city_count")
     spark.sql(
         f"""SELECT area, product_name, sum(n) AS product_count,
-                   {fn}(collect_list(named_struct('city', city_name, 'n', n))) AS city_click_ratio
+                   {fn}(collect_list(named_struct('city', city, 'n', n))) AS city_click_ratio
             FROM area_product_city_count GROUP BY area, product_name"""
     ).createOrReplaceTempView("area_product_count")
     return spark.sql(
@@ -145,6 +141,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ad_count_kv": lambda s, d: A.date_area_city_ad_kv(A.date_area_city_ad_count(_ads(s, d))),
     "top_ads_kv": lambda s, d: A.top_ads_kv(A.date_area_top_ads(A.date_area_city_ad_count(_ads(s, d)))),
     "date_user_ad_kv": lambda s, d: A.date_user_ad_kv(A.daily_user_ad_count(_ads(s, d))),
+    "last_window_kv": lambda s, d: A.last_window_kv(A.last_window_ad_clicks_json(_ads(s, d), WINDOW_MINUTES)),
+    "enforced_actions": lambda s, d: schemas.enforce(_uva(s, d), schemas.USER_VISIT_ACTION, keep_extra=False),
     "blacklist_kv": lambda s, d: A.blacklist_kv(A.ban_list(_ads(s, d), TEST_BAN_THRESHOLD)),
 }
 
@@ -306,6 +304,11 @@ _FINAL = {
     "top_ads_kv": "SELECT concat('top3_ads_per_day:', date) AS key, area AS field, top3 AS value FROM top3",
     "date_user_ad_kv": """SELECT concat('date_user_ad_', date) AS key, concat_ws(':', userid, adid) AS field,
   CAST(cnt AS VARCHAR) AS value FROM run""",
+    "last_window_kv": """SELECT 'last_hour_ads_click' AS key, adid AS field,
+  concat('[', string_agg(concat('{"', hhmm, '":', cnt, '}'), ',' ORDER BY first_minute), ']') AS value
+  FROM (SELECT adid, hhmm, count(*) AS cnt, min(m) AS first_minute FROM win GROUP BY 1, 2) x GROUP BY adid""",
+    "enforced_actions": """SELECT date, user_id, session_id, page_id, action_time, search_keyword, click_category_id, click_product_id,
+  order_category_ids, order_product_ids, pay_category_ids, pay_product_ids, city_id FROM user_visit_action""",
     "blacklist_kv": "SELECT 'BlackList' AS key, userid AS field, userid AS value FROM ban",
 }
 
