@@ -12,8 +12,10 @@ graph of patterns and instances Spark alternates, for a few rounds:
 * an unknown instance's score: the confidence of its best pattern, where that
   reaches ``CONFIDENT`` with at least ``SUPPORT`` instances above it.
 
-Instances found in the end are spans of kind ``id``.  Tables hold hashes of
-tokens; per-key sums are combined before every shuffle."""
+Instances found in the end are spans of kind ``id``, and so are values given
+after a seed key, whatever they look like, with the other occurrences of the
+same token that are not harmless; not what lies in a find of another kind.
+Tables hold hashes of tokens; per-key sums are combined before every shuffle."""
 
 from __future__ import annotations
 
@@ -83,6 +85,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 _DIGIT = re.compile(r"[0-9]\S*")
 _CUE = re.compile(r"(\w{2,24})\s?[:=]\s?\"?\Z")
+_GIVEN = re.compile(r"[:=]\s?\"?")
 _VALUE = re.compile(r"[^\s\"'<>(),;=:]+")
 _LEFT = re.compile(r"(\w{2,24})\W{0,3}\Z")
 _CAPITALS = re.compile(r"[A-Z]{4}")
@@ -105,11 +108,9 @@ def _harmless(token: str) -> bool:
     return len(token) < 8 or digits < 3 or bool(_DATE.fullmatch(token)) or (digits == len(token) and digits < 9)
 
 
-def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int, int, int, list[str]]]:
-    """(start, end, instance, mark, patterns) of the tokens with digits; mark:
-    1 seed, -1 harmless, 0 unknown."""
-    out = []
-    taken = sorted((a, b) for _, a, b in base)
+def _tokens(text: str):
+    """(start, token) of the tokens with digits, and of those without that may
+    be given after a seed key."""
     end_before = 0
     for found in _DIGIT.finditer(text):
         begin = found.start()
@@ -118,37 +119,57 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, i
         end_before = found.end()
         for m in _VALUE.finditer(text, begin, found.end()):
             token = m.group().rstrip(".!?")
-            if not any(c.isdigit() for c in token):
-                continue
-            start, end = m.start(), m.start() + len(token)
-            before = text[max(0, start - 40) : start]
-            cue = _CUE.search(before)
-            patterns = []
-            mark = -1 if _harmless(token) else 0
-            if cue:
-                key = cue.group(1).lower()
-                patterns.append("cue " + key)
-                if key in SEED_KEYS and mark == 0:
-                    mark = 1
-            elif left := _LEFT.search(before):
-                patterns.append("left " + left.group(1).lower())
-            if _CAPITALS.match(token):
-                patterns.append("capitals " + token[:4])
-            if shape := _shape(token):
-                patterns.append("shape " + shape)
-            if any(a < end and start < b for a, b in taken):
-                mark = 1
-            if patterns:
-                out.append((start, end, xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass")) - (1 << 63), mark, patterns))
+            if any(c.isdigit() for c in token):
+                yield m.start(), token
+    for m in _GIVEN.finditer(text):
+        if text[max(0, m.start() - 9) : m.start()].rstrip().lower().endswith(tuple(SEED_KEYS)):
+            value = _VALUE.match(text, m.end())
+            token = value.group().rstrip(".!?") if value else ""
+            if token and not any("0" <= c <= "9" for c in token):
+                yield m.end(), token
+
+
+def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int, int, int, bool, list[str]]]:
+    """(start, end, instance, mark, bare, patterns) of the tokens with digits
+    and of all values after a seed key; mark: 2 given after a seed key, 1 seed
+    by a find of another kind, -1 harmless, 0 unknown; bare: no such find
+    covers it."""
+    out = []
+    taken = sorted((a, b) for _, a, b in base)
+    for start, token in _tokens(text):
+        end = start + len(token)
+        before = text[max(0, start - 40) : start]
+        cue = _CUE.search(before)
+        patterns = []
+        mark = -1 if _harmless(token) else 0
+        if any(a < end and start < b for a, b in taken):
+            mark = 1
+        if cue:
+            key = cue.group(1).lower()
+            patterns.append("cue " + key)
+            if key in SEED_KEYS:
+                mark = 2
+        elif left := _LEFT.search(before):
+            patterns.append("left " + left.group(1).lower())
+        if mark < 2 and not any(c.isdigit() for c in token):
+            continue
+        if _CAPITALS.match(token):
+            patterns.append("capitals " + token[:4])
+        if shape := _shape(token):
+            patterns.append("shape " + shape)
+        if patterns:
+            instance = xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass")) - (1 << 63)
+            bare = not any(a <= start and end <= b for a, b in taken)
+            out.append((start, end, instance, mark, bare, patterns))
     return out
 
 
 _SPAN = pa.struct([("kind", pa.string()), ("first", pa.int64()), ("end", pa.int64())])
-_CAND = pa.struct([("first", pa.int64()), ("end", pa.int64()), ("instance", pa.int64()), ("mark", pa.int64()), ("patterns", pa.list_(pa.string()))])
+_CAND = pa.struct([("first", pa.int64()), ("end", pa.int64()), ("instance", pa.int64()), ("mark", pa.int64()), ("bare", pa.bool_()), ("patterns", pa.list_(pa.string()))])
 _OUT = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("base", pa.list_(_SPAN)), ("cands", pa.list_(_CAND))])
 _OUT_SQL = (
     "doc_id bigint, key bigint, base array<struct<kind:string,first:bigint,end:bigint>>, "
-    "cands array<struct<first:bigint,end:bigint,instance:bigint,mark:bigint,patterns:array<string>>>"
+    "cands array<struct<first:bigint,end:bigint,instance:bigint,mark:bigint,bare:boolean,patterns:array<string>>>"
 )
 
 
@@ -158,7 +179,7 @@ def _rows(ids: list, texts: list[str]) -> dict[str, list]:
         base = base_spans(text)
         out["base"].append([{"kind": k, "first": a, "end": b} for k, a, b in base])
         out["cands"].append(
-            [dict(zip(("first", "end", "instance", "mark", "patterns"), c, strict=True)) for c in candidates(text, base)]
+            [dict(zip(("first", "end", "instance", "mark", "bare", "patterns"), c, strict=True)) for c in candidates(text, base)]
         )
     return out
 
@@ -171,7 +192,7 @@ def bootstrap(occurrences: DataFrame, rounds: int = ROUNDS, confident: float = C
     )
     # An instance with one seed or harmless occurrence is such an instance.
     state = stage(edges.groupBy("instance").agg(F.max(F.col("mark") * F.col("mark") * 2 + F.col("mark")).alias("m")), "marks")
-    known = F.when(F.col("m") == 3, F.lit(1.0)).when(F.col("m") == 1, F.lit(0.0))
+    known = F.when(F.col("m") >= 3, F.lit(1.0)).when(F.col("m") == 1, F.lit(0.0))
     state = state.select("instance", known.alias("score"), (F.col("m") == 0).alias("open"))
     links = edges.select("pattern", "instance")
     for _ in range(rounds):
@@ -209,9 +230,11 @@ def personal_data(docs: DataFrame) -> DataFrame:
     rows = stage(keyed.mapInArrow(over_texts(_rows, _OUT), _OUT_SQL), "pii")
     each = rows.select("doc_id", "key", F.explode("cands").alias("c")).select("doc_id", "key", "c.*")
     found = bootstrap(each.select("instance", "mark", F.explode("patterns").alias("pattern")))
+    # All occurrences of a found instance have mark 0; given ones are not among the found.
+    given = each.filter("mark = 2").select("instance").distinct()
     spans = (
-        each.filter("mark = 0")
-        .join(stage(found, "found"), "instance")
+        each.filter("mark >= 0 AND bare")
+        .join(stage(found.union(given), "found"), "instance")
         .groupBy(F.col("doc_id").alias("id"), F.col("key").alias("k"))
         .agg(F.array_sort(F.collect_set(F.struct(F.lit("id").alias("kind"), "first", "end"))).alias("more"))
     )

@@ -258,6 +258,23 @@ def test_bootstrapping_reaches_unseen_identifiers(spark):
     assert sum(found[100 + i] for i in range(40)) >= 36
 
 
+def test_values_of_seed_keys_are_identifiers(spark):
+    token = [hashlib.md5(b"%d" % i).hexdigest() for i in range(12)]
+    rows = [(i, f"user password={token[i]} end") for i in range(12)]
+    rows += [(100, f"seen {token[3]} there"), (101, "password=hunter2 and hunter2"), (102, 'SECRET: "swordfish", swordfish.')]
+    rows += [(103, "password=a.b@c.example.org"), (104, "api_key = ab10.0.0.1 x"), (105, "mypassword=swordfish on 2024-01-02"), (106, "passwd=...")]
+    rows += [(None, f"password={token[5]}"), (7, f"passwd: {token[7]}x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = [(r.doc_id, r.n_id) for r in pii.pii_report(docs).collect()]
+    want = [(i, 1) for i in range(12)] + [(100, 1), (101, 1), (102, 1), (103, 0), (104, 1), (105, 0), (106, 0), (None, 1), (7, 1)]
+    assert sorted(found, key=str) == sorted(want, key=str)
+    masked = sorted(((r.doc_id, r.text) for r in pii.mask(docs).collect()), key=str)
+    want = [(i, "user password=<ID> end") for i in range(12)]
+    want += [(100, "seen <ID> there"), (101, "password=<ID> and hunter2"), (102, 'SECRET: "<ID>", swordfish.'), (103, "password=<EMAIL>")]
+    want += [(104, "api_key = <ID> x"), (105, rows[17][1]), (106, "passwd=..."), (None, "password=<ID>"), (7, "passwd: <ID>")]
+    assert masked == sorted(want, key=str)
+
+
 def test_decontamination(spark):
     rng = random.Random(4)
     words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 5))) for _ in range(300)]
