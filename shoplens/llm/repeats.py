@@ -167,15 +167,15 @@ def _anchor_rows(depth: int, gram: int):
 
 def _context_rows(depth: int):
     """A row for each run: the bytes that its windows span."""
-    names = ["hash", "big", "doc_id", "lo", "at", "span"]
+    names = ["hash", "big", "nr", "lo", "at", "span"]
     types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def run(batches):
         for batch in batches:
-            for doc, text, runs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            for nr, text, runs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                 data = memoryview(text.as_buffer())
                 rows = [
-                    (r["hash"], r["big"], doc, r["lo"], r["at"], bytes(data[r["lo"] : r["hi"] + depth]))
+                    (r["hash"], r["big"], nr, r["lo"], r["at"], bytes(data[r["lo"] : r["hi"] + depth]))
                     for r in runs.as_py()
                 ]
                 for begin in range(0, len(rows), 2000):
@@ -203,21 +203,21 @@ class _Windows:
 
 
 def _spans(rows: list[tuple], windows: _Windows, found: np.ndarray) -> tuple[list, list, list]:
-    """(doc_id, first byte, end) of runs of repeated windows."""
-    docs, firsts, ends = [], [], []
+    """(text's number, first byte, end) of runs of repeated windows."""
+    texts, firsts, ends = [], [], []
     if len(found):
         which = windows.row[found]
         cut = np.flatnonzero((np.diff(which) != 0) | (np.diff(windows.inside[found]) > 1))
         begin, end = np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(found) - 1]])
         for b, e in zip(begin.tolist(), end.tolist(), strict=True):
             row = rows[which[b]]
-            docs.append(row[1])
+            texts.append(row[1])
             firsts.append(row[2] + int(windows.inside[found[b]]))
             ends.append(row[2] + int(windows.inside[found[e]]) + windows.depth)
-    return docs, firsts, ends
+    return texts, firsts, ends
 
 
-_SPANS = pa.schema([("doc_id", pa.int64()), ("first", pa.int64()), ("end", pa.int64())])
+_SPANS = pa.schema([("nr", pa.int64()), ("first", pa.int64()), ("end", pa.int64())])
 
 
 def _sorted_groups(depth: int, most: int = 1_000_000):
@@ -249,12 +249,12 @@ def _sorted_groups(depth: int, most: int = 1_000_000):
 
 def _window_rows(depth: int):
     """Every window of a large group, keyed by all its digits."""
-    names = ["k1", "k2", "doc_id", "start"]
+    names = ["k1", "k2", "nr", "start"]
 
     def run(batches):
         for batch in batches:
             for begin in range(0, batch.num_rows, 500):
-                hashes, docs, los, ats, spans = (c.to_pylist() for c in batch.slice(begin, 500).columns)
+                hashes, numbers, los, ats, spans = (c.to_pylist() for c in batch.slice(begin, 500).columns)
                 windows = _Windows(spans, depth)
                 some = np.arange(len(windows.row))
                 one = np.array(hashes, np.int64).view(np.uint64)[windows.row]
@@ -264,8 +264,8 @@ def _window_rows(depth: int):
                     digit = windows.digit(k, some)
                     one, two = mix(one ^ digit) + _BASE, mix(two + digit * _BACK) ^ one
                 start = np.array(los, np.int64)[windows.row] + windows.inside
-                doc = pa.array(docs, pa.int64()).take(pa.array(windows.row))
-                yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), doc, pa.array(start)], names)
+                nr = pa.array(numbers, pa.int64()).take(pa.array(windows.row))
+                yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), nr, pa.array(start)], names)
 
     return run
 
@@ -302,9 +302,9 @@ def _bytes(docs: DataFrame) -> DataFrame:
 def _start_spans(depth: int):
     def run(batches):
         for batch in batches:
-            for doc, starts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for nr, starts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 runs = _runs_of(np.sort(np.asarray(starts.values)))
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ([doc] * len(runs), [a for a, _ in runs], [b + depth for _, b in runs])], schema=_SPANS)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ([nr] * len(runs), [a for a, _ in runs], [b + depth for _, b in runs])], schema=_SPANS)
 
     return run
 
@@ -331,43 +331,41 @@ def cut_texts(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, group: int
         .select("hash", (F.col("n") > group).alias("big")),
         "met",
     )
-    ones = copies.select(F.col("digest").alias("d"), "one")
+    ones = copies.select(F.col("digest").alias("d"), "one", "copies")
     live = stage(
         runs.join(met, "hash")
         .join(ones, (F.col("digest") == F.col("d")) & _null_safe("doc_id", "one"))
-        .groupBy(F.col("doc_id").alias("id"), "d")
+        .groupBy(F.col("doc_id").alias("id"), "d", "copies")
         .agg(F.collect_set(F.struct("hash", "big", "at", "lo", "hi")).alias("runs")),
         "live",
     )
+    # An id may have many texts: from here on each goes by a number, which is written.
     found_in = stage(
         long_texts.join(live, _null_safe("doc_id", "id") & (F.col("digest") == F.col("d")))
-        .select("doc_id", "digest", "body", "runs"),
+        .select("doc_id", "digest", "copies", "body", "runs", F.monotonically_increasing_id().alias("nr")),
         "texts",
     )
     context = stage(
-        found_in.select("doc_id", "body", "runs").mapInArrow(
-            _context_rows(depth), "hash bigint, big boolean, doc_id bigint, lo bigint, at bigint, span binary"
+        found_in.select("nr", "body", "runs").mapInArrow(
+            _context_rows(depth), "hash bigint, big boolean, nr bigint, lo bigint, at bigint, span binary"
         ),
         "context",
     )
-    columns = ["hash", "doc_id", "lo", "at", "span"]
-    spans_sql = "doc_id bigint, first bigint, end bigint"
+    columns = ["hash", "nr", "lo", "at", "span"]
+    spans_sql = "nr bigint, first bigint, end bigint"
     small = context.filter("NOT big").select(*columns).repartition("hash").sortWithinPartitions("hash")
     found = small.mapInArrow(_sorted_groups(depth), spans_sql)
-    windows_sql = "k1 bigint, k2 bigint, doc_id bigint, start bigint"
+    windows_sql = "k1 bigint, k2 bigint, nr bigint, start bigint"
     large = stage(context.filter("big").select(*columns).mapInArrow(_window_rows(depth), windows_sql), "windows")
     equal = large.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k1", "k2")
     hits = large.join(stage(equal, "equal"), ["k1", "k2"], "left_semi")
-    hits = hits.groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
+    hits = hits.groupBy("nr").agg(F.collect_set("start").alias("starts"))
     spans = found.unionAll(hits.mapInArrow(_start_spans(depth), spans_sql))
-    per_doc = stage(
-        spans.groupBy(F.col("doc_id").alias("id")).agg(F.collect_set(F.struct("first", "end")).alias("spans")), "spans"
-    )
-    once = copies.filter("copies = 1").select(F.col("digest").alias("d"), "one")
-    wanted = once.join(per_doc, _null_safe("one", "id")).select("one", "d", "spans")
+    per_text = stage(spans.groupBy("nr").agg(F.collect_set(F.struct("first", "end")).alias("spans")), "spans")
     cut = (
-        found_in.select("doc_id", "digest", "body")
-        .join(wanted, _null_safe("doc_id", "one") & (F.col("digest") == F.col("d")))
+        found_in.filter("copies = 1")
+        .select("nr", "doc_id", "digest", "body")
+        .join(per_text, "nr")
         .select("doc_id", "digest", "body", "spans")
         .mapInArrow(_cut_rows, "doc_id bigint, digest binary, kept binary, n_removed bigint, n_spans bigint")
     )

@@ -136,6 +136,34 @@ def test_repeated_strings(docs, texts, group):
     assert sorted(got) == sorted(want)
 
 
+@pytest.mark.parametrize("group", [2, 256])
+def test_repeated_strings_of_unlike_texts_with_one_id(spark, group):
+    rng = random.Random(8)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    passages = [noise(450) for _ in range(4)]
+    rows = [(None, noise(100 + 170 * k) + passages[k] + noise(300)) for k in range(4)]
+    rows += [(1, noise(1500 - 300 * k) + passages[k] + noise(20)) for k in range(4)]
+    rows += [(2, noise(900)), (2, rows[0][1][:520]), (None, noise(410)), (None, rows[1][1]), (3, rows[6][1]), (None, None), (2, "short")]
+    data = [(t or "").encode() for _, t in rows]
+    places = defaultdict(set)
+    for k, d in enumerate(data):
+        for a in range(len(d) - 399):
+            places[d[a : a + 400]].add((k, a))
+    want = []
+    for k, ((i, _), d) in enumerate(zip(rows, data)):
+        gone, n, last = set(), 0, -1
+        for a in range(len(d) - 399):
+            if len(places[d[a : a + 400]]) > 1:
+                n += a > last
+                last = a + 400
+                gone.update(range(a, a + 400))
+        kept = bytes(b for j, b in enumerate(d) if j not in gone)
+        want.append((i, len(d), len(gone), n, hashlib.sha256(kept).hexdigest()))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = [tuple(r) for r in repeats.removal_report(docs, group=group).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def _ids(text):
     return tokens.encoder(tokens.default_path()).plain([text or ""])[0]
 
