@@ -23,13 +23,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component one document stays, the one with the smallest doc_id;
-    of repeated rows of one id each stays.  Documents without words, or
-    without an id, link with nothing and stay."""
-    found = near_dedup.near_duplicates(docs)
-    gone = found.filter(~F.col("kept") & F.col("component_id").isNotNull())
-    gone = stage(gone.select(F.col("doc_id").alias("_llm_gone")).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id") == F.col("_llm_gone"), "left_anti")
+    """Of each component one row stays, the one with the smallest doc_id (none
+    comes last), whatever ids the others have.  Rows are told apart by a
+    written key, so repeated rows and rows without an id link like any other;
+    only rows without words link with nothing and stay."""
+    keyed = stage(docs.withColumn("_llm_key", F.monotonically_increasing_id()), "keyed")
+    found = near_dedup.near_duplicates(keyed.select(F.col("_llm_key").alias("doc_id"), "text"))
+    ids = keyed.select("_llm_key", F.col("doc_id").alias("_llm_id"))
+    first = F.struct(F.col("_llm_id").isNull(), "_llm_id", "_llm_key")
+    kept = (
+        found.select(F.col("doc_id").alias("_llm_key"), "component_id")
+        .join(ids, "_llm_key")
+        .groupBy("component_id")
+        .agg(F.min_by("_llm_key", first).alias("_llm_key"))
+    )
+    return keyed.join(stage(kept.select("_llm_key"), "kept"), "_llm_key", "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -379,3 +379,24 @@ def test_pipeline_and_registration(spark):
     assert clean.columns == docs.columns and {r.doc_id for r in clean.select("doc_id").collect()} == kept
     masked = {r.doc_id: r.text for r in corpus_pipeline.mask_personal_data(spark, clean, sf).collect()}
     assert all(r.decoded == masked[r.doc_id] and r.n_tokens * 4 == len(r.ids) for r in out)
+
+
+def test_pipeline_keeps_one_row_of_each_component(spark):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    one, two, three, four = (prose(100) for _ in range(4))
+    near = lambda t: t + " end"
+    rows = [(5, one), (5, one), (5, one), (None, near(one)), (9, near(one))]  # repeated rows and a copy without an id
+    rows += [(None, two), (None, two), (None, near(two))]  # no ids at all
+    rows += [(3, three), (9, near(three)), (9, four)]  # 9 goes twice, but not its unlike text
+    rows += [(None, None), (7, "")]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id bigint, text string, extra int").repartition(3)
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    left = [(r.doc_id, r.text) for r in got.collect()]
+    assert [x for x in left if x[0] is None and x[1]][0][1] in (two, near(two))
+    want = [(5, one), (3, three), (9, four), (None, None), (7, "")]
+    assert sorted([x for x in left if x[1] not in (two, near(two))], key=str) == sorted(want, key=str)
+    assert len(left) == len(want) + 1
