@@ -247,14 +247,16 @@ def train(documents: list[tuple[list[list[str]], int]], seed: int = 7) -> Model:
 def training_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[tuple[list[list[str]], int]]:
     """Sentences, as words, of at most ``sample`` labelled documents of each
     class, the first by a hash of the id; never of ids whose crc32 mod 3 is 1.
-    The words are made on the executors: distinct ones of each sentence come
-    to the driver, whose memory the sample bounds."""
+    Of repeated rows of an id, and unlike texts of it, the least text counts,
+    once.  The words are made on the executors: distinct ones of each sentence
+    come to the driver, whose memory the sample bounds."""
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.filter(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
     order = F.xxhash64("doc_id")
     chosen = [known.filter(F.col("toxic") == c).orderBy(order, "doc_id").limit(sample) for c in (0, 1)]
     wanted = chosen[0].union(chosen[1]).withColumnRenamed("doc_id", "id")
-    texts = docs.join(F.broadcast(wanted), F.col("doc_id") == F.col("id")).select("id", "text", "toxic")
+    texts = docs.join(F.broadcast(wanted), F.col("doc_id") == F.col("id")).groupBy("id", "toxic").agg(F.min("text").alias("text"))
+    texts = texts.select("id", "text", "toxic")
 
     def split(batches):
         for batch in batches:

@@ -365,6 +365,17 @@ def test_toxicity():
     assert abs(toxicity.kernel("idiot", "idiot") - 1) < 1e-5 and toxicity.kernel("idiot", "idxiot") > 0.3 > toxicity.kernel("idiot", "planet")
 
 
+def test_training_sample_takes_one_text_of_an_id(spark):
+    known = [i for i in range(30) if zlib.crc32(b"%d" % i) % 3 != 1]
+    hot, unlike, empty = known[:3]
+    rows = [(i, f"text of {i}.") for i in range(30)] + [(hot, f"text of {hot}.")] * 50 + [(unlike, "another text.")] * 50 + [(empty, None), (None, "x")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id bigint, toxic int")
+    got = toxicity.training_sample(spark.createDataFrame(rows, "doc_id bigint, text string"), labels)
+    assert [y for _, y in got] == [i % 2 for i in known]
+    words = [{w for s in sentences for w in s} for sentences, _ in got]
+    assert words == [set(toxicity.units("another text" if i == unlike else f"text of {i}")) for i in known]
+
+
 def test_pipeline_and_registration(spark):
     import corpus_pipeline
 
