@@ -25,12 +25,14 @@ rule leaves out no pair but those of two documents that are alike to it.
 
 Chance of missing a pair of similarity exactly 0.75 with 40 bands of 4 bins:
 (1 - 0.75^4)^40 = 2.5e-7, less above; four bits of each minimum drop a pair at 0.75
-with a chance below 1e-7.
+with a chance of 1.2e-7.  Below 75 percent ``layout`` sets bands, rows and the
+least number of equal bins anew for the same chances.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from functools import lru_cache
 
 import numpy as np
@@ -47,15 +49,44 @@ _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 np.seterr(over="ignore")  # 64-bit hashes wrap around
 BITS = 4  # kept of each minimum, to compare two documents' sketches
-PLANES = [f"b{k}" for k in range(BITS * -(-BINS // 64))]
 #: Four bits agree in s + (1 - s) / 16 of the bins for similarity s; at 0.75
 #: fewer than this many of 160 agree with a chance of 1.2e-7.
 LEAST_EQUAL = 93
+#: Chances of missing a pair of exactly the similarity asked for, by the bands
+#: and by the sketch filter.
+MISS_BANDS, MISS_FILTER = 2.6e-7, 1.2e-7
 #: Most draws of centres, and centres of a draw, before members of one bucket
 #: that are still apart are joined on the shingles outside their centre.
 TURNS, CENTRES = 2, 4
 
 
+def layout(percent: int) -> tuple[int, int, int]:
+    """(bands, rows, least number of equal bins) for a least similarity: those
+    above from 75 percent on; below, the most rows whose bands fit into as many
+    bins, or one row and as many bands as it takes."""
+    if not 1 <= percent <= 100:
+        raise ValueError("percent must be from 1 to 100")
+    if percent >= 75:
+        return BANDS, ROWS, LEAST_EQUAL
+    s = percent / 100
+    for rows in range(ROWS, 0, -1):
+        bands = math.ceil(math.log(MISS_BANDS) / math.log1p(-(s**rows)))
+        if rows == 1 or bands * rows <= BINS:
+            return bands, rows, least_equal(s, bands * rows)
+
+
+def least_equal(s: float, bins: int) -> int:
+    """The most bins of which fewer agree with a chance of at most ``MISS_FILTER``."""
+    p = s + (1 - s) / 2**BITS
+    below = 0.0
+    for k in range(bins + 1):
+        ways = math.lgamma(bins + 1) - math.lgamma(k + 1) - math.lgamma(bins - k + 1)
+        below += math.exp(ways + k * math.log(p) + (bins - k) * math.log1p(-p))
+        if below > MISS_FILTER:
+            return k
+    return bins
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A strong 64-bit mixer (splitmix64's finaliser)."""
     x = (x ^ (x >> np.uint64(30))) * _MIX1
@@ -138,28 +169,36 @@ def planes(mins: np.ndarray) -> list[int]:
     return out
 
 
-_SKETCH = pa.schema(
-    [("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary())]
-    + [(c, pa.int64()) for c in PLANES]
-    + [("bands", pa.list_(pa.int64()))]
-)
-_SKETCH_SQL = f"doc_id bigint, n bigint, digest binary, {', '.join(f'{c} bigint' for c in PLANES)}, bands array<bigint>"
+def _planes(bins: int) -> list[str]:
+    return [f"b{k}" for k in range(BITS * -(-bins // 64))]
+
+
+def _sketch_schema(bins: int) -> tuple[pa.Schema, str]:
+    names = _planes(bins)
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary())]
+        + [(c, pa.int64()) for c in names]
+        + [("bands", pa.list_(pa.int64()))]
+    )
+    return schema, f"doc_id bigint, n bigint, digest binary, {', '.join(f'{c} bigint' for c in names)}, bands array<bigint>"
+
 
+def _sketch_rows(width: int, bands: int, bins: int):
+    names = _planes(bins)
 
-def _sketch_rows(width: int):
     def rows(ids: list, texts: list[str]) -> dict[str, list]:
-        out = {f.name: [] for f in _SKETCH}
+        out = {c: [] for c in ("doc_id", "n", "digest", *names, "bands")}
         for i, text in zip(ids, texts, strict=True):
             values = shingles(text, width)
             out["doc_id"].append(i)
             out["n"].append(len(values))
             out["digest"].append(hashlib.blake2b(values.tobytes(), digest_size=16).digest())
             if len(values):
-                mins = sketch(values)
-                bits, keys = planes(mins), band_keys(mins)
+                mins = sketch(values, bins)
+                bits, keys = planes(mins), band_keys(mins, bands)
             else:
-                bits, keys = [0] * len(PLANES), []
-            for name, x in zip(PLANES, bits, strict=True):
+                bits, keys = [0] * len(names), []
+            for name, x in zip(names, bits, strict=True):
                 out[name].append(x)
             out["bands"].append(keys)
         return out
@@ -226,19 +265,20 @@ def _outside(percent: int):
     return run
 
 
-def _alike(percent: int):
+def _alike(percent: int, bins: int, least: int):
     """Pairs whose sizes and sketches allow the similarity."""
-    words = len(PLANES) // BITS
+    names = _planes(bins)
+    words = len(names) // BITS
     equal = F.lit(0)
     for i in range(words):
         differ = F.lit(0).cast("bigint")
         for k in range(BITS):
-            c = PLANES[k * words + i]
+            c = names[k * words + i]
             differ = differ.bitwiseOR(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}")))
         equal = equal + 64 - F.bit_count(differ)
-    spare = 64 * words - BINS  # bins past the sketch are equal in all
+    spare = 64 * words - bins  # bins past the sketch are equal in all
     small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-    return (small * 100 >= large * percent) & (equal - spare >= LEAST_EQUAL)
+    return (small * 100 >= large * percent) & (equal - spare >= least)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
@@ -251,10 +291,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
     linked through that id.  A null doc_id links with nothing: its component_id
     is null and kept false.  Other columns are ignored; an empty table gives an
     empty result."""
+    bands, per_band, least_bins = layout(percent)
+    bins = bands * per_band
+    schema, schema_sql = _sketch_schema(bins)
     sketches = stage(
         docs.select("doc_id", "text").mapInArrow(
-            over_texts(_sketch_rows(width), _SKETCH),
-            _SKETCH_SQL,
+            over_texts(_sketch_rows(width, bands, bins), schema),
+            schema_sql,
         ),
         "sketches",
     )
@@ -268,7 +311,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
         "classes",
     )
     # One id with unlike texts: two classes of one name, joined by it.
-    traits = classes.select(F.col("rep").alias("id"), "n", *PLANES)
+    traits = classes.select(F.col("rep").alias("id"), "n", *_planes(bins))
     banded = classes.select("rep", F.explode("bands").alias("key"))
     shared = stage(
         banded.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count("*").alias("size"))
@@ -303,7 +346,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
             pairs.distinct()
             .join(x, F.col("a") == F.col("x.id"))
             .join(y, F.col("b") == F.col("y.id"))
-            .filter(_alike(percent))
+            .filter(_alike(percent, bins, least_bins))
             .select("a", "b")
             .distinct()
         )

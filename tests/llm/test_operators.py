@@ -106,6 +106,33 @@ def test_near_duplicates_of_alike_families(spark):
         assert got == dict(enumerate(name))
 
 
+@pytest.mark.parametrize("percent", [30, 50])
+def test_near_duplicates_at_a_lower_percent(spark, percent):
+    rng = random.Random(percent)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(8))
+    rows, want = [], {}
+    for k in range(60):  # pairs that share the first c of 200 words: just alike, or just not
+        c = 2 * 200 * percent // (100 + percent) + (2 if k % 2 else -2)
+        first = [word() for _ in range(200)]
+        rows += [(2 * k, " ".join(first)), (2 * k + 1, " ".join(first[:c] + [word() for _ in range(200 - c)]))]
+        a, b = ({tuple(t.split()[i : i + 1]) for i in range(200)} for _, t in rows[-2:])
+        alike = 100 * len(a & b) >= percent * len(a | b)
+        assert alike == bool(k % 2)
+        want |= {2 * k: 2 * k, 2 * k + 1: 2 * k + 1 - alike}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, width=1, percent=percent).collect()}
+    assert got == want
+
+
+def test_layout_of_bands():
+    assert near_dedup.layout(75) == near_dedup.layout(100) == (40, 4, 93) and near_dedup.least_equal(0.75, 160) == 93
+    for percent in range(1, 76):
+        bands, rows, least = near_dedup.layout(percent)
+        assert (1 - (percent / 100) ** rows) ** bands <= 2.6e-7 and 0 <= least < bands * rows
+    with pytest.raises(ValueError):
+        near_dedup.layout(0)
+
+
 def test_sketch_fills_every_bin():
     for n in (1, 2, 7, 500):
         values = near_dedup.mix(np.arange(1, n + 1, dtype=np.uint64))
