@@ -155,7 +155,7 @@ def _repair_sql() -> str:
     def better(v: str) -> str:
         return "[" + ", ".join(f"least(b[{q + 1}], {put(q, v)})" for q in range(4)) + "]"
 
-    return f"""
+    return rf"""
 WITH RECURSIVE keyed AS (
   SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
          coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
