@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, conversations, decontamination, license_scan, near_dedup, pii, repeats, token_counts, token_files, topk, toxicity
+from . import (
+    bpe, conversations, decontamination, license_scan, near_dedup, pii, repeats, simhash, token_counts, token_files, topk, toxicity,
+)
 from .common import read_table
 
 
@@ -57,6 +59,10 @@ def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.removal_report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "conversations")
     return conversations.repair_report(rows, conversations.damage(rows))
@@ -64,7 +70,7 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _OPERATORS = [
     op1_decontaminate, op2_exact_topk, op3_minhash_near_dedup, op4_token_files, op5_license_scan, op6_toxicity,
-    op7_bpe_round_trip, op8_pii, op9_token_counts, op10_repeated_strings, op12_conversation_repair,
+    op7_bpe_round_trip, op8_pii, op9_token_counts, op10_repeated_strings, op11_simhash_near_dedup, op12_conversation_repair,
 ]
 
 
