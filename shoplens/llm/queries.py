@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    bpe, conversations, decontamination, license_scan, near_dedup, pii, repeats, simhash, token_counts, token_files, topk, toxicity,
+    alignment, bpe, conversations, decontamination, license_scan, near_dedup, pii, repeats, simhash, token_counts, token_files,
+    topk, toxicity,
 )
 from .common import read_table
 
@@ -68,9 +69,14 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_report(rows, conversations.damage(rows))
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read_table(spark, sf_dir, "documents"))
+
+
 _OPERATORS = [
     op1_decontaminate, op2_exact_topk, op3_minhash_near_dedup, op4_token_files, op5_license_scan, op6_toxicity,
     op7_bpe_round_trip, op8_pii, op9_token_counts, op10_repeated_strings, op11_simhash_near_dedup, op12_conversation_repair,
+    op13_tokenizer_alignment,
 ]
 
 
