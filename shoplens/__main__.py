@@ -72,9 +72,9 @@ def _trigger(args) -> dict:
     return {"processingTime": f"{args.trigger_seconds} seconds"}
 
 
-def _wait(spark, queries, args) -> None:
-    control.stop_on_signal(queries)
-    control.run_all(spark, queries, args.stop_marker)
+def _wait(spark, queries, args, downstream=()) -> None:
+    control.stop_on_signal(queries, downstream=downstream)
+    control.run_all(spark, queries, args.stop_marker, downstream=downstream)
 
 
 def main(argv=None, spark=None) -> int:
@@ -122,7 +122,9 @@ def main(argv=None, spark=None) -> int:
                 spark, args.root, args.window_minutes, trigger=_trigger(args),
                 state_watermark=args.state_watermark,
             )
-        _wait(spark, queries, args)
+            _wait(spark, queries, args)
+        else:
+            _wait(spark, queries[:1], args, downstream=queries[1:])
         return 0
     if args.cmd == "wordcount":
         if args.socket:

@@ -85,20 +85,24 @@ def start_realtime_publishers(
     trigger: dict | None = None,
     state_watermark: str | None = None,
 ) -> list[StreamingQuery]:
-    """The two queries that read the ban filter's output table: running
-    counts + top ads (Q6, Q7) and the trailing window (Q8)."""
+    """The queries that read the ban filter's output table: running counts
+    (Q6), top ads (Q7) and the trailing window (Q8)."""
     filtered_dir = f"{root}/filtered"
     fs.mkdirs(spark, filtered_dir)
     ck = pipeline_checkpoints(spark, root)
     q_counts = ads_app.start_area_counts(
-        ads_app.read_filtered(spark, filtered_dir), f"{root}/snapshots", top_n,
+        ads_app.read_filtered(spark, filtered_dir), f"{root}/snapshots",
         checkpoint=f"{ck}/area_counts", trigger=trigger, watermark=state_watermark,
     )
+    q_top = ads_app.start_top_ads(
+        ads_app.read_filtered(spark, filtered_dir), f"{root}/snapshots", top_n,
+        checkpoint=f"{ck}/top_ads", trigger=trigger, watermark=state_watermark,
+    )
     q_window = ads_app.start_window_clicks(
         ads_app.read_filtered(spark, filtered_dir), f"{root}/snapshots", window_minutes,
         checkpoint=f"{ck}/window_clicks", trigger=trigger,
     )
-    return [q_counts, q_window]
+    return [q_counts, q_top, q_window]
 
 
 def start_realtime(
@@ -111,7 +115,8 @@ def start_realtime(
     state_watermark: str | None = None,
     count_days: int | None = None,
 ) -> list[StreamingQuery]:
-    """Start the ban filter and the two publishers over its output table.
+    """Start the ban filter and, after it in the list, the publishers over its
+    output table.
 
     ``root`` is a shared folder: ``filtered/`` holds the kept clicks and ban
     events, ``snapshots/`` the published results; checkpoints go under the

@@ -112,14 +112,14 @@ def _sql(col) -> str:
 
 def pairs_json(pairs, key_field: str, value_field: str) -> Column:
     """Array of structs -> JSON array of one-field objects, in array order:
-    ``[{"2":1200},{"9":1100}]`` (what a list of pairs becomes in JSON)."""
+    ``[{"a7":31},{"a4":30}]`` (what a list of pairs becomes in JSON)."""
     return F.to_json(
         F.transform(_c(pairs), lambda x: F.create_map(x[key_field], x[value_field]))
     )
 
 
 def pairs_json_object(pairs, key_field: str, value_field: str) -> Column:
-    """Same pairs as one JSON object ``{"2":1200,"9":1100}``."""
+    """Same pairs as one JSON object ``{"a7":31,"a4":30}``."""
     return F.to_json(
         F.map_from_arrays(
             F.transform(_c(pairs), lambda x: x[key_field]),

@@ -173,7 +173,7 @@ def date_area_city_ad_count(ads: DataFrame, tz: str = "UTC") -> DataFrame:
 def date_area_top_ads(counts: DataFrame, n: int = K.TOP_ADS, as_object: bool = False) -> DataFrame:
     """A10 + W4 + F9: from (date, area, city, adid, cnt) roll the city up and
     keep the n most clicked ads per (date, area) (adid ascending breaks
-    ties) as JSON ``[{"2":1200},{"9":1100}]`` (K7)."""
+    ties) as a JSON array of one-field objects, ad id to clicks (K7)."""
     per_ad = counts.groupBy("date", "area", "adid").agg(F.sum("cnt").alias("cnt"))
     top = top_k_per_group(
         per_ad, ["date", "area"], [F.col("cnt").desc(), F.col("adid").asc()], n, rank_col="rn"
@@ -185,29 +185,55 @@ def date_area_top_ads(counts: DataFrame, n: int = K.TOP_ADS, as_object: bool = F
 
 # --- Q8: trailing window of per-minute counts ---------------------------------
 
-def _window_minutes(ads: DataFrame, window_minutes: int, end_time=None) -> DataFrame:
-    """Clicks whose minute lies in the trailing window ending at the minute
-    of ``end_time`` (default: the latest click).  Whole minutes: minute > end
-    minute - window (SURVEY 7.4).
+def _window_minutes(ads: DataFrame, window_minutes: int, end_time=None, ahead_seconds: int = K.AHEAD_SECONDS) -> DataFrame:
+    """Clicks that came in the trailing window ending at the minute of
+    ``end_time`` (default: the latest).  Whole minutes: minute > end minute -
+    window (SURVEY 7.4).
 
-    The latest click time is computed first (a max over one column, one
-    value back), so the window becomes a literal range on the click time
-    that the Parquet reader can use to skip row groups outside it."""
+    Clicks with an ``arrival`` (epoch ms) are placed by it, and those whose own
+    clock is more than ``ahead_seconds`` ahead of it are left out
+    (``clicks_ahead`` counts them), so no wrong clock moves the window; their
+    labels are still their own minutes.  Clicks without one are placed by
+    their own time.
+
+    The latest time is computed first (a max over one column, one value back),
+    so the window becomes a literal range on the click time that the Parquet
+    reader can use to skip row groups outside it."""
     t = click_time(ads)
+    came = t
+    if "arrival" in ads.columns:
+        ads, came = ads.filter(~_is_ahead(ads, ahead_seconds)), C.ntz_from_millis("arrival")
     if end_time is None:
-        end_time = ads.select(F.max(t)).first()[0]
+        end_time = ads.select(F.max(came)).first()[0]
     if end_time is None:  # no clicks at all
         return ads.select("adid", F.lit(None).cast("timestamp_ntz").alias("minute"),
                           F.lit(None).cast("string").alias("hhmm")).limit(0)
     end = _dt.datetime.fromisoformat(str(end_time)).replace(second=0, microsecond=0, tzinfo=None)
     first_minute = end - _dt.timedelta(minutes=int(window_minutes) - 1)
     minute = F.date_trunc("minute", t)
-    rows = ads.filter(t >= C.ntz_literal(first_minute)) if "ts" in ads.columns else ads
-    return rows.select("adid", minute.alias("minute"), C.minute_label(t).alias("hhmm")).filter(
-        F.col("minute") >= C.ntz_literal(first_minute)
+    raw = F.col("arrival") if "arrival" in ads.columns else F.col("ts") if "ts" in ads.columns else None
+    if raw is None:
+        rows = ads
+    elif "arrival" in ads.columns:
+        rows = ads.filter(raw >= int(first_minute.replace(tzinfo=_dt.timezone.utc).timestamp() * 1000))
+    else:
+        rows = ads.filter(raw >= C.ntz_literal(first_minute))
+    return rows.filter(F.date_trunc("minute", came) >= C.ntz_literal(first_minute)).select(
+        "adid", minute.alias("minute"), C.minute_label(t).alias("hhmm")
     )
 
 
+def _is_ahead(ads: DataFrame, ahead_seconds: int) -> Column:
+    """Whether a click's clock is ahead of its arrival; unknown is not ahead."""
+    ms = F.col("timestamp") if "timestamp" in ads.columns else F.unix_millis(F.col("ts").cast("timestamp"))
+    return F.coalesce(ms > F.col("arrival") + int(ahead_seconds) * 1000, F.lit(False))
+
+
+def clicks_ahead(ads: DataFrame, ahead_seconds: int = K.AHEAD_SECONDS) -> DataFrame:
+    """(adid, cnt) of the clicks that the window by arrival leaves out."""
+    return ads.filter(_is_ahead(ads, ahead_seconds)).groupBy("adid").agg(F.count(F.lit(1)).alias("cnt"))
+
+
 def last_window_ad_clicks(
     ads: DataFrame, window_minutes: int = K.AD_WINDOW_MINUTES, end_time=None
 ) -> DataFrame:

@@ -1,142 +1,126 @@
-"""Keyed snapshot tables (S14-S16): the result of a job as rows, published as
-whole versions.
-
-Each version is a complete Parquet directory ``<root>/v=<n>``; it becomes
-visible when Spark's job commit writes its ``_SUCCESS`` marker, so readers
-never see half a snapshot (the reference deleted a key and then rewrote it,
-K14).  Writing version n again (a replayed micro-batch) overwrites version n
-with the same content, so replays are idempotent.
+"""Published tables (S14-S16): results as Parquet behind a commit log.
+
+``SnapshotTable`` replaces its frames as one version; ``KeyedTable`` takes
+changed rows and shows the newest row of every key.  Readers see a commit whole
+or not at all.  A reader that reads on while new versions come opens the table
+with ``open``, whose lease keeps its version's files; otherwise they stay for
+``keep_seconds`` after being replaced.  Versions are the log's epochs, so
+neither a replayed batch nor a reset checkpoint brings old rows back
+(``sinks/commits.py``).
 """
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from shoplens.sinks import fs
-
-_PREFIX = "v="
-
-
-def _version_dir(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/{_PREFIX}{int(version):012d}"
-
-
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Committed versions, ascending."""
-    out = []
-    for name in fs.list_dirs(spark, root):
-        if name.startswith(_PREFIX) and fs.exists(spark, f"{root.rstrip('/')}/{name}/_SUCCESS"):
-            out.append(int(name[len(_PREFIX):]))
-    return sorted(out)
-
-
-def write_version(df: DataFrame, root: str, version: int, keep: int = 3) -> str:
-    """Publish ``df`` as ``version``; keep the ``keep`` newest versions."""
-    path = _version_dir(root, version)
-    df.write.mode("overwrite").parquet(path)
-    spark = df.sparkSession
-    if keep:
-        for old in versions(spark, root)[:-keep]:
-            if old != version:
-                fs.delete(spark, _version_dir(root, old))
-    return path
-
-
-def latest_version(spark: SparkSession, root: str, before: int | None = None) -> int | None:
-    vs = [v for v in versions(spark, root) if before is None or v < before]
-    return vs[-1] if vs else None
-
-
-def latest_path(spark: SparkSession, root: str, before: int | None = None) -> str | None:
-    """Folder of the newest committed version (older than ``before``)."""
-    v = latest_version(spark, root, before)
-    return None if v is None else _version_dir(root, v)
-
-
-def read_latest(spark: SparkSession, root: str, before: int | None = None, schema=None) -> DataFrame | None:
-    """The newest committed version (strictly older than ``before`` if
-    given); ``None`` (or an empty frame when ``schema`` is given) if none."""
-    v = latest_version(spark, root, before)
-    if v is None:
-        return spark.createDataFrame([], schema) if schema is not None else None
-    return spark.read.parquet(_version_dir(root, v))
-
-
-
-# --- keyed partitions: one versioned snapshot per key value -----------------
-# ``<root>/<col>=<value>/v=<n>``: a job that only touches some keys (say
-# today's date) rewrites only those keys' snapshots.
-
-
-def partition_path(root: str, col: str, value) -> str:
-    return f"{root.rstrip('/')}/{col}={_escape(value)}"
-
-
-def _escape(value) -> str:
-    """A key value as Spark's partitioned writer spells it in a folder name."""
-    if value is None or value == "":
-        return "__HIVE_DEFAULT_PARTITION__"
-    special = set("\"#%'*/:=?\\{[]^") | {chr(c) for c in [*range(1, 32), 127]}
-    return "".join(f"%{ord(c):02X}" if c in special else c for c in str(value))
-
-
-def latest_partition_paths(spark: SparkSession, root: str, col: str) -> list[str]:
-    """Path of the newest committed version of every ``col=value`` snapshot."""
-    out = []
-    for name in sorted(fs.list_dirs(spark, root)):
-        if name.startswith(f"{col}="):
-            v = latest_version(spark, f"{root.rstrip('/')}/{name}")
-            if v is not None:
-                out.append(_version_dir(f"{root.rstrip('/')}/{name}", v))
-    return out
-
-
-def read_partitions(spark: SparkSession, root: str, col: str, schema=None) -> DataFrame | None:
-    """All keys' newest snapshots as one DataFrame (one read job)."""
-    paths = latest_partition_paths(spark, root, col)
-    if not paths:
-        return spark.createDataFrame([], schema) if schema is not None else None
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(*paths)
-
-
-def write_partition_versions(
-    df: DataFrame, root: str, col: str, version: int, keep: int = 3, keep_column: bool = True
-) -> list[str]:
-    """Publish ``df`` as version ``version`` of every ``col=value`` snapshot
-    it has rows for, in ONE write job whatever the number of values.
-
-    The job writes ``partitionBy(col)`` into a staging folder; each value's
-    folder is then moved (a metadata rename) to ``<root>/<col>=<value>/v=<n>``
-    and marked committed.  Values without rows keep their older versions.
-    ``keep_column`` keeps ``col`` inside the data files too."""
-    spark = df.sparkSession
-    root = root.rstrip("/")
-    staging = f"{root}/_staging/{_PREFIX}{int(version):012d}"
-    # rebalance by the key: AQE packs small keys into one file and splits a
-    # large key over several tasks, instead of one file per (task, key)
-    if keep_column:
-        out = df.withColumn("__part", F.col(col)).hint("rebalance", "__part")
-        out.write.mode("overwrite").partitionBy("__part").parquet(staging)
-        prefix = "__part="
-    else:
-        df.hint("rebalance", col).write.mode("overwrite").partitionBy(col).parquet(staging)
-        prefix = f"{col}="
-    published = []
-    for name in fs.list_dirs(spark, staging):  # one folder per value written
-        if not name.startswith(prefix):
-            continue
-        key_dir = f"{root}/{col}={name[len(prefix):]}"
-        target = _version_dir(key_dir, version)
-        fs.delete(spark, target)  # a replayed batch replaces its own version
-        fs.mkdirs(spark, key_dir)
-        fs.rename(spark, f"{staging}/{name}", target)
-        fs.touch(spark, f"{target}/_SUCCESS")
-        if keep:
-            names = sorted(n for n in fs.list_dirs(spark, key_dir) if n.startswith(_PREFIX))
-            for old in names[:-keep]:
-                fs.delete(spark, f"{key_dir}/{old}")
-        published.append(target)
-    fs.delete(spark, staging)
-    return published
+from pyspark.sql import types as T
+
+from shoplens.sinks import segments as S
+from shoplens.sinks.commits import KEEP_SECONDS, Commit, CommitLog
+
+
+class SnapshotTable:
+    """One or more frames, replaced together."""
+
+    def __init__(
+        self, spark: SparkSession, root: str, keep_seconds: float = KEEP_SECONDS, clock: Callable[[], float] = time.time
+    ):
+        self.log = CommitLog(spark, root, keep_seconds, clock)
+        self.spark = spark
+
+    def publish(
+        self,
+        frames: DataFrame | Mapping[str, DataFrame],
+        batch_id: int | None = None,
+        writer: str = "",
+        note: dict | None = None,
+    ) -> Commit:
+        """Replace the frames; ``note`` is kept with the version.  A batch that
+        is already published changes nothing."""
+        latest = self.log.latest()
+        if CommitLog.replayed(latest, writer, batch_id):
+            return latest
+        path = self.log.new_path()
+        frames = frames if isinstance(frames, Mapping) else {"rows": frames}
+        for name, df in frames.items():
+            df.write.parquet(f"{path}/{name}")
+        body = {"data": {"path": path, "frames": list(frames)}, "note": note or {}}
+        return self.log.commit(body, latest, writer, batch_id)
+
+    def _frame(self, commit: Commit | None, name: str, schema) -> DataFrame | None:
+        if commit is None:
+            return self.spark.createDataFrame([], schema) if schema is not None else None
+        reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
+        return reader.parquet(f"{commit.body['data']['path']}/{name}")
+
+    def read(self, name: str = "rows", schema=None) -> DataFrame | None:
+        """The current version of a frame; before the first, None, or an empty
+        frame where ``schema`` is given."""
+        return self._frame(self.log.latest(), name, schema)
+
+    @contextmanager
+    def open(self, name: str = "rows", schema=None, seconds: float = KEEP_SECONDS) -> Iterator[DataFrame | None]:
+        """``read`` of a version that stays until the block ends."""
+        with self.log.lease(seconds) as commit:
+            yield self._frame(commit, name, schema)
+
+    def note(self) -> dict:
+        latest = self.log.latest()
+        return latest.body["note"] if latest else {}
+
+
+class KeyedTable:
+    """Rows by key, updated by the rows that changed.
+
+    An update writes its own rows and a commit; segments of like size are
+    merged now and then (``sinks/segments.py``).  Null keys are keys like any
+    other; of rows of one key within one update any one may win."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        schema: str | T.StructType,
+        keys: Sequence[str],
+        keep_seconds: float = KEEP_SECONDS,
+        fanout: int = S.FANOUT,
+        clock: Callable[[], float] = time.time,
+    ):
+        self.log = CommitLog(spark, root, keep_seconds, clock)
+        self.spark, self.keys, self.fanout = spark, list(keys), fanout
+        self.schema = spark.createDataFrame([], schema).schema
+        self.columns = [f.name for f in self.schema]
+        self.stored = T.StructType([*self.schema.fields, T.StructField(S.EPOCH, T.LongType())])
+        self.merge = S.newest(self.keys)
+
+    def upsert(self, changed: DataFrame, batch_id: int | None = None, writer: str = "") -> Commit:
+        latest = self.log.latest()
+        if CommitLog.replayed(latest, writer, batch_id):
+            return latest
+        epoch = latest.epoch + 1 if latest else 0
+        rows = changed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema])
+        added = S.write(self.log, rows.withColumn(S.EPOCH, F.lit(epoch).cast("bigint")), self.keys)
+        held = [*(latest.body["segments"] if latest else []), added]
+        held = S.compact(self.log, held, self.stored, self.merge, self.keys, self.fanout)
+        return self.log.commit({"segments": held}, latest, writer, batch_id)
+
+    def _rows(self, commit: Commit | None) -> DataFrame:
+        held = commit.body["segments"] if commit else []
+        return self.merge(S.read(self.spark, held, self.stored)).select(*self.columns)
+
+    def read(self) -> DataFrame:
+        """The newest row of every key; filters on keys reach the files."""
+        return self._rows(self.log.latest())
+
+    @contextmanager
+    def open(self, seconds: float = KEEP_SECONDS) -> Iterator[DataFrame]:
+        with self.log.lease(seconds) as commit:
+            yield self._rows(commit)
+
+    def segments(self) -> list[dict]:
+        latest = self.log.latest()
+        return latest.body["segments"] if latest else []

@@ -1,110 +1,160 @@
 """Q5 on a stream: drop clicks of banned users; ban a user once their clicks
 on one ad in one day reach the threshold (T7, J3, A9, S17, S18).
 
-State lives in Spark's state store, keyed by user (checkpointed, restored on
-restart, partitioned across executors):
-
-    banned  BOOLEAN                  set once, never cleared (K12)
-    keys    ARRAY<STRING>            "<date>|<adid>" pairs seen so far
-    counts  ARRAY<BIGINT>            running clicks per pair
-
-For each micro-batch and user: if the user was banned in an earlier batch all
-their clicks are dropped; otherwise all are kept (the crossing batch's own
-clicks still count), the running counts grow, and reaching the threshold
-(``>=``, K11) bans the user from the *next* batch on.  A ban emits one extra
-row with ``kind = 'ban'`` so the ban list is part of the output stream.
-
-The user's rows arrive as an iterator of Arrow batches, so a user with a
-huge share of one micro-batch is streamed through, not held whole.
+The state is two tables on the shared file system, each a set of segments
+(``sinks/segments.py``): clicks per (date, user, ad), added up, and bans, the
+first per user.  A micro-batch
+
+  1. anti-joins its clicks with the bans of earlier batches and writes what is
+     kept (the crossing batch's own clicks still count),
+  2. counts what it kept per (date, user, ad),
+  3. adds the earlier counts of just those keys; a key at the threshold (``>=``,
+     K11) bans its user from the *next* batch on (once, never cleared: K12),
+  4. commits kept clicks, counts and bans as one entry of the commit log.
+
+All of it is joins and aggregates in the JVM: a user with a third of the
+clicks is one row per task after the partial count, and the ban table has one
+row per user.  A batch that is replayed after its commit adds nothing, one that
+died before it starts afresh; the state outlives a checkpoint.
+
+The output folder holds ``epoch=<n>`` per commit, rows of ``kind`` click or ban.
+It is written aside and moved in after the commit, so a reader of the folder
+sees whole commits only; a move that a crash prevented is made up by the next
+batch or start.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-from collections import Counter
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql import types as T
 
 from shoplens.functions import constants as K
 from shoplens.plans.ads import with_date
-
-STATE_SCHEMA = "banned BOOLEAN, keys ARRAY<STRING>, counts ARRAY<BIGINT>"
-CLICK_COLS = ["timestamp", "area", "city", "userid", "adid", "date"]
-OUTPUT_SCHEMA = (
-    "kind STRING, timestamp BIGINT, area STRING, city STRING, userid STRING, adid STRING, date STRING"
+from shoplens.sinks import fs
+from shoplens.sinks import segments as S
+from shoplens.sinks.commits import KEEP_SECONDS, Commit, CommitLog, writer_of
+
+OUTPUT_SCHEMA = T.StructType(
+    [
+        T.StructField(name, T.LongType() if name in ("timestamp", "arrival") else T.StringType())
+        for name in ("kind", "timestamp", "area", "city", "userid", "adid", "date", "arrival")
+    ]
 )
-
-
-def _older_than(date: str, newest: str, days: int) -> bool:
-    return (_dt.date.fromisoformat(newest) - _dt.date.fromisoformat(date)).days > days
-
-
-def _step(threshold: int, count_days: int | None = None):
-    def step(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            banned, keys, counts = state.get
-            running = dict(zip(list(keys), [int(c) for c in counts]))
-        else:
-            banned, running = False, {}
-        if banned:
-            for _ in batches:  # banned before this batch: drop everything
-                pass
+COUNTS_SCHEMA = "date STRING, userid STRING, adid STRING, cnt BIGINT"
+BANS_SCHEMA = "userid STRING, ban_date STRING"
+_COUNT_KEYS = ["date", "userid", "adid"]
+
+
+class BanFilter:
+    """The state and output of one ban filter, in one folder.
+
+    ``count_days``: drop counts of days more than that many before the newest
+    day seen when segments are merged and when counts are looked up, so the
+    state does not grow with the years (a click that comes later for such a
+    day starts its count anew: a documented difference).  Default: keep all."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        threshold: int = K.BAN_THRESHOLD,
+        tz: str = "UTC",
+        count_days: int | None = None,
+        keep_seconds: float = KEEP_SECONDS,
+    ):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.threshold, self.tz, self.count_days = threshold, tz, count_days
+        self.log = CommitLog(spark, f"{self.root}/_state", keep_seconds)
+        self.add_up = S.summed(_COUNT_KEYS, "cnt")
+        self.first_ban = S.least(["userid"], "ban_date")
+
+    # --- state ---
+
+    def _bans(self, commit: Commit | None) -> DataFrame:
+        return self.first_ban(S.read(self.spark, commit.body["bans"] if commit else [], BANS_SCHEMA))
+
+    def bans(self) -> DataFrame:
+        """(userid, ban_date) committed so far."""
+        return self._bans(self.log.latest())
+
+    def counts(self) -> DataFrame:
+        """(date, userid, adid, cnt) of the clicks kept so far."""
+        latest = self.log.latest()
+        return self.add_up(S.read(self.spark, latest.body["counts"] if latest else [], COUNTS_SCHEMA))
+
+    def settle(self, latest: Commit | None) -> None:
+        """Move the last commit's output into view, if that was not done."""
+        if latest is not None:
+            to = f"{self.root}/epoch={latest.epoch:012d}"
+            if not fs.exists(self.spark, to) and fs.exists(self.spark, latest.body["staged"]):
+                fs.rename(self.spark, latest.body["staged"], to)
+
+    # --- a micro-batch ---
+
+    def process(self, clicks: DataFrame, batch_id: int) -> None:
+        latest = self.log.latest()
+        self.settle(latest)
+        writer = writer_of(clicks)
+        if CommitLog.replayed(latest, writer, batch_id):
             return
-        ban_date = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            # most users have a handful of clicks per batch: a Counter over
-            # the (date, ad) pairs is far cheaper than a pandas groupby
-            for (date, adid), n in Counter(zip(pdf["date"].tolist(), pdf["adid"].tolist())).items():
-                k = f"{date}|{adid}"
-                running[k] = running.get(k, 0) + n
-                if running[k] >= threshold and (ban_date is None or date < ban_date):
-                    ban_date = date
-            pdf.insert(0, "kind", "click")
-            yield pdf
-        if ban_date is not None:
-            yield pd.DataFrame(
-                [["ban", None, None, None, key[0], None, ban_date]],
-                columns=["kind"] + CLICK_COLS,
-            ).astype({"timestamp": "Int64"})
-            state.update((True, [], []))  # counts are no longer needed once banned
-        else:
-            if count_days is not None and running:
-                newest = max(k.split("|", 1)[0] for k in running)
-                running = {
-                    k: c for k, c in running.items()
-                    if not _older_than(k.split("|", 1)[0], newest, count_days)
-                }
-            items = sorted(running.items())
-            state.update((False, [k for k, _ in items], [c for _, c in items]))
-
-    return step
-
-
-def ban_filter(
-    clicks: DataFrame, threshold: int = K.BAN_THRESHOLD, tz: str = "UTC", count_days: int | None = None
-) -> DataFrame:
-    """Streaming (or batch) clicks -> ``kind='click'`` rows kept plus
-    ``kind='ban'`` rows (userid, date of the ban).
-
-    ``count_days``: keep a user's daily counters only for days within that
-    many days of the newest day seen for the user, so state does not grow
-    with the user's lifetime (a click arriving later for an older day then
-    starts that day's counter again: a documented difference).  Default:
-    keep all, as the reference does."""
-    dated = with_date(clicks, tz).select(*CLICK_COLS)
-    return dated.groupBy("userid").applyInPandasWithState(
-        _step(threshold, count_days),
-        outputStructType=OUTPUT_SCHEMA,
-        stateStructType=STATE_SCHEMA,
-        outputMode="append",
-        timeoutConf=GroupStateTimeout.NoTimeout,
-    )
+        staged = f"{self.root}/_staged/{self.log.new_path().rsplit('/', 1)[1]}"
+        fs.mkdirs(self.spark, f"{self.root}/_staged")
+        self._keep(clicks, self._bans(latest), staged)
+
+        kept = self.spark.read.schema(OUTPUT_SCHEMA).parquet(staged)
+        added = S.write(self.log, kept.groupBy(*_COUNT_KEYS).agg(F.count(F.lit(1)).alias("cnt")), ["date"])
+        new, newest = self._new_bans(latest, added)
+        held = {"counts": [*(latest.body["counts"] if latest else []), added], "bans": latest.body["bans"] if latest else []}
+        new.persist()
+        try:
+            if not new.isEmpty():
+                held["bans"] = [*held["bans"], S.write(self.log, new)]
+                out = new.select(F.lit("ban").alias("kind"), "userid", F.col("ban_date").alias("date"))
+                self._shaped(out).write.mode("append").parquet(staged)
+        finally:
+            new.unpersist()
+        held["newest"] = max(d for d in (newest, latest and latest.body["newest"], "") if d is not None)
+        held["counts"] = S.compact(self.log, held["counts"], COUNTS_SCHEMA, self._forgetful(held["newest"]), ["date"])
+        held["bans"] = S.compact(self.log, held["bans"], BANS_SCHEMA, self.first_ban)
+        self.settle(self.log.commit(held | {"staged": staged}, latest, writer, batch_id))
+
+    def _shaped(self, rows: DataFrame) -> DataFrame:
+        """The output's columns, null where ``rows`` lacks one."""
+        empty = self.spark.createDataFrame([], OUTPUT_SCHEMA)
+        return empty.unionByName(rows, allowMissingColumns=True)
+
+    def _keep(self, clicks: DataFrame, bans: DataFrame, path: str) -> None:
+        dated = with_date(clicks, self.tz).withColumn("kind", F.lit("click"))
+        kept = dated.join(bans.select("userid"), "userid", "left_anti")
+        columns = [f.name for f in OUTPUT_SCHEMA if f.name in kept.columns]
+        self._shaped(kept.select(*columns)).write.parquet(path)
+
+    def _since(self, newest: str):
+        """Days whose counts are still held."""
+        return F.col("date") >= F.date_format(F.date_sub(F.lit(newest).cast("date"), self.count_days), K.DATE_FORMAT)
+
+    def _forgetful(self, newest: str) -> S.Merge:
+        if self.count_days is None or not newest:
+            return self.add_up
+        return lambda rows: self.add_up(rows.filter(self._since(newest)))
+
+    def _new_bans(self, latest: Commit | None, added: dict) -> tuple[DataFrame, str | None]:
+        """(userid, ban_date) of the users that this batch brings to the
+        threshold, and the newest day among its clicks."""
+        delta = self.spark.read.schema(COUNTS_SCHEMA).parquet(added["path"])
+        first, last = delta.agg(F.min("date"), F.max("date")).first()
+        if first is None:
+            return self.spark.createDataFrame([], BANS_SCHEMA), None
+        before = S.read(self.spark, latest.body["counts"] if latest else [], COUNTS_SCHEMA)
+        # the batch's days, as literals that prune files sorted by day
+        before = before.filter(F.col("date").between(first, last))
+        if self.count_days is not None:
+            before = before.filter(self._since(max(last, latest.body["newest"] if latest else last)))
+        before = before.join(delta.select(*_COUNT_KEYS), _COUNT_KEYS, "left_semi")
+        total = self.add_up(delta.unionByName(before))
+        reached = total.filter(F.col("cnt") >= self.threshold)
+        return reached.groupBy("userid").agg(F.min("date").alias("ban_date")), last
 
 
 def kept_clicks(filtered: DataFrame) -> DataFrame:

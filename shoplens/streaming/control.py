@@ -43,22 +43,46 @@ def run_until_marker(
             return "timeout"
 
 
-def run_all(spark: SparkSession, queries, marker_path: str | None = None, poll_seconds: float = 5.0) -> str:
+def stop_in_order(stages) -> None:
+    """Stop the queries of an app whose stages feed one another: each stage is
+    stopped between batches, and the stage after it works off all that was
+    committed by then before it is stopped itself, so nothing that one query
+    has let through is left behind in the next."""
+    failed = None
+    for number, stage in enumerate(stages):
+        for q in stage:
+            try:
+                if number and failed is None and q.isActive:
+                    q.processAllAvailable()  # the stage before has ended: nothing more comes
+            except Exception as error:  # the others are stopped before it is raised
+                failed = error
+            if q.isActive:
+                stop_gracefully(q)
+    if failed is not None:
+        raise failed
+
+
+def run_all(
+    spark: SparkSession, queries, marker_path: str | None = None, poll_seconds: float = 5.0, downstream=()
+) -> str:
     """Wait until ``marker_path`` appears or every query has ended; returns
-    ``"marker"`` or ``"terminated"``.  A query that fails stops the others and
-    raises, so no app goes on half dead."""
-    queries = list(queries)
+    ``"marker"`` or ``"terminated"``.  At the marker ``queries`` stop first, and
+    the queries of ``downstream``, which read their output, when they have
+    worked it off.  A query that fails stops the others and raises, so no app
+    goes on half dead."""
+    stages = [list(queries), list(downstream)]
+    every = [q for stage in stages for q in stage]
     while True:
-        failed = next((q for q in queries if not q.isActive and q.exception() is not None), None)
-        marked = marker_path is not None and fs.exists(spark, marker_path)
-        if failed is not None or marked:
-            for q in queries:
+        failed = next((q for q in every if not q.isActive and q.exception() is not None), None)
+        if failed is not None:
+            for q in every:
                 if q.isActive:
                     stop_gracefully(q)
-            if failed is not None:
-                raise failed.exception()
+            raise failed.exception()
+        if marker_path is not None and fs.exists(spark, marker_path):
+            stop_in_order(stages)
             return "marker"
-        active = [q for q in queries if q.isActive]
+        active = [q for q in every if q.isActive]
         if not active:
             return "terminated"
         try:
@@ -67,16 +91,14 @@ def run_all(spark: SparkSession, queries, marker_path: str | None = None, poll_s
             continue
 
 
-def stop_on_signal(queries, signals=(signal.SIGTERM, signal.SIGINT)):
-    """Stop the given queries gracefully when the driver gets one of
-    ``signals`` (the counterpart of stopping gracefully on shutdown).
+def stop_on_signal(queries, signals=(signal.SIGTERM, signal.SIGINT), downstream=()):
+    """Stop the given queries gracefully, and then the ``downstream`` ones (see
+    ``run_all``), when the driver gets one of ``signals``.
     Returns the handler, which can also be called directly.  Install from
     the driver's main thread."""
 
     def handler(signum=None, frame=None):
-        for q in list(queries):
-            if q.isActive:
-                stop_gracefully(q)
+        stop_in_order([list(queries), list(downstream)])
 
     for s in signals:
         signal.signal(s, handler)

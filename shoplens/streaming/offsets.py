@@ -1,10 +1,13 @@
 """Offsets kept with the results.
 
-For a Kafka-fed job that manages its own offsets: each micro-batch writes its
-results and the next offset per (topic, partition) as the same snapshot
-version, so after a failure the job restarts exactly after the last
-published results (``starting_offsets``).  With Spark's own checkpoint this
-is not needed; it serves sinks and readers that track offsets themselves.
+For a Kafka-fed job that manages its own offsets: each micro-batch publishes
+its results and the next offset per (topic, partition) in one commit
+(``sinks/commits.py``), so the two can never disagree.  After a failure, or
+with a new checkpoint, the job starts at ``starting_offsets``; records below the
+offsets published, which a source that starts earlier brings again, are left
+out of the batch.  Versions are the log's own and rise on, whatever the batch
+ids of the new checkpoint are.  With Spark's own checkpoint alone none of this
+is needed; it serves sinks and readers that track offsets themselves.
 """
 
 from __future__ import annotations
@@ -14,46 +17,69 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.sinks import snapshot
+from shoplens.sinks.commits import CommitLog, writer_of
+from shoplens.sinks.snapshot import SnapshotTable
 from shoplens.streaming.sources import batch_end_offsets, offsets_json
 
 OFFSETS_SCHEMA = "topic STRING, partition INT, until_offset BIGINT"
 
+Combine = Callable[[DataFrame | None, DataFrame], DataFrame]
 
-def _offset_cols():
-    return ["topic", F.col("partition").cast("int").alias("partition"), "until_offset"]
 
+def _published(table: SnapshotTable) -> dict[str, dict[str, int]]:
+    return table.note().get("offsets", {})
 
-def publish_with_offsets(root: str, compute: Callable[[DataFrame], DataFrame], keep: int = 3):
-    """``foreachBatch`` function: results of ``compute(batch)`` under
-    ``<root>/results`` and the batch's end offsets under ``<root>/offsets``,
-    both as version ``batch_id``.  The offsets version is written last, so
-    a version with offsets always has its results."""
+
+def _not_yet(batch: DataFrame, offsets: dict) -> DataFrame:
+    """The batch's records at or past the offsets (one row per topic partition)."""
+    rows = [(t, int(p), o) for t, parts in offsets.items() for p, o in parts.items()]
+    if not rows:
+        return batch
+    known = batch.sparkSession.createDataFrame(rows, OFFSETS_SCHEMA).select(
+        F.col("topic").alias("_topic"), F.col("partition").alias("_partition"), "until_offset"
+    )
+    here = (F.col("topic") == F.col("_topic")) & (F.col("partition") == F.col("_partition"))
+    return batch.join(known, here & (F.col("offset") < F.col("until_offset")), "left_anti")
+
+
+def publish_with_offsets(root: str, compute: Callable[[DataFrame], DataFrame], combine: Combine | None = None):
+    """``foreachBatch`` function: the results of ``compute(batch)`` replace those
+    before, or ``combine(results before, results)`` does where given (None
+    before the first), and the batch's end offsets go with them.  A batch
+    without new records publishes nothing."""
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
-        snapshot.write_version(compute(batch), f"{root}/results", batch_id, keep)
-        # carry forward partitions this batch did not touch
-        prev = snapshot.read_latest(spark, f"{root}/offsets", before=batch_id, schema=OFFSETS_SCHEMA)
-        merged = (
-            prev.unionByName(batch_end_offsets(batch).select(*_offset_cols()))
-            .groupBy("topic", "partition")
-            .agg(F.max("until_offset").alias("until_offset"))
-        )
-        snapshot.write_version(merged, f"{root}/offsets", batch_id, keep)
-        batch.unpersist()
+        table = SnapshotTable(batch.sparkSession, root)
+        writer = writer_of(batch)
+        if CommitLog.replayed(table.log.latest(), writer, batch_id):
+            return
+        offsets = _published(table)
+        fresh = _not_yet(batch, offsets).persist()
+        try:
+            # one row per topic partition
+            ends = batch_end_offsets(fresh).collect()
+            if not ends:
+                return
+            merged = {t: dict(parts) for t, parts in offsets.items()}
+            for r in ends:
+                merged.setdefault(r.topic, {})[str(int(r.partition))] = int(r.until_offset)
+            results = compute(fresh)
+            if combine is not None:
+                results = combine(table.read(), results)
+            table.publish(results, batch_id, writer, note={"offsets": merged})
+        finally:
+            fresh.unpersist()
 
     return publish
 
 
+def results(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
+    """The results published last."""
+    return SnapshotTable(spark, root).read(schema=schema)
+
+
 def starting_offsets(spark: SparkSession, root: str, default: str = "earliest") -> str:
     """``startingOffsets`` option for a restart: the offsets stored with the
     last published results, or ``default`` when nothing was published."""
-    latest = snapshot.read_latest(spark, f"{root}/offsets")
-    if latest is None:
-        return default
-    parts: dict = {}
-    for r in latest.collect():  # one row per topic partition
-        parts.setdefault(r.topic, {})[int(r.partition)] = int(r.until_offset)
-    return offsets_json(parts)
+    offsets = _published(SnapshotTable(spark, root))
+    return offsets_json(offsets) if offsets else default

@@ -4,21 +4,25 @@ checkpoint (T3, T10, F14).
 The count per word is Spark's streaming aggregation state (partial counts per
 task before the shuffle, so a very frequent word costs one row per task).
 Each micro-batch publishes only the words whose count changed (update mode)
-into ``<root>/changes/<batch id>`` -- written whole per batch id, so a replay
-rewrites its own folder -- and readers take every word's newest count.  The
-per-batch cost is the words that batch touched, not the whole vocabulary.
+into a keyed table (``sinks/snapshot.py``): the per-batch cost is the words
+that batch touched, and the files a reader opens do not grow with the batches.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shoplens.plans.ads import running_word_count
 from shoplens.session import checkpoint_root
+from shoplens.sinks.commits import writer_of
+from shoplens.sinks.snapshot import KeyedTable
 
-CHANGES_SCHEMA = "word STRING, n BIGINT, batch_id BIGINT"
+COUNTS_SCHEMA = "word STRING, n BIGINT"
+
+
+def word_counts_table(spark: SparkSession, root: str) -> KeyedTable:
+    return KeyedTable(spark, root, COUNTS_SCHEMA, ["word"])
 
 
 def start_word_count(
@@ -29,17 +33,14 @@ def start_word_count(
     name: str = "running_word_count",
 ) -> StreamingQuery:
     spark = lines.sparkSession
-    counts = running_word_count(lines)
+    table = word_counts_table(spark, root)
 
     def publish(changed: DataFrame, batch_id: int) -> None:
-        (
-            changed.select("word", F.col("n").cast("bigint").alias("n"), F.lit(batch_id).cast("bigint").alias("batch_id"))
-            .write.mode("overwrite")
-            .parquet(f"{root.rstrip('/')}/changes/{int(batch_id):012d}")
-        )
+        table.upsert(changed, batch_id, writer_of(changed))
 
     writer = (
-        counts.writeStream.outputMode("update")
+        running_word_count(lines)
+        .writeStream.outputMode("update")
         .foreachBatch(publish)
         .option("checkpointLocation", checkpoint or f"{checkpoint_root(spark)}/{name}")
         .queryName(name)
@@ -49,6 +50,5 @@ def start_word_count(
 
 
 def read_word_counts(spark: SparkSession, root: str) -> DataFrame:
-    """Current count of every word: its newest published value."""
-    changes = spark.read.schema(CHANGES_SCHEMA).parquet(f"{root.rstrip('/')}/changes/*")
-    return changes.groupBy("word").agg(F.max_by("n", "batch_id").alias("n"))
+    """Current count of every word, as of the last committed batch."""
+    return word_counts_table(spark, root).read()

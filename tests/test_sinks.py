@@ -1,9 +1,10 @@
-"""Sinks: catalog replace round trip, versioned snapshots, writer options.
+"""Sinks: catalog replace round trip, writer options (published tables:
+``test_commits.py``).
 
 JDBC and Kafka writes need a database / broker process; none is started
 here, so only their option building and record shaping are tested."""
 
-from shoplens.sinks import catalog, jdbc, snapshot, topic
+from shoplens.sinks import catalog, jdbc, topic
 from shoplens.sources import schemas
 
 
@@ -18,22 +19,6 @@ def test_catalog_replace_round_trip(spark):
     assert spark.table("city_info_b").count() == 2
 
 
-def test_snapshot_versions_and_replay(spark, scratch):
-    root = f"{scratch}/snap_unit"
-    a = spark.createDataFrame([("k", "f", "1")], "key string, field string, value string")
-    b = spark.createDataFrame([("k", "f", "2")], "key string, field string, value string")
-    assert snapshot.read_latest(spark, root) is None
-    snapshot.write_version(a, root, 0)
-    snapshot.write_version(b, root, 1)
-    snapshot.write_version(b, root, 1)  # a replayed batch rewrites its own version
-    assert snapshot.versions(spark, root) == [0, 1]
-    assert [r.value for r in snapshot.read_latest(spark, root).collect()] == ["2"]
-    assert [r.value for r in snapshot.read_latest(spark, root, before=1).collect()] == ["1"]
-    for v in range(2, 6):
-        snapshot.write_version(b, root, v, keep=3)
-    assert snapshot.versions(spark, root) == [3, 4, 5]
-
-
 def test_jdbc_options():
     o = jdbc.jdbc_options("jdbc:mysql://db/x", "category_top10", user="u", password="p", batchsize=500)
     assert o == {

@@ -6,7 +6,7 @@ import pytest
 
 from shoplens.params import parse_lenient_json
 from shoplens.plans import ads as A
-from shoplens.sinks import catalog, fs, snapshot
+from shoplens.sinks import catalog, fs
 from shoplens.sources import tables
 from shoplens.streaming import control
 
@@ -29,32 +29,11 @@ def test_appended_files_are_read(spark, scratch):
     assert tables.table(spark, f"{scratch}/appended", "region").count() == 7
 
 
-def test_a_failed_move_is_not_committed(spark, scratch, monkeypatch):
-    root = f"{scratch}/moves"
-    df = spark.createDataFrame([("d1", 1)], "date string, n int")
-    snapshot.write_partition_versions(df, root, "date", 0)
-
-    def refuse(*_):
-        raise OSError("no")
-
-    monkeypatch.setattr(fs, "rename", refuse)
-    with pytest.raises(OSError):
-        snapshot.write_partition_versions(df.selectExpr("date", "n + 1 AS n"), root, "date", 1)
-    assert [r.n for r in snapshot.read_partitions(spark, root, "date").collect()] == [1]
-
-
 def test_rename_reports_a_refusal(spark, scratch):
     with pytest.raises(Exception):
         fs.rename(spark, f"{scratch}/not-there", f"{scratch}/x/y/z")
 
 
-def test_keys_are_spelled_as_the_writer_does(spark, scratch):
-    root = f"{scratch}/keys"
-    df = spark.createDataFrame([("a:b", 1), ("c", 2)], "k string, n int")
-    snapshot.write_partition_versions(df, root, "k", 0)
-    assert snapshot.latest_path(spark, snapshot.partition_path(root, "k", "a:b")) is not None
-
-
 def test_quoted_values_are_left_alone():
     assert parse_lenient_json('{keywords:"a, b:c", startAge: "1"}') == {"keywords": "a, b:c", "startAge": "1"}
     assert json.loads('{"k": "a, b:c"}') == parse_lenient_json('{"k": "a, b:c"}')
