@@ -199,10 +199,10 @@ def _window_minutes(ads: DataFrame, window_minutes: int, end_time=None, ahead_se
     The latest time is computed first (a max over one column, one value back),
     so the window becomes a literal range on the click time that the Parquet
     reader can use to skip row groups outside it."""
-    t = click_time(ads)
-    came = t
-    if "arrival" in ads.columns:
-        ads, came = ads.filter(~_is_ahead(ads, ahead_seconds)), C.ntz_from_millis("arrival")
+    t, came = click_time(ads), click_time(ads)
+    by_arrival = "arrival" in ads.columns
+    if by_arrival:
+        came = C.ntz_from_millis("arrival")
     if end_time is None:
         end_time = ads.select(F.max(came)).first()[0]
     if end_time is None:  # no clicks at all
@@ -211,13 +211,12 @@ def _window_minutes(ads: DataFrame, window_minutes: int, end_time=None, ahead_se
     end = _dt.datetime.fromisoformat(str(end_time)).replace(second=0, microsecond=0, tzinfo=None)
     first_minute = end - _dt.timedelta(minutes=int(window_minutes) - 1)
     minute = F.date_trunc("minute", t)
-    raw = F.col("arrival") if "arrival" in ads.columns else F.col("ts") if "ts" in ads.columns else None
-    if raw is None:
-        rows = ads
-    elif "arrival" in ads.columns:
-        rows = ads.filter(raw >= int(first_minute.replace(tzinfo=_dt.timezone.utc).timestamp() * 1000))
-    else:
-        rows = ads.filter(raw >= C.ntz_literal(first_minute))
+    rows = ads
+    if by_arrival:
+        first_ms = int(first_minute.replace(tzinfo=_dt.timezone.utc).timestamp() * 1000)
+        rows = ads.filter((F.col("arrival") >= first_ms) & ~_is_ahead(ads, ahead_seconds))
+    elif "ts" in ads.columns:
+        rows = ads.filter(t >= C.ntz_literal(first_minute))
     return rows.filter(F.date_trunc("minute", came) >= C.ntz_literal(first_minute)).select(
         "adid", minute.alias("minute"), C.minute_label(t).alias("hhmm")
     )

@@ -14,60 +14,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.operators.sequence import consecutive_pairs, flow_pairs, transitions
-from shoplens.session import checkpoint_root
-
-# Sessions are split into hour buckets before the pair window (see
-# operators/sequence.py), so no session is ever sorted whole in one task.
-#
-# bucket_unit="rows" splits by row count instead, for sessions whose rows
-# pile into one hour: a range repartition on the session order balances
-# partitions whatever the key skew, and the partition number becomes the
-# bucket.  That number must be the same in every branch of the plan, so the
-# bucketed rows are checkpointed (to spark.checkpoint.dir) before use: one
-# extra shuffle and one extra write of the actions.
-DEFAULT_BUCKET = "hour"
+from shoplens.operators.sequence import consecutive_pairs, flow_pairs, transition_counts
+
 # Session order: action time, then event id.  The 'yyyy-MM-dd HH:mm:ss' text
 # is parsed to an 8-byte timestamp with the same order, so the shuffle that
-# groups sessions carries a long instead of a 19-character string.
+# orders sessions carries a long instead of a 19-character string.
 ORDER = ["__t", "event_id"]
 
 
-# bucket_unit="auto": only sessions with more than HOT_ROWS actions are split
-# into hour buckets; every other session is a single bucket, so its bridge
-# step carries two rows instead of two per hour.  Costs a per-session count.
-HOT_ROWS = 1_000_000
-
-
-def _bucketed(actions: DataFrame, bucket_unit: str, hot_rows: int = HOT_ROWS):
-    timed = actions.select("session_id", "event_id", "page_id", F.to_timestamp_ntz("action_time").alias("__t"))
-    if bucket_unit == "auto":
-        hot = (
-            timed.groupBy("session_id")
-            .agg(F.count(F.lit(1)).alias("__n"))
-            .filter(F.col("__n") > hot_rows)  # at most (all actions / hot_rows) sessions
-            .select("session_id", F.lit(True).alias("__hot"))
-        )
-        tagged = timed.join(hot, "session_id", "left")
-        bucket = F.when(F.col("__hot"), F.date_trunc("hour", F.col("__t")))
-        return tagged, bucket
-    if bucket_unit == "rows":
-        spark = actions.sparkSession
-        checkpoint_root(spark)  # the shared folder must be configured
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        ranged = (
-            timed.repartitionByRange(n, "session_id", *ORDER)
-            .withColumn("__rb", F.spark_partition_id())
-            .checkpoint(eager=True)
-        )
-        return ranged, F.col("__rb")
-    return timed, F.date_trunc(bucket_unit, F.col("__t"))
+def _timed(actions: DataFrame) -> DataFrame:
+    return actions.select("session_id", "event_id", "page_id", F.to_timestamp_ntz("action_time").alias("__t"))
 
 
-def session_page_pairs(actions: DataFrame, bucket_unit: str = DEFAULT_BUCKET) -> DataFrame:
+def session_page_pairs(actions: DataFrame) -> DataFrame:
     """(session_id, frm, nxt) for adjacent actions of each session."""
-    rows, bucket = _bucketed(actions, bucket_unit)
-    return consecutive_pairs(rows, "session_id", ORDER, "page_id", bucket)
+    return consecutive_pairs(_timed(actions), "session_id", ORDER, "page_id")
 
 
 def page_visit_count(actions: DataFrame, pages: Sequence) -> DataFrame:
@@ -80,16 +41,13 @@ def page_visit_count(actions: DataFrame, pages: Sequence) -> DataFrame:
     )
 
 
-def page_transition_counts(
-    actions: DataFrame, bucket_unit: str = DEFAULT_BUCKET, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def page_transition_counts(actions: DataFrame) -> DataFrame:
     """(frm, nxt, c): how often page ``nxt`` directly follows page ``frm``
     in a session; ``nxt`` NULL counts session-last visits.  A pages x pages
     table, whatever the number of actions; the jump numerators and the visit
-    denominators both come from it, so the actions are scanned once."""
-    rows, bucket = _bucketed(actions, bucket_unit, hot_rows)
-    t = transitions(rows, "session_id", ORDER, "page_id", bucket)
-    return t.groupBy("frm", "nxt").agg(F.count(F.lit(1)).alias("c"))
+    denominators both come from it, so the actions are read and shuffled once
+    (``operators/sequence.py``) and no session is ever one task's."""
+    return transition_counts(_timed(actions), "session_id", ORDER, "page_id")
 
 
 def _jumps(counts: DataFrame, flow: Sequence) -> DataFrame:
@@ -101,25 +59,19 @@ def _jumps(counts: DataFrame, flow: Sequence) -> DataFrame:
     )
 
 
-def page_jump_count(actions: DataFrame, flow: Sequence, bucket_unit: str = DEFAULT_BUCKET) -> DataFrame:
+def page_jump_count(actions: DataFrame, flow: Sequence) -> DataFrame:
     """A5 + P8: (jump, frm, c) for jumps that are steps of the flow."""
-    return _jumps(page_transition_counts(actions, bucket_unit), flow)
+    return _jumps(page_transition_counts(actions), flow)
 
 
-def page_jump_ratio(
-    actions: DataFrame,
-    flow: Sequence,
-    task_id: str | None = None,
-    bucket_unit: str = DEFAULT_BUCKET,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def page_jump_ratio(actions: DataFrame, flow: Sequence, task_id: str | None = None) -> DataFrame:
     """(jump, ratio).  Every jump found has at least one visit of its
     from-page, so the reference's divide-by-1 default (J5) never applies.
 
     Numerator and denominator come from the one transition-count table:
     ``sum(c) over (partition by frm)`` is the from-page's visit count (each
     group holds at most one row per distinct next page)."""
-    counts = page_transition_counts(actions, bucket_unit, hot_rows)
+    counts = page_transition_counts(actions)
     targets = [f"{a}-{b}" for a, b in flow_pairs(flow)]
     from_pages = sorted({a for a, _ in flow_pairs(flow)})
     out = (

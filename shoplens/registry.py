@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens import params
+from shoplens.functions import columns as C
+from shoplens.functions import constants as K
 from shoplens.operators.city_share import register_city_ratio_function
 from shoplens.plans import ads as A
 from shoplens.plans import area_product as Q4
@@ -20,6 +22,7 @@ from shoplens.plans import category as Q12
 from shoplens.plans import page_jump as Q3
 from shoplens.sources import schemas
 from shoplens.sources import tables as T
+from shoplens.streaming import ads_app
 
 # Parameters the registered queries run with.
 COND = params.TEST                      # dates 2024-01-03..28, ages 20..50
@@ -98,6 +101,33 @@ def _kept(spark, d):
     return A.ads_after_ban(_ads(spark, d), TEST_BAN_THRESHOLD)
 
 
+def _arriving(spark: SparkSession, d: str) -> DataFrame:
+    """Clicks that arrive up to a minute and a half after their time, every
+    997th with a clock ten years ahead."""
+    ten_years = 3650 * 86_400_000
+    return _ads(spark, d).select(
+        "event_id",
+        "adid",
+        (F.col("timestamp") + F.when(F.col("event_id") % 997 == 0, ten_years).otherwise(0)).alias("timestamp"),
+        (F.col("timestamp") + F.col("event_id") % 90 * 1000).alias("arrival"),
+    )
+
+
+def _top_ads_by_change(spark: SparkSession, d: str) -> DataFrame:
+    """Q7 in two steps, as the stream does it: the top of the clicks before
+    noon of every day, then the groups whose top the later clicks change."""
+    dated = A.with_date(_ads(spark, d))
+    key = ["date", "area", "adid"]
+    early = dated.filter(F.hour("ts") < 12).groupBy(*key).agg(F.count(F.lit(1)).alias("cnt"))
+    clicked = dated.filter(F.hour("ts") >= 12).select(*key).distinct()
+    total = dated.join(clicked, key, "left_semi").groupBy(*key).agg(F.count(F.lit(1)).alias("cnt"))
+    nothing = spark.createDataFrame([], ads_app.TOP_SCHEMA)
+    before = ads_app.next_top(nothing, early, K.TOP_ADS)
+    after = ads_app.next_top(before, total, K.TOP_ADS)
+    current = before.join(after.select("date", "area"), ["date", "area"], "left_anti").unionByName(after)
+    return current.select("date", "area", C.pairs_json("top", "adid", "cnt").alias("top3"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # Q1 / Q2
     "range_filter_actions": _filtered,
@@ -137,6 +167,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "date_area_top_ads": lambda s, d: A.date_area_top_ads(A.date_area_city_ad_count(_ads(s, d))),
     "last_window_ad_clicks": lambda s, d: A.last_window_ad_clicks(_ads(s, d), WINDOW_MINUTES),
     "last_window_ad_clicks_json": lambda s, d: A.last_window_ad_clicks_json(_ads(s, d), WINDOW_MINUTES),
+    "last_window_by_arrival": lambda s, d: A.last_window_ad_clicks(_arriving(s, d), WINDOW_MINUTES),
+    "clicks_ahead_of_arrival": lambda s, d: A.clicks_ahead(_arriving(s, d)),
+    "date_area_top_ads_by_change": _top_ads_by_change,
     "running_word_count": lambda s, d: A.running_word_count(T.ads_lines(_ads(s, d))),
     "ad_count_kv": lambda s, d: A.date_area_city_ad_kv(A.date_area_city_ad_count(_ads(s, d))),
     "top_ads_kv": lambda s, d: A.top_ads_kv(A.date_area_top_ads(A.date_area_city_ad_count(_ads(s, d)))),
@@ -226,6 +259,9 @@ top3 AS (
 win AS (
   SELECT adid, strftime(ts, '%H:%M') AS hhmm, date_trunc('minute', ts) AS m FROM ads_log
   WHERE date_trunc('minute', ts) > (SELECT date_trunc('minute', max(ts)) - INTERVAL 60 MINUTE FROM ads_log)),
+arr AS (
+  SELECT event_id, adid, timestamp + CASE WHEN event_id % 997 = 0 THEN 315360000000 ELSE 0 END AS timestamp,
+         timestamp + event_id % 90 * 1000 AS arrival FROM ads_log),
 """
 
 
@@ -297,6 +333,11 @@ _FINAL = {
     "last_window_ad_clicks_json": """SELECT adid,
   concat('[', string_agg(concat('{"', hhmm, '":', cnt, '}'), ',' ORDER BY first_minute), ']') AS minutes
   FROM (SELECT adid, hhmm, count(*) AS cnt, min(m) AS first_minute FROM win GROUP BY 1, 2) x GROUP BY adid""",
+    "last_window_by_arrival": """SELECT adid, strftime(make_timestamp(timestamp * 1000), '%H:%M') AS hhmm, count(*) AS cnt
+  FROM arr WHERE timestamp <= arrival + 60000 AND date_trunc('minute', make_timestamp(arrival * 1000)) >
+    (SELECT date_trunc('minute', make_timestamp(max(arrival) * 1000)) - INTERVAL 60 MINUTE FROM arr) GROUP BY 1, 2""",
+    "clicks_ahead_of_arrival": "SELECT adid, count(*) AS cnt FROM arr WHERE timestamp > arrival + 60000 GROUP BY 1",
+    "date_area_top_ads_by_change": "SELECT * FROM top3",
     "running_word_count": """SELECT word, count(*) AS n FROM (SELECT unnest(string_split(
   concat_ws(' ', CAST(timestamp AS VARCHAR), area, city, userid, adid), ' ')) AS word FROM ads_log) w GROUP BY 1""",
     "ad_count_kv": """SELECT concat('date_area_city_ad_', date) AS key, concat_ws(':', area, city, adid) AS field,

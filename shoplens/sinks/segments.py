@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.sinks import fs
@@ -51,11 +51,16 @@ def read(spark: SparkSession, segments: list[dict], schema) -> DataFrame:
     return spark.read.schema(schema).parquet(*[s["path"] for s in segments])
 
 
-def write(log: CommitLog, rows: DataFrame, sort: Sequence[str] = ()) -> dict:
-    """A new segment; ``sort`` orders its files' rows for readers that prune."""
+def write(log: CommitLog, rows: DataFrame, sort: Sequence[str] = (), watch: Sequence[Column] = ()) -> dict:
+    """A new segment; ``sort`` orders its files' rows for readers that prune.
+    ``watch``: aggregates taken while writing, without a job of their own, and
+    given back by name under ``seen``."""
     path = log.new_path()
-    (rows.sortWithinPartitions(*sort) if sort else rows).write.parquet(path)
-    return {"path": path, "bytes": fs.size(rows.sparkSession, path)}
+    rows = rows.sortWithinPartitions(*sort) if sort else rows
+    seen = Observation()
+    (rows.observe(seen, *watch) if watch else rows).write.parquet(path)
+    out = {"path": path, "bytes": fs.size(rows.sparkSession, path)}
+    return out | {"seen": seen.get} if watch else out
 
 
 def size_class(n_bytes: int, fanout: int = FANOUT) -> int:

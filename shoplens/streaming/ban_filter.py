@@ -46,6 +46,14 @@ BANS_SCHEMA = "userid STRING, ban_date STRING"
 _COUNT_KEYS = ["date", "userid", "adid"]
 
 
+def _shaped(rows: DataFrame) -> DataFrame:
+    """The output's columns, null where ``rows`` lacks one."""
+    have = set(rows.columns)
+    return rows.select(
+        *[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in OUTPUT_SCHEMA]
+    )
+
+
 class BanFilter:
     """The state and output of one ban filter, in one folder.
 
@@ -71,12 +79,10 @@ class BanFilter:
 
     # --- state ---
 
-    def _bans(self, commit: Commit | None) -> DataFrame:
-        return self.first_ban(S.read(self.spark, commit.body["bans"] if commit else [], BANS_SCHEMA))
-
     def bans(self) -> DataFrame:
         """(userid, ban_date) committed so far."""
-        return self._bans(self.log.latest())
+        latest = self.log.latest()
+        return self.first_ban(S.read(self.spark, latest.body["bans"] if latest else [], BANS_SCHEMA))
 
     def counts(self) -> DataFrame:
         """(date, userid, adid, cnt) of the clicks kept so far."""
@@ -100,35 +106,31 @@ class BanFilter:
             return
         staged = f"{self.root}/_staged/{self.log.new_path().rsplit('/', 1)[1]}"
         fs.mkdirs(self.spark, f"{self.root}/_staged")
-        self._keep(clicks, self._bans(latest), staged)
+        self._keep(clicks, S.read(self.spark, latest.body["bans"] if latest else [], BANS_SCHEMA), staged)
 
         kept = self.spark.read.schema(OUTPUT_SCHEMA).parquet(staged)
-        added = S.write(self.log, kept.groupBy(*_COUNT_KEYS).agg(F.count(F.lit(1)).alias("cnt")), ["date"])
-        new, newest = self._new_bans(latest, added)
+        delta = kept.groupBy(*_COUNT_KEYS).agg(F.count(F.lit(1)).alias("cnt"))
+        days = [F.min("date").alias("first"), F.max("date").alias("last")]
+        added = S.write(self.log, delta, ["date"], days)
+        seen = added.pop("seen")
+        first, newest = seen["first"], seen["last"]
         held = {"counts": [*(latest.body["counts"] if latest else []), added], "bans": latest.body["bans"] if latest else []}
-        new.persist()
-        try:
-            if not new.isEmpty():
-                held["bans"] = [*held["bans"], S.write(self.log, new)]
-                out = new.select(F.lit("ban").alias("kind"), "userid", F.col("ban_date").alias("date"))
-                self._shaped(out).write.mode("append").parquet(staged)
-        finally:
-            new.unpersist()
+        if first is not None:
+            new = self._new_bans(latest, added, first, newest)
+            banned = S.write(self.log, new, watch=[F.count(F.lit(1)).alias("n")])
+            if banned.pop("seen")["n"]:
+                held["bans"] = [*held["bans"], banned]
+                told = self.spark.read.schema(BANS_SCHEMA).parquet(banned["path"])
+                out = told.select(F.lit("ban").alias("kind"), "userid", F.col("ban_date").alias("date"))
+                _shaped(out).write.mode("append").parquet(staged)
         held["newest"] = max(d for d in (newest, latest and latest.body["newest"], "") if d is not None)
         held["counts"] = S.compact(self.log, held["counts"], COUNTS_SCHEMA, self._forgetful(held["newest"]), ["date"])
         held["bans"] = S.compact(self.log, held["bans"], BANS_SCHEMA, self.first_ban)
         self.settle(self.log.commit(held | {"staged": staged}, latest, writer, batch_id))
 
-    def _shaped(self, rows: DataFrame) -> DataFrame:
-        """The output's columns, null where ``rows`` lacks one."""
-        empty = self.spark.createDataFrame([], OUTPUT_SCHEMA)
-        return empty.unionByName(rows, allowMissingColumns=True)
-
     def _keep(self, clicks: DataFrame, bans: DataFrame, path: str) -> None:
         dated = with_date(clicks, self.tz).withColumn("kind", F.lit("click"))
-        kept = dated.join(bans.select("userid"), "userid", "left_anti")
-        columns = [f.name for f in OUTPUT_SCHEMA if f.name in kept.columns]
-        self._shaped(kept.select(*columns)).write.parquet(path)
+        _shaped(dated.join(bans.select("userid"), "userid", "left_anti")).write.parquet(path)
 
     def _since(self, newest: str):
         """Days whose counts are still held."""
@@ -139,22 +141,18 @@ class BanFilter:
             return self.add_up
         return lambda rows: self.add_up(rows.filter(self._since(newest)))
 
-    def _new_bans(self, latest: Commit | None, added: dict) -> tuple[DataFrame, str | None]:
-        """(userid, ban_date) of the users that this batch brings to the
-        threshold, and the newest day among its clicks."""
+    def _new_bans(self, latest: Commit | None, added: dict, first: str, last: str) -> DataFrame:
+        """(userid, ban_date) of the users that this batch, with clicks from the
+        day ``first`` to ``last``, brings to the threshold."""
         delta = self.spark.read.schema(COUNTS_SCHEMA).parquet(added["path"])
-        first, last = delta.agg(F.min("date"), F.max("date")).first()
-        if first is None:
-            return self.spark.createDataFrame([], BANS_SCHEMA), None
         before = S.read(self.spark, latest.body["counts"] if latest else [], COUNTS_SCHEMA)
         # the batch's days, as literals that prune files sorted by day
         before = before.filter(F.col("date").between(first, last))
         if self.count_days is not None:
             before = before.filter(self._since(max(last, latest.body["newest"] if latest else last)))
         before = before.join(delta.select(*_COUNT_KEYS), _COUNT_KEYS, "left_semi")
-        total = self.add_up(delta.unionByName(before))
-        reached = total.filter(F.col("cnt") >= self.threshold)
-        return reached.groupBy("userid").agg(F.min("date").alias("ban_date")), last
+        reached = self.add_up(delta.unionByName(before)).filter(F.col("cnt") >= self.threshold)
+        return reached.groupBy("userid").agg(F.min("date").alias("ban_date"))
 
 
 def kept_clicks(filtered: DataFrame) -> DataFrame:

@@ -61,8 +61,7 @@ def test_consecutive_pairs_match_plain_lead(spark):
         s = f"s{rnd.randrange(20)}"
         rows.append((s, rnd.randrange(5000), i, rnd.randrange(50)))
     df = spark.createDataFrame(rows, "sid string, t long, eid long, page long")
-    # small buckets force many bucket bridges
-    got = consecutive_pairs(df, "sid", ["t", "eid"], "page", (F.col("t") / 37).cast("long"))
+    got = consecutive_pairs(df, "sid", ["t", "eid"], "page")
     w = Window.partitionBy("sid").orderBy("t", "eid")
     want = (
         df.select("sid", F.col("page").alias("frm"), F.lead("page").over(w).alias("nxt"))

@@ -5,10 +5,11 @@ small fixture), so the skew-safe plans are shown to stay exact."""
 import collections
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from shoplens.operators.city_share import city_share
-from shoplens.operators.sequence import transitions
+from shoplens.operators.sequence import consecutive_pairs, transition_counts, transitions
 from shoplens.operators.topk import top_k_per_group
 from shoplens.plans import ads as A
 from shoplens.plans import page_jump as Q3
@@ -42,16 +43,48 @@ def test_transitions_with_a_hot_session(spark):
             want[(a, b)] += 1
     got = Q3.page_transition_counts(df).collect()
     assert {(r.frm, r.nxt): r.c for r in got} == dict(want)
-    # auto: only the hot session (2,000 actions > 100) is split by hour
-    got = Q3.page_transition_counts(df, bucket_unit="auto", hot_rows=100).collect()
-    assert {(r.frm, r.nxt): r.c for r in got} == dict(want)
-    # split by rows: the hot session is spread over range partitions
-    got = Q3.page_transition_counts(df, bucket_unit="rows").collect()
-    assert {(r.frm, r.nxt): r.c for r in got} == dict(want)
-    # same with a tiny bucket: many more bucket bridges inside the hot session
-    b = F.date_trunc("minute", F.to_timestamp("action_time"))
-    t = transitions(df, "session_id", ["action_time", "event_id"], "page_id", b)
-    assert {(r.frm, r.nxt): r.c for r in t.groupBy("frm", "nxt").count().withColumnRenamed("count", "c").collect()} == dict(want)
+    # every transition by itself, whatever the partitions
+    for n in (1, 3, 64):
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        try:
+            t = transitions(df, "session_id", ["action_time", "event_id"], "page_id")
+            rows = t.groupBy("frm", "nxt").count().collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
+        assert {(r.frm, r.nxt): r["count"] for r in rows} == dict(want)
+
+
+def test_transitions_of_null_groups_values_and_no_rows(spark):
+    rows = [(None, 1, "a"), (None, 2, "b"), ("x", 1, "a"), ("x", 2, None), ("x", 3, "c"), ("", 1, "d")]
+    schema = "g string, o int, v string"
+    df = spark.createDataFrame(rows, schema)
+    got = sorted(map(tuple, transitions(df, "g", ["o"], "v").collect()), key=repr)
+    want = [(None, "a", "b"), (None, "b", None), ("x", "a", None), ("x", None, "c"), ("x", "c", None), ("", "d", None)]
+    assert got == sorted(want, key=repr)
+    pairs = sorted(map(tuple, consecutive_pairs(df, "g", ["o"], "v").collect()), key=repr)
+    assert pairs == sorted([(None, "a", "b"), ("x", "a", None), ("x", None, "c")], key=repr)
+    empty = spark.createDataFrame([], schema)
+    assert transitions(empty, "g", ["o"], "v").count() == 0
+    assert transition_counts(empty, "g", ["o"], "v").count() == 0
+
+
+def test_pairs_take_one_shuffle_of_the_actions(spark):
+    """What is checkpointed reads the actions through one range exchange, and
+    what follows shuffles the partitions' sums and ends only."""
+    _, df = _actions(spark)
+    seen = []
+    plain = type(df).checkpoint
+
+    def checkpoint(self, *a, **k):
+        seen.append(self._jdf.queryExecution().optimizedPlan().toString())
+        return plain(self, *a, **k)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(type(df), "checkpoint", checkpoint)
+        out = Q3.page_transition_counts(df)
+    assert len(seen) == 1 and seen[0].count("RepartitionByExpression") == 1 and "Window" not in seen[0]
+    assert "action_time" not in out._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_page_jump_ratio_brute_force(spark):
@@ -151,11 +184,11 @@ def test_hot_session_within_one_second(spark):
         ranged = df.repartitionByRange(16, "session_id", "action_time", "event_id")
         parts = {r.p for r in ranged.filter("session_id = 'hot'").select(F.spark_partition_id().alias("p")).collect()}
         assert len(parts) > 1  # the hot session is split over several tasks
-        got = Q3.page_transition_counts(df, bucket_unit="rows").collect()
+        got = Q3.page_transition_counts(df).collect()
         assert {(r.frm, r.nxt): r.c for r in got} == dict(want)
         # exact even when Spark does not share the range shuffle between branches
         spark.conf.set("spark.sql.exchange.reuse", "false")
-        got = Q3.page_transition_counts(df, bucket_unit="rows").collect()
+        got = Q3.page_transition_counts(df).collect()
         assert {(r.frm, r.nxt): r.c for r in got} == dict(want)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
