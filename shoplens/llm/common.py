@@ -35,6 +35,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}/{name}"
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first of it with signs added that ``df`` has no column of."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends
     there, and a lost executor costs no recomputation."""
@@ -99,10 +107,9 @@ def components(edges: DataFrame) -> DataFrame:
         .distinct(),
         "edges",
     )
-    label = None
-    for turn in range(10_000):
-        if edges.isEmpty():
-            break
+    label, turn = None, -1
+    while not edges.isEmpty():
+        turn += 1
         both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
         near = both.groupBy("a").agg(F.min_by("b", _priority(F.col("b"), turn)).alias("b"))
         first = F.when(_priority(F.col("a"), turn) <= _priority(F.col("b"), turn), F.col("a")).otherwise(F.col("b"))

@@ -12,35 +12,47 @@ SVM on z.  Its decision value is a sum over the word's own subsequences, so
 landmarks and weights fold into one table of 32^3 numbers and scoring a word
 costs its subsequences alone.
 
+The letters a to z have codes of their own; subsequences with any other letter
+are hashed to as many numbers again, so accented letters and words of other
+scripts are compared by their own letters too.
+
 Training is on labelled sentences: those of a bounded sample of labelled
 documents (``SAMPLE`` of each class, by hash of the id) inherit the document's
-label.  A toxic sentence is toxic for some of its words only, so, as in
-multiple-instance SVMs, each toxic document is represented by its words with
-the best lower estimate of the class ratio, and clean ones by all words.  The
-document's score is a logistic function, fitted on the same sample, of its
-best words' decision values."""
+label.  A toxic document has toxic sentences, but not all of its are, so, as in
+multiple-instance SVMs, a sentence stands by its most telling word (by a lower
+estimate of the class ratio) and a toxic document by its two most telling
+sentences; clean sentences stand by all words.  The document's score is a logistic
+function, fitted on the same sample, of its best words' decision values.
+
+The sentences stay on the executors: words are counted per class, witnesses
+found and words scored there.  The driver holds words in bounded numbers
+(``CLEAN_WORDS``, ``HARD``, two of each toxic document) and two values a document.
+"""
 
 from __future__ import annotations
 
 import itertools
-import math
 import re
+import uuid
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
 
-from .common import slices
+from .common import free_name, slices, stage
 
 SAMPLE = 3_000  # labelled documents of each class used for training, at most
 CLEAN_WORDS = 12_000  # distinct clean words used as negative instances, at most
 LANDMARKS = 320
 ROUNDS, HARD = 2, 1_500  # of hard clean words
 SPAN, DECAY, LETTERS, WINDOW = 5, 0.6, 32, 24
+#: Subsequences of Latin letters, and as many numbers that others hash to.
+FEATURES = 2 * LETTERS**3
 THRESHOLD = 0.7
 
 #: Digits and signs read as letters.
@@ -66,7 +78,7 @@ def pieces(word: str) -> list[str]:
 
 
 def _codes(word: str) -> list[int]:
-    return [27] + [ord(c) - 96 if "a" <= c <= "z" else 28 + ord(c) % 4 for c in word] + [27]
+    return [27] + [ord(c) - 96 if "a" <= c <= "z" else LETTERS + ord(c) for c in word] + [27]
 
 
 @lru_cache(maxsize=64)
@@ -89,7 +101,12 @@ def features(words: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]
         places, weight = _triples(n + 2)
         if not len(places):
             continue
-        ids = (codes[:, places[:, 0]] * LETTERS + codes[:, places[:, 1]]) * LETTERS + codes[:, places[:, 2]]
+        first, second, third = (codes[:, places[:, k]] for k in range(3))
+        ids = (first * LETTERS + second) * LETTERS + third
+        if (codes >= LETTERS).any():
+            other = np.maximum(np.maximum(first, second), third) >= LETTERS
+            mixed = (first * 0x9E3779B1 + second * 0x85EBCA77 + third * 0xC2B2AE3D) * 0x27D4EB2F
+            ids = np.where(other, LETTERS**3 + (mixed >> 15) % LETTERS**3, ids)
         order = np.argsort(ids, axis=1)
         ids, w = np.take_along_axis(ids, order, 1), weight[order]
         new = np.ones(ids.shape, bool)
@@ -103,7 +120,7 @@ def features(words: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def dense(words: list[str]) -> np.ndarray:
     """Normalised feature vectors, for landmarks and tests."""
-    out = np.zeros((len(words), LETTERS**3), np.float32)
+    out = np.zeros((len(words), FEATURES), np.float32)
     for rows, ids, w in features(words):
         norm = np.sqrt((w * w).sum(1, keepdims=True))
         np.add.at(out, (np.repeat(rows, ids.shape[1]), ids.ravel()), (w / norm).ravel())
@@ -178,100 +195,131 @@ def units(text: str) -> list[str]:
 
 def _fit_words(positive: list[str], negative: list[str], marks: list[str]) -> Model:
     """The SVM on words with landmarks ``marks``, folded into a table."""
-    base = dense(marks).astype(np.float64)
+    found = features(marks)
+    # only subsequences of landmarks have a part in k(x, L)
+    known = np.unique(np.concatenate([ids[w > 0] for _, ids, w in found]))
+    base = np.zeros((len(marks), len(known)))
+    for rows, ids, w in found:
+        at, w = np.searchsorted(known, ids), w / np.sqrt((w * w).sum(1, keepdims=True))
+        there = w > 0
+        np.add.at(base, (np.repeat(rows, ids.shape[1])[there.ravel()], at[there]), w[there])
     fold = base.T @ _inverse_root(base @ base.T)  # z of a word: its normalised features @ fold
+    place = np.full(FEATURES, len(known))
+    place[known] = np.arange(len(known))
+    fold = np.vstack([fold, np.zeros(fold.shape[1])]).astype(np.float32)  # the last row: no landmark's
     words = positive + negative
-    z = np.zeros((len(words), fold.shape[1]))
+    z = np.zeros((len(words), fold.shape[1]), np.float32)
     for rows, ids, w in features(words):
-        w = w / np.sqrt((w * w).sum(1, keepdims=True))
-        for begin in range(0, len(rows), 500):
-            part = slice(begin, begin + 500)
-            z[rows[part]] = np.einsum("nt,ntm->nm", w[part], fold[ids[part]])
+        w = (w / np.sqrt((w * w).sum(1, keepdims=True))).astype(np.float32)
+        some = max(1, 20_000 // ids.shape[1])
+        for begin in range(0, len(rows), some):
+            part = slice(begin, begin + some)
+            z[rows[part]] = np.einsum("nt,ntm->nm", w[part], fold[place[ids[part]]])
     y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
     weight = np.where(y > 0, len(negative) / len(positive) / 4, 1.0)
     w = _svm(z, y, weight, ridge=1.0)
-    return Model(fold @ w[:-1], float(w[-1]), (0.0, 1.0, 0.0))
-
-
-def train(documents: list[tuple[list[list[str]], int]], seed: int = 7) -> Model:
-    """Fit on (sentences as lists of words, label) of documents."""
-    flat = [(sorted({w for s in sents for w in s}), label) for sents, label in documents]
-    toxic, clean = [w for w, y in flat if y == 1], [w for w, y in flat if y != 1]
-    if not toxic or not clean:  # nothing to learn from: everything is clean
-        return Model(np.zeros(LETTERS**3), -1.0, (-4.0, 0.0, 0.0))
-    count = [{}, {}]
-    for c, group in zip(count, (toxic, clean), strict=True):
-        for words in group:
-            for w in words:
-                c[w] = c.get(w, 0) + 1
-
-    def ratio(word: str) -> float:
-        """Lower estimate of the log ratio of its rates in the classes."""
-        a, b = count[0].get(word, 0), count[1].get(word, 0)
-        p, q = (a + 0.5) / (len(toxic) + 1), (b + 0.5) / (len(clean) + 1)
-        return math.log(p / q) - 1.5 * math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-
-    picked: dict[str, int] = {}
-    for words in toxic:
-        best = sorted(((ratio(w), w) for w in words), reverse=True)[:2]
-        for r, w in best:
-            if r > 1:
-                picked[w] = picked.get(w, 0) + 1
-    few = max(2, len(toxic) // 1000)
-    positive = sorted(w for w, n in picked.items() if n >= few)
-    rng = np.random.default_rng(seed)
-    known = set(positive)
-    rest = sorted(w for w in count[1] if w not in known)
-    frequent = sorted(rest, key=lambda w: (-count[1][w], w))[: CLEAN_WORDS // 4]
-    drawn = [rest[i] for i in rng.permutation(len(rest))[:CLEAN_WORDS]]
-    negative = sorted({*frequent, *drawn})
-    if not positive or not negative:
-        return Model(np.zeros(LETTERS**3), -1.0, (-4.0, 0.0, 0.0))
-    insults = sorted(positive, key=lambda w: (-picked[w], w))[: LANDMARKS // 2]
-    others = [negative[i] for i in rng.permutation(len(negative))]
-    model = _fit_words(positive, negative, insults + others[: LANDMARKS - len(insults)])
-    for _ in range(ROUNDS):  # the clean words that look worst join the negatives
-        values = np.concatenate([model.words(rest[i : i + 20_000]) for i in range(0, len(rest), 20_000)])
-        hard = [rest[i] for i in np.argsort(-values, kind="stable")[:HARD]]
-        negative = sorted({*negative, *hard})
-        marks = insults + hard[: LANDMARKS // 4] + others
-        model = _fit_words(positive, negative, list(dict.fromkeys(marks))[:LANDMARKS])
-    rows = []
-    for words, _ in flat:
-        values = np.sort(model.words(words))[::-1] if words else np.full(1, -2.0)
-        rows.append((values[0], values[min(1, len(values) - 1)]))
-    model.logistic = tuple(_logistic(np.clip(np.array(rows), -2, 2), np.array([float(y == 1) for _, y in flat])))
-    return model
+    table = np.zeros(FEATURES)
+    table[known] = fold[:-1].astype(np.float64) @ w[:-1]
+    return Model(table, float(w[-1]), (0.0, 1.0, 0.0))
+
 
+NOTHING = Model(np.zeros(FEATURES), -1.0, (-4.0, 0.0, 0.0))  # learnt from nothing: all is clean
 
-def training_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[tuple[list[list[str]], int]]:
-    """Sentences, as words, of at most ``sample`` labelled documents of each
-    class, the first by a hash of the id; never of ids whose crc32 mod 3 is 1.
-    Of repeated rows of an id, and unlike texts of it, the least text counts,
-    once.  The words are made on the executors: distinct ones of each sentence
-    come to the driver, whose memory the sample bounds."""
+
+def training_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(id, toxic, sentence, words) of at most ``sample`` labelled documents of
+    each class, the first by a hash of the id; never of ids whose crc32 mod 3 is
+    1.  Of repeated rows of an id, and unlike texts of it, the least text counts,
+    once.  ``words`` are the distinct ones of a sentence; a document without
+    sentences has one row without words."""
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.filter(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
     order = F.xxhash64("doc_id")
     chosen = [known.filter(F.col("toxic") == c).orderBy(order, "doc_id").limit(sample) for c in (0, 1)]
     wanted = chosen[0].union(chosen[1]).withColumnRenamed("doc_id", "id")
     texts = docs.join(F.broadcast(wanted), F.col("doc_id") == F.col("id")).groupBy("id", "toxic").agg(F.min("text").alias("text"))
-    texts = texts.select("id", "text", "toxic")
 
     def split(batches):
         for batch in batches:
-            ids, toxic, words = [], [], []
             for i, text, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids.append(i)
-                toxic.append(int(y))
-                words.append([sorted(set(units(s))) for s in sentences(text or "")])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(toxic, pa.int64()), pa.array(words, pa.list_(pa.list_(pa.string())))],
-                ["id", "toxic", "words"],
-            )
+                words = [sorted(set(units(s))) for s in sentences(text or "")] or [[]]
+                n = len(words)
+                columns = [pa.array([i] * n, pa.int64()), pa.array([int(y)] * n, pa.int32()), pa.array(range(n), pa.int32())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(words, pa.list_(pa.string()))], ["id", "toxic", "sentence", "words"])
+
+    return texts.select("id", "text", "toxic").mapInArrow(split, "id bigint, toxic int, sentence int, words array<string>")
+
 
-    made = texts.mapInArrow(split, "id bigint, toxic bigint, words array<array<string>>")
-    return [(r.words, r.toxic) for r in sorted(made.toLocalIterator(), key=lambda r: r.id)]
+def _word_values(words: DataFrame, model: Model) -> DataFrame:
+    """``words`` (one column ``word``) with the model's ``value``."""
+    shipped = words.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 5_000):
+                part = batch.slice(begin, 5_000)
+                values = shipped.value.words(part.column(0).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(values)], ["word", "value"])
+
+    return words.select("word").mapInArrow(run, "word string, value double")
+
+
+def train(sample: DataFrame) -> Model:
+    """Fit on labelled sentences (id, toxic, sentence, words).
+
+    Bounds, on words and not on rows: two words of each toxic document, each the
+    most telling of a sentence, ``CLEAN_WORDS`` drawn and a quarter as many frequent clean words,
+    and in each of ``ROUNDS`` the ``HARD`` clean words that score worst."""
+    sample = stage(sample, "sentences")
+    sizes = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count_distinct("id").alias("n")).collect()}
+    n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
+    if not n_toxic or not n_clean:
+        return NOTHING
+    said = sample.select("id", "toxic", "sentence", F.explode("words").alias("word"))
+    of_documents = said.select("id", "toxic", "word").distinct()
+    counts = of_documents.groupBy("word").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
+    rate = F.log(((F.col("a") + 0.5) / (n_toxic + 1)) / ((F.col("b") + 0.5) / (n_clean + 1)))
+    # a lower estimate of the log ratio of a word's rates in the classes
+    ratio = rate - 1.5 * F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
+    counts = stage(counts.withColumn("ratio", ratio), "counts")
+
+    best_first = Window.partitionBy("id").orderBy(F.col("ratio").desc(), F.col("word").desc())
+    telling = said.filter("toxic = 1").join(counts.select("word", "ratio"), "word")
+    witness = telling.groupBy("id", "sentence").agg(F.max(F.struct("ratio", "word")).alias("best"))
+    witness = witness.select("id", "best.word", "best.ratio").distinct()
+    # at most two words of each sampled toxic document
+    two = witness.withColumn("rn", F.row_number().over(best_first)).filter("rn <= 2 AND ratio > 1")
+    few = max(2, n_toxic // 1000)
+    # at most two words of each sampled toxic document
+    picked = {r.word: r.n for r in two.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= few).collect()}
+    positive = sorted(picked)
+    rest = counts.filter("b > 0")
+    if positive:
+        taken = rest.sparkSession.createDataFrame([(w,) for w in positive], "word string")
+        rest = rest.join(taken, "word", "left_anti")
+    rest = stage(rest.select("word", "b"), "clean-words")
+    frequent = rest.orderBy(F.col("b").desc(), "word").limit(CLEAN_WORDS // 4)
+    drawn = rest.orderBy(F.xxhash64("word", F.lit(7)), "word").limit(CLEAN_WORDS)
+    others = [r.word for r in drawn.collect()]  # in the order of a hash
+    negative = sorted({*others, *(r.word for r in frequent.collect())})
+    if not positive or not negative:
+        return NOTHING
+    insults = sorted(positive, key=lambda w: (-picked[w], w))[: LANDMARKS // 2]
+    model = _fit_words(positive, negative, insults + others[: LANDMARKS - len(insults)])
+    for _ in range(ROUNDS):  # the clean words that look worst join the negatives
+        worst = _word_values(rest, model).orderBy(F.col("value").desc(), "word").limit(HARD)
+        hard = [r.word for r in worst.collect()]
+        negative = sorted({*negative, *hard})
+        marks = insults + hard[: LANDMARKS // 4] + others
+        model = _fit_words(positive, negative, list(dict.fromkeys(marks))[:LANDMARKS])
+
+    scored = of_documents.join(_word_values(counts, model), "word")
+    ranked = scored.withColumn("rn", F.row_number().over(Window.partitionBy("id").orderBy(F.col("value").desc(), "word")))
+    top = ranked.filter("rn <= 2").groupBy("id").agg(F.max("value").alias("best"), F.min("value").alias("second"))
+    rows = sample.select("id", "toxic").distinct().join(top, "id", "left").orderBy("id").collect()
+    x = np.array([(-2.0, -2.0) if r.best is None else (r.best, r.second) for r in rows])
+    model.logistic = tuple(_logistic(np.clip(x, -2, 2), np.array([float(r.toxic == 1) for r in rows])))
+    return model
 
 
 class _Scorer:
@@ -330,7 +378,7 @@ _SCORERS: dict[str, _Scorer] = {}
 _OUT = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
 
-def _score_rows(model, key: str):
+def _score_rows(model, key: str, name: str):
     def run(batches):
         if key not in _SCORERS:
             _SCORERS.clear()
@@ -341,32 +389,28 @@ def _score_rows(model, key: str):
             score = np.zeros(len(texts))
             for begin, end in slices(batch, texts, 2_000_000):
                 score[begin:end] = scorer.score(texts[begin:end])
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(score)], [*batch.schema.names[1:], "_llm_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(score)], [*batch.schema.names[1:], name])
 
     return run
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    """A model from at most ``sample`` labelled documents of each class (see
+    ``training_sample`` and ``train``); without labels of both classes, or
+    without a word that tells them apart, all scores are low."""
     return train(training_sample(docs, labels, sample))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with a column ``_llm_score`` from 0 to 1 (higher: more likely
-    toxic).
+def score(docs: DataFrame, model: Model, name: str = "_llm_score") -> DataFrame:
+    """``docs`` with a column ``name`` from 0 to 1 (higher: more likely toxic).
 
     A null or empty text scores as one without insults; repeated rows score
     alike; other columns pass through and have no part in the score; an empty
-    table gives an empty result.  Without labels of both classes every score
-    is low."""
-    import uuid
-
-    from pyspark.sql.types import DoubleType, StructType
-
-    names = docs.columns
-    shipped = docs.sparkSession.sparkContext.broadcast(model)  # 32^3 numbers
-    rows = docs.select(F.col("text").alias("_llm_text"), *names)
-    schema = StructType([*docs.schema.fields]).add("_llm_score", DoubleType())
-    return rows.mapInArrow(_score_rows(shipped, uuid.uuid4().hex), schema)
+    table gives an empty result."""
+    shipped = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES numbers
+    rows = docs.select(F.col("text").alias(free_name(docs, "_llm_text")), *docs.columns)
+    schema = StructType([*docs.schema.fields]).add(name, DoubleType())
+    return rows.mapInArrow(_score_rows(shipped, uuid.uuid4().hex, name), schema)
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
@@ -383,4 +427,5 @@ def toxicity_report(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, th
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents that score ``threshold`` or more."""
-    return score(docs, model).filter(F.col("_llm_score") < threshold).drop("_llm_score")
+    name = free_name(docs, "_llm_score")
+    return score(docs, model, name).filter(F.col(name) < threshold).drop(name)

@@ -376,13 +376,13 @@ def test_top_k(spark):
             assert mine == [x for x in best if x in mine] and len(mine) >= 3
 
 
-def test_toxicity():
+def test_toxicity(spark):
     rng = random.Random(6)
     words = ["".join(rng.choice("aeioustrnl") for _ in range(rng.randint(2, 8))) for _ in range(800)]
     insults = ["blockhead", "dimwitted", "numbskull"]
     make = lambda bad: [[rng.choice(words) for _ in range(12)] for _ in range(4)] + ([[rng.choice(insults) for _ in range(2)] + [rng.choice(words)]] if bad else [])
-    sample = [(make(k % 2), k % 2) for k in range(300)]
-    model = toxicity.train(sample)
+    rows = [(k, k % 2, n, sorted(set(s))) for k in range(300) for n, s in enumerate(make(k % 2))]
+    model = toxicity.train(spark.createDataFrame(rows, "id bigint, toxic int, sentence int, words array<string>").repartition(3))
     scorer = toxicity._Scorer(model)
     held = [(" ".join(w for s in make(k % 2) for w in s), k % 2) for k in range(200)]
     right = sum((s >= toxicity.THRESHOLD) == bool(y) for s, (_, y) in zip(scorer.score([t for t, _ in held]), held))
@@ -392,15 +392,69 @@ def test_toxicity():
     assert abs(toxicity.kernel("idiot", "idiot") - 1) < 1e-5 and toxicity.kernel("idiot", "idxiot") > 0.3 > toxicity.kernel("idiot", "planet")
 
 
+def _plain_kernel(a, b):
+    """All three-letter subsequences, one by one."""
+    def weights(word):
+        word, out = f"^{word}^", defaultdict(float)
+        for i, j, k in ((i, j, k) for i in range(len(word)) for j in range(i + 1, len(word)) for k in range(j + 1, len(word))):
+            if k - i < toxicity.SPAN:
+                out[word[i] + word[j] + word[k]] += toxicity.DECAY ** (k - i + 1)
+        return out
+
+    x, y = weights(a), weights(b)
+    dot = lambda p, q: sum(v * q.get(t, 0) for t, v in p.items())
+    return dot(x, y) / (dot(x, x) * dot(y, y)) ** 0.5
+
+
+def test_kernel_against_all_subsequences():
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdé") for _ in range(rng.randint(1, 9))) for _ in range(30)]
+    words += ["дурак", "дуррак", "дом", "漢字", "idiot", "idi.ot"]
+    words = [toxicity.letters(w) for w in words]
+    for a in words:
+        for b in words:
+            assert toxicity.kernel(a, b) == pytest.approx(_plain_kernel(a, b), abs=1e-5)
+    assert toxicity.kernel("дурак", "дуррак") > 0.5 > toxicity.kernel("дурак", "дом")
+    assert toxicity.letters("Über!") == "über" and toxicity.letters("漢字") == "漢字"
+
+
+def test_landmarks_give_the_kernel_back():
+    """With all words as landmarks, z is an exact feature map of the kernel."""
+    rng = random.Random(13)
+    words = sorted({"".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 8))) for _ in range(40)})
+    model = toxicity._fit_words(words[:10], words[10:], words)
+    gram = np.array([[_plain_kernel(a, b) for b in words] for a in words])
+    root = toxicity._inverse_root(gram)
+    y = np.array([1.0] * 10 + [-1.0] * (len(words) - 10))
+    w = toxicity._svm(gram @ root, y, np.where(y > 0, (len(words) - 10) / 10 / 4, 1.0), ridge=1.0)
+    assert model.words(words) == pytest.approx(gram @ root @ w[:-1] + w[-1], abs=1e-3)
+
+
 def test_training_sample_takes_one_text_of_an_id(spark):
     known = [i for i in range(30) if zlib.crc32(b"%d" % i) % 3 != 1]
     hot, unlike, empty = known[:3]
     rows = [(i, f"text of {i}.") for i in range(30)] + [(hot, f"text of {hot}.")] * 50 + [(unlike, "another text.")] * 50 + [(empty, None), (None, "x")]
     labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id bigint, toxic int")
-    got = toxicity.training_sample(spark.createDataFrame(rows, "doc_id bigint, text string"), labels)
-    assert [y for _, y in got] == [i % 2 for i in known]
-    words = [{w for s in sentences for w in s} for sentences, _ in got]
-    assert words == [set(toxicity.units("another text" if i == unlike else f"text of {i}")) for i in known]
+    got = {}
+    for r in toxicity.training_sample(spark.createDataFrame(rows, "doc_id bigint, text string"), labels).collect():
+        got.setdefault((r.id, r.toxic), set()).update(r.words)
+    assert got == {(i, i % 2): set(toxicity.units("another text" if i == unlike else f"text of {i}")) for i in known}
+
+
+def test_toxicity_of_odd_tables(spark):
+    """Empty tables, null rows, clashing names, no labels of one class."""
+    docs = spark.createDataFrame([(i, f"word{i} fool{i % 2}." * 3, 9.0, "x") for i in range(60)] + [(None, None, 1.0, "y"), (7, "", 2.0, None)], "doc_id bigint, text string, _llm_score double, _llm_text string")
+    labels = spark.createDataFrame([(i, i % 2, 1) for i in range(60)], "doc_id bigint, toxic int, text int")
+    none, nothing = docs.limit(0), labels.limit(0)
+    assert toxicity.toxicity_report(none, labels).count() == 0
+    low = toxicity.toxicity_report(docs, nothing).collect()
+    assert len(low) == 62 and all(r.score < 0.1 and r.predicted == 0 for r in low)
+    one = toxicity.toxicity_report(docs, labels.filter("toxic = 1")).collect()
+    assert all(r.predicted == 0 for r in one)
+    model = toxicity.fit(docs, labels)
+    kept = toxicity.keep_clean(docs, model)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} >= {None, *range(0, 60, 2)} - {7}
 
 
 def test_pipeline_and_registration(spark):
