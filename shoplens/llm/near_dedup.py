@@ -13,15 +13,32 @@ Work per group: equal shingle sets are collapsed first (one class per set,
 combined before the shuffle).  A bucket's members are not paired with each
 other: they are tested against the member that shares most buckets (the
 centre), then, where not yet connected, against a few members drawn anew for
-each bucket while that finds links.  For members of different components that
-still share a bucket, a rule about the centre c replaces the pairing: with
-a = percent / (100 + percent), x and y are alike if they share a * (|x| + |y|)
-shingles, and at most min(|x & c|, |y & c|) of them are in c.  Where that is
-too few, x and y share shingles *outside* c, so a prefix and position join on
-those finds the pair; alterations of one text share few of them.  It can be
-enough only if a member is smaller than c; those that may be part of such a
-pair are tested in the same way against their smallest member, for which the
-rule leaves out no pair but those of two documents that are alike to it.
+each bucket while that finds links.
+
+What is still apart is told apart by its differences from a *consensus* C, the
+shingles that more than half of a sample of the group holds (any set would do;
+a good one makes differences small).  Let x lack l(x) shingles of C and
+L(x) be those, O(x) its shingles outside C, and p the percent.  Then
+
+    |x & y| = |C| - l(x) - l(y) + |L(x) & L(y)| + |O(x) & O(y)|,
+
+and x and y are alike if (100 + p) |x & y| >= p (|x| + |y|).  With
+g(x) = (100 + p) l(x) + p |x| that is
+
+    g(x) + g(y) <= (100 + p) (|C| + |L(x) & L(y)| + |O(x) & O(y)|).
+
+  * Alike without sharing a difference: both are then alike to the member m of
+    the least g, so links to m (a star) connect them.
+  * Sharing lacked shingles only: members that lack the same ones are a class;
+    with m(A) the member of least g of class A, x of A and y of B alike implies
+    that x is alike to m(B), y to m(A) and m(A) to m(B), or, within a class, both
+    to m(A).  So members meet the classes' least members, not each other, by a
+    prefix join on lacked shingles.  Only members with
+    (100 + p) |x & C| >= p (|x| + |y|) for some size of y come into it.
+  * Sharing shingles outside C: a prefix join on those.
+
+Only connections are kept, not all links, and the rows made follow the members
+and the ways in which they differ, not the pairs.
 
 Chance of missing a pair of similarity exactly 0.75 with 40 bands of 4 bins:
 (1 - 0.75^4)^40 = 2.5e-7, less above; four bits of each minimum drop a pair at 0.75
@@ -56,8 +73,10 @@ LEAST_EQUAL = 93
 #: and by the sketch filter.
 MISS_BANDS, MISS_FILTER = 2.6e-7, 1.2e-7
 #: Most draws of centres, and centres of a draw, before members of one bucket
-#: that are still apart are joined on the shingles outside their centre.
+#: that are still apart are compared by their differences from a consensus.
 TURNS, CENTRES = 2, 4
+#: Members of a group, about, that its consensus is drawn from.
+VOTERS = 64
 
 
 def layout(percent: int) -> tuple[int, int, int]:
@@ -231,40 +250,51 @@ def _verify(percent: int):
     return run
 
 
-_OUTSIDE_SQL = "grp bigint, rep bigint, comp bigint, least bigint, cover bigint, than bigint, n bigint, nc bigint, k bigint, linked boolean, size bigint, tokens array<bigint>"
+_DIFFERENT_SQL = (
+    "grp bigint, rep bigint, comp bigint, n bigint, nc bigint, k bigint, own binary, lack array<bigint>, extra array<bigint>"
+)
 
 
-def _outside(percent: int):
-    """Of (grp, rep, comp, least, cover, than, set, centre's set): sizes n and nc, the k shared
-    shingles, whether the two are alike, and of the ``size`` shingles outside the
-    centre, in order of their hashes, those that a partner of at least ``least``
-    shingles must share one of."""
+def _different(percent: int):
+    """Of (grp, rep, comp, least, set, consensus): sizes n of the set and nc of
+    the consensus, the k shingles they share, a digest of the lacked ones; the
+    lacked ones, if a partner of at least ``least`` shingles can be alike by
+    shared ones of the consensus alone; and of those outside, in order of their
+    hashes, as many as such a partner must share one of."""
 
     def run(batches):
         for batch in batches:
-            n, nc, common, linked, size, tokens = ([] for _ in range(6))
-            for least, x, c in zip(*(batch.column(i) for i in (3, 6, 7)), strict=True):
-                x, c = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, c))
-                out = np.setdiff1d(x, c, assume_unique=True)
-                k = len(x) - len(out)
-                partner = max(least.as_py(), -(-len(x) * percent // 100))
-                must = max(1, -(-percent * (len(x) + partner) // (100 + percent)) - k)
-                n.append(len(x))
-                nc.append(len(c))
-                common.append(k)
-                linked.append(100 * k >= percent * (len(x) + len(c) - k))
-                size.append(len(out))
-                tokens.append(np.sort(out)[: max(0, len(out) - must + 1)].view(np.int64))
-            columns = [pa.array(v, pa.int64()) for v in (n, nc, common)]
-            columns += [pa.array(linked, pa.bool_()), pa.array(size, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))]
+            columns = [[] for _ in range(6)]
+            for least, x, c in zip(*(batch.column(i) for i in (3, 4, 5)), strict=True):
+                x = np.frombuffer(x.as_buffer(), np.uint64)
+                c = np.sort(c.values.to_numpy(zero_copy_only=False).view(np.uint64))
+                lack, extra = np.setdiff1d(c, x, assume_unique=True), np.setdiff1d(x, c, assume_unique=True)
+                n, nc, k = len(x), len(c), len(x) - len(extra)
+                partner = max(least.as_py(), -(-n * percent // 100))
+                share = -(-percent * (n + partner) // (100 + percent))  # of x, at least
+                outside = max(1, share - k)  # of those, outside the consensus, at least
+                some_extra = extra[: max(0, len(extra) - outside + 1)]
+                some_lack = lack if share <= k else lack[:0]
+                digest = hashlib.blake2b(lack.tobytes(), digest_size=16).digest()
+                values = (n, nc, k, digest, some_lack.view(np.int64), some_extra.view(np.int64))
+                for column, value in zip(columns, values, strict=True):
+                    column.append(value)
+            types = [pa.int64()] * 3 + [pa.binary()] + [pa.list_(pa.int64())] * 2
+            made = [pa.array(v, t) for v, t in zip(columns, types, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:6], *columns],
-                ["grp", "rep", "comp", "least", "cover", "than", "n", "nc", "k", "linked", "size", "tokens"],
+                [*batch.columns[:3], *made], ["grp", "rep", "comp", "n", "nc", "k", "own", "lack", "extra"]
             )
 
     return run
 
 
+def _tokens(batches):
+    """(grp, set) -> (grp, tokens): the set as an array."""
+    for batch in batches:
+        sets = [np.frombuffer(v.as_buffer(), np.int64) for v in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["grp", "tokens"])
+
+
 def _alike(percent: int, bins: int, least: int):
     """Pairs whose sizes and sketches allow the similarity."""
     names = _planes(bins)
@@ -378,42 +408,70 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
     def pair(a, b):
         return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
-    def against(groups: DataFrame, name: str) -> DataFrame:
-        """The members of groups (grp, rep, comp, least, centre, cover, than)
-        against their group's centre.  Wanted are pairs with a member of
-        fewer than ``than`` shingles that ``cover`` allows."""
-        own = sets.select(F.col("id").alias("rep"), F.col("set").alias("sx"))
-        centres = sets.select(F.col("id").alias("centre"), F.col("set").alias("sc"))
-        both = groups.join(own, "rep").join(centres, "centre").select("grp", "rep", "comp", "least", "cover", "than", "sx", "sc")
-        return stage(both.mapInArrow(_outside(percent), _OUTSIDE_SQL), name)
-
-    def outside_pairs(rows: DataFrame) -> DataFrame:
-        """Pairs of a group's components that share enough outside its centre."""
-        each = rows.select(
-            "grp", "rep", "comp", "cover", "than", "n", "k", "linked", "size", F.posexplode("tokens").alias("pos", "token")
+    def consensus(rows: DataFrame) -> DataFrame:
+        """(grp, least, consensus) of the groups with more than one component."""
+        size = rows.groupBy("grp").agg(
+            F.count("*").alias("size"), F.min("n").alias("least"), F.min("comp").alias("lo"), F.max("comp").alias("hi")
         )
-        x, y = each.filter("n < than").alias("x"), each.alias("y")
-        shared_most = F.least(F.col("x.size") - F.col("x.pos"), F.col("y.size") - F.col("y.pos")) + F.least("x.k", "y.k")
+        size = stage(size.filter("lo < hi").select("grp", "size", "least"), "groups")
+        voters = rows.join(size, "grp").filter(
+            (F.col("rep") == F.col("grp")) | (F.pmod(F.xxhash64("rep", "grp"), F.ceil(F.col("size") / VOTERS)) == 0)
+        )
+        ballots = voters.select("grp", "rep").join(sets, F.col("rep") == F.col("id")).select("grp", "set")
+        ballots = stage(ballots.mapInArrow(_tokens, "grp bigint, tokens array<bigint>"), "ballots")
+        n = ballots.groupBy("grp").agg(F.count("*").alias("voters"))
+        held = ballots.select("grp", F.explode("tokens").alias("token")).groupBy("grp", "token").agg(F.count("*").alias("votes"))
+        # fewer than twice the shingles of a voter
+        chosen = held.join(n, "grp").filter("2 * votes > voters").groupBy("grp").agg(F.collect_list("token").alias("consensus"))
+        nothing = F.array().cast("array<bigint>")
+        return stage(size.join(chosen, "grp", "left").select("grp", "least", F.coalesce("consensus", nothing).alias("consensus")), "consensus")
+
+    def differences(rows: DataFrame) -> DataFrame:
+        own = sets.select(F.col("id").alias("rep"), "set")
+        both = rows.join(consensus(rows), "grp").join(own, "rep").select("grp", "rep", "comp", "least", "set", "consensus")
+        made = both.mapInArrow(_different(percent), _DIFFERENT_SQL)
+        whole = 100 + percent
+        return stage(made.withColumn("g", whole * (F.col("nc") - F.col("k")) + percent * F.col("n")), "differences")
+
+    def stars(rows: DataFrame) -> DataFrame:
+        """Links to the least member of the group, and of those lacking the same."""
+        whole, least = 100 + percent, F.min(F.struct("g", "rep", "comp"))
+        groups = rows.groupBy("grp").agg(least.alias("m"))
+        near = rows.join(groups, "grp").filter(F.col("g") + F.col("m.g") <= whole * F.col("nc"))
+        classes = rows.groupBy("grp", "own").agg(least.alias("m"))
+        same = rows.join(classes, ["grp", "own"]).filter(F.col("g") + F.col("m.g") <= whole * (2 * F.col("nc") - F.col("k")))
+        return near.unionByName(same).filter("comp <> m.comp").select(*pair(F.col("rep"), F.col("m.rep"))).distinct()
+
+    def lacking_alike(rows: DataFrame) -> DataFrame:
+        """Members and least members of classes that lack some of the same."""
+        each = rows.filter(F.size("lack") > 0)
+        heads = each.groupBy("grp", "own").agg(F.min(F.struct("g", "rep", "comp", "n", "lack")).alias("m"))
+        x = each.select("grp", "rep", "comp", "n", "g", "nc", "k", F.explode("lack").alias("token")).alias("x")
+        y = heads.select("grp", "m.rep", "m.comp", "m.n", "m.g", F.explode("m.lack").alias("token")).alias("y")
         fits = (
             (F.col("x.grp") == F.col("y.grp"))
             & (F.col("x.token") == F.col("y.token"))
-            & ((F.col("x.rep") < F.col("y.rep")) | (F.col("y.n") >= F.col("y.than")))
             & (F.col("x.comp") != F.col("y.comp"))
-            & ~(F.col("x.linked") & F.col("y.linked"))
+            # all that x lacks shared
+            & (F.col("x.g") + F.col("y.g") <= (100 + percent) * (2 * F.col("x.nc") - F.col("x.k")))
             & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-            & (F.least("x.cover", "y.cover") * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent)
-            & (shared_most * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent)
         )
         return x.join(y, fits).select(*pair("x.rep", "y.rep"))
 
-    def apart(rows: DataFrame, centre, least) -> DataFrame:
-        """Groups of more than one component, with a centre and a least size."""
-        return (
-            rows.groupBy("grp")
-            .agg(centre.alias("head"), least.alias("least"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-            .filter("lo < hi")
-            .select("grp", F.col("head.rep").alias("centre"), F.col("head.comp").alias("home"), "least")
+    def outside_alike(rows: DataFrame) -> DataFrame:
+        """Members that share shingles outside the consensus."""
+        each = rows.select("grp", "rep", "comp", "n", F.explode("extra").alias("token"))
+        often = each.groupBy("grp", "token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
+        each = each.join(often.select("grp", "token"), ["grp", "token"], "left_semi")
+        x, y = each.alias("x"), each.alias("y")
+        fits = (
+            (F.col("x.grp") == F.col("y.grp"))
+            & (F.col("x.token") == F.col("y.token"))
+            & (F.col("x.rep") < F.col("y.rep"))
+            & (F.col("x.comp") != F.col("y.comp"))
+            & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
         )
+        return x.join(y, fits).select(*pair("x.rep", "y.rep"))
 
     links = verified(buckets.filter("rep <> centre").select(*pair("rep", "centre")))
     found = components(links)
@@ -432,20 +490,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
         sizes = traits.groupBy("id").agg(F.min("n").alias("n"))
         rows = rest.join(heads, "key").select(F.col("centre").alias("grp"), "rep", "comp").distinct()
         rows = stage(rows.join(sizes, F.col("rep") == F.col("id")).select("grp", "rep", "comp", "n"), "rest")
-        first = stage(apart(rows, F.max_by(F.struct("rep", "comp"), F.col("rep") == F.col("grp")), F.min("n")), "groups")
-        every = F.lit(1 << 40)
-        each = rows.select("grp", "rep", "comp", every.alias("cover"), every.alias("than"))
-        near = against(each.join(first, "grp"), "outside")
-        # Pairs that the rule may leave out hold a member smaller than the centre.
-        partner = F.greatest(F.ceil(F.col("n") * percent / 100), F.col("least"))
-        left = near.filter((F.col("least") < F.col("nc")) & (F.col("k") * (100 + percent) >= (F.col("n") + partner) * percent))
-        small = stage(apart(left, F.min_by(F.struct("rep", "comp"), F.struct("n", "rep")), F.min("n")), "groups")
-        each = left.select("grp", "rep", "comp", F.col("k").alias("cover"), F.col("nc").alias("than"))
-        second = against(each.join(small, "grp"), "outside")
-        new = verified(outside_pairs(near).union(outside_pairs(second)))
-        for checked, centres in ((near, first), (second, small)):
-            at_centre = checked.filter("linked").join(centres.drop("least"), "grp").filter("comp <> home")
-            new = new.union(at_centre.select(*pair("rep", "centre")))
+        made = differences(rows)
+        new = stars(made).union(verified(lacking_alike(made).union(outside_alike(made))))
         if not new.isEmpty():
             links = links.union(new)
             found = components(links)

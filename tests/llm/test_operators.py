@@ -492,3 +492,47 @@ def test_pipeline_keeps_one_row_of_each_component(spark):
     want = [(5, one), (3, three), (9, four), (None, None), (7, "")]
     assert sorted([x for x in left if x[1] not in (two, near(two))], key=str) == sorted(want, key=str)
     assert len(left) == len(want) + 1
+
+
+def test_candidates_follow_the_size_of_a_family(spark, monkeypatch):
+    """A family of one text with one to four of 60 words replaced: twice the
+    members make about twice the candidates."""
+    made = []
+    distinct = type(spark.range(1)).distinct
+
+    def count(self):
+        if self.columns == ["a", "b"]:  # candidates on their way to be verified, and edges
+            made.append(self.count())
+        return distinct(self)
+
+    monkeypatch.setattr(type(spark.range(1)), "distinct", count)
+    rng = random.Random(21)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+
+    def family(n):
+        out = []
+        for _ in range(n):
+            copy = list(base)
+            for at in rng.sample(range(60), rng.randint(1, 4)):
+                copy[at] = f"v{rng.randrange(10**6)}"
+            out.append(" ".join(copy))
+        return out
+
+    totals = []
+    for n in (150, 300):
+        made.clear()
+        texts = family(n)
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+        got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs).collect()}
+        totals.append(sum(made))
+        sets = [set(near_dedup.shingles(t).tolist()) for t in texts]
+        name = list(range(n))
+        links = [(a, b) for a in name for b in range(a) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+        for _ in range(n):
+            before = list(name)
+            for a, b in links:
+                name[a] = name[b] = min(name[a], name[b])
+            if name == before:
+                break
+        assert got == dict(enumerate(name))
+    assert totals[1] < 2.8 * totals[0], totals
