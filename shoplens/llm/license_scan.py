@@ -13,6 +13,11 @@ set to at least ``THRESHOLD``, that is in o = ceil(threshold * m) tokens:
   most m - i tokens can be common (positional filter);
 * what is left is counted in full.
 
+Sets alone cannot tell "GNU General Public License" from "GNU Lesser General
+Public License", so a template may have a *key*: words that must stand in the
+block one after another, and not as the beginning of one of the longer phrases
+that it excludes ("creative commons attribution" is not "... noncommercial").
+
 The templates are a parameter of fixed size and go to the tasks with the
 function; the corpus is never shuffled."""
 
@@ -36,22 +41,70 @@ BASE_PHRASES = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-# Openings of well-known notices with their labels.
+# Sentences of well-known notices: label, text, the key that tells
+# it from its neighbours, and longer phrases of the neighbours.
 TEMPLATES = [
-    ("apache", "Licensed under the Apache License, Version 2.0"),
-    ("apache", "you may not use this file except in compliance with the License"),
-    ("gpl", "This work is licensed under the GNU General Public License, version 3"),
-    ("gpl", "free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
-    ("lgpl", "licensed under the GNU Lesser General Public License"),
-    ("mit", "Released under the MIT License"),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
-    ("mpl", "subject to the terms of the Mozilla Public License"),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
-    ("cc-by-nc", "Creative Commons Attribution NonCommercial License"),
-    ("unlicense", "This is free and unencumbered software released into the public domain"),
-]
+    ("apache", "Licensed under the Apache License, Version 2.0", "apache license"),
+    ("apache", "you may not use this file except in compliance with the License", "except in compliance with the license"),
+    (
+        "apache",
+        'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS',
+        "distributed under the license is distributed on an as is basis",
+    ),
+    ("gpl", "This work is licensed under the GNU General Public License, version 3", "gnu general public license"),
+    (
+        "gpl",
+        "free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
+        "gnu general public license",
+    ),
+    ("lgpl", "licensed under the GNU Lesser General Public License", "gnu lesser general public license"),
+    ("lgpl", "under the terms of the GNU Lesser General Public License", "gnu lesser general public license"),
+    ("agpl", "under the terms of the GNU Affero General Public License", "gnu affero general public license"),
+    ("mit", "Released under the MIT License", "mit license"),
+    (
+        "mit",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+        "to any person obtaining a copy of this software",
+    ),
+    (
+        "mit",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
+        "this permission notice shall be included in all copies",
+    ),
+    (
+        "bsd",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted",
+        "redistribution and use in source and binary forms",
+    ),
+    (
+        "bsd",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products",
+        "contributors may be used to endorse or promote products",
+    ),
+    (
+        "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "for any purpose with or without fee is hereby granted",
+    ),
+    ("mpl", "subject to the terms of the Mozilla Public License", "mozilla public license"),
+    (
+        "cc-by",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License",
+        "creative commons attribution",
+        ("creative commons attribution noncommercial", "creative commons attribution sharealike",
+         "creative commons attribution noderivatives", "creative commons attribution non", "creative commons attribution share",
+         "creative commons attribution no"),
+    ),
+    ("cc-by-nc", "Licensed under CC BY-NC 4.0", "cc by nc", ("cc by nc sa", "cc by nc nd")),
+    (
+        "cc-by-nc",
+        "Creative Commons Attribution NonCommercial License",
+        "creative commons attribution noncommercial",
+        ("creative commons attribution noncommercial sharealike", "creative commons attribution noncommercial noderivatives",
+         "creative commons attribution noncommercial share", "creative commons attribution noncommercial no"),
+    ),
+    ("unlicense", "This is free and unencumbered software released into the public domain", "free and unencumbered software"),
+]
 
 _KEPT = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b in _KEPT else 32 for b in range(256))
@@ -68,18 +121,37 @@ class Template:
     label: str
     tokens: list[bytes]  # rarest first
     need: int
+    key: bytes = b""
+    unless: tuple[bytes, ...] = ()
 
     @property
     def prefix(self) -> list[bytes]:
         return self.tokens[: len(self.tokens) - self.need + 1]
 
+    def keyed(self, words: list[bytes]) -> bool:
+        """Whether the key stands among the words, not within an excluded phrase."""
+        if not self.key:
+            return True
+        line = b" " + b" ".join(words) + b" "
+        at = line.find(self.key)
+        while at >= 0:
+            if not any(line.startswith(phrase, at) for phrase in self.unless):
+                return True
+            at = line.find(self.key, at + 1)
+        return False
+
 
-def ordered(templates: list[tuple[str, str]], frequency: dict[bytes, int], threshold: float) -> list[Template]:
+def _phrase(text: str) -> bytes:
+    return b" " + b" ".join(words_of(text)) + b" "
+
+
+def ordered(templates: list[tuple], frequency: dict[bytes, int], threshold: float) -> list[Template]:
     out = []
-    for number, (label, text) in enumerate(templates):
+    for number, (label, text, *rest) in enumerate(templates):
         tokens = sorted(set(words_of(text)), key=lambda t: (frequency.get(t, 0), t))
+        key, unless = (_phrase(rest[0]) if rest else b""), tuple(_phrase(p) for p in (rest[1] if len(rest) > 1 else ()))
         if tokens:
-            out.append(Template(number, label, tokens, math.ceil(threshold * len(tokens) - 1e-9)))
+            out.append(Template(number, label, tokens, math.ceil(threshold * len(tokens) - 1e-9), key, unless))
     return out
 
 
@@ -89,9 +161,10 @@ def phrase_places(words: list[bytes], phrases: dict[str, str]) -> list[tuple[int
     out = []
     for phrase, label in phrases.items():
         key = b" " + phrase.encode() + b" "
-        at = line.find(key)
-        while at >= 0:
-            out.append((line.count(b" ", 0, at), label))
+        at, seen, number = line.find(key), 0, 0
+        while at >= 0:  # words are counted on from the last place
+            number, seen = number + line.count(b" ", seen, at), at
+            out.append((number, label))
             at = line.find(key, at + 1)
     return sorted(out)
 
@@ -115,7 +188,7 @@ def block_matches(words: list[bytes], templates: list[Template], by_token: dict[
             if len(tokens) < template.need or m - place < template.need:
                 continue
             common = sum(token in tokens for token in template.tokens[place:])
-            if common >= template.need:
+            if common >= template.need and template.keyed(words[start : start + block]):
                 out.append((start, min(start + block, len(words)), template, common / m))
     return out
 
@@ -181,19 +254,21 @@ def _scan(templates: list[Template], phrases: dict[str, str], block: int):
 
 
 def scan_licenses(
-    docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, block: int = BLOCK,
+    docs: DataFrame, templates: list[tuple] = TEMPLATES, threshold: float = THRESHOLD, block: int = BLOCK,
     phrases: dict[str, str] = BASE_PHRASES,
 ) -> DataFrame:
     """(doc_id, n_words, places, matches) of every row: where base phrases
-    stand, and every (block, template) whose containment meets the threshold.
+    stand, and every (block, template) whose containment meets the threshold and
+    that has the template's key.  A template is (label, text), or (label, text,
+    key), or (label, text, key, excluded phrases).
 
     A null or empty text has no words; repeated rows each give a row; ties of
     frequency are ordered by the token; a template of more than ``block`` / 2
     words is refused; other columns are ignored; an empty table gives an empty
     result."""
-    if any(len(words_of(t)) > block // 2 for _, t in templates):
+    if any(len(words_of(t)) > block // 2 for _, t, *_ in templates):
         raise ValueError("a template is longer than half a block")
-    vocabulary = {w for _, t in templates for w in words_of(t)}
+    vocabulary = {w for _, t, *_ in templates for w in words_of(t)}
     known = ordered(templates, document_frequency(docs, vocabulary), threshold)
     return docs.select("doc_id", "text").mapInArrow(over_texts(_scan(known, phrases, block), _OUT), _OUT_SQL)
 

@@ -251,6 +251,35 @@ def test_licenses(docs):
     assert rows[30].labels == "" and rows[30].first_word is None
 
 
+def test_licenses_are_told_from_their_neighbours(spark):
+    texts = {
+        "licensed under the GNU General Public License": "gpl",
+        "Licensed under CC BY 4.0": "cc-by",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.": "cc-by",
+        "Released under the Apache License": "apache",
+        "subject to the terms of the GNU General Public License": "gpl",
+        "look under the bonnet: released yesterday, the new license plate": "",
+        "This library is licensed under the GNU Lesser General Public License.": "lgpl",
+        "subject to the terms of the Mozilla Public License, v. 2.0": "mpl",
+        "Released under the MIT License": "mit",
+        "Licensed under CC BY-NC 4.0": "cc-by,cc-by-nc",  # the base phrase stands in it
+        "Creative Commons Attribution-NonCommercial License": "cc-by-nc",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated files": "mit",
+        "obtaining a copy of this software, granted to any person, hereby free: charge is permission of": "",
+        "words " * 60 + "Redistribution and use in source and binary forms, with or without modification, are permitted provided": "bsd",
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.labels for r in license_scan.license_report(docs).collect()}
+    assert got == dict(enumerate(texts.values()))
+
+
+def test_phrase_places_of_many_hits():
+    words = [b"x", b"mit", b"license", b"cc", b"by", b"mit", b"license"] * 300
+    got = license_scan.phrase_places(words, license_scan.BASE_PHRASES)
+    want = [(i, "mit") for i, w in enumerate(words) if w == b"mit"] + [(i, "cc-by") for i, w in enumerate(words) if w == b"cc"]
+    assert got == sorted(want)
+
+
 def test_license_filters_find_every_block():
     rng = random.Random(3)
     vocabulary = [b"w%d" % i for i in range(40)]
