@@ -4,7 +4,7 @@ Four kinds have exact rules (email, ip, card, phone).  Their finds, and values
 given after a few seed keys, are the seed entities.  Every token that could be
 an identifier is an *instance* with lexical *patterns*: the key or the cue
 before it, the word to its left, its opening capitals, its shape.  On the
-graph of patterns and instances Spark alternates, for a few rounds:
+graph of patterns and instances Spark alternates until the accepted patterns stay:
 
 * a pattern's confidence: the mean score of its distinct instances that have
   one (seeds 1, harmless tokens 0, found ones theirs), damped by a harmless
@@ -26,9 +26,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import over_texts, stage
+from .common import free_name, over_texts, stage
 
-ROUNDS, CONFIDENT, SUPPORT = 3, 0.9, 10
+CONFIDENT, SUPPORT = 0.9, 10
 KINDS = ["email", "ip", "card", "phone", "id"]
 SEED_KEYS = frozenset({"password", "passwd", "secret", "api_key"})
 
@@ -184,8 +184,13 @@ def _rows(ids: list, texts: list[str]) -> dict[str, list]:
     return out
 
 
-def bootstrap(occurrences: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT, support: int = SUPPORT) -> DataFrame:
-    """Instances found by the alternation, from (instance, mark, pattern)."""
+def bootstrap(occurrences: DataFrame, confident: float = CONFIDENT, support: int = SUPPORT) -> DataFrame:
+    """Instances found by the alternation, from (instance, mark, pattern).
+
+    Patterns and instances are scored in turn until the accepted patterns are
+    those of an earlier turn: the same as in the last one, or, should scores
+    swing, one of a round of sets.  A pattern is accepted with ``support``
+    confident instances, so a small table may find none."""
     edges = stage(
         occurrences.groupBy("pattern", "instance").agg(F.max("mark").alias("mark")).withColumn("score", F.lit(None).cast("double")),
         "edges",
@@ -195,7 +200,8 @@ def bootstrap(occurrences: DataFrame, rounds: int = ROUNDS, confident: float = C
     known = F.when(F.col("m") >= 3, F.lit(1.0)).when(F.col("m") == 1, F.lit(0.0))
     state = state.select("instance", known.alias("score"), (F.col("m") == 0).alias("open"))
     links = edges.select("pattern", "instance")
-    for _ in range(rounds):
+    earlier = set()
+    while True:
         seen = links.join(state, "instance")
         patterns = stage(
             seen.filter("score IS NOT NULL")
@@ -205,6 +211,11 @@ def bootstrap(occurrences: DataFrame, rounds: int = ROUNDS, confident: float = C
             .filter((F.col("confidence") >= confident) & (F.col("k") >= support)),
             "patterns",
         )
+        hashed = F.xxhash64("pattern")
+        accepted = patterns.agg(F.count("*"), F.bit_xor(hashed), F.sum(hashed.cast("decimal(38,0)"))).first()
+        if tuple(accepted) in earlier:
+            break
+        earlier.add(tuple(accepted))
         best = links.join(patterns, "pattern").groupBy("instance").agg(F.max("confidence").alias("best"))
         state = stage(
             state.join(stage(best, "best"), "instance", "left")
@@ -256,9 +267,10 @@ def pii_report(docs: DataFrame) -> DataFrame:
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
     return found.select(
         "doc_id",
-        *[count(k) for k in KINDS],
+        *[count(k) for k in KINDS if k != "id"],
         F.sha2(F.encode(_joined(base), "UTF-8"), 256).alias("base_sha256"),
         _joined(F.col("spans")).alias("spans"),
+        count("id"),
     )
 
 
@@ -281,19 +293,18 @@ def mask(docs: DataFrame) -> DataFrame:
     overlapping spans the first in the text names the whole.  Rows and columns
     stay, in their order; ``n_chars``, if there, follows the text."""
     names = docs.columns
+    one, key, marks, of = (free_name(docs, n) for n in ("_llm_id", "_llm_key", "_llm_spans", "_llm_of"))
     found = (
         personal_data(docs)
         .filter(F.size("spans") > 0)
-        .select(F.col("doc_id").alias("_llm_id"), F.col("key").alias("_llm_key"), F.col("spans").alias("_llm_spans"))
-        .dropDuplicates(["_llm_id", "_llm_key"])
-    )
-    keyed = docs.withColumn("_llm_of", _text_key())
-    joined = keyed.join(
-        found, F.col("doc_id").eqNullSafe(F.col("_llm_id")) & (F.col("_llm_of") == F.col("_llm_key")), "left"
+        .select(F.col("doc_id").alias(one), F.col("key").alias(key), F.col("spans").alias(marks))
+        .dropDuplicates([one, key])
     )
+    keyed = docs.withColumn(of, _text_key())
+    joined = keyed.join(found, F.col("doc_id").eqNullSafe(F.col(one)) & (F.col(of) == F.col(key)), "left")
     rest = [c for c in names if c != "text"]
     types = docs.select("text", *rest).schema
-    masked = joined.select("text", "_llm_spans", *rest).mapInArrow(_masked, types).select(*names)
+    masked = joined.select("text", marks, *rest).mapInArrow(_masked, types).select(*names)
     if "n_chars" in names:
         masked = masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return masked

@@ -8,6 +8,7 @@ the library's own result."""
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -21,6 +22,11 @@ DEFAULT_FILE = "byte_bpe_50k.json"
 #: A space that no word follows; such texts are cut by the slower pattern.
 _ODD = re.compile(r" (?:\s|\Z)")
 _CUT = re.compile(r" (?=\S)")
+#: Words of printable ASCII, and what the usual byte-level pattern cuts them into.
+_PRINTABLE = re.compile(r"[!-~]*\Z")
+_PIECES = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+")
+_SPACE = chr(0x120)  # the letter that stands for the byte of a space
+_PIECES_KEPT = 200_000
 
 
 def default_path() -> str:
@@ -51,11 +57,47 @@ class Encoder:
         self.inner: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
         self.cache_words, self.longest = cache_words, longest_cached
+        #: The library's model takes one piece at a time, without the cost of a
+        #: whole encoding; only where the pieces are cut as ``_PIECES`` does.
+        self.model, self.pieces = self.tokenizer.model, {}
+        settings = json.loads(self.tokenizer.to_str())
+        cut = settings["pre_tokenizer"] or {}
+        self.usual = (
+            settings["normalizer"] is None
+            and cut.get("type") == "ByteLevel"
+            and cut.get("use_regex", True)
+            and not cut.get("add_prefix_space", True)
+        )
 
     def plain(self, texts: list[str]) -> list[list[int]]:
         """Ids as the library itself gives them."""
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _of_words(self, words: list[str], space: str) -> list[list[int]]:
+        """Ids of words, each with ``space`` before it."""
+        if not self.usual:
+            return self.plain([space + w for w in words])
+        special, out, left = self.special, [], []
+        if len(self.pieces) > _PIECES_KEPT:
+            self.pieces.clear()
+        for k, word in enumerate(words):
+            if not word or not _PRINTABLE.match(word) or any(s in word for s in special):
+                left.append(k)
+                out.append(None)
+                continue
+            ids = []
+            for piece in _PIECES.findall(space + word):
+                known = self.pieces.get(piece)
+                if known is None:
+                    known = [t.id for t in self.model.tokenize(piece.replace(" ", _SPACE))]
+                    if len(piece) <= self.longest:
+                        self.pieces[piece] = known
+                ids += known
+            out.append(ids)
+        for k, ids in zip(left, self.plain([space + words[k] for k in left]), strict=True):
+            out[k] = ids
+        return out
+
     def _words(self, words: list[str], cache: dict[str, bytes], space: str) -> list[bytes]:
         found = list(map(cache.get, words))
         missing = [i for i, ids in enumerate(found) if ids is None]
@@ -63,7 +105,7 @@ class Encoder:
             cache.clear()
         for begin in range(0, len(missing), 20_000):
             part = missing[begin : begin + 20_000]
-            for i, ids in zip(part, self.plain([space + words[i] for i in part]), strict=True):
+            for i, ids in zip(part, self._of_words([words[i] for i in part], space), strict=True):
                 found[i] = data = array("I", ids).tobytes()
                 if len(words[i]) <= self.longest:
                     cache[words[i]] = data
@@ -85,10 +127,10 @@ class Encoder:
         words = flat.dictionary_encode()
         at = np.asarray(words.indices).astype(np.int64)
         # The first part of a text has no space before it.
-        inner = words.dictionary.to_pylist()
+        inner = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         firsts = flat.take(pa.array(bounds[:-1])).dictionary_encode()
         at[bounds[:-1]] = np.asarray(firsts.indices).astype(np.int64) + len(inner)
-        known = self._words(inner, self.inner, " ") + self._words(firsts.dictionary.to_pylist(), self.first, "")
+        known = self._words(inner, self.inner, " ") + self._words(firsts.dictionary.to_numpy(zero_copy_only=False).tolist(), self.first, "")
         size = np.fromiter(map(len, known), np.int64, len(known)) // 4
         ids = np.frombuffer(b"".join(known), np.uint32)
         begin = np.cumsum(size) - size
@@ -113,7 +155,7 @@ class Encoder:
         """Bytes of each id's token."""
         return self._table[1]
 
-    @property
+    @cached_property
     def special(self) -> list[str]:
         return [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 

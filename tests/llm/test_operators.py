@@ -565,3 +565,16 @@ def test_candidates_follow_the_size_of_a_family(spark, monkeypatch):
                 break
         assert got == dict(enumerate(name))
     assert totals[1] < 2.8 * totals[0], totals
+
+
+def test_words_encode_as_the_library_does():
+    """Words of printable ASCII, cut into pieces, and all others."""
+    enc, rng = tokens.Encoder(tokens.default_path(), cache_words=2000), random.Random(14)
+    assert enc.usual
+    letters = [chr(c) for c in range(33, 127)] + ["é", "漢", "\n", "\t", "'s", "'ll", "'re", "'t", "12", "aaa", "don't", "<|endoftext|>"]
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 9))) for _ in range(4000)] + ["'S", "''s", "x" * 500, "1a2b3c" * 30]
+    for space in ("", " "):
+        assert enc._of_words(words, space) == enc.plain([space + w for w in words])
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 40))) for _ in range(200)]
+    ids, at = enc.encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == enc.plain(texts)
