@@ -21,33 +21,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.functions import constants as K
-from shoplens.functions.columns import percent_of, round_half_up
 from shoplens.operators.joins import null_safe_join
 from shoplens.operators.topk import top_k_per_group
 
 
-def share_text(top_entries: Column, total: Column) -> Column:
-    """Text from the leading ``(city, n)`` entries (already in order) and the
-    group total."""
-    ratios = F.transform(
-        top_entries, lambda x: F.struct(x["city"].alias("city"), percent_of(x["n"], total).alias("r"))
-    )
-    rest = round_half_up(F.aggregate(ratios, F.lit(100.0), lambda acc, x: acc - x["r"]))
-    named = F.transform(
-        ratios,
-        lambda x: F.concat(
-            x["city"], F.lit(K.SHARE_CITY_SEPARATOR), x["r"].cast("string"), F.lit(K.SHARE_PERCENT_SIGN)
-        ),
-    )
-    return F.concat_ws(
-        K.SHARE_ITEM_SEPARATOR,
-        named,
-        F.concat(F.lit(K.OTHER_CITIES_LABEL), rest.cast("string"), F.lit(K.SHARE_PERCENT_SIGN)),
-    )
+def share_sql(lead: str, total: str) -> str:
+    """SQL of the text from the leading ``(city, n)`` entries, in order, and the
+    group total: the one place where the rule stands (U1, U2)."""
+    percent = f"floor(x.n * 1000.0D / {total} + 0.5D) / 10"
+    text = lambda r: f"CAST({r} AS STRING), '{K.SHARE_PERCENT_SIGN}'"
+    rest = "floor(aggregate(s, 100.0D, (left, x) -> left - x.r) * 10 + 0.5D) / 10"
+    return f"""element_at(transform(
+        array(transform({lead}, x -> named_struct('city', x.city, 'r', {percent}))),
+        s -> concat_ws('{K.SHARE_ITEM_SEPARATOR}',
+          transform(s, x -> concat(x.city, '{K.SHARE_CITY_SEPARATOR}', {text("x.r")})),
+          concat('{K.OTHER_CITIES_LABEL}', {text(rest)}))), 1)"""
 
 
 def city_share(
@@ -91,17 +83,9 @@ def share_of_counts(
             F.array_sort(F.collect_list(F.struct("rn", "city", "n"))), lambda x: x["city"].isNotNull()
         ).alias("lead")
     )
-    return (
-        null_safe_join(totals, named, g, "left")
-        .select(
-            *g,
-            F.col(count_col),
-            share_text(
-                F.coalesce(F.col("lead"), F.array().cast("array<struct<rn:int,city:string,n:bigint>>")),
-                F.col(count_col),
-            ).alias(text_col),
-        )
-    )
+    nobody = F.array().cast("array<struct<rn:int,city:string,n:bigint>>")
+    joined = null_safe_join(totals, named, g, "left").withColumn("lead", F.coalesce("lead", nobody))
+    return joined.select(*g, F.col(count_col), F.expr(share_sql("lead", f"`{count_col}`")).alias(text_col))
 
 
 # SQL form for SQL callers (U1 re-aimed): a scalar function over the per-city
@@ -119,30 +103,16 @@ def register_city_ratio_function(spark: SparkSession, name: str = CITY_RATIO_SQL
         FROM (SELECT area, product_name, city_name, count(*) n FROM t GROUP BY 1, 2, 3)
         GROUP BY 1, 2
     """
-    sep = K.SHARE_ITEM_SEPARATOR
+    lead = f"""slice(array_sort(filter(counts, x -> x.city IS NOT NULL),
+                           (a, b) -> CASE WHEN a.n > b.n THEN -1 WHEN a.n < b.n THEN 1
+                                          WHEN a.city < b.city THEN -1 WHEN a.city > b.city THEN 1
+                                          ELSE 0 END), 1, {K.SHARE_TOP_CITIES})"""
+    total = "aggregate(counts, 0L, (sum, c) -> sum + c.n)"
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {name}(counts ARRAY<STRUCT<city: STRING, n: BIGINT>>)
         RETURNS STRING
-        RETURN concat_ws('{sep}',
-          transform(
-            slice(array_sort(filter(counts, x -> x.city IS NOT NULL),
-                             (a, b) -> CASE WHEN a.n > b.n THEN -1 WHEN a.n < b.n THEN 1
-                                            WHEN a.city < b.city THEN -1 WHEN a.city > b.city THEN 1
-                                            ELSE 0 END), 1, {K.SHARE_TOP_CITIES}),
-            x -> concat(x.city, '{K.SHARE_CITY_SEPARATOR}',
-                        CAST(floor(x.n * 1000.0D / aggregate(counts, 0L, (s, y) -> s + y.n) + 0.5D) / 10 AS STRING),
-                        '{K.SHARE_PERCENT_SIGN}')),
-          concat('{K.OTHER_CITIES_LABEL}',
-            CAST(floor(aggregate(
-                   slice(array_sort(filter(counts, x -> x.city IS NOT NULL),
-                                    (a, b) -> CASE WHEN a.n > b.n THEN -1 WHEN a.n < b.n THEN 1
-                                                   WHEN a.city < b.city THEN -1 WHEN a.city > b.city THEN 1
-                                                   ELSE 0 END), 1, {K.SHARE_TOP_CITIES}),
-                   100.0D,
-                   (acc, x) -> acc - floor(x.n * 1000.0D / aggregate(counts, 0L, (s, y) -> s + y.n) + 0.5D) / 10
-                 ) * 10 + 0.5D) / 10 AS STRING),
-            '{K.SHARE_PERCENT_SIGN}'))
+        RETURN {share_sql(lead, total)}
         """
     )
     return name

@@ -2,9 +2,9 @@
 
 Spark already broadcasts a side whose *estimated* size is under
 ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-plans from runtime
-sizes.  ``bounded_broadcast`` is for the cases where we want the decision
-made from a *proven* bound (the plan's size in bytes), and otherwise leave the join to
-Catalyst (sort-merge, with AQE skew splitting).
+sizes.  ``bounded_broadcast`` decides from the plan's own size: the bytes of the
+files, which are compressed, scaled by ``EXPANSION``; otherwise the join is left
+to Catalyst (sort-merge, with AQE skew splitting).
 """
 
 from __future__ import annotations
@@ -12,22 +12,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side whose plan proves at most this many bytes is safe to ship to every
+# A side of at most this many bytes in memory, as estimated, is shipped to every
 # executor.
-DEFAULT_MAX_BROADCAST_BYTES = 16 << 20
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
+# Bytes in memory for a byte of a compressed file, taken on the large side.
+EXPANSION = 4
 
 
 def is_bounded(df: DataFrame, max_bytes: int) -> bool:
     """True when the optimizer's size of ``df`` (from the files or the table's
-    statistics; an upper bound after filters and projections) is at most
-    ``max_bytes``.  Looks at the plan alone: no job runs, nothing is kept, so
-    a changed input is seen by the next call."""
+    statistics), times ``EXPANSION``, is at most ``max_bytes``.  Looks at the plan
+    alone: no job runs, nothing is kept, so a changed input is seen by the next
+    call."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes())) <= max_bytes
+    return int(str(stats.sizeInBytes())) * EXPANSION <= max_bytes
 
 
 def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """``broadcast(df)`` if its size is proven <= ``max_bytes``; else ``df``
+    """``broadcast(df)`` if its estimated size is <= ``max_bytes``; else ``df``
     unchanged, so the join falls back to a shuffle join."""
     return F.broadcast(df) if is_bounded(df, max_bytes) else df
 

@@ -14,20 +14,6 @@ from shoplens.operators.topk import top_k_per_group
 _GROUP = ["area", "product_name"]
 
 
-def area_product_clicks(actions: DataFrame, cities: DataFrame, products: DataFrame) -> DataFrame:
-    """Star join (J2): clicks x city x product -> (area, product_name, city_name).
-
-    Only clicks can match a product (the not-a-click sentinel is no product
-    id), so they are selected before the joins.  Each dimension is broadcast
-    only if its row count is proven small; otherwise a shuffle join."""
-    clicks = actions.filter(F.col("click_product_id") != K.NOT_A_CLICK).select(
-        "city_id", F.col("click_product_id").alias("product_id")
-    )
-    with_city = join_dimension(clicks, cities.select("city_id", "city_name", "area"), "city_id")
-    with_product = join_dimension(with_city, products.select("product_id", "product_name"), "product_id")
-    return with_product.select("area", "product_name", "city_name")
-
-
 def area_product_city_counts(actions: DataFrame, cities: DataFrame, products: DataFrame) -> DataFrame:
     """(area, product_name, city, n): the star join (J2) after counting.
 
