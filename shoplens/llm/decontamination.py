@@ -331,7 +331,9 @@ def contaminated(
     """(doc_id, item_id, first_word, end_word, score, question_overlap,
     answer_overlap): the best verified passage of every document row and item.
 
-    Null or wordless texts and items match nothing; repeated rows each give
+    An item is matched by the words it has, however few: one of a single word
+    marks every document that holds that word, so short items are the caller's
+    to leave out.  Null or wordless texts and items match nothing; repeated rows each give
     their rows, repeated items theirs; of passages that tie, the first counts;
     a null id is carried along; other columns are ignored; an empty table on
     either side gives an empty result."""

@@ -81,6 +81,8 @@ def _rows(tokenizer: str, rule: str, given: bool):
                         rows = sorted((s["first_char"], s["end_char"], s["section"]) for s in sections[i] or [])
                         first, end = (np.array([r[k] for r in rows], np.int64) for k in (0, 1))
                         names = [r[2] for r in rows]
+                        if (end < first).any() or (first[1:] < end[:-1]).any():
+                            raise ValueError(f"sections of document {docs[i]} overlap or end before they begin")
                     else:
                         first, end = lines(text)
                         names = list(range(len(first)))
@@ -103,8 +105,10 @@ def token_counts(docs: DataFrame, sections: DataFrame | None = None, rule: str =
     """(doc_id, section, first_char, end_char, n_tokens, n_crossing) for every
     section of every row of ``docs``.
 
-    ``sections`` has (doc_id, section, first_char, end_char) in code points,
-    not overlapping within a document; without it the sections are the lines.
+    ``sections`` has (doc_id, section, first_char, end_char) in code points; ones
+    of a document that overlap or end before they begin are refused (the job
+    fails), ones past the text's end are cut there.  Without it the sections are
+    the lines.
     A document's counts add up to its tokens.  A null text is empty: one empty
     line without tokens.  Repeated rows each give their rows; a null doc_id
     has no given sections; other columns are ignored; an empty table gives an
