@@ -33,7 +33,7 @@ g(x) = (100 + p) l(x) + p |x| that is
     with m(A) the member of least g of class A, x of A and y of B alike implies
     that x is alike to m(B), y to m(A) and m(A) to m(B), or, within a class, both
     to m(A).  So members meet the classes' least members, not each other, by a
-    prefix join on lacked shingles.  Only members with
+    prefix join on lacked shingles that counts them in full.  Only members with
     (100 + p) |x & C| >= p (|x| + |y|) for some size of y come into it.
   * Sharing shingles outside C: a prefix join on those.
 
@@ -74,7 +74,7 @@ LEAST_EQUAL = 93
 MISS_BANDS, MISS_FILTER = 2.6e-7, 1.2e-7
 #: Most draws of centres, and centres of a draw, before members of one bucket
 #: that are still apart are compared by their differences from a consensus.
-TURNS, CENTRES = 2, 4
+TURNS, CENTRES = 1, 2
 #: Members of a group, about, that its consensus is drawn from.
 VOTERS = 64
 
@@ -251,20 +251,22 @@ def _verify(percent: int):
 
 
 _DIFFERENT_SQL = (
-    "grp bigint, rep bigint, comp bigint, n bigint, nc bigint, k bigint, own binary, lack array<bigint>, extra array<bigint>"
+    "grp bigint, rep bigint, comp bigint, n bigint, nc bigint, k bigint, spare bigint, own binary, lack array<bigint>, "
+    "extra array<bigint>"
 )
 
 
 def _different(percent: int):
     """Of (grp, rep, comp, least, set, consensus): sizes n of the set and nc of
-    the consensus, the k shingles they share, a digest of the lacked ones; the
-    lacked ones, if a partner of at least ``least`` shingles can be alike by
+    the consensus, the k shingles they share, and how many of the consensus an
+    alike partner and x may lack together (``spare``), if they share no other; a
+    digest of the lacked ones; the lacked ones, if a partner of at least ``least`` shingles can be alike by
     shared ones of the consensus alone; and of those outside, in order of their
     hashes, as many as such a partner must share one of."""
 
     def run(batches):
         for batch in batches:
-            columns = [[] for _ in range(6)]
+            columns = [[] for _ in range(7)]
             for least, x, c in zip(*(batch.column(i) for i in (3, 4, 5)), strict=True):
                 x = np.frombuffer(x.as_buffer(), np.uint64)
                 c = np.sort(c.values.to_numpy(zero_copy_only=False).view(np.uint64))
@@ -276,13 +278,13 @@ def _different(percent: int):
                 some_extra = extra[: max(0, len(extra) - outside + 1)]
                 some_lack = lack if share <= k else lack[:0]
                 digest = hashlib.blake2b(lack.tobytes(), digest_size=16).digest()
-                values = (n, nc, k, digest, some_lack.view(np.int64), some_extra.view(np.int64))
+                values = (n, nc, k, nc - share, digest, some_lack.view(np.int64), some_extra.view(np.int64))
                 for column, value in zip(columns, values, strict=True):
                     column.append(value)
-            types = [pa.int64()] * 3 + [pa.binary()] + [pa.list_(pa.int64())] * 2
+            types = [pa.int64()] * 4 + [pa.binary()] + [pa.list_(pa.int64())] * 2
             made = [pa.array(v, t) for v, t in zip(columns, types, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], *made], ["grp", "rep", "comp", "n", "nc", "k", "own", "lack", "extra"]
+                [*batch.columns[:3], *made], ["grp", "rep", "comp", "n", "nc", "k", "spare", "own", "lack", "extra"]
             )
 
     return run
@@ -443,20 +445,36 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
         return near.unionByName(same).filter("comp <> m.comp").select(*pair(F.col("rep"), F.col("m.rep"))).distinct()
 
     def lacking_alike(rows: DataFrame) -> DataFrame:
-        """Members and least members of classes that lack some of the same."""
-        each = rows.filter(F.size("lack") > 0)
-        heads = each.groupBy("grp", "own").agg(F.min(F.struct("g", "rep", "comp", "n", "lack")).alias("m"))
-        x = each.select("grp", "rep", "comp", "n", "g", "nc", "k", F.explode("lack").alias("token")).alias("x")
-        y = heads.select("grp", "m.rep", "m.comp", "m.n", "m.g", F.explode("m.lack").alias("token")).alias("y")
-        fits = (
-            (F.col("x.grp") == F.col("y.grp"))
-            & (F.col("x.token") == F.col("y.token"))
-            & (F.col("x.comp") != F.col("y.comp"))
-            # all that x lacks shared
-            & (F.col("x.g") + F.col("y.g") <= (100 + percent) * (2 * F.col("x.nc") - F.col("x.k")))
-            & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-        )
-        return x.join(y, fits).select(*pair("x.rep", "y.rep"))
+        """Links of members and least members of classes by what both lack.
+
+        Of two that lack l >= m shingles, together not more than ``spare``
+        different ones, the one that lacks fewer shares one of its first
+        spare - m + 1; the lists are short, so the join counts in full."""
+        each = rows.filter(F.size("lack") > 0).withColumn("l", F.size("lack")).select("grp", "rep", "comp", "g", "nc", "l", "spare", "own", "lack")
+        heads = each.groupBy("grp", "own").agg(F.min(F.struct("g", "rep", "comp", "nc", "l", "spare", "lack")).alias("m"))
+        heads = heads.select("grp", "m.*")
+        first = F.least(F.col("l"), F.col("spare") - F.col("l") + 1).cast("int")
+
+        def all_of(side):
+            return side.withColumn("token", F.explode("lack"))
+
+        def first_of(side):
+            return side.filter(first > 0).withColumn("token", F.explode(F.slice("lack", F.lit(1), first)))
+
+        def joined(large, small, order):
+            both = F.array_intersect("x.lack", "y.lack")
+            fits = (
+                (F.col("x.grp") == F.col("y.grp"))
+                & (F.col("x.token") == F.col("y.token"))
+                & (F.col("x.comp") != F.col("y.comp"))
+                & order
+                & (F.col("x.g") + F.col("y.g") <= (100 + percent) * (F.col("x.nc") + F.size(both)))
+                & (F.element_at(both, 1) == F.col("x.token"))  # a pair once
+            )
+            return large.alias("x").join(small.alias("y"), fits).select(*pair("x.rep", "y.rep"))
+
+        fewer = joined(all_of(each), first_of(heads), F.col("x.l") >= F.col("y.l"))
+        return fewer.unionByName(joined(all_of(heads), first_of(each), F.col("x.l") > F.col("y.l")))
 
     def outside_alike(rows: DataFrame) -> DataFrame:
         """Members that share shingles outside the consensus."""
@@ -491,7 +509,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75) -> DataF
         rows = rest.join(heads, "key").select(F.col("centre").alias("grp"), "rep", "comp").distinct()
         rows = stage(rows.join(sizes, F.col("rep") == F.col("id")).select("grp", "rep", "comp", "n"), "rest")
         made = differences(rows)
-        new = stars(made).union(verified(lacking_alike(made).union(outside_alike(made))))
+        new = stars(made).union(lacking_alike(made)).union(verified(outside_alike(made)))
         if not new.isEmpty():
             links = links.union(new)
             found = components(links)
