@@ -54,6 +54,7 @@ SPAN, DECAY, LETTERS, WINDOW = 5, 0.6, 32, 24
 #: Subsequences of Latin letters, and as many numbers that others hash to.
 FEATURES = 2 * LETTERS**3
 THRESHOLD = 0.7
+SOME = 2_000  # words whose subsequences are held at once
 
 #: Digits and signs read as letters.
 LOOKALIKE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
@@ -139,10 +140,12 @@ class Model:
     logistic: tuple[float, float, float]
 
     def words(self, words: list[str]) -> np.ndarray:
-        """Decision values."""
+        """Decision values, some words at a time: a word has up to 150 subsequences."""
         out = np.full(len(words), self.bias)
-        for rows, ids, w in features(words):
-            out[rows] += (self.table[ids] * w).sum(1) / np.sqrt((w * w).sum(1))
+        for begin in range(0, len(words), SOME):
+            part = out[begin : begin + SOME]
+            for rows, ids, w in features(words[begin : begin + SOME]):
+                part[rows] += (self.table[ids] * w).sum(1) / np.sqrt((w * w).sum(1))
         return out
 
     def document(self, best: np.ndarray, second: np.ndarray) -> np.ndarray:
