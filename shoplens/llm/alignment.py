@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stage
+from .common import slices, stage, take_over
 from .tokens import byte_letters, default_path
 
 PIECE_FILE = "piece_bpe_32k.model"
@@ -317,6 +317,7 @@ def bucket_of(ids: np.ndarray, buckets: int) -> np.ndarray:
 
 def _spill(a_path: str, b_path: str, buckets: int, limit: int, block: int):
     def run(batches):
+        take_over("aligner", _aligner.cache_clear)
         aligner = _aligner(a_path, b_path)
         context = TaskContext.get()
         name = (context.partitionId() if context else 0) << 32

@@ -35,6 +35,18 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}/{name}"
 
 
+_CACHES: dict[str, Callable[[], None]] = {}
+
+
+def take_over(name: str, clear: Callable[[], None]) -> None:
+    """Called in a task by the operator that is about to use its worker's cache:
+    what other operators left in this Python worker, which outlives their
+    tasks, is cleared, so a pipeline's caches do not add up."""
+    for other in [o for o in _CACHES if o != name]:
+        _CACHES.pop(other)()
+    _CACHES[name] = clear
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or the first of it with signs added that ``df`` has no column of."""
     taken = {c.lower() for c in df.columns}

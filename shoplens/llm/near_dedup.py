@@ -58,7 +58,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, over_texts, stage
+from .common import components, over_texts, stage, take_over
 
 BANDS, ROWS = 40, 4
 BINS = BANDS * ROWS
@@ -206,6 +206,7 @@ def _sketch_rows(width: int, bands: int, bins: int):
     names = _planes(bins)
 
     def rows(ids: list, texts: list[str]) -> dict[str, list]:
+        take_over("shingles", _words.cache_clear)
         out = {c: [] for c in ("doc_id", "n", "digest", *names, "bands")}
         for i, text in zip(ids, texts, strict=True):
             values = shingles(text, width)
@@ -227,6 +228,7 @@ def _sketch_rows(width: int, bands: int, bins: int):
 
 def _set_rows(width: int):
     def rows(ids: list, texts: list[str]) -> dict[str, list]:
+        take_over("shingles", _words.cache_clear)
         return {"id": ids, "set": [shingles(t, width).tobytes() for t in texts]}
 
     return rows

@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import take_over
+
 DEFAULT_FILE = "byte_bpe_50k.json"
 #: A space that no word follows; such texts are cut by the slower pattern.
 _ODD = re.compile(r" (?:\s|\Z)")
@@ -26,7 +28,7 @@ _CUT = re.compile(r" (?=\S)")
 _PRINTABLE = re.compile(r"[!-~]*\Z")
 _PIECES = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+")
 _SPACE = chr(0x120)  # the letter that stands for the byte of a space
-_PIECES_KEPT = 200_000
+_PIECES_KEPT = 100_000
 
 
 def default_path() -> str:
@@ -60,10 +62,10 @@ class Encoder:
         #: The library's model takes one piece at a time, without the cost of a
         #: whole encoding; only where the pieces are cut as ``_PIECES`` does.
         self.model, self.pieces = self.tokenizer.model, {}
-        settings = json.loads(self.tokenizer.to_str())
-        cut = settings["pre_tokenizer"] or {}
+        pattern = self.tokenizer.pre_tokenizer
+        cut = json.loads(pattern.__getstate__()) if pattern is not None else {}
         self.usual = (
-            settings["normalizer"] is None
+            self.tokenizer.normalizer is None
             and cut.get("type") == "ByteLevel"
             and cut.get("use_regex", True)
             and not cut.get("add_prefix_space", True)
@@ -171,5 +173,10 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def _encoder(path: str) -> Encoder:
     return Encoder(path)
+
+
+def encoder(path: str) -> Encoder:
+    take_over("encoder", _encoder.cache_clear)
+    return _encoder(path)

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from .common import free_name, slices, stage
+from .common import free_name, slices, stage, take_over
 
 SAMPLE = 3_000  # labelled documents of each class used for training, at most
 CLEAN_WORDS = 12_000  # distinct clean words used as negative instances, at most
@@ -243,6 +243,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     texts = docs.join(F.broadcast(wanted), F.col("doc_id") == F.col("id")).groupBy("id", "toxic").agg(F.min("text").alias("text"))
 
     def split(batches):
+        take_over("sentences", int)  # it keeps nothing
         for batch in batches:
             for i, text, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = [sorted(set(units(s))) for s in sentences(text or "")] or [[]]
@@ -383,6 +384,7 @@ _OUT = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
 def _score_rows(model, key: str, name: str):
     def run(batches):
+        take_over("scorer", _SCORERS.clear)
         if key not in _SCORERS:
             _SCORERS.clear()
             _SCORERS[key] = _Scorer(model.value)
