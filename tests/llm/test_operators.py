@@ -641,6 +641,42 @@ def test_candidates_follow_the_size_of_a_family(spark, monkeypatch):
     assert totals[1] < 2.8 * totals[0], totals
 
 
+def _traits(spark, sketches):
+    rows = [(i, n, *mins) for i, (n, mins) in sketches.items()]
+    return spark.createDataFrame(rows, "id bigint, n bigint, " + ", ".join(f"{c} bigint" for c in near_dedup._planes(near_dedup.BINS)))
+
+
+def test_pairs_that_cannot_be_links_are_not_made(spark):
+    """Members of one group or bucket that share a shingle, as by a common line,
+    and are not alike; of sixty, two are."""
+    rng = np.random.default_rng(3)
+    one = rng.integers(0, 1 << 62, 90, dtype=np.uint64)
+    sets = {i: rng.integers(0, 1 << 62, 90, dtype=np.uint64) for i in range(1, 60)} | {0: one}
+    sets[7] = np.concatenate([one[:85], sets[7][:5]])
+    traits = _traits(spark, {i: (90, near_dedup.planes(near_dedup.sketch(np.sort(x)))) for i, x in sets.items()})
+    alike = near_dedup._alike(75, near_dedup.BINS, near_dedup.LEAST_EQUAL)
+    rows = spark.createDataFrame([(5, i, i, [1, 2]) for i in sets], "grp bigint, rep bigint, comp bigint, extra array<bigint>")
+    assert {tuple(r) for r in near_dedup.outside_pairs(rows, traits, alike).collect()} == {(0, 7)}
+    bucket = spark.createDataFrame([(k, i, i) for k in range(40) for i in (0, 7, 10 + k % 40)], "key bigint, rep bigint, comp bigint")
+    assert {tuple(r) for r in near_dedup.drawn_pairs(bucket, traits, 0, alike).collect()} == {(0, 7)}
+
+
+def test_later_links_are_joined_to_components_found_before(spark, monkeypatch):
+    seen, components = [], near_dedup.components
+    monkeypatch.setattr(near_dedup, "components", lambda edges: seen.append(edges.count()) or components(edges))
+    rng = random.Random(2)
+    first = [(a, a + 1) for a in range(0, 300, 2)] + [(a, a + 2) for a in range(0, 100, 10)]
+    new = [(rng.randrange(400), rng.randrange(400)) for _ in range(40)] + [(500, 501)]
+    found = components(spark.createDataFrame(first, "a bigint, b bigint"))
+    joined = near_dedup.joined_components(found, spark.createDataFrame(new, "a bigint, b bigint"))
+    want = components(spark.createDataFrame(first + new, "a bigint, b bigint"))
+    # a node whose only link is to itself may be there, as its own component
+    got = {r.node: r.component for r in joined.collect()}
+    want = {r.node: r.component for r in want.collect()}
+    assert {n: c for n, c in got.items() if n in want or n != c} == want
+    assert seen == [len(new)]  # not the first links once more
+
+
 def test_words_encode_as_the_library_does():
     """Words of printable ASCII, cut into pieces, and all others."""
     enc, rng = tokens.Encoder(tokens.default_path(), cache_words=2000), random.Random(14)
