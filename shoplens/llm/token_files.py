@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fresh_path, slices, stage
-from .tokens import default_path, encoder
+from .tokens import default_path, encoder, forget_words
 
 END_ID = 2
 MAGIC = b"SLEF"
@@ -193,19 +193,27 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
 _READ = pa.schema([("file", pa.string()), ("doc_id", pa.int64()), ("begin", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
 
+_READ_IDS = 500_000  # of a batch, about: 4 bytes each
+
+
 def _reader(batches):
+    forget_words()  # the worker may be one that encoded
     for batch in batches:
         for path, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             tokens = TokenFile(data.as_buffer())
             ends = tokens.ends.all()
             begins = np.concatenate([[0], ends[:-1]])
             keys, name = tokens.doc_ids(), path.rsplit("/", 1)[1]
-            for a in range(0, len(keys), 500):
-                b = min(len(keys), a + 500)
-                ids = [tokens.ids[x:y].astype("<u4").tobytes() for x, y in zip(begins[a:b].tolist(), ends[a:b].tolist(), strict=True)]
+            b = 0
+            while b < len(keys):  # a document at least, of 500 as many as hold so many ids
+                a = b
+                b = min(len(keys), a + 500, max(a + 1, int(np.searchsorted(ends, begins[a] + _READ_IDS, "right"))))
+                body = tokens.ids[begins[a] : ends[b - 1]].astype("<u4")
+                places = (4 * (np.append(begins[a:b], ends[b - 1]) - begins[a])).astype(np.int32)
+                ids = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(places), pa.py_buffer(body)])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name] * (b - a)), pa.array(keys[a:b], pa.int64()), pa.array(begins[a:b], pa.int64()),
-                     pa.array(ends[a:b] - begins[a:b], pa.int64()), pa.array(ids, pa.binary())],
+                     pa.array(ends[a:b] - begins[a:b], pa.int64()), ids],
                     schema=_READ,
                 )
 

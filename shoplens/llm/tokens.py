@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import weakref
 from array import array
 from functools import cached_property, lru_cache
 
@@ -172,9 +173,21 @@ class Encoder:
         return data[np.repeat(begin[ids] - (ends - n), n) + np.arange(ends[-1])].tobytes()
 
 
+_ENCODERS: weakref.WeakSet[Encoder] = weakref.WeakSet()
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> Encoder:
-    return Encoder(path)
+    made = Encoder(path)
+    _ENCODERS.add(made)
+    return made
+
+
+def forget_words() -> None:
+    """Clears the words that encoding left in this worker; the tokenizers stay."""
+    for made in list(_ENCODERS):
+        made.inner.clear()
+        made.first.clear()
 
 
 def encoder(path: str) -> Encoder:
