@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_path, slices, stage
-from .tokens import default_path, encoder, forget_words
+from .common import fresh_path, slices, stage, take_over
+from .tokens import default_path, encoder
 
 END_ID = 2
 MAGIC = b"SLEF"
@@ -154,7 +154,7 @@ def _writer(folder: str, tokenizer: str, end_id: int, file_ids: int):
 
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for begin, end in slices(batch, texts, 4_000_000):
+            for begin, end in slices(batch, texts, 2_000_000):
                 ids, at = enc.encode(texts[begin:end])
                 n = np.diff(at) + 1
                 out = np.full(len(ids) + len(n), end_id, np.uint32)
@@ -197,7 +197,8 @@ _READ_IDS = 500_000  # of a batch, about: 4 bytes each
 
 
 def _reader(batches):
-    forget_words()  # the worker may be one that encoded
+    # The worker may be one that encoded: its tokenizer and words are not needed here.
+    take_over("token-files", int)
     for batch in batches:
         for path, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             tokens = TokenFile(data.as_buffer())
