@@ -194,9 +194,11 @@ def bootstrap(occurrences: DataFrame, confident: float = CONFIDENT, support: int
     edges = stage(
         occurrences.groupBy("pattern", "instance").agg(F.max("mark").alias("mark")).withColumn("score", F.lit(None).cast("double")),
         "edges",
+        occurrences.count(),
     )
+    n = edges.count()
     # An instance with one seed or harmless occurrence is such an instance.
-    state = stage(edges.groupBy("instance").agg(F.max(F.col("mark") * F.col("mark") * 2 + F.col("mark")).alias("m")), "marks")
+    state = stage(edges.groupBy("instance").agg(F.max(F.col("mark") * F.col("mark") * 2 + F.col("mark")).alias("m")), "marks", n)
     known = F.when(F.col("m") >= 3, F.lit(1.0)).when(F.col("m") == 1, F.lit(0.0))
     state = state.select("instance", known.alias("score"), (F.col("m") == 0).alias("open"))
     links = edges.select("pattern", "instance")
@@ -210,6 +212,7 @@ def bootstrap(occurrences: DataFrame, confident: float = CONFIDENT, support: int
             .select("pattern", (F.col("s") / (F.col("n") + 1)).alias("confidence"), "k")
             .filter((F.col("confidence") >= confident) & (F.col("k") >= support)),
             "patterns",
+            n,
         )
         hashed = F.xxhash64("pattern")
         accepted = patterns.agg(F.count("*"), F.bit_xor(hashed), F.sum(hashed.cast("decimal(38,0)"))).first()
@@ -218,9 +221,10 @@ def bootstrap(occurrences: DataFrame, confident: float = CONFIDENT, support: int
         earlier.add(tuple(accepted))
         best = links.join(patterns, "pattern").groupBy("instance").agg(F.max("confidence").alias("best"))
         state = stage(
-            state.join(stage(best, "best"), "instance", "left")
+            state.join(stage(best, "best", n), "instance", "left")
             .select("instance", F.when(F.col("open"), F.col("best")).otherwise(F.col("score")).alias("score"), "open"),
             "state",
+            n,
         )
     return state.filter("open AND score IS NOT NULL").select("instance")
 
@@ -243,15 +247,16 @@ def personal_data(docs: DataFrame) -> DataFrame:
     found = bootstrap(each.select("instance", "mark", F.explode("patterns").alias("pattern")))
     # All occurrences of a found instance have mark 0; given ones are not among the found.
     given = each.filter("mark = 2").select("instance").distinct()
+    n = each.count()
     spans = (
         each.filter("mark >= 0 AND bare")
-        .join(stage(found.union(given), "found"), "instance")
+        .join(stage(found.union(given), "found", n), "instance")
         .groupBy(F.col("doc_id").alias("id"), F.col("key").alias("k"))
         .agg(F.array_sort(F.collect_set(F.struct(F.lit("id").alias("kind"), "first", "end"))).alias("more"))
     )
     return (
         rows.select("doc_id", "key", "base")
-        .join(stage(spans, "spans"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("k")), "left")
+        .join(stage(spans, "spans", n), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("k")), "left")
         .select("doc_id", "key", F.when(F.col("more").isNull(), F.col("base")).otherwise(F.concat("base", "more")).alias("spans"))
     )
 
