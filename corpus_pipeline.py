@@ -37,7 +37,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         .groupBy("component_id")
         .agg(F.min_by("_llm_key", first).alias("_llm_key"))
     )
-    return keyed.join(stage(kept.select("_llm_key"), "kept"), "_llm_key", "left_semi").select(*docs.columns)
+    return keyed.join(stage(kept.select("_llm_key"), "kept", keyed.count()), "_llm_key", "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import glob
 
 import pytest
 
+import corpus_pipeline
 from shoplens.llm import common, pii
 
 
@@ -42,3 +43,12 @@ def test_components_are_staged_in_few_files(spark, files):
     found = common.components(spark.createDataFrame(edges, "a bigint, b bigint"), len(edges))
     assert {(r.node, r.component) for r in found.collect()} == {(v, v % 2) for e in edges for v in e}
     assert max(n for _, n in files()) == 1
+
+
+def test_near_duplicates_are_staged_in_few_files(spark, files):
+    docs = [(i, " ".join(f"w{(i // 2, k)}" for k in range(40)) + f" x{i}") for i in range(200)]
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 200, 2))
+    few = {"heads", "buckets", "edges", "near", "found", "mixed", "named", "kept"}
+    assert max(n for name, n in files() if name in few) <= 2
