@@ -24,11 +24,11 @@ DEFAULT_FILE = "byte_bpe_50k.json"
 #: A space that no word follows; such texts are cut by the slower pattern.
 _ODD = re.compile(r" (?:\s|\Z)")
 _CUT = re.compile(r" (?=\S)")
-#: Words of printable ASCII, and what the usual byte-level pattern cuts them into.
-_PRINTABLE = re.compile(r"[!-~]*\Z")
-_PIECES = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+")
-_SPACE = chr(0x120)  # the letter that stands for the byte of a space
-_PIECES_KEPT = 100_000
+#: Letters of Latin scripts, and what the usual byte-level pattern cuts words of
+#: printable ASCII, such letters and single line ends into.
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
+_PIECES = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LATIN}]+| ?[0-9]+| ?[^\s{_LATIN}0-9]+|\n")
+_PIECES_KEPT = 200_000
 
 
 def default_path() -> str:
@@ -45,6 +45,9 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+_LETTER_OF = {b: c for c, b in byte_letters().items()}
+
+
 class Encoder:
     """Encodes lists of texts; one per Python worker and file."""
 
@@ -61,7 +64,8 @@ class Encoder:
         self.cache_words, self.longest = cache_words, longest_cached
         #: The library's model takes one piece at a time, without the cost of a
         #: whole encoding; only where the pieces are cut as ``_PIECES`` does.
-        self.model, self.pieces = self.tokenizer.model, {}
+        self.model = self.tokenizer.model
+        self.pieces: dict[str, bytes] = {}
         pattern = self.tokenizer.pre_tokenizer
         cut = json.loads(pattern.__getstate__()) if pattern is not None else {}
         self.usual = (
@@ -75,29 +79,42 @@ class Encoder:
         """Ids as the library itself gives them."""
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    @cached_property
+    def _whole(self) -> re.Pattern:
+        """What makes a word go to the library whole: signs that ``_PIECES`` is
+        not made for, more than one white space, special tokens."""
+        return re.compile("|".join([rf"[^!-~{_LATIN}\n]", r"\A\n", r"\n\n", *map(re.escape, self.special)]))
+
     def _of_words(self, words: list[str], space: str) -> list[list[int]]:
         """Ids of words, each with ``space`` before it."""
+        return [array("I", ids).tolist() for ids in self._coded(words, space)]
+
+    def _coded(self, words: list[str], space: str) -> list[bytes]:
+        """As ``_of_words``, the ids as 32-bit integers."""
         if not self.usual:
-            return self.plain([space + w for w in words])
-        special, out, left = self.special, [], []
+            return [array("I", ids).tobytes() for ids in self.plain([space + w for w in words])]
+        out, left = [], []
         if len(self.pieces) > _PIECES_KEPT:
             self.pieces.clear()
+        pieces, longest, tokenize, whole = self.pieces, self.longest, self.model.tokenize, self._whole.search
         for k, word in enumerate(words):
-            if not word or not _PRINTABLE.match(word) or any(s in word for s in special):
+            if not word or whole(word):
                 left.append(k)
-                out.append(None)
+                out.append(b"")
                 continue
-            ids = []
-            for piece in _PIECES.findall(space + word):
-                known = self.pieces.get(piece)
+            single = word.isalpha()  # a piece by itself, and kept as a word
+            data = []
+            for piece in (space + word,) if single else _PIECES.findall(space + word):
+                known = pieces.get(piece)
                 if known is None:
-                    known = [t.id for t in self.model.tokenize(piece.replace(" ", _SPACE))]
-                    if len(piece) <= self.longest:
-                        self.pieces[piece] = known
-                ids += known
-            out.append(ids)
+                    letters = piece.encode("utf-8").decode("latin-1").translate(_LETTER_OF)
+                    known = array("I", [t.id for t in tokenize(letters)]).tobytes()
+                    if not single and len(piece) <= longest:
+                        pieces[piece] = known
+                data.append(known)
+            out.append(data[0] if len(data) == 1 else b"".join(data))
         for k, ids in zip(left, self.plain([space + words[k] for k in left]), strict=True):
-            out[k] = ids
+            out[k] = array("I", ids).tobytes()
         return out
 
     def _words(self, words: list[str], cache: dict[str, bytes], space: str) -> list[bytes]:
@@ -107,8 +124,8 @@ class Encoder:
             cache.clear()
         for begin in range(0, len(missing), 20_000):
             part = missing[begin : begin + 20_000]
-            for i, ids in zip(part, self._of_words([words[i] for i in part], space), strict=True):
-                found[i] = data = array("I", ids).tobytes()
+            for i, data in zip(part, self._coded([words[i] for i in part], space), strict=True):
+                found[i] = data
                 if len(words[i]) <= self.longest:
                     cache[words[i]] = data
         return found

@@ -702,3 +702,14 @@ def test_words_encode_as_the_library_does():
     texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 40))) for _ in range(200)]
     ids, at = enc.encode(texts)
     assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == enc.plain(texts)
+
+
+def test_latin_words_go_piece_by_piece(monkeypatch):
+    """Letters of Latin scripts and single line ends need no whole encoding."""
+    enc, rng = tokens.Encoder(tokens.default_path()), random.Random(15)
+    letters = [*"aZé9É'sñß.\n,!×÷ªµ½ſƀ\t\x85\xa0Ā'llЖ中_$", "é", "\n\n", " ", *enc.special]
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 9))) for _ in range(6000)]
+    for space in ("", " "):
+        assert enc._of_words(words, space) == enc.plain([space + w for w in words])
+    monkeypatch.setattr(enc, "plain", lambda texts: [None] * len(texts) if texts else [])
+    assert all(enc._of_words(["été,", "are.\nRe", "Größe's", "ſtadt12", "end.\n"], " "))
