@@ -28,7 +28,8 @@ _CUT = re.compile(r" (?=\S)")
 #: printable ASCII, such letters and single line ends into.
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
 _PIECES = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LATIN}]+| ?[0-9]+| ?[^\s{_LATIN}0-9]+|\n")
-_PIECES_KEPT = 200_000
+_PIECES_KEPT = 100_000
+_MARKS = 1 << 23
 
 
 def default_path() -> str:
@@ -46,22 +47,26 @@ def byte_letters() -> dict[str, int]:
 
 
 _LETTER_OF = {b: c for c, b in byte_letters().items()}
+_SPACE = _LETTER_OF[ord(" ")]
 
 
 class Encoder:
     """Encodes lists of texts; one per Python worker and file."""
 
-    def __init__(self, path: str, cache_words: int = 900_000, longest_cached: int = 32):
+    def __init__(self, path: str, cache_words: int = 400_000, longest_cached: int = 32):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        #: Ids of words after a space, and of words that begin a text.
-        self.inner: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}
+        #: Ids of words after a space, and of words that begin a text: those of
+        #: late, and those before them.
+        self.inner: list[dict[str, bytes]] = [{}, {}]
+        self.first: list[dict[str, bytes]] = [{}, {}]
         self.cache_words, self.longest = cache_words, longest_cached
+        #: Marks of the words met so far, and how many.
+        self.met, self.n_met = bytearray(_MARKS), 0
         #: The library's model takes one piece at a time, without the cost of a
         #: whole encoding; only where the pieces are cut as ``_PIECES`` does.
         self.model = self.tokenizer.model
@@ -97,17 +102,21 @@ class Encoder:
         if len(self.pieces) > _PIECES_KEPT:
             self.pieces.clear()
         pieces, longest, tokenize, whole = self.pieces, self.longest, self.model.tokenize, self._whole.search
+        plain_letters = not any(t.isalpha() for t in self.special)
         for k, word in enumerate(words):
-            if not word or whole(word):
+            single = word.isalpha()  # a piece by itself, and kept as a word
+            if not (single and plain_letters and word.isascii()) and (not word or whole(word)):
                 left.append(k)
                 out.append(b"")
                 continue
-            single = word.isalpha()  # a piece by itself, and kept as a word
             data = []
             for piece in (space + word,) if single else _PIECES.findall(space + word):
                 known = pieces.get(piece)
                 if known is None:
-                    letters = piece.encode("utf-8").decode("latin-1").translate(_LETTER_OF)
+                    if piece.isascii() and piece != "\n":
+                        letters = piece.replace(" ", _SPACE)
+                    else:
+                        letters = piece.encode("utf-8").decode("latin-1").translate(_LETTER_OF)
                     known = array("I", [t.id for t in tokenize(letters)]).tobytes()
                     if not single and len(piece) <= longest:
                         pieces[piece] = known
@@ -117,17 +126,37 @@ class Encoder:
             out[k] = array("I", ids).tobytes()
         return out
 
-    def _words(self, words: list[str], cache: dict[str, bytes], space: str) -> list[bytes]:
-        found = list(map(cache.get, words))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        if len(cache) + len(missing) > self.cache_words:
-            cache.clear()
+    def _words(self, words: list[str], cache: list[dict[str, bytes]], space: str) -> list[bytes]:
+        """Ids of unlike words.  Most words are rare and never come again: a
+        word is kept when it is met the second time (or a word with its mark
+        was).  When the late ones are half of what may be kept, the earlier
+        ones go, but for those that were used since."""
+        late, earlier = cache
+        found = list(map(late.get, words))
+        missing = [i for i, data in enumerate(found) if data is None]
+        if earlier:
+            for i in missing:
+                data = earlier.pop(words[i], None)
+                if data is not None:
+                    found[i] = late[words[i]] = data
+            missing = [i for i in missing if found[i] is None]
+        met, longest = self.met, self.longest
+        if self.n_met > _MARKS // 2:
+            met[:] = bytes(_MARKS)
+            self.n_met = 0
         for begin in range(0, len(missing), 20_000):
             part = missing[begin : begin + 20_000]
             for i, data in zip(part, self._coded([words[i] for i in part], space), strict=True):
                 found[i] = data
-                if len(words[i]) <= self.longest:
-                    cache[words[i]] = data
+                word = words[i]
+                mark = hash(word) % _MARKS
+                if not met[mark]:
+                    met[mark] = 1
+                    self.n_met += 1
+                elif len(word) <= longest:
+                    late[word] = data
+            if 2 * len(late) > self.cache_words:
+                cache[:] = late, earlier = {}, late
         return found
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

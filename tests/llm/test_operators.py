@@ -713,3 +713,45 @@ def test_latin_words_go_piece_by_piece(monkeypatch):
         assert enc._of_words(words, space) == enc.plain([space + w for w in words])
     monkeypatch.setattr(enc, "plain", lambda texts: [None] * len(texts) if texts else [])
     assert all(enc._of_words(["été,", "are.\nRe", "Größe's", "ſtadt12", "end.\n"], " "))
+
+
+def _new_words(rng, n):
+    return ["x" + "".join(rng.choice("abcdefghijklmnop.,é\n") for _ in range(12)) + "x" for _ in range(n)]
+
+
+def test_rare_words_do_not_fill_a_workers_memory():
+    """Text after text of words never met before: the encoder keeps few of them,
+    and those that come again and again."""
+    enc, rng = tokens.Encoder(tokens.default_path()), random.Random(16)
+    often = _new_words(rng, 1000)
+    for k in range(12):
+        # the last texts' new words come twice
+        words = _new_words(rng, 15_000)
+        enc.encode([" ".join(["a", *often, *words])])
+        if k > 9:
+            enc.encode([" ".join(["a", *words])])
+    kept = [w for part in enc.inner for w in part]
+    assert len(kept) == len(set(kept)) < 60_000, len(kept)
+    assert set(often) <= set(kept)
+
+
+def test_kept_words_stay_bounded_and_encode_the_same(monkeypatch):
+    monkeypatch.setattr(tokens, "_MARKS", 1 << 10)  # marks meet and are cleared
+    enc, rng = tokens.Encoder(tokens.default_path(), cache_words=600), random.Random(17)
+    words = _new_words(rng, 3000)
+    for _ in range(30):
+        texts = [" ".join(rng.choices(words, k=40)) for _ in range(20)]
+        ids, at = enc.encode(texts)
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == enc.plain(texts)
+        assert sum(map(len, enc.inner)) <= 600 + 800
+
+
+def test_a_batch_becomes_python_texts_slice_by_slice(spark):
+    import pyarrow as pa
+    from shoplens.llm import common
+
+    batch = pa.record_batch({"doc_id": [1, None, 3, 4, 5], "text": ["aé漢", None, "", "x" * 9, "yy"]})
+    got = list(common.text_slices(batch, 5))
+    assert got == [(0, 3, ["aé漢", "", ""]), (3, 4, ["x" * 9]), (4, 5, ["yy"])]
+    texts = [t or "" for t in batch.column(1).to_pylist()]
+    assert [g[:2] for g in got] == list(common.slices(batch, texts, 5))
