@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_path, slices, stage, take_over
+from .common import fresh_path, stage, take_over, text_slices
 from .tokens import default_path, encoder
 
 END_ID = 2
@@ -106,8 +106,8 @@ class TokenFile:
         base = doc_ids[nulls] if nulls < len(doc_ids) else 0
         keys = np.array([d - base for d in doc_ids[nulls:]], np.uint64)
         head = _HEAD.pack(MAGIC, width, nulls, len(doc_ids), len(ids), base)
-        body = np.asarray(ids).astype(np.uint16 if width == 2 else np.uint32).tobytes()
-        return head + EliasFano.pack(ends) + EliasFano.pack(keys) + body
+        body = np.ascontiguousarray(ids, np.uint16 if width == 2 else np.uint32)
+        return b"".join([head, EliasFano.pack(ends), EliasFano.pack(keys), memoryview(body).cast("B")])
 
     def document(self, i: int) -> np.ndarray:
         """Ids of document i, found by select alone."""
@@ -153,9 +153,9 @@ def _writer(folder: str, tokenizer: str, end_id: int, file_ids: int):
             return pa.RecordBatch.from_pydict(row, _MADE)
 
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for begin, end in slices(batch, texts, 2_000_000):
-                ids, at = enc.encode(texts[begin:end])
+            keys = batch.column(0).to_pylist()
+            for begin, end, texts in text_slices(batch, 2_000_000):
+                ids, at = enc.encode(texts)
                 n = np.diff(at) + 1
                 out = np.full(len(ids) + len(n), end_id, np.uint32)
                 out[np.arange(len(ids)) + np.repeat(np.arange(len(n)), n - 1)] = ids

@@ -755,3 +755,21 @@ def test_a_batch_becomes_python_texts_slice_by_slice(spark):
     assert got == [(0, 3, ["aé漢", "", ""]), (3, 4, ["x" * 9]), (4, 5, ["yy"])]
     texts = [t or "" for t in batch.column(1).to_pylist()]
     assert [g[:2] for g in got] == list(common.slices(batch, texts, 5))
+
+
+def test_a_token_file_is_packed_without_copies_of_its_ids():
+    import tracemalloc
+
+    ids = np.arange(2_000_000, dtype=np.uint32).astype(np.uint16)
+    ends = np.arange(1, 1001) * 2000
+    tracemalloc.start()
+    try:
+        data = token_files.TokenFile.pack(list(range(1000)), ids, ends, 2)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 1.5 * len(data), (peak, len(data))
+    back = token_files.TokenFile(data)
+    assert np.array_equal(back.ids, ids) and back.ends.all().tolist() == ends.tolist() and back.doc_ids() == list(range(1000))
+    wide = token_files.TokenFile(token_files.TokenFile.pack([None, 7], np.array([1, 70_000, 2]), np.array([1, 3]), 4))
+    assert wide.document(1).tolist() == [70_000, 2] and wide.doc_ids() == [None, 7]
