@@ -10,9 +10,11 @@ every score in the block.
 A query takes the blocks of a chunk in the order of their bounds and scores
 them in full until the next bound is below its k-th best score.  The k-th best
 score in the query's own chunk is known before (it starts every search), so
-most of what is far away is never scored.  Query groups meet chunks in a join
-on the chunk's number: a stated query set against all rows, in blocks.  Ties go
-to the smaller vec_id."""
+most of what is far away is never scored.  Query groups meet chunks in a
+Cartesian product of partitions: a stated query set against all rows, in
+blocks.  A task reads its chunks one after another for its few groups and keeps
+the groups' best; no group is copied for each chunk, and none is broadcast,
+since the driver would hold them all.  Ties go to the smaller vec_id."""
 
 from __future__ import annotations
 
@@ -24,6 +26,10 @@ from pyspark.sql import functions as F
 from .common import stage
 
 CHUNK, BLOCK, QUERIES = 8_192, 256, 1_024
+#: Chunks and query groups of a task: so many at most, but this many tasks at least if there are enough.
+TASK_CHUNKS, TASK_GROUPS, LEAST_CHUNKS, LEAST_GROUPS = 128, 8, 16, 4
+#: Chunks of a range, where ranges are many: the driver draws the bounds from rows of each.
+RANGE, RANGES = 8, 256
 _NONE = np.iinfo(np.int64).min
 
 
@@ -111,9 +117,16 @@ def _fit(q: np.ndarray, dim: int) -> np.ndarray:
     return np.hstack([q, np.zeros((len(q), dim - q.shape[1]), q.dtype)])
 
 
-def search(chunk: Chunk, queries: np.ndarray, k: int, least: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Scores and vec_ids (best first) of the best ``k`` of a chunk for each
-    query that may reach ``least``; ``own``: the query's own place or -1."""
+def nothing_found(n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.full((n, k), _NONE, np.int64), np.full((n, k), np.iinfo(np.int64).max, np.int64)
+
+
+def search(
+    chunk: Chunk, queries: np.ndarray, k: int, least: np.ndarray, own: np.ndarray, before: tuple[np.ndarray, np.ndarray] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Scores and vec_ids (best first) of the best ``k`` of a chunk and of what
+    was found ``before`` (in place), for each query that may reach ``least``;
+    ``own``: the query's own place or -1."""
     q = _fit(queries, chunk.data.shape[1])
     exact = chunk.exact and _float_ok(queries) and (
         not q.size or float(np.abs(q).max()) * float(np.abs(chunk.data).max(initial=0)) * q.shape[1] < 1 << 52
@@ -125,8 +138,7 @@ def search(chunk: Chunk, queries: np.ndarray, k: int, least: np.ndarray, own: np
         data.data, data.high, data.low = (x.astype(np.int64).astype(object) for x in (data.data, data.high, data.low))
     bounds = data.bounds(q)
     order = np.argsort(-bounds, axis=1, kind="stable")
-    score = np.full((len(q), k), _NONE, np.int64)
-    ids = np.full((len(q), k), np.iinfo(np.int64).max, np.int64)
+    score, ids = before or nothing_found(len(q), k)
     alive = np.arange(len(q))
     for turn in range(order.shape[1]):
         block = order[alive, turn]
@@ -146,6 +158,8 @@ def search(chunk: Chunk, queries: np.ndarray, k: int, least: np.ndarray, own: np
             mine = own[some] - begin
             inside = np.flatnonzero((mine >= 0) & (mine < found.shape[1]))
             found[inside, mine[inside]] = _NONE
+            near = (found >= np.maximum(score[some, -1], least[some])[:, None]).any(axis=1)
+            some, found = some[near], found[near]
             s = np.hstack([score[some], found])
             v = np.hstack([ids[some], np.broadcast_to(data.ids[part], found.shape)])
             v = np.where(s == _NONE, np.iinfo(np.int64).max, v)
@@ -154,11 +168,14 @@ def search(chunk: Chunk, queries: np.ndarray, k: int, least: np.ndarray, own: np
     return score, ids
 
 
-_QUERY = pa.schema([("number", pa.int64()), ("place", pa.int64()), ("query_id", pa.int64()), ("least", pa.int64()), ("e", pa.binary())])
+_QUERY = pa.schema(
+    [("number", pa.int64()), ("place", pa.int64()), ("piece", pa.int64()), ("query_id", pa.int64()), ("least", pa.int64()), ("e", pa.binary())]
+)
 
 
 def _query_rows(every: int, k: int):
-    """The chunk's own queries, with their k-th best score inside it."""
+    """The chunk's own queries, ``QUERIES`` to a piece, with their k-th best
+    score inside it."""
 
     def run(batches):
         for batch in batches:
@@ -168,8 +185,9 @@ def _query_rows(every: int, k: int):
                 q = np.frombuffer(data, np.int64).reshape(len(chunk.ids), dim)[place]
                 score, _ = search(chunk, q, k, np.full(len(place), _NONE, np.int64), place)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([number] * len(place), pa.int64()), pa.array(place, pa.int64()), pa.array(chunk.ids[place], pa.int64()),
-                     pa.array(score[:, -1], pa.int64()), pa.array([row.tobytes() for row in q], pa.binary())],
+                    [pa.array([number] * len(place), pa.int64()), pa.array(place, pa.int64()), pa.array(np.arange(len(place)) // QUERIES),
+                     pa.array(chunk.ids[place], pa.int64()), pa.array(score[:, -1], pa.int64()),
+                     pa.array([row.tobytes() for row in q], pa.binary())],
                     schema=_QUERY,
                 )
 
@@ -179,28 +197,57 @@ def _query_rows(every: int, k: int):
 _FOUND = pa.schema([("home", pa.int64()), ("place", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
+class _Group:
+    """A group's queries, those of a length together, and their best so far."""
+
+    def __init__(self, queries: list[dict], k: int):
+        by_dim: dict[int, list[dict]] = {}
+        for row in queries:
+            by_dim.setdefault(len(row["e"]) // 8, []).append(row)
+        self.parts = []
+        for dim, rows in by_dim.items():
+            q = np.frombuffer(b"".join(r["e"] for r in rows), np.int64).reshape(len(rows), dim)
+            cols = {n: np.array([r[n] for r in rows], np.int64) for n in ("number", "place", "query_id", "least")}
+            self.parts.append((q, cols, nothing_found(len(rows), k)))
+
+    def meet(self, number: int, chunk: Chunk, k: int) -> None:
+        for q, cols, best in self.parts:
+            search(chunk, q, k, cols["least"], np.where(cols["number"] == number, cols["place"], -1), best)
+
+    def found(self):
+        for _, cols, (score, ids) in self.parts:
+            at, col = np.nonzero(score != _NONE)
+            rows = (*(cols[n][at] for n in ("number", "place", "query_id")), ids[at, col], score[at, col])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows], schema=_FOUND)
+
+
 def _pair_rows(k: int):
+    """The best of a task's chunks for each query of its groups.  The rows are
+    pairs, those of a chunk one after another."""
+
     def run(batches):
+        groups: dict[tuple[int, int], _Group] = {}
+        at = chunk = None
         for batch in batches:
             for i in range(batch.num_rows):
-                number, dim, ids, data, queries = (c[i].as_py() for c in batch.columns)
-                chunk = Chunk(ids, data, dim)
-                by_dim: dict[int, list[dict]] = {}
-                for row in queries:
-                    by_dim.setdefault(len(row["e"]) // 8, []).append(row)
-                for d, rows in by_dim.items():
-                    q = np.frombuffer(b"".join(r["e"] for r in rows), np.int64).reshape(len(rows), d)
-                    least = np.array([r["least"] for r in rows], np.int64)
-                    own = np.array([r["place"] if r["number"] == number else -1 for r in rows], np.int64)
-                    score, found = search(chunk, q, k, least, own)
-                    at, col = np.nonzero(score != _NONE)
-                    names = (("number", np.int64), ("place", np.int64), ("query_id", np.int64))
-                    cols = [np.array([r[n] for r in rows], t)[at] for n, t in names]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*cols, found[at, col], score[at, col])], schema=_FOUND)
+                number, dim, ids, data, group, piece, queries = (batch.column(c)[i] for c in range(7))
+                if at != number.as_py():
+                    at, chunk = number.as_py(), Chunk(ids.as_py(), data.as_py(), dim.as_py())
+                key = group.as_py(), piece.as_py()
+                if key not in groups:
+                    groups[key] = _Group(queries.as_py(), k)
+                groups[key].meet(at, chunk, k)
+        for group in groups.values():
+            yield from group.found()
 
     return run
 
 
+def _parts(n: int, most: int, least: int) -> int:
+    """Partitions of at most ``most`` rows of ``n``; ``least`` at least if there are so many rows."""
+    return max(1, -(-n // most), min(n, least))
+
+
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, chunk: int = CHUNK) -> DataFrame:
     """(query_id, rank, vec_id, score): for every vector whose vec_id is
     divisible by ``every`` the ``k`` best others (all, if fewer).
@@ -217,25 +264,27 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, chunk: int = CHUNK) -
     for i in range(12):
         code = code + F.when(F.get("e", F.lit(i)) >= 0, F.lit(1 << (11 - i))).otherwise(F.lit(0))
     n = vectors.select("vec_id").count()
-    ordered = good.withColumn("code", code).repartitionByRange(max(1, -(-n // chunk)), "code", "vec_id")
+    ordered = good.withColumn("code", code).repartitionByRange(_parts(-(-n // chunk), RANGE, RANGES), "code", "vec_id")
     ordered = ordered.sortWithinPartitions("code", "vec_id").select("vec_id", "e")
     made = stage(ordered.mapInArrow(_chunk_rows(chunk), "part bigint, seq bigint, dim bigint, ids binary, data binary"), "chunks")
     # A row a chunk: numbered without gaps in one short window.
     number = made.select("part", "seq").withColumn("number", F.row_number().over(Window.orderBy("part", "seq")) - 1)
-    chunks = stage(made.join(number, ["part", "seq"]).select(F.col("number").cast("bigint"), "dim", "ids", "data"), "numbered")
+    numbered = made.join(F.broadcast(number), ["part", "seq"])
+    chunks = stage(numbered.select(F.col("number").cast("bigint"), "dim", "ids", "data"), "numbered")
     n_chunks = chunks.count()
     if not n_chunks:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    queries = stage(
-        chunks.mapInArrow(_query_rows(every, k), "number bigint, place bigint, query_id bigint, least bigint, e binary"), "queries"
-    )
+    made_by = "number bigint, place bigint, piece bigint, query_id bigint, least bigint, e binary"
+    queries = stage(chunks.mapInArrow(_query_rows(every, k), made_by), "queries")
     n_queries = queries.count()
     together = max(1, QUERIES * n_chunks // max(1, n_queries))  # chunks whose queries form a group
-    groups = queries.groupBy(
-        F.floor(F.col("number") / together).alias("group"), F.floor(F.col("place") / chunk).alias("again")
-    ).agg(F.collect_list(F.struct("number", "place", "query_id", "least", "e")).alias("queries"))
-    groups = groups.withColumn("number", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_chunks - 1).cast("bigint"))))
-    pairs = chunks.join(groups.select("number", "queries"), "number").select("number", "dim", "ids", "data", "queries")
+    groups = queries.groupBy(F.floor(F.col("number") / together).alias("group"), "piece").agg(
+        F.collect_list(F.struct("number", "place", "query_id", "least", "e")).alias("queries")
+    )
+    groups = stage(groups, "groups")
+    some_chunks = chunks.coalesce(_parts(n_chunks, TASK_CHUNKS, LEAST_CHUNKS))
+    some_groups = groups.repartition(_parts(groups.count(), TASK_GROUPS, LEAST_GROUPS))
+    pairs = some_chunks.crossJoin(some_groups.hint("shuffle_replicate_nl"))
     found = pairs.mapInArrow(_pair_rows(k), "home bigint, place bigint, query_id bigint, vec_id bigint, score bigint")
     best = Window.partitionBy("home", "place").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)

@@ -480,6 +480,56 @@ def test_top_k_of_odd_vectors(spark):
     assert topk.top_k(vectors.limit(0)).count() == 0
 
 
+def test_top_k_keeps_query_groups_off_the_driver(spark):
+    """Many chunks: the groups are neither copied for each chunk nor broadcast,
+    which would bring chunks x queries to the driver."""
+    rng = np.random.default_rng(3)
+    e = rng.normal(size=(900, 6))
+    found = topk.top_k(spark.createDataFrame([(i, list(map(float, x))) for i, x in enumerate(e)], "vec_id bigint, embedding array<double>"), chunk=20)
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found.collect())
+    whole = np.floor(256 * e).astype(np.int64)
+    want = []
+    for q in range(0, 900, 50):
+        best = sorted((-int(whole[q] @ w), j) for j, w in enumerate(whole) if j != q)[:5]
+        want += [(q, k + 1, j, -s) for k, (s, j) in enumerate(best)]
+    assert got == sorted(want)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan
+    assert "Broadcast" not in plan and "Generate" not in plan
+
+
+def test_top_k_of_dense_queries(spark):
+    """Every vector is a query: a chunk's queries are cut into pieces.  Rows
+    come with lengths of their own, repeated ids and equal vectors."""
+    rng = np.random.default_rng(4)
+    rows = [(i % 2400, [float(x) for x in rng.integers(-3, 4, size=4 + (i % 7 == 0))]) for i in range(2500)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    for chunk in (5000, 700):
+        queries = topk.top_k(vectors, k=3, every=1, chunk=chunk)
+        got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in queries.collect())
+        m = np.zeros((len(rows), 5), np.int64)
+        for i, (_, v) in enumerate(rows):
+            m[i, : len(v)] = 256 * np.array(v)
+        ids, score, want = np.array([i for i, _ in rows]), m @ m.T, []
+        for q in range(len(rows)):
+            order = [j for j in np.lexsort((ids, -score[q])) if j != q][:3]
+            want += [(int(ids[q]), k + 1, int(ids[j]), int(score[q, j])) for k, j in enumerate(order)]
+        assert got == sorted(want)
+
+
+def test_top_k_search_goes_on_from_what_was_found_before():
+    rng = np.random.default_rng(6)
+    e = rng.integers(-9, 10, size=(300, 5))
+    halves = [topk.Chunk(np.arange(b, b + 150).tobytes(), e[b : b + 150].tobytes(), 5, block=16) for b in (0, 150)]
+    none, own = np.full(40, topk._NONE), np.full(40, -1)
+    best = topk.nothing_found(40, 4)
+    for half in halves:
+        topk.search(half, e[:40], 4, none, np.arange(40) if half is halves[0] else own, best)
+    for q in range(40):
+        want = sorted((-int(e[q] @ w), j) for j, w in enumerate(e) if j != q)[:4]
+        assert [*zip(best[0][q], best[1][q], strict=True)] == [(-s, j) for s, j in want]
+
+
 def test_decontamination_of_odd_tables(spark):
     """Empty tables on either side, clashing columns, an item of one word."""
     docs = spark.createDataFrame([(1, "the city of Paris lies there", "x", 2.0), (2, "nothing of it", "y", 1.0), (None, None, None, None)], "doc_id bigint, text string, item_id string, score double")
