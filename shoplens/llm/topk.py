@@ -53,6 +53,21 @@ def _matrix(rows) -> np.ndarray:
     return out
 
 
+def _narrow(m: np.ndarray) -> np.ndarray:
+    """``m`` in the smallest whole numbers that hold it."""
+    low, high = int(m.min(initial=0)), int(m.max(initial=0))
+    for kind in (np.int8, np.int16, np.int32):
+        if np.iinfo(kind).min <= low and high <= np.iinfo(kind).max:
+            return m.astype(kind)
+    return m
+
+
+def _wide(data: bytes, rows: int, dim: int) -> np.ndarray:
+    """The bytes of a narrow matrix as 64-bit numbers."""
+    size = len(data) // max(1, rows * dim)
+    return np.frombuffer(data, f"i{size or 8}").reshape(rows, dim).astype(np.int64)
+
+
 _CHUNK = pa.schema([("part", pa.int64()), ("seq", pa.int64()), ("dim", pa.int64()), ("ids", pa.binary()), ("data", pa.binary())])
 
 
@@ -67,7 +82,7 @@ def _chunk_rows(size: int):
             nonlocal seq
             table = pa.Table.from_batches(rows).combine_chunks()
             e = table["e"].chunk(0) if table["e"].num_chunks else pa.array([], pa.list_(pa.int64()))
-            m = _matrix(e)
+            m = _narrow(_matrix(e))
             ids = np.asarray(table["vec_id"]).astype(np.int64)
             seq += 1
             row = {"part": [part], "seq": [seq], "dim": [m.shape[1]], "ids": [ids.tobytes()], "data": [m.tobytes()]}
@@ -92,7 +107,7 @@ class Chunk:
 
     def __init__(self, ids: bytes, data: bytes, dim: int, block: int = BLOCK):
         self.ids = np.frombuffer(ids, np.int64)
-        m = np.frombuffer(data, np.int64).reshape(len(self.ids), dim)
+        m = _wide(data, len(self.ids), dim)
         self.exact = _float_ok(m)
         self.data = m.astype(np.float64) if self.exact else m.astype(object)
         self.starts = np.arange(0, len(self.ids), block)
@@ -107,7 +122,7 @@ class Chunk:
 
 def _float_ok(m: np.ndarray) -> bool:
     """Whether float products and sums of such integers are exact."""
-    return not m.size or int(max(m.max(), -m.min())) ** 2 * m.shape[1] < 1 << 52
+    return not m.size or max(int(m.max()), -int(m.min())) ** 2 * m.shape[1] < 1 << 52
 
 
 def _fit(q: np.ndarray, dim: int) -> np.ndarray:
@@ -169,7 +184,8 @@ def search(
 
 
 _QUERY = pa.schema(
-    [("number", pa.int64()), ("place", pa.int64()), ("piece", pa.int64()), ("query_id", pa.int64()), ("least", pa.int64()), ("e", pa.binary())]
+    [("number", pa.int64()), ("place", pa.int64()), ("piece", pa.int64()), ("query_id", pa.int64()), ("least", pa.int64()),
+     ("dim", pa.int64()), ("e", pa.binary())]
 )
 
 
@@ -182,12 +198,12 @@ def _query_rows(every: int, k: int):
             for number, dim, ids, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 chunk = Chunk(ids, data, dim)
                 place = np.flatnonzero(chunk.ids % every == 0)
-                q = np.frombuffer(data, np.int64).reshape(len(chunk.ids), dim)[place]
+                q = _wide(data, len(chunk.ids), dim)[place]
                 score, _ = search(chunk, q, k, np.full(len(place), _NONE, np.int64), place)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([number] * len(place), pa.int64()), pa.array(place, pa.int64()), pa.array(np.arange(len(place)) // QUERIES),
                      pa.array(chunk.ids[place], pa.int64()), pa.array(score[:, -1], pa.int64()),
-                     pa.array([row.tobytes() for row in q], pa.binary())],
+                     pa.array([dim] * len(place), pa.int64()), pa.array([row.tobytes() for row in _narrow(q)], pa.binary())],
                     schema=_QUERY,
                 )
 
@@ -201,12 +217,12 @@ class _Group:
     """A group's queries, those of a length together, and their best so far."""
 
     def __init__(self, queries: list[dict], k: int):
-        by_dim: dict[int, list[dict]] = {}
+        alike: dict[tuple[int, int], list[dict]] = {}
         for row in queries:
-            by_dim.setdefault(len(row["e"]) // 8, []).append(row)
+            alike.setdefault((row["dim"], len(row["e"])), []).append(row)
         self.parts = []
-        for dim, rows in by_dim.items():
-            q = np.frombuffer(b"".join(r["e"] for r in rows), np.int64).reshape(len(rows), dim)
+        for (dim, _), rows in alike.items():
+            q = _wide(b"".join(r["e"] for r in rows), len(rows), dim)
             cols = {n: np.array([r[n] for r in rows], np.int64) for n in ("number", "place", "query_id", "least")}
             self.parts.append((q, cols, nothing_found(len(rows), k)))
 
@@ -274,12 +290,12 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, chunk: int = CHUNK) -
     n_chunks = chunks.count()
     if not n_chunks:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    made_by = "number bigint, place bigint, piece bigint, query_id bigint, least bigint, e binary"
+    made_by = "number bigint, place bigint, piece bigint, query_id bigint, least bigint, dim bigint, e binary"
     queries = stage(chunks.mapInArrow(_query_rows(every, k), made_by), "queries")
     n_queries = queries.count()
     together = max(1, QUERIES * n_chunks // max(1, n_queries))  # chunks whose queries form a group
     groups = queries.groupBy(F.floor(F.col("number") / together).alias("group"), "piece").agg(
-        F.collect_list(F.struct("number", "place", "query_id", "least", "e")).alias("queries")
+        F.collect_list(F.struct("number", "place", "query_id", "least", "dim", "e")).alias("queries")
     )
     groups = stage(groups, "groups")
     some_chunks = chunks.coalesce(_parts(n_chunks, TASK_CHUNKS, LEAST_CHUNKS))

@@ -530,6 +530,24 @@ def test_top_k_search_goes_on_from_what_was_found_before():
         assert [*zip(best[0][q], best[1][q], strict=True)] == [(-s, j) for s, j in want]
 
 
+def test_top_k_of_narrow_and_wide_numbers(spark):
+    """Chunks keep their numbers narrow; bounds and products are whole."""
+    for m in (np.zeros((2, 0), np.int64), np.array([[-128, 127]]), np.array([[-129, 3]]), np.array([[1 << 40, -(1 << 31)]]), np.array([[-(1 << 63)]])):
+        assert np.array_equal(topk._wide(topk._narrow(m).tobytes(), *m.shape), m)
+    assert not topk._float_ok(np.array([[-(1 << 63)]])) and topk._float_ok(np.array([[-128]], np.int8))
+    rng = np.random.default_rng(8)
+    whole = rng.choice([-128, -127, 0, 127], size=(200, 4))
+    whole[::37] *= 1000
+    whole[50] *= 3_000_000
+    rows = [(i, [float(x) / 256 for x in v]) for i, v in enumerate(whole)]
+    found = topk.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), every=10, chunk=30)
+    want = []
+    for q in range(0, 200, 10):
+        best = sorted((-sum(int(a) * int(b) for a, b in zip(whole[q], w, strict=True)), j) for j, w in enumerate(whole) if j != q)[:5]
+        want += [(q, k + 1, j, -s) for k, (s, j) in enumerate(best)]
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found.collect()) == sorted(want)
+
+
 def test_decontamination_of_odd_tables(spark):
     """Empty tables on either side, clashing columns, an item of one word."""
     docs = spark.createDataFrame([(1, "the city of Paris lies there", "x", 2.0), (2, "nothing of it", "y", 1.0), (None, None, None, None)], "doc_id bigint, text string, item_id string, score double")
