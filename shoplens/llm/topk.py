@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import stage
 
 CHUNK, BLOCK, QUERIES = 8_192, 256, 1_024
-#: Chunks and query groups of a task: so many at most, but this many tasks at least if there are enough.
+#: Chunks and query groups of a task: about so many, but partitions of each: this many at least if there are enough rows.
 TASK_CHUNKS, TASK_GROUPS, LEAST_CHUNKS, LEAST_GROUPS = 128, 8, 16, 4
 #: Chunks of a range, where ranges are many: the driver draws the bounds from rows of each.
 RANGE, RANGES = 8, 256
@@ -260,7 +260,7 @@ def _pair_rows(k: int):
 
 
 def _parts(n: int, most: int, least: int) -> int:
-    """Partitions of at most ``most`` rows of ``n``; ``least`` at least if there are so many rows."""
+    """Partitions of about ``most`` rows of ``n``; ``least`` at least if there are so many rows."""
     return max(1, -(-n // most), min(n, least))
 
 
